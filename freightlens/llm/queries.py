@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .lm_scoring import op6_lm_scoring
 from .substring_dedup import OP5_SQL, op5_substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -14,6 +15,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op5_substring_dedup": op5_substring_dedup,
+        "op6_lm_scoring": op6_lm_scoring,
     }
 
 
