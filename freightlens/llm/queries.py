@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .lm_scoring import op6_lm_scoring
+from .simhash_dedup import op10_simhash_near_dedup
 from .substring_dedup import OP5_SQL, op5_substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +17,7 @@ def queries() -> dict[str, Query]:
     return {
         "op5_substring_dedup": op5_substring_dedup,
         "op6_lm_scoring": op6_lm_scoring,
+        "op10_simhash_near_dedup": op10_simhash_near_dedup,
     }
 
 
