@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .line_dedup import OP8_SQL, op8_line_dedup
 from .lm_scoring import op6_lm_scoring
 from .simhash_dedup import op10_simhash_near_dedup
 from .substring_dedup import OP5_SQL, op5_substring_dedup
@@ -17,9 +18,10 @@ def queries() -> dict[str, Query]:
     return {
         "op5_substring_dedup": op5_substring_dedup,
         "op6_lm_scoring": op6_lm_scoring,
+        "op8_line_dedup": op8_line_dedup,
         "op10_simhash_near_dedup": op10_simhash_near_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_substring_dedup": OP5_SQL}
+    return {"op5_substring_dedup": OP5_SQL, "op8_line_dedup": OP8_SQL}
