@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .line_dedup import OP8_SQL, op8_line_dedup
 from .lm_scoring import op6_lm_scoring
 from .quality_cnn import op2_quality_cnn
+from .quality_rules import op3_quality_rules
 from .simhash_dedup import op10_simhash_near_dedup
 from .substring_dedup import OP5_SQL, op5_substring_dedup
 
@@ -18,6 +19,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op2_quality_cnn": op2_quality_cnn,
+        "op3_quality_rules": op3_quality_rules,
         "op5_substring_dedup": op5_substring_dedup,
         "op6_lm_scoring": op6_lm_scoring,
         "op8_line_dedup": op8_line_dedup,
