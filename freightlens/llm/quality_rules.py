@@ -94,10 +94,10 @@ RULES = (
     Rule("stops", "n_stops > 0 AND n_stops * 3 <= n_words", "n_words >= 50 AND n_stops * 2 > n_words"),
     Rule("symbols", "false", "n_symbols * 10 > n_words"),
     Rule("marks", "false", "n_symbols * 20 > n_bytes"),
-    Rule("letters", "false", "n_letters * 100 < n_bytes * 88"),
-    Rule("repeat_words", "false", "n_repeat_words * 10 > n_words * 3"),
+    Rule("letters", "false", "n_letters * 100 < n_bytes * 80"),
+    Rule("repeat_words", "false", "n_repeat_words * 100 > n_words * 45"),
     Rule("variety", "false", "n_words >= 50 AND n_types * 4 < n_words"),
-    Rule("dup_lines", "false", "n_dup_lines * 10 > n_lines * 3"),
+    Rule("dup_lines", "false", "n_dup_lines * 10 > n_lines * 6"),
     Rule("case", "false", "n_upper * 2 > n_lower"),
     Rule("shouts", "false", "n_shouts * 10 > n_words"),
     Rule("word_length", "false", "word_chars < n_words * 2 OR word_chars > n_words * 12"),
