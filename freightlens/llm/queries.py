@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .line_dedup import OP8_SQL, op8_line_dedup
 from .lm_scoring import op6_lm_scoring
+from .media_source import op4_media_columns
 from .quality_cnn import op2_quality_cnn
 from .quality_rules import op3_quality_rules
 from .simhash_dedup import op10_simhash_near_dedup
@@ -20,6 +21,7 @@ def queries() -> dict[str, Query]:
     return {
         "op2_quality_cnn": op2_quality_cnn,
         "op3_quality_rules": op3_quality_rules,
+        "op4_media_columns": op4_media_columns,
         "op5_substring_dedup": op5_substring_dedup,
         "op6_lm_scoring": op6_lm_scoring,
         "op8_line_dedup": op8_line_dedup,
