@@ -11,6 +11,7 @@ from .lm_scoring import op6_lm_scoring
 from .media_source import op4_media_columns
 from .quality_cnn import op2_quality_cnn
 from .quality_rules import op3_quality_rules
+from .sentencepiece_viterbi import op7_sentencepiece_viterbi
 from .simhash_dedup import op10_simhash_near_dedup
 from .substring_dedup import OP5_SQL, op5_substring_dedup
 
@@ -24,6 +25,7 @@ def queries() -> dict[str, Query]:
         "op4_media_columns": op4_media_columns,
         "op5_substring_dedup": op5_substring_dedup,
         "op6_lm_scoring": op6_lm_scoring,
+        "op7_sentencepiece_viterbi": op7_sentencepiece_viterbi,
         "op8_line_dedup": op8_line_dedup,
         "op10_simhash_near_dedup": op10_simhash_near_dedup,
     }
