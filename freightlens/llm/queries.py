@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .license_scan import op9_license_scan
 from .line_dedup import OP8_SQL, op8_line_dedup
 from .lm_scoring import op6_lm_scoring
 from .media_source import op4_media_columns
@@ -13,6 +14,7 @@ from .quality_cnn import op2_quality_cnn
 from .quality_rules import op3_quality_rules
 from .sentencepiece_viterbi import op7_sentencepiece_viterbi
 from .simhash_dedup import op10_simhash_near_dedup
+from .source_mixing import op1_source_mixing
 from .substring_dedup import OP5_SQL, op5_substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +22,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_source_mixing": op1_source_mixing,
         "op2_quality_cnn": op2_quality_cnn,
         "op3_quality_rules": op3_quality_rules,
         "op4_media_columns": op4_media_columns,
@@ -27,6 +30,7 @@ def queries() -> dict[str, Query]:
         "op6_lm_scoring": op6_lm_scoring,
         "op7_sentencepiece_viterbi": op7_sentencepiece_viterbi,
         "op8_line_dedup": op8_line_dedup,
+        "op9_license_scan": op9_license_scan,
         "op10_simhash_near_dedup": op10_simhash_near_dedup,
     }
 
