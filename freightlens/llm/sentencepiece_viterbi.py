@@ -191,13 +191,15 @@ def default_model() -> bytes:
         return f.read()
 
 
-def encoded(docs: DataFrame, proto: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, ids array of int, decoded string): pieces of each whole text, and the text they give back."""
+def encoded(docs: DataFrame, proto: bytes, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(id, keep..., ids array of int, decoded string): pieces of each whole text, and the text they give back."""
+
+    own = [id_col, *keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(proto)
         for batch in batches:
-            texts = [t.decode() for t in texts_of(batch.column(1))]
+            texts = [t.decode() for t in texts_of(batch.column(text_col))]
             at = 0
             while at < len(texts):
                 upto, size = at, 0
@@ -208,10 +210,11 @@ def encoded(docs: DataFrame, proto: bytes, id_col: str = "doc_id", text_col: str
                 back = [model.decode(x.tolist()) for x in ids]
                 offsets = pa.array(np.concatenate(([0], np.cumsum([len(x) for x in ids]))), pa.int32())
                 lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32), pa.int32()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, upto - at), lists, pa.array(back, pa.string())], [id_col, "ids", "decoded"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(at, upto - at) for c in own), lists, pa.array(back, pa.string())], [*own, "ids", "decoded"])
                 at = upto
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, ids array<int>, decoded string")
+    kept = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in own)
+    return docs.select(*own, text_col).mapInArrow(run, f"{kept}, ids array<int>, decoded string")
 
 
 def op7_sentencepiece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
