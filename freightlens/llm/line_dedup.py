@@ -87,6 +87,7 @@ class LineRuns:
     def doomed(self) -> DataFrame:
         """(id, gone array of h1): for each id, the keys that its lines lose."""
         frequent = self._totals(self.runs()).where(F.col("n") >= self.min_documents).select(*KEY, "keeper")
+        frequent = written(frequent)  # an input of its own, so that a hot key's lines can be split
         lines = reduce(DataFrame.unionByName, self.lines)
         lost = lines.join(frequent, KEY).where(~F.col("id").eqNullSafe(F.col("keeper")))
         return lost.groupBy("id").agg(F.collect_set("h1").alias("gone"))
