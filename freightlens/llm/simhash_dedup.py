@@ -1,9 +1,10 @@
-"""SimHash near-dedup: tiled exact comparison of 64-bit fingerprints.
+"""SimHash near-dedup: tiled exact comparison of fingerprints in words of 64 bits.
 
-Equal fingerprints are one node from the start, so copies never meet each other. Two fingerprints within `radius`
-bits agree in one of radius + 1 bands and differ by `radius` at most in their number of set bits; so fingerprints
-meet in cells of (band, its value, range of bit counts), each with the next range as guests: tile pairs whose bit
-counts differ by more than the radius are never formed. Cells of over `tile` members are cut in tiles by hash, and
+Equal fingerprints are one node from the start, so copies never meet each other. Two words within `radius` bits agree
+in one of radius + 1 bands (in k of radius + k) and differ by `radius` at most in their number of set bits; so
+fingerprints meet in cells of (bands, their values, range of bit counts), each with the next range as guests: tile
+pairs whose bit counts differ by more than the radius are never formed. Where sizes must be alike the ranges are of
+sizes. Cells of over `tile` members are cut in tiles by hash, and
 each pair of tiles is a task's work of its own, so neither memory nor time of a task grows with a hot cell. Inside a
 tile pair numpy compares with exclusive-or and bit counts in blocks ordered by bit count, skipping blocks that are
 out of reach, and only a spanning forest of the links leaves it, never all pairs of a group.
@@ -17,67 +18,113 @@ get their component; a component with null ids alone has a null label. Extra col
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from .common import texts_of, written
+from .common import mix, texts_of, written
 
 SHINGLE, RADIUS, TILE = 3, 2, 8192
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
-def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
-    """A bit is 1 if it is set in over half of the shingles' hashes."""
-    words = text.translate(_FOLD).split()
-    if not words:
-        return 0
-    joined = b" ".join(words)
-    digest = xxhash.xxh64_intdigest
-    if len(words) <= shingle:
-        return digest(joined, 42)
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-    starts = np.concatenate(([0], ends[: -shingle]))
-    hashes = np.fromiter([digest(joined[s:e], 42) for s, e in zip(starts.tolist(), (ends[shingle - 1 :] - 1).tolist(), strict=True)], np.uint64, len(words) - shingle + 1)
-    ones = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), 1 << 14):
-        ones += np.unpackbits(hashes[at : at + (1 << 14)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view("<u8")[0])
+@dataclass(frozen=True)
+class Likeness:
+    """What links two texts: equal first words of their fingerprints, or any of the first `indexed` words within `radius` bits.
+
+    With several words all of them together must be within `total` bits too, and the numbers of shingles within
+    `ratio`: with five-word shingles, 256 bits and 46 of them, texts that share 0.8 of their shingles or more.
+    """
+
+    shingle: int = SHINGLE
+    radius: int = RADIUS
+    words: int = 1
+    indexed: int = 1
+    total: int = 64
+    ratio: float | None = None
+
+
+EXACT_BITS = Likeness()
+SIMILAR = Likeness(shingle=5, radius=9, words=4, indexed=3, total=46, ratio=0.8)
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(id, fp long): the fingerprint's bits as a signed number."""
+def fingerprint(text: bytes, shingle: int = SHINGLE, words: int = 1) -> tuple[list[int], int]:
+    """The fingerprint's words of 64 bits, and the number of shingles. A bit is 1 if it is set in over half of the shingles' hashes.
+
+    The first word comes from XXH64 with seed 42, each further one from a finaliser over it.
+    """
+    tokens = text.translate(_FOLD).split()
+    if not tokens:
+        return [0] * words, 0
+    joined = b" ".join(tokens)
+    digest = xxhash.xxh64_intdigest
+    if len(tokens) <= shingle:
+        hashes = np.array([digest(joined, 42)], np.uint64)
+    else:
+        ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1)
+        starts = np.concatenate(([0], ends[:-shingle]))
+        hashes = np.fromiter([digest(joined[s:e], 42) for s, e in zip(starts.tolist(), (ends[shingle - 1 :] - 1).tolist(), strict=True)], np.uint64, len(tokens) - shingle + 1)
+    out = []
+    for k in range(words):
+        own = hashes if not k else mix(hashes + np.uint64(k))
+        ones = np.zeros(64, np.int64)
+        for at in range(0, len(own), 1 << 14):
+            ones += np.unpackbits(own[at : at + (1 << 14)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+        out.append(int(np.packbits(ones * 2 > len(own), bitorder="little").view("<u8")[0]))
+    return out, len(hashes)
+
+
+def fingerprints(docs: DataFrame, like: Likeness = EXACT_BITS, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
+    """(id, fp long, more array of long, size long): the first word's bits as a signed number, the further words. keep: docs' columns instead of the id."""
+    own = docs if keep else docs.select(id_col, text_col)
+    fields = docs.schema.fields if keep else [docs.schema[id_col]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.fromiter([fingerprint(t, shingle) for t in texts_of(batch.column(1))], np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], [id_col, "fp"])
+            got = [fingerprint(t, like.shingle, like.words) for t in texts_of(batch.column(text_col))]
+            bits = np.array([w for w, _ in got], np.uint64).reshape(-1, like.words).view(np.int64)
+            more = pa.array(bits[:, 1:].tolist(), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in fields), pa.array(np.ascontiguousarray(bits[:, 0])), more, pa.array([n for _, n in got], pa.int64())], [*(f.name for f in fields), *_EXTRA.fieldNames()])
+
+    return own.mapInArrow(run, StructType([*fields, *_EXTRA.fields]))
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, fp long")
 
+_EXTRA = StructType([StructField("fp", LongType()), StructField("more", ArrayType(LongType())), StructField("size", LongType())])
 
-def forest(a: np.ndarray, b: np.ndarray | None, radius: int, block: int = 1024) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs of a and a (or a and b) within radius, told as (member, first member of its group)."""
+
+def forest(a: np.ndarray, b: np.ndarray | None, like: Likeness, word: int, sizes: tuple[np.ndarray, np.ndarray] | None = None, block: int = 1024) -> tuple[np.ndarray, np.ndarray]:
+    """All linked pairs of a and a (or a and b), rows of fingerprint words, told as first words of (member, first member of its group)."""
     every = a if b is None else np.concatenate((a, b))
+    size = None if sizes is None else np.concatenate(sizes)
     parent = np.arange(len(every))
-    bits = np.bitwise_count(every).astype(np.int64)
+    own = np.ascontiguousarray(every[:, word])
+    bits = np.bitwise_count(own).astype(np.int64)
     rows = np.argsort(bits[: len(a)], kind="stable")
     columns = rows if b is None else len(a) + np.argsort(bits[len(a) :], kind="stable")
     for i in range(0, len(rows), block):
         r = rows[i : i + block]
         for j in range(i if b is None else 0, len(columns), block):
             c = columns[j : j + block]
-            if bits[c[0]] - bits[r[-1]] > radius or bits[r[0]] - bits[c[-1]] > radius:
+            if bits[c[0]] - bits[r[-1]] > like.radius or bits[r[0]] - bits[c[-1]] > like.radius:
                 continue
-            x, y = np.nonzero(np.bitwise_count(every[r][:, None] ^ every[c][None, :]) <= radius)
-            parent = _join(parent, r[x], c[y])
+            x, y = np.nonzero(np.bitwise_count(own[r][:, None] ^ own[c][None, :]) <= like.radius)
+            x, y = r[x], c[y]
+            if like.words > 1:
+                near = np.bitwise_count(every[x] ^ every[y]).sum(1, dtype=np.int64) <= like.total
+                if like.ratio:
+                    near &= np.minimum(size[x], size[y]) >= like.ratio * np.maximum(size[x], size[y])
+                x, y = x[near], y[near]
+            parent = _join(parent, x, y)
     linked = np.flatnonzero(parent != np.arange(len(parent)))
-    return every[linked], every[parent[linked]]
+    return every[linked, 0], every[parent[linked], 0]
 
 
 def _join(parent: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -92,38 +139,73 @@ def _join(parent: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return parent
 
 
-def links(nodes: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
-    """(a, b long) a spanning forest, or more, of the links among the different fingerprints `fp`, each cell for itself."""
-    bands, fp = radius + 1, F.col("fp")
+def agreeing(n: int) -> int:
+    """How many bands must agree for a meeting: more for more fingerprints, whose cells would be too full. The links are the same."""
+    return 1 if n < 3_000_000 else 2 if n < 300_000_000 else 3
+
+
+def links(nodes: DataFrame, like: Likeness = EXACT_BITS, tile: int = TILE) -> DataFrame:
+    """(a, b long) of nodes (fp, more, size): a spanning forest, or more, of the links, each cell for itself."""
+    agree = agreeing(nodes.count()) if like.radius > 2 else 1
+    bands = like.radius + agree
     cut = [64 * k // bands for k in range(bands + 1)]
-    value = lambda k: F.shiftrightunsigned(fp, cut[k]).bitwiseAND(F.lit((1 << (cut[k + 1] - cut[k])) - 1))
-    home = F.floor(F.bit_count(fp) / (radius + 1)).cast("int")
-    cell = lambda k, more: F.struct(F.lit(k).alias("band"), value(k).alias("value"), (home + more).alias("range"), F.lit(more == 1).alias("guest"))
-    members = nodes.select("fp", F.explode(F.array(*(cell(k, more) for k in range(bands) for more in (0, 1)))).alias("c")).select("fp", "c.*")
-    key = ["band", "value", "range"]
+    masks = [sum(((1 << (cut[k + 1] - cut[k])) - 1) << cut[k] for k in chosen) for chosen in combinations(range(bands), agree)]
+    signed = lambda m: m - (1 << 64) if m >> 63 else m
+    word = lambda j: F.col("fp") if not j else F.col("more")[j - 1]
+    value = lambda j, k: F.xxhash64(F.lit(j), F.lit(k), word(j).bitwiseAND(F.lit(signed(masks[k]))))
+    if like.ratio:  # by size: like texts are in one range or in neighbouring ones
+        home = lambda j: F.floor(F.log(F.greatest("size", F.lit(1))) / -math.log(like.ratio) + 1e-9).cast("int")
+    else:  # by set bits
+        home = lambda j: F.floor(F.bit_count(word(j)) / (like.radius + 1)).cast("int")
+    cell = lambda j, k, more: F.struct(F.lit(j).alias("word"), value(j, k).alias("value"), (home(j) + more).alias("range"), F.lit(more == 1).alias("guest"))
+    cells = F.array(*(cell(j, k, more) for j in range(like.indexed) for k in range(len(masks)) for more in (0, 1)))
+    own = ["fp", "more", "size"] if like.words > 1 else ["fp"]
+    members = nodes.select(*own, F.explode(cells).alias("c")).select(*own, "c.*")
+    key = ["word", "value", "range"]
     # Cells without a member at home or with one member have no pairs; only of large cells tiles are cut.
     sizes = members.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.min("guest").alias("guests_only")).where("n > 1 AND NOT guests_only")
     tiles = F.ceil(F.col("n") / tile).cast("int")
-    own = F.pmod(F.xxhash64("fp"), tiles).cast("int")
-    dealt = members.join(sizes.select(*key, tiles.alias("tiles"), "n"), key).withColumn("own", own)
+    dealt = members.join(sizes.select(*key, tiles.alias("tiles")), key).withColumn("own", F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int"))
     pair = F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda o: F.struct(F.least(o, F.col("own")).alias("i"), F.greatest(o, F.col("own")).alias("j")))
-    dealt = dealt.select(*key, "guest", "fp", "own", F.explode(pair).alias("p")).select(*key, "p.i", "p.j", "guest", "fp", "own")
+    dealt = dealt.select(*key, "guest", *own, "own", F.explode(pair).alias("p"))
+    # A key for many small cells, so that a group is worth a call; within it cells stay apart.
+    dealt = dealt.select(F.pmod(F.xxhash64(*key, "p.i", "p.j"), F.lit(1 << 12)).alias("deal"), *key, "p.i", "p.j", "guest", *own, "own")
 
     def run(table: pa.Table) -> pa.Table:
-        fps = table.column("fp").to_numpy().view(np.uint64)
-        guest, mine = table.column("guest").to_numpy(), table.column("own").to_numpy()
-        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        got = []
-        if i == j:
-            got.append(forest(fps[~guest], None, radius))
-            got.append(forest(fps[~guest], fps[guest], radius))
+        fps = table.column("fp").to_numpy()
+        if like.words > 1:
+            more = table.column("more").combine_chunks().flatten().to_numpy().reshape(-1, like.words - 1)
+            every, count = np.column_stack((fps, more)).view(np.uint64), table.column("size").to_numpy()
         else:
-            for x in (~guest, guest):  # homes of one tile with homes and guests of the other
-                got.append(forest(fps[~guest & (mine == i)], fps[x & (mine == j)], radius))
-            got.append(forest(fps[~guest & (mine == j)], fps[guest & (mine == i)], radius))
-        return pa.table({"a": np.concatenate([x for x, _ in got]).view(np.int64), "b": np.concatenate([y for _, y in got]).view(np.int64)})
+            every, count = fps.reshape(-1, 1).view(np.uint64), None
+        guest, mine = table.column("guest").to_numpy(zero_copy_only=False), table.column("own").to_numpy()
+        name = [table.column(c).to_numpy() for c in (*key, "i", "j")]
+        order = np.lexsort(name)
+        edge = np.flatnonzero(np.concatenate(([True], *[np.any([c[order][1:] != c[order][:-1] for c in name], 0)], [True])))
+        got = []
 
-    return dealt.groupBy(*key, "i", "j").applyInArrow(run, "a long, b long")
+        def meet(word: int, a: np.ndarray, b: np.ndarray | None) -> None:
+            if len(a) and (b is None or len(b)):
+                sizes = None if count is None else (count[a],) if b is None else (count[a], count[b])
+                got.append(forest(every[a], None if b is None else every[b], like, word, sizes))
+
+        for s, e in zip(edge[:-1], edge[1:], strict=True):
+            at = order[s:e]
+            word, i, j = int(name[0][at[0]]), name[3][at[0]], name[4][at[0]]
+            homes, guests = at[~guest[at]], at[guest[at]]
+            if i == j:
+                meet(word, homes, None)
+                meet(word, homes, guests)
+            else:  # homes of one tile with homes and guests of the other
+                one, two = homes[mine[homes] == i], homes[mine[homes] == j]
+                meet(word, one, two)
+                meet(word, one, guests[mine[guests] == j])
+                meet(word, two, guests[mine[guests] == i])
+        a, b = (np.concatenate(x) if got else np.zeros(0, np.uint64) for x in (zip(*got, strict=True) if got else ((), ())))
+        a, b = np.unique(np.stack((a, b), 1), axis=0).T if len(a) else (a, b)
+        return pa.table({"a": pa.array(np.ascontiguousarray(a).view(np.int64)), "b": pa.array(np.ascontiguousarray(b).view(np.int64))})
+
+    return dealt.groupBy("deal").applyInArrow(run, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -142,46 +224,35 @@ def components(edges: DataFrame) -> DataFrame:
         edges = after
 
 
-def _labels(fps: DataFrame, id_col: str, radius: int, tile: int) -> DataFrame:
+def _labels(fps: DataFrame, id_col: str, like: Likeness, tile: int) -> DataFrame:
     """(fp, root, component_id) of each different fingerprint."""
-    nodes = fps.groupBy("fp").agg(F.min(id_col).alias("least"))
-    roots = components(links(nodes.select("fp"), radius, tile))
-    of = nodes.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    nodes = fps.groupBy("fp").agg(F.min(id_col).alias("least"), F.min(F.struct("size", "more")).alias("m")).select("fp", "least", "m.more", "m.size")
+    roots = components(links(nodes.select("fp", "more", "size"), like, tile))
+    of = nodes.select("fp", "least").join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     return of.join(of.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "root", "component_id")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", like: Likeness = EXACT_BITS, tile: int = TILE) -> DataFrame:
     """(id, fp long, component_id): component_id is the smallest id that links reach, its own included."""
-    fps = written(fingerprints(docs, id_col, text_col, shingle))
-    return fps.join(_labels(fps, id_col, radius, tile), "fp").select(id_col, "fp", "component_id")
+    fps = written(fingerprints(docs, like, id_col, text_col))
+    return fps.join(_labels(fps, id_col, like, tile), "fp").select(id_col, "fp", "component_id")
 
 
-def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
+def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", like: Likeness = SIMILAR, tile: int = TILE) -> DataFrame:
     """docs without near duplicates: of each component one row with its smallest id stays (a null id counts as the largest)."""
-    fps = written(fingerprints(docs, id_col, text_col, shingle))
-    label = written(_labels(fps, id_col, radius, tile))
+    fps = written(fingerprints(docs, like, id_col, text_col))
+    label = written(_labels(fps, id_col, like, tile))
     stays = label.where(F.col("component_id").isNotNull()).select(F.col("component_id").alias("__stays"))
     one = Window.partitionBy(id_col).orderBy(text_col)
     named = docs.join(stays.distinct(), F.col(id_col) == F.col("__stays"), "left_semi")
     named = named.withColumn("__twin", F.row_number().over(one)).where("__twin = 1").drop("__twin")
     # Rows without an id are told apart by their fingerprints.
-    lone = label.where(F.col("component_id").isNull()).groupBy("root").agg(F.min("fp").alias("fp"))
-    nameless = with_fingerprint(docs.where(F.col(id_col).isNull()), text_col, shingle).join(lone.select(F.col("fp").alias("__fp")), "__fp")
-    nameless = nameless.withColumn("__twin", F.row_number().over(Window.partitionBy("__fp").orderBy(text_col))).where("__twin = 1")
+    lone = label.where(F.col("component_id").isNull()).groupBy("root").agg(F.min("fp").alias("__fp"))
+    nameless = fingerprints(docs.where(F.col(id_col).isNull()), like, id_col, text_col, keep=True).join(lone, F.col("fp") == F.col("__fp"))
+    nameless = nameless.withColumn("__twin", F.row_number().over(Window.partitionBy("fp").orderBy(text_col))).where("__twin = 1")
     return named.unionByName(nameless.select(*docs.columns))
 
 
-def with_fingerprint(docs: DataFrame, text_col: str, shingle: int) -> DataFrame:
-    """docs and a column __fp."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fps = np.fromiter([fingerprint(t, shingle) for t in texts_of(batch.column(text_col))], np.uint64, batch.num_rows)
-            yield batch.append_column("__fp", pa.array(fps.view(np.int64)))
-
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("__fp", LongType())]))
-
-
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its fingerprint of 3-word shingles and the smallest document that links of 2 bits reach."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
