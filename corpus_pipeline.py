@@ -31,11 +31,8 @@ def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose fingerprints of five-word shingles link.
-
-    Two bits of 64 at most: texts that near in fingerprint share well over 0.8 of their shingles.
-    """
-    return simhash_dedup.first_of_each(docs.select(*COLUMNS), shingle=5)
+    """One document of each group whose fingerprints of five-word shingles say a similarity of 0.8 or more."""
+    return simhash_dedup.first_of_each(docs.select(*COLUMNS), like=simhash_dedup.SIMILAR)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
