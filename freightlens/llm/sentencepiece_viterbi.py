@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -65,15 +65,25 @@ class Model:
         self.bytes = {int(p.piece[3:5], 16): i for i, p in enumerate(m.pieces) if p.type == kinds.BYTE}
         self.byte_of = {i: b for b, i in self.bytes.items()}
         self.control = {i for i, p in enumerate(m.pieces) if p.type == kinds.CONTROL}
-        self.ends = {p[k:] for p in self.ids for k in range(len(p))}
-        self.seen: dict[str, list[int]] = {}
+        self.seen: dict[str, tuple[int, ...]] = {}
+        self.surface = [p.replace(MARK, " ") for p in self.pieces]
+        for i in self.control:
+            self.surface[i] = ""
+        self.surface[self.unknown] = " \u2047 "
+        for b, i in self.bytes.items():
+            self.surface[i] = chr(b) if b < 128 else "\ufffd"
+        self.wide = np.zeros(len(self.pieces), bool)
+        self.wide[[i for b, i in self.bytes.items() if b >= 128]] = True
         self.least = min((self.score[i] for i in self.ids.values()), default=0.0) - 10.0
-        self.apart = lru_cache(PAIRS)(self._apart)
+        self.tail = dict.fromkeys((p[k:] for p in self.ids for k in range(len(p))), -1) | self.ids
+        self.pair: dict[int, bool] = {}
+        self.codes = len(self.pieces) + 0x110000
 
-    def fallback(self, char: str) -> list[int]:
+    def fallback(self, char: str, before: tuple[int, ...]) -> list[int]:
+        """A character outside the vocabulary: its bytes, else the unknown piece, once for neighbouring ones in unigram models."""
         if self.bytes:
             return [self.bytes[b] for b in char.encode()]
-        return [self.unknown]
+        return [] if self.kind == "unigram" and before[-1:] == (self.unknown,) else [self.unknown]
 
     def merged(self, symbols: list[str]) -> list[str]:
         """Merges by the best score, the leftmost first, until none is left."""
@@ -88,56 +98,60 @@ class Model:
                 return symbols
             symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
 
-    def _apart(self, left: str, right: str) -> bool:
-        return self.merged(list(left + right)) == [left, right]
-
-    @lru_cache(1 << 17)  # noqa: B019
-    def alone(self, piece: str) -> bool:
-        return len(piece) == 1 or self.merged(list(piece)) == [piece]
-
-    def extend(self, word: str, at: int, best: list[float], last: list[str]) -> None:
-        """The forward score of word[:at] and the piece that ends its best path, from those of its prefixes."""
-        ending, start = [], at - 1
-        while start >= 0 and (piece := word[start:at]) in self.ends:
-            if piece in self.ids:
-                ending.append((start, piece))
-            start -= 1
-        if not ending or ending[0][0] != at - 1:
-            ending.insert(0, (at - 1, word[at - 1]))  # a character that is no piece
-        top, chosen = FORBIDDEN, ""
-        for start, piece in reversed(ending):
-            i = self.ids.get(piece)
-            if self.kind == "unigram":
-                score = best[start] + (self.least if i is None else self.score[i])
-                if score > top:
-                    top, chosen = score, piece
-            elif self.apart(last[start], piece) if start else self.alone(piece):
-                top, chosen = best[start] + (0.0 if i is None else self.score[i]), piece
-                break  # the other paths are forbidden
-        best.append(top)
-        last.append(chosen)
-
-    def encode_words(self, words: list[str]) -> dict[str, list[int]]:
-        """Each different word's ids, by one walk over the sorted words."""
-        found, best, last, before = {}, [0.0], [""], ""
+    def _free(self, last: int, i: int) -> bool:
+        """Whether a merge leaves two pieces apart (last -1: whether it makes the piece at all); remembered."""
+        if len(self.pair) >= PAIRS:
+            self.pair = {}
+        name = lambda k: self.pieces[k] if k < len(self.pieces) else chr(k - len(self.pieces))
+        whole = [name(i)] if last < 0 else [name(last), name(i)]
+        got = self.pair[last * self.codes + i] = self.merged(list("".join(whole))) == whole
+        return got
+
+    def encode_words(self, words: list[str]) -> dict[str, tuple[int, ...]]:
+        """Each different word's ids, by one walk over the sorted words.
+
+        Columns by length of the prefix: best, the forward score; last, the piece that ends its best path (characters
+        outside the vocabulary count from the vocabulary's end on); path, the ids so far.
+        """
+        found, before = {}, ""
+        best, last, path = [0.0], [-1], [()]
+        tail, score, codes, n_pieces, unigram = self.tail, self.score, self.codes, len(self.pieces), self.kind == "unigram"
         for word in sorted(words):
             shared, most = 0, min(len(before), len(word))
             while shared < most and before[shared] == word[shared]:
                 shared += 1
-            del best[shared + 1 :], last[shared + 1 :]
+            del best[shared + 1 :], last[shared + 1 :], path[shared + 1 :]
             for at in range(shared + 1, len(word) + 1):
-                self.extend(word, at, best, last)
-            pieces, at = [], len(word)
-            while at:
-                pieces.append(last[at])
-                at -= len(last[at])
-            ids: list[int] = []
-            for piece in reversed(pieces):
-                i = self.ids.get(piece)
-                if i is None and self.kind == "unigram" and not self.bytes and ids and ids[-1] == self.unknown:
-                    continue  # neighbouring unknown characters are one unknown piece
-                ids.extend(self.fallback(piece) if i is None else (i,))
-            found[word], before = ids, word
+                ending, start = [], at - 1
+                while start >= 0:
+                    i = tail.get(word[start:at])
+                    if i is None:
+                        break
+                    if i >= 0:
+                        ending.append((start, i))
+                    start -= 1
+                if not ending or ending[0][0] != at - 1:
+                    ending.insert(0, (at - 1, n_pieces + ord(word[at - 1])))
+                top, from_, chosen = FORBIDDEN, at - 1, ending[0][1]
+                for start, i in reversed(ending):
+                    if unigram:
+                        own = best[start] + (score[i] if i < n_pieces else self.least)
+                        if own > top:
+                            top, from_, chosen = own, start, i
+                        continue
+                    free = self.pair.get(last[start] * codes + i)
+                    if free is None:
+                        free = self._free(last[start], i)
+                    if free:  # all other paths to here are forbidden
+                        top, from_, chosen = best[start] + (score[i] if i < n_pieces else 0.0), start, i
+                        break
+                best.append(top)
+                last.append(chosen)
+                if chosen < n_pieces:
+                    path.append((*path[from_], chosen))
+                else:
+                    path.append((*path[from_], *self.fallback(chr(chosen - n_pieces), path[from_])))
+            found[word], before = path[-1], word
         return found
 
     def words(self, text: str) -> list[str]:
@@ -150,25 +164,24 @@ class Model:
         if len(self.seen) > SEEN:
             self.seen = {}
         code = self.seen
-        code.update(self.encode_words([w for w in {w for ws in cut for w in ws} if w not in code]))
-        return [np.fromiter((i for w in ws for i in code[w]), np.int32) for ws in cut]
-
-    def decode(self, ids: list[int]) -> str:
-        out, held = [], bytearray()
-        for i in ids:
-            if i in self.byte_of:
-                held.append(self.byte_of[i])
-                continue
-            if held:
-                out.append(held.decode(errors="replace"))
-                held = bytearray()
-            if i == self.unknown:
-                out.append(" ⁇ ")
-            elif i not in self.control:
-                out.append(self.pieces[i].replace(MARK, " "))
-        if held:
-            out.append(held.decode(errors="replace"))
-        text = "".join(out)
+        code.update(self.encode_words(list(set().union(*cut).difference(code))))
+        return [np.fromiter(chain.from_iterable(map(code.__getitem__, ws)), np.int32) for ws in cut]
+
+    def decode(self, ids: np.ndarray) -> str:
+        """The text of pieces. A byte below 128 is a character of its own; only texts with others are put together byte by byte."""
+        if not self.wide[ids].any():
+            text = "".join(map(self.surface.__getitem__, ids.tolist()))
+        else:
+            out, held = [], bytearray()
+            for i in ids.tolist():
+                if i in self.byte_of:
+                    held.append(self.byte_of[i])
+                    continue
+                if held:
+                    out.append(held.decode(errors="replace"))
+                    held = bytearray()
+                out.append(self.surface[i])
+            text = "".join(out) + held.decode(errors="replace")
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
@@ -207,7 +220,7 @@ def encoded(docs: DataFrame, proto: bytes, id_col: str = "doc_id", text_col: str
                     size += len(texts[upto])
                     upto += 1
                 ids = model.encode(texts[at:upto])
-                back = [model.decode(x.tolist()) for x in ids]
+                back = [model.decode(x) for x in ids]
                 offsets = pa.array(np.concatenate(([0], np.cumsum([len(x) for x in ids]))), pa.int32())
                 lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32), pa.int32()))
                 yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(at, upto - at) for c in own), lists, pa.array(back, pa.string())], [*own, "ids", "decoded"])
