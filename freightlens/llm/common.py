@@ -41,11 +41,16 @@ def shared_dir(spark: SparkSession) -> str:
     return place.rstrip("/")
 
 
-def written(df: DataFrame, compression: str = "zstd") -> DataFrame:
-    """df as a table in the shared folder, read back: cuts lineage and survives lost executors."""
-    path = f"{shared_dir(df.sparkSession)}/fl-{uuid.uuid4().hex}"
-    df.write.option("compression", compression).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def written(df: DataFrame, compression: str = "zstd", few: bool = False) -> DataFrame:
+    """df as a table in the shared folder, read back: cuts lineage and survives lost executors.
+
+    few: for small results of a shuffle; at most two files for each core of the cluster, not one for each partition.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/fl-{uuid.uuid4().hex}"
+    out = df.coalesce(2 * max(2, spark.sparkContext.defaultParallelism)) if few else df
+    out.write.option("compression", compression).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -50,8 +50,14 @@ class LineRuns:
         self.lines: list[DataFrame] = []
         self.place = f"{shared_dir(spark)}/fl-runs-{uuid.uuid4().hex}"
 
-    def runs(self) -> list[DataFrame]:
-        return [self.spark.table(name) for level in self.levels for name in level]
+    def runs(self, bucketed: bool = False) -> list[DataFrame]:
+        """The runs as tables with their buckets, for joins one by one; else as plain files, for unions."""
+        names = [name for level in self.levels for name in level]
+        return [self.spark.table(name) if bucketed else self._plain(name) for name in names]
+
+    def _plain(self, name: str) -> DataFrame:
+        # A union of bucketed tables claims their partitioning without having it, so sums over it would be wrong.
+        return self.spark.read.schema(self.spark.table(name).schema).parquet(f"{self.place}/{name}")
 
     def _keep(self, rows: DataFrame, level: int) -> None:
         name = f"fl_run_{uuid.uuid4().hex}"
@@ -66,11 +72,10 @@ class LineRuns:
         lines = written(keys.select("id", F.xxhash64("k").alias("h1"), F.xxhash64(F.lit(7), F.col("k")).alias("h2")))
         self.lines.append(lines)
         own = lines.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("keeper"))
-        before = self.runs()
-        if before:
-            own = written(own)
-            fresh = reduce(lambda left, run: left.join(run.hint("merge"), KEY, "left_anti"), before, own)
-            again = own.join(reduce(DataFrame.unionByName, [r.select(*KEY) for r in before]), KEY, "left_semi")
+        if self.runs():
+            own = written(own, few=True)
+            fresh = reduce(lambda left, run: left.join(run.hint("merge"), KEY, "left_anti"), self.runs(bucketed=True), own)
+            again = own.join(reduce(DataFrame.unionByName, [r.select(*KEY) for r in self.runs()]), KEY, "left_semi")
             own = fresh.unionByName(again.withColumn("keeper", F.lit(None).cast(own.schema["keeper"].dataType)))
         self._keep(own, 0)
         self._compact()
@@ -81,13 +86,13 @@ class LineRuns:
     def _compact(self) -> None:
         for level in range(len(self.levels)):
             if len(old := self.levels[level]) >= self.fanout:
-                self._keep(self._totals([self.spark.table(x) for x in old]), level + 1)
+                self._keep(self._totals([self._plain(x) for x in old]), level + 1)
                 self.levels[level] = []
 
     def doomed(self) -> DataFrame:
         """(id, gone array of h1): for each id, the keys that its lines lose."""
         frequent = self._totals(self.runs()).where(F.col("n") >= self.min_documents).select(*KEY, "keeper")
-        frequent = written(frequent)  # an input of its own, so that a hot key's lines can be split
+        frequent = written(frequent, few=True)  # an input of its own, so that a hot key's lines can be split
         lines = reduce(DataFrame.unionByName, self.lines)
         lost = lines.join(frequent, KEY).where(~F.col("id").eqNullSafe(F.col("keeper")))
         return lost.groupBy("id").agg(F.collect_set("h1").alias("gone"))

@@ -83,18 +83,22 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, words: int = 1) -> tuple[li
 
 
 def fingerprints(docs: DataFrame, like: Likeness = EXACT_BITS, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
-    """(id, fp long, more array of long, size long): the first word's bits as a signed number, the further words. keep: docs' columns instead of the id."""
+    """(id, fp long, more array of long, size long): the first word's bits as a signed number, the further words.
+
+    keep: docs' columns instead of the id, and __fp, __more, __size.
+    """
     own = docs if keep else docs.select(id_col, text_col)
     fields = docs.schema.fields if keep else [docs.schema[id_col]]
+    extra = [StructField("__" * keep + f.name, f.dataType) for f in _EXTRA.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got = [fingerprint(t, like.shingle, like.words) for t in texts_of(batch.column(text_col))]
             bits = np.array([w for w, _ in got], np.uint64).reshape(-1, like.words).view(np.int64)
             more = pa.array(bits[:, 1:].tolist(), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in fields), pa.array(np.ascontiguousarray(bits[:, 0])), more, pa.array([n for _, n in got], pa.int64())], [*(f.name for f in fields), *_EXTRA.fieldNames()])
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in fields), pa.array(np.ascontiguousarray(bits[:, 0])), more, pa.array([n for _, n in got], pa.int64())], [*(f.name for f in fields), *(f.name for f in extra)])
 
-    return own.mapInArrow(run, StructType([*fields, *_EXTRA.fields]))
+    return own.mapInArrow(run, StructType([*fields, *extra]))
 
 
 _EXTRA = StructType([StructField("fp", LongType()), StructField("more", ArrayType(LongType())), StructField("size", LongType())])
@@ -210,7 +214,7 @@ def links(nodes: DataFrame, like: Likeness = EXACT_BITS, tile: int = TILE) -> Da
 
 def components(edges: DataFrame) -> DataFrame:
     """(fp, root long): each linked fingerprint with its component's, by large-star and small-star until nothing changes."""
-    edges = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    edges = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), few=True)
     while True:
         # Large star: each node's larger neighbours go to its smallest neighbour. Small star: its smaller ones and itself do.
         both = edges.union(edges.select("b", "a"))
@@ -218,7 +222,7 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select("a", F.col("m").alias("b")))
-        after = written(small.distinct())
+        after = written(small.distinct(), few=True)
         if edges.exceptAll(after).isEmpty() and after.exceptAll(edges).isEmpty():
             return after.select(F.col("a").alias("fp"), F.col("b").alias("root"))
         edges = after
@@ -241,15 +245,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", like: Likeness = SIMILAR, tile: int = TILE) -> DataFrame:
     """docs without near duplicates: of each component one row with its smallest id stays (a null id counts as the largest)."""
     fps = written(fingerprints(docs, like, id_col, text_col))
-    label = written(_labels(fps, id_col, like, tile))
+    label = written(_labels(fps, id_col, like, tile), few=True)
     stays = label.where(F.col("component_id").isNotNull()).select(F.col("component_id").alias("__stays"))
     one = Window.partitionBy(id_col).orderBy(text_col)
     named = docs.join(stays.distinct(), F.col(id_col) == F.col("__stays"), "left_semi")
     named = named.withColumn("__twin", F.row_number().over(one)).where("__twin = 1").drop("__twin")
     # Rows without an id are told apart by their fingerprints.
-    lone = label.where(F.col("component_id").isNull()).groupBy("root").agg(F.min("fp").alias("__fp"))
-    nameless = fingerprints(docs.where(F.col(id_col).isNull()), like, id_col, text_col, keep=True).join(lone, F.col("fp") == F.col("__fp"))
-    nameless = nameless.withColumn("__twin", F.row_number().over(Window.partitionBy("fp").orderBy(text_col))).where("__twin = 1")
+    lone = label.where(F.col("component_id").isNull()).groupBy("root").agg(F.min("fp").alias("__one"))
+    nameless = fingerprints(docs.where(F.col(id_col).isNull()), like, id_col, text_col, keep=True).join(lone, F.col("__fp") == F.col("__one"))
+    nameless = nameless.withColumn("__twin", F.row_number().over(Window.partitionBy("__fp").orderBy(text_col))).where("__twin = 1")
     return named.unionByName(nameless.select(*docs.columns))
 
 
