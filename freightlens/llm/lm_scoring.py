@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Words, ceil_div, fold_of, mix, text_bytes, texts_of, written
-from .packs import answer, ask, deal, expand, meet, pack, squeeze
+from .packs import answer, ask, deal, expand, keys_of, meet, pack, shrunk, squeeze, trim, unpack
 
 BLOCK_KEYS = 500_000
 _END, _START, _STEP = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F), np.uint64(0x9E3779B97F4A7C15)
@@ -114,14 +114,14 @@ class Counts:
                 yield deal(number, keys, keys, n, blocks, first)
 
         def merge(keys: list[bytes], extra: list[bytes]) -> list[bytes]:
-            at = [np.frombuffer(k, np.uint64) for k in keys]
+            at = [keys_of(k, np.uint64) for k in keys]
             _, inverse = np.unique(np.concatenate(at), return_inverse=True)
             total = np.bincount(inverse, np.concatenate([expand(x, np.uint32) for x in extra])).astype(np.uint64)[inverse]
             return [squeeze(x) for x in np.split(total, np.cumsum([len(a) for a in at])[:-1])]
 
         def told(number: int, table: pa.Table, answers: dict[int, bytes]) -> pa.Table:
             t = _Tokens(table)
-            got = []
+            got: list[np.ndarray] = []
             for which, first, blocks in parts:
                 keys, inverse, _ = t.asked(which)
                 back = np.concatenate([expand(answers[b], np.uint64) for b in range(first, first + blocks) if b in answers])
@@ -134,10 +134,8 @@ class Counts:
             c, h, hc = word[t.train].astype(np.int64) - 1, before[t.train] - 1, pair[t.train].astype(np.int64) - 1
             steps = [bucket_of(h), np.where(c > 0, 1 + np.rint(FINE * np.log2(np.maximum(c, 1))), 0).astype(np.int64), np.where(hc > 0, 1 + np.rint(FINE * np.log2(np.maximum(h, 1) / np.maximum(hc, 1))), 0).astype(np.int64)]
             cell, seen = np.unique((steps[0] << 24) + (steps[1] << 12) + steps[2], return_counts=True)
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, (own := table.select(list(keep)).append_column("n", pa.array(t.n)).append_column("held_out", pa.array(~table.column("train").to_numpy(zero_copy_only=False)))).schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
-                w.write_table(own)
-            row = {"docs": sink.getvalue().to_pybytes(), "word": squeeze(word), "pair": squeeze(pair), "trained": int(t.train.sum()), "types": float((1 / word[t.train]).sum()), "cell": cell.astype(np.int64).tobytes(), "seen": seen.astype(np.int64).tobytes()}
+            own = table.select(list(keep)).append_column("n", pa.array(t.n)).append_column("held_out", pa.array(~table.column("train").to_numpy(zero_copy_only=False)))
+            row = {"docs": shrunk(own), "word": squeeze(word, 5), "pair": squeeze(pair, 5), "trained": int(t.train.sum()), "types": float((1 / word[t.train]).sum()), "cell": cell.astype(np.int64).tobytes(), "seen": seen.astype(np.int64).tobytes()}
             return pa.Table.from_pylist([row])
 
         table = meet(packs, answer(ask(packs, requests), merge), told, "docs binary, word binary, pair binary, trained long, types double, cell binary, seen binary")
@@ -160,9 +158,9 @@ class Counts:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for docs, word, pair in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                    own = pa.ipc.open_stream(docs).read_all()
-                    word, pair = expand(word, np.uint64).astype(float), expand(pair, np.uint64).astype(float)
+                for docs, word, pair in zip(*(batch.column(k) for k in range(3)), strict=True):
+                    own = unpack(docs.as_py())
+                    word, pair = expand(word.as_py(), np.uint64).astype(float), expand(pair.as_py(), np.uint64).astype(float)
                     n = own.column("n").to_numpy()
                     start = np.cumsum(n) - n
                     before = np.concatenate(([0.0], word[:-1]))
@@ -173,6 +171,7 @@ class Counts:
                     add = lambda x: np.add.reduceat(x, start)  # noqa: B023, E731
                     out = {**{c: own.column(c).combine_chunks() for c in keep}, "held_out": own.column("held_out").combine_chunks(), "n_tokens": pa.array(n, pa.int64()), "n_known": pa.array(add((word > 0).astype(np.int64)), pa.int64()), "train_tokens": pa.array(np.full(len(n), model.tokens), pa.int64()), "base_score": pa.array(add(base)), "score": pa.array(add(np.log10(p)))}
                     yield pa.RecordBatch.from_pydict(out)
+                    trim()
 
         kept = "".join(f"`{c}` {kind}, " for c, kind in keep.items())
         return self.table.select("docs", "word", "pair").mapInArrow(run, f"{kept}held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -1,6 +1,6 @@
 """Packs and tallies: a corpus-wide count of 64- or 128-bit keys without a row per key.
 
-Texts are packed, some MB a row, into a table in the shared folder. Each pack sends its keys, dealt by hash into
+Texts are packed, some MB a row. Each pack sends its keys, dealt by hash into
 blocks, as one binary row per (pack, block); a block adds up what all packs sent and answers each of them with one
 row. Keys are spread by hash, so a frequent word or a large group of copies is one key with a sum, never a group
 of rows. The number of blocks grows with the corpus, so that a block's keys fit in a task.
@@ -8,6 +8,8 @@ of rows. The number of blocks grows with the corpus, so that a block's keys fit
 
 from __future__ import annotations
 
+import ctypes
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -18,13 +20,15 @@ from pyspark.sql import functions as F
 
 from .common import texts_of, written
 
-PACK_BYTES = 8 << 20
+PACK_BYTES = 6 << 20
 
 
 def pack(df: DataFrame, text_col: str, keep: list[str], pack_bytes: int = PACK_BYTES) -> DataFrame:
-    """(pack long, data binary): rows of (keep..., text) as compressed Arrow, in a table in the shared folder.
+    """(pack long, data binary): rows of (keep..., text) as compressed Arrow.
 
-    Cut by bytes of text, so one long text makes a pack of its own. Empty input makes no pack.
+    Cut by bytes of text, so one long text makes a pack of its own. Empty input makes no pack. Packs are used more
+    than once and must be the same each time: over a plain scan of files they are made anew, as a scan's partitions
+    and their rows are the same each time; anything else is written to the shared folder first.
     """
 
     def packs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -34,10 +38,7 @@ def pack(df: DataFrame, text_col: str, keep: list[str], pack_bytes: int = PACK_B
 
         def row() -> pa.RecordBatch:
             table = pa.Table.from_batches(held).combine_chunks()
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
-                w.write_table(table)
-            return pa.RecordBatch.from_arrays([pa.array([(task << 32) + n]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["pack", "data"])
+            return pa.RecordBatch.from_arrays([pa.array([(task << 32) + n]), pa.array([shrunk(table)], pa.binary())], ["pack", "data"])
 
         for batch in batches:
             ends = np.cumsum([len(x) for x in texts_of(batch.column("text"))])
@@ -55,17 +56,42 @@ def pack(df: DataFrame, text_col: str, keep: list[str], pack_bytes: int = PACK_B
             yield row()
 
     cols = [F.col(c) for c in keep] + [F.coalesce(F.col(text_col), F.lit("")).alias("text")]
-    return written(df.select(*cols).mapInArrow(packs, "pack long, data binary"), "none")
+    found = df.select(*cols).mapInArrow(packs, "pack long, data binary")
+    return found if is_scan(df) else written(found, "none")
+
+
+def is_scan(df: DataFrame) -> bool:
+    """Whether df only reads files, projects and filters."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    nodes = {m[1] for line in plan.toString().splitlines() if (m := re.match(r"[\s:+|-]*(\w+)", line))}
+    return plan.deterministic() and nodes <= {"Project", "Filter", "Relation", "RelationV2"}
+
+
+def shrunk(table: pa.Table) -> bytes:
+    """A table as compressed Arrow; packs are written and shuffled, so some effort pays."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as w:
+        w.write_table(table)
+    return zstandard.ZstdCompressor(level=5).compress(sink.getvalue())
 
 
 def unpack(data: bytes) -> pa.Table:
-    return pa.ipc.open_stream(data).read_all()
+    return pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(data)).read_all()
+
 
+def trim() -> None:
+    """Gives back what the C library keeps of freed arrays; workers live long and would hold their largest pack's memory."""
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library
+    pa.default_memory_pool().release_unused()
 
-def squeeze(a: np.ndarray) -> bytes:
+
+def squeeze(a: np.ndarray, level: int = 1) -> bytes:
     """Integers as compressed byte planes: the high bytes of small numbers cost next to nothing."""
     planes = np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+    return zstandard.ZstdCompressor(level=level).compress(np.ascontiguousarray(planes).tobytes())
 
 
 def expand(data: bytes, dtype) -> np.ndarray:
@@ -74,19 +100,28 @@ def expand(data: bytes, dtype) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(size, -1).T).view(dtype).reshape(-1)
 
 
+def pack_keys(keys: np.ndarray) -> bytes:
+    """Rising keys by their steps, whose high bytes are mostly zero."""
+    return squeeze(np.diff(keys, prepend=keys.dtype.type(0)))
+
+
+def keys_of(data: bytes, dtype) -> np.ndarray:
+    return np.cumsum(expand(data, dtype), dtype=dtype)
+
+
 REQUEST = "block int, pack long, keys binary, extra binary"
 _REQUEST = pa.schema([("block", pa.int32()), ("pack", pa.int64()), ("keys", pa.binary()), ("extra", pa.binary())])
 
 
 def deal(number: int, lead: np.ndarray, keys: np.ndarray, extra: np.ndarray, blocks: int, first: int = 0) -> pa.RecordBatch:
-    """Request rows of a pack: keys and extra, sorted by the 64-bit hashes lead, whose top bits name one of `blocks` blocks from `first` on."""
+    """Request rows of a pack: keys (rising, or pairs) and extra, in the order of the rising 64-bit hashes lead, whose top bits name one of `blocks` blocks from `first` on."""
     block = ((lead >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)).astype(np.int64)
     edge = np.concatenate(([0], np.flatnonzero(np.diff(block)) + 1, [len(block)])) if len(block) else np.zeros(1, np.int64)
     spans = list(zip(edge[:-1], edge[1:], strict=True))
     columns = [
         pa.array([first + int(block[s]) for s, _ in spans], pa.int32()),
         pa.array([number] * len(spans), pa.int64()),
-        pa.array([np.ascontiguousarray(keys[s:e]).tobytes() for s, e in spans], pa.binary()),
+        pa.array([pack_keys(keys[s:e]) if keys.ndim == 1 else np.ascontiguousarray(keys[s:e]).tobytes() for s, e in spans], pa.binary()),
         pa.array([squeeze(extra[s:e]) for s, e in spans], pa.binary()),
     ]
     return pa.RecordBatch.from_arrays(columns, schema=_REQUEST)
@@ -99,6 +134,7 @@ def ask(packs: DataFrame, requests: Callable[[int, pa.Table], Iterator[pa.Record
         for batch in batches:
             for number, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 yield from requests(number, unpack(data.as_py()))
+                trim()
 
     return packs.mapInArrow(run, REQUEST)
 
@@ -123,6 +159,9 @@ def meet(packs: DataFrame, answers: DataFrame, use: Callable[[int, pa.Table, dic
         number = left.column("pack")[0].as_py() if left.num_rows else -1
         if not left.num_rows:
             raise RuntimeError("an answer reached no pack")
-        return use(number, unpack(left.column("data")[0].as_py()), by)
+        out = use(number, unpack(left.column("data")[0].as_py()), by)
+        del by
+        trim()
+        return out
 
     return packs.groupBy("pack").cogroup(answers.groupBy("pack")).applyInArrow(run, schema)

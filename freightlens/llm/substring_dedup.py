@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Words, ceil_div, mix, power_of_two, text_bytes, texts_of
-from .packs import REQUEST, answer, ask, deal, expand, meet, pack, squeeze
+from .packs import REQUEST, answer, ask, deal, expand, keys_of, meet, pack, squeeze
 
 GRAM = 16
 #: Keys that a task has in hand at a time.
@@ -126,7 +126,7 @@ def repeated_windows(texts: DataFrame, text_col: str = "text", keep: tuple[str,
                 yield deal(number, at << np.uint64(64 - bits), at.astype(kind), np.minimum(n, 2).astype(np.uint8), sketch_blocks, r * sketch_blocks)
 
     def merge_sketches(keys: list[bytes], extra: list[bytes]) -> list[bytes]:
-        at = [np.frombuffer(k, kind) for k in keys]
+        at = [keys_of(k, kind) for k in keys]
         _, inverse = np.unique(np.concatenate(at), return_inverse=True)
         often = np.bincount(inverse, np.concatenate([expand(x, np.uint8) for x in extra])) >= 2
         return [np.packbits(x).tobytes() for x in np.split(often[inverse], np.cumsum([len(a) for a in at])[:-1])]
