@@ -9,7 +9,7 @@ Counts come through packs and tallies (see packs.py): each pack of documents sen
 64-bit hash with their training counts, blocks add up, and each pack hears the totals of what it asked for. Frequent
 words are one key with a sum. What each token was told is written once, as two numbers a token; the weights and all
 scores come from that table by narrow passes. The driver gets N, V and a histogram of rounded held-out ratios by
-bucket, whose size is bounded by its grid (about 45 buckets of 400 x 400 cells at most), not by the corpus.
+bucket, whose size is bounded by its grid (about 45 buckets of 200 x 200 cells at most), not by the corpus.
 
 Null and empty texts have one token, the end. A table without training rows scores with the uniform part alone.
 Repeated rows count and are scored like any others; a null id counts as the empty text in the choice of the fold.
@@ -32,7 +32,7 @@ from .packs import answer, ask, deal, expand, keys_of, meet, pack, shrunk, squee
 BLOCK_KEYS = 500_000
 _END, _START, _STEP = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F), np.uint64(0x9E3779B97F4A7C15)
 #: Steps of the histogram in an octave.
-FINE = 8
+FINE = 4
 
 
 def bucket_of(n: np.ndarray) -> np.ndarray:
