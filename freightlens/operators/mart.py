@@ -161,13 +161,22 @@ def irregular_stage(tables: Tables) -> DataFrame:
 
 
 def build_mart(tables: Tables) -> DataFrame:
-    """All stages on the anchor; the linehaul hangs on the first outbound bag. As many rows as the anchor."""
+    """All stages on the anchor; as many rows as the anchor.
+
+    The stages of a shipment come first, so the wide rows stay where the shipment's hash put them. The linehaul hangs
+    on the first outbound bag and moves them once, at the end; shipments without a bag are spread by their own number,
+    as a null key would put them all in one task.
+    """
     zone = zones(tables)
+    stages = {
+        "RECV_CNOTE_NO": receipt_stage(tables, zone).drop("RECV_SIGN_DATE"), "MF_CNOTE_NO": manifest_stage(tables, zone), "HVO_CNOTE_NO": handover_stage(tables),
+        "MTS_CNOTE_NO": transit_stage(tables, zone), "DRI_CNOTE_NO": delivery_stage(tables, zone), "IRG_CNOTE_NO": irregular_stage(tables),
+    }
     rows = orders_stage(tables, zone)
-    rows = rows.join(receipt_stage(tables, zone).drop("RECV_SIGN_DATE"), F.col("CNOTE_NO") == F.col("RECV_CNOTE_NO"), "left")
-    rows = rows.join(manifest_stage(tables, zone), F.col("CNOTE_NO") == F.col("MF_CNOTE_NO"), "left")
-    rows = rows.join(linehaul_stage(tables), F.col("OM_BAG_NO") == F.col("SM_BAG"), "left")
-    rows = rows.join(handover_stage(tables), F.col("CNOTE_NO") == F.col("HVO_CNOTE_NO"), "left")
-    rows = rows.join(transit_stage(tables, zone), F.col("CNOTE_NO") == F.col("MTS_CNOTE_NO"), "left")
-    rows = rows.join(delivery_stage(tables, zone), F.col("CNOTE_NO") == F.col("DRI_CNOTE_NO"), "left")
-    return rows.join(irregular_stage(tables), F.col("CNOTE_NO") == F.col("IRG_CNOTE_NO"), "left")
+    names = list(rows.columns)
+    haul = linehaul_stage(tables)
+    for key, side in stages.items():
+        rows = rows.join(side, F.col("CNOTE_NO") == F.col(key), "left")
+        names += side.columns + (haul.columns if key == "MF_CNOTE_NO" else [])
+    bag = F.coalesce("OM_BAG_NO", F.concat(F.lit("\x00"), F.col("CNOTE_NO")))
+    return rows.join(haul, bag == F.col("SM_BAG"), "left").select(*names)

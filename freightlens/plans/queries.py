@@ -274,7 +274,7 @@ def _(t):
     reference = t("CMS_DROURATE").select(origin.alias("place"), whole.alias("whole"))
     matches = reference.where("whole").select("place").join(candidates, F.col("place") == F.col("candidate"), "left_semi").distinct()
     bad = reference.agg(F.count_if(~F.col("whole")).alias("malformed"))
-    return candidates.join(matches, F.col("candidate") == F.col("place"), "left").select("candidate", F.col("place").isNotNull().alias("matched")).join(F.broadcast(bad))
+    return candidates.join(matches, F.col("candidate") == F.col("place"), "left").select("candidate", F.col("place").isNotNull().alias("matched"), bad.scalar().alias("malformed"))
 
 
 @query("route_components", "SELECT DISTINCT DROURATE_CODE AS code, regexp_extract(DROURATE_CODE, '^([A-Z]{3}[0-9]{5})([A-Z]{3}[0-9]{5})$', 1) AS origin, regexp_extract(DROURATE_CODE, '^([A-Z]{3}[0-9]{5})([A-Z]{3}[0-9]{5})$', 2) AS destination FROM CMS_DROURATE")

@@ -98,6 +98,12 @@ def demo_tables(spark: SparkSession, n: int = 50) -> TableCatalog:
         "CMS_MANIFEST": ids.select(F.format_string("MF%04d", "id").alias("MANIFEST_NO"), F.lit("Y").alias("MANIFEST_APPROVED"), F.when(i != 17, "R").alias("MANIFEST_ROUTE"), F.when(i != 18, "T").alias("MANIFEST_THRU"), F.when(i != 19, "O").alias("MANIFEST_ORIGIN"), at(i.cast("int") + 4).alias("MANIFEST_CRDATE")),
         "CMS_MFBAG": ids.select(F.format_string("BAG%04d", "id").alias("MFBAG_NO"), F.format_string("MF%04d", "id").alias("MFBAG_MAN_NO"), at(i.cast("int") + F.when(i == 21, 1).otherwise(6)).alias("MFBAG_CRDATE")),
         "CMS_DCORRECT_DEST": ids.select(F.col("k").alias("DCORRECT_CNOTE_NO"), F.when(i == 12, "SUB10000").when(i == 13, "CGK20000").otherwise("CGK10000").alias("DCORRECT_ORIGIN"), F.lit("BDO10000").alias("DCORRECT_DEST")),
+        "CMS_MHI_HOC": ids.select(F.col("k").alias("MHI_CNOTE_NO"), at(i.cast("int") + F.when(i == 9, -3).otherwise(3)).alias("MHI_APPROVE_DATE")),
+        "CMS_MSJ": ids.select(F.format_string("SJ%04d", "id").alias("MSJ_NO"), F.lit("Y").alias("MSJ_APPROVE"), F.when(i != 16, at(i.cast("int") + 8)).alias("MSJ_SIGNDATE")),
+        "CMS_DRSHEET": ids.select(F.format_string("RS%04d", "id").alias("DRSHEET_NO"), F.col("k").alias("DRSHEET_CNOTE_NO"), at(i.cast("int") + 20).alias("DRSHEET_DATE")),
+        "CMS_CNOTE_POD": ids.select(F.col("k").alias("CNOTE_POD_NO"), at(i.cast("int") + F.when(i == 22, 21).otherwise(20)).alias("CNOTE_POD_DATE")),
+        "CMS_MMBAG": ids.select(F.format_string("MB%04d", "id").alias("MMBAG_NO"), F.lit("Y").alias("MMBAG_APPROVE"), F.when(i != 23, at(i.cast("int") + 6)).alias("MMBAG_DATE_APPROVE")),
+        "CMS_DROURATE": spark.createDataFrame([("CGK10000BDO10000", "REG19", "CGK10000", "BDO10000"), ("SUB10000BDO10000", "YES19", "SUB10000", "BDO10000")], "DROURATE_CODE string, DROURATE_SERVICE string, __origin_component string, __destination_component string"),
         "ORA_BRANCH": spark.createDataFrame([("CGK000",), ("BDO000",)], "BRANCH_CODE string"),
     }
     return TableCatalog({k: (lambda v=v: v) for k, v in frames.items()})
