@@ -6,13 +6,11 @@ texts. The first four return the columns of documents; the last adds the pieces.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freightlens.llm import line_dedup, quality_cnn, sentencepiece_viterbi, simhash_dedup, source_mixing
-from freightlens.llm.common import shared_dir
+from freightlens.llm.common import placed
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -68,7 +66,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            path = f"{shared_dir(spark)}/fl-stage-{uuid.uuid4().hex}"
-            docs.write.parquet(path)
+            docs.write.parquet(path := placed(spark, "stage"))
             docs = spark.read.parquet(path)
     return docs
