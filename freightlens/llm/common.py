@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
+import re
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,13 +45,30 @@ def shared_dir(spark: SparkSession) -> str:
     return place.rstrip("/")
 
 
+#: Paths that this process has put in shared folders.
+PLACED: list[str] = []
+
+
+def placed(spark: SparkSession, kind: str = "table") -> str:
+    """A new path in the shared folder."""
+    PLACED.append(f"{shared_dir(spark)}/fl-{kind}-{uuid.uuid4().hex}")
+    return PLACED[-1]
+
+
+def clear_shared(spark: SparkSession) -> None:
+    """Deletes what operators have put in the shared folder; call it when their results have been read."""
+    while PLACED:
+        path = spark._jvm.org.apache.hadoop.fs.Path(PLACED.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def written(df: DataFrame, compression: str = "zstd", few: bool = False) -> DataFrame:
     """df as a table in the shared folder, read back: cuts lineage and survives lost executors.
 
     few: for small results of a shuffle; at most two files for each core of the cluster, not one for each partition.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/fl-{uuid.uuid4().hex}"
+    path = placed(spark)
     out = df.coalesce(2 * max(2, spark.sparkContext.defaultParallelism)) if few else df
     out.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -117,10 +138,52 @@ def texts_of(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-def text_bytes(df: DataFrame, text_col: str) -> tuple[int, int]:
-    """UTF-8 bytes and rows of a table of texts: one pass, two numbers."""
-    row = df.agg(F.sum(F.octet_length(F.col(text_col))).alias("b"), F.count(F.lit(1)).alias("n")).first()
-    return int(row.b or 0), int(row.n)
+def stretches(column: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    """Row ranges of a string column of at most `most` bytes, or of one row. Python objects are made for one at a time."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(ends):
+        upto = max(at + 1, int(np.searchsorted(ends, (int(ends[at - 1]) if at else 0) + most, "right")))
+        yield at, upto
+        at = upto
+
+
+def is_scan(df: DataFrame) -> bool:
+    """Whether df only reads files, projects and filters."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    nodes = {m[1] for line in plan.toString().splitlines() if (m := re.match(r"[\s:+|-]*(\w+)", line))}
+    return plan.deterministic() and nodes <= {"Project", "Filter", "Relation", "RelationV2"}
+
+
+def text_bytes(df: DataFrame, text_col: str) -> int:
+    """About how many bytes a table's texts have; decides how finely work is cut, never a result.
+
+    Over a plain scan twice the size of its files, without reading them; else counted.
+    """
+    if is_scan(df):
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        if size < 1 << 55:  # Spark's stand-in for an unknown size is larger
+            return 2 * size
+    return int(df.agg(F.sum(F.octet_length(F.col(text_col))).alias("b")).first().b or 0)
+
+
+def trim() -> None:
+    """Gives back what the C library keeps of freed arrays; workers live long and would hold their largest pack's memory."""
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library
+    pa.default_memory_pool().release_unused()
+
+
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function over batches that gives memory back when a task's batches are through."""
+
+    def tidied(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        trim()
+
+    return tidied
 
 
 def ceil_div(a: int, b: int) -> int:

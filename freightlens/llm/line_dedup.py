@@ -25,7 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, SPACE_CHARS, UPPER, ceil_div, shared_dir, text_bytes, written
+from .common import LOWER, SPACE_CHARS, UPPER, ceil_div, placed, text_bytes, written
 
 KEY = ["h1", "h2"]
 
@@ -48,7 +48,7 @@ class LineRuns:
         self.min_length, self.min_documents = min_length, min_documents
         self.levels: list[list[str]] = []
         self.lines: list[DataFrame] = []
-        self.place = f"{shared_dir(spark)}/fl-runs-{uuid.uuid4().hex}"
+        self.place = placed(spark, "runs")
 
     def runs(self, bucketed: bool = False) -> list[DataFrame]:
         """The runs as tables with their buckets, for joins one by one; else as plain files, for unions."""
@@ -132,7 +132,7 @@ def falling_batches(docs: DataFrame, n: int, id_col: str = "doc_id") -> list[Dat
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batches: int = 3, **how) -> DataFrame:
-    total, _ = text_bytes(docs, text_col)
+    total = text_bytes(docs, text_col)
     runs = LineRuns(docs.sparkSession, **({"buckets": max(8, ceil_div(total, 64 << 20))} | how))
     for batch in falling_batches(docs, batches, id_col):
         runs.add(batch, id_col, text_col)

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 from pyspark.sql.types import StructType
 
-from .common import shared_dir
+from .common import placed, tidy
 
 SIDE = 192
 #: A PNG file's signature, and the filter byte of an unfiltered row.
@@ -281,11 +281,11 @@ def decoded(found: DataFrame) -> DataFrame:
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [x.split()[0] for x in DECODED.split(", ")])
 
-    return found.mapInArrow(run, DECODED)
+    return found.mapInArrow(tidy(run), DECODED)
 
 
 def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text stored as an image in archives, read back and measured."""
-    path = f"{shared_dir(spark)}/fl-media-{uuid.uuid4().hex}"
+    path = placed(spark, "media")
     archive(spark.read.parquet(f"{sf_dir}/documents.parquet"), path)
     return decoded(members(spark, path)).withColumnRenamed("id", "doc_id")

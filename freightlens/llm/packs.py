@@ -8,8 +8,6 @@ of rows. The number of blocks grows with the corpus, so that a block's keys fit
 
 from __future__ import annotations
 
-import ctypes
-import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -18,7 +16,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import texts_of, written
+from .common import is_scan, texts_of, trim, written
 
 PACK_BYTES = 6 << 20
 
@@ -60,13 +58,6 @@ def pack(df: DataFrame, text_col: str, keep: list[str], pack_bytes: int = PACK_B
     return found if is_scan(df) else written(found, "none")
 
 
-def is_scan(df: DataFrame) -> bool:
-    """Whether df only reads files, projects and filters."""
-    plan = df._jdf.queryExecution().optimizedPlan()
-    nodes = {m[1] for line in plan.toString().splitlines() if (m := re.match(r"[\s:+|-]*(\w+)", line))}
-    return plan.deterministic() and nodes <= {"Project", "Filter", "Relation", "RelationV2"}
-
-
 def shrunk(table: pa.Table) -> bytes:
     """A table as compressed Arrow; packs are written and shuffled, so some effort pays."""
     sink = pa.BufferOutputStream()
@@ -79,15 +70,6 @@ def unpack(data: bytes) -> pa.Table:
     return pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(data)).read_all()
 
 
-def trim() -> None:
-    """Gives back what the C library keeps of freed arrays; workers live long and would hold their largest pack's memory."""
-    try:
-        ctypes.CDLL(None).malloc_trim(0)
-    except (AttributeError, OSError):
-        pass  # another C library
-    pa.default_memory_pool().release_unused()
-
-
 def squeeze(a: np.ndarray, level: int = 1) -> bytes:
     """Integers as compressed byte planes: the high bytes of small numbers cost next to nothing."""
     planes = np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T

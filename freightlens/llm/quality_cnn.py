@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import fold_of, texts_of
+from .common import fold_of, stretches, texts_of, tidy
 
 CHUNK, STRIDE, WIDTH, FILTERS = 16, 8, 4, 24
 #: From this score on a text counts as good.
@@ -146,17 +146,11 @@ def scored(docs: DataFrame, net: Network, text_col: str = "text", name: str = "s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, got, at = texts_of(batch.column(text_col)), [], 0
-            while at < len(texts):  # some MB at a time
-                upto, size = at, 0
-                while upto < len(texts) and (upto == at or size + len(texts[upto]) <= 4 << 20):
-                    size += len(texts[upto])
-                    upto += 1
-                got.append(net.score(texts[at:upto]))
-                at = upto
+            texts = batch.column(text_col)
+            got = [net.score(texts_of(texts.slice(a, b - a))) for a, b in stretches(texts, 2 << 20)]
             yield batch.append_column(name, pa.array(np.concatenate(got) if got else np.zeros(0)))
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
+    return docs.mapInArrow(tidy(run), StructType([*docs.schema.fields, StructField(name, DoubleType())]))
 
 
 def op2_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,14 +31,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import texts_of
+from .common import stretches, texts_of, tidy
 
 MARK = "▁"
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 #: Pairs of pieces that the merge check remembers, and texts' bytes that share a trie.
-PAIRS, BATCH_BYTES = 1 << 19, 8 << 20
-#: Words of earlier batches whose ids a worker remembers, at most these and one batch more.
-SEEN = 300_000
+PAIRS, BATCH_BYTES = 1 << 17, 10 << 20
+#: Words whose ids a worker remembers for good: those of two batches, as long as there is room.
+WARM = 150_000
 FORBIDDEN = float("-inf")
 
 
@@ -65,7 +65,8 @@ class Model:
         self.bytes = {int(p.piece[3:5], 16): i for i, p in enumerate(m.pieces) if p.type == kinds.BYTE}
         self.byte_of = {i: b for b, i in self.bytes.items()}
         self.control = {i for i, p in enumerate(m.pieces) if p.type == kinds.CONTROL}
-        self.seen: dict[str, tuple[int, ...]] = {}
+        self.warm: dict[str, tuple[int, ...]] = {}
+        self.recent: dict[str, tuple[int, ...]] = {}
         self.surface = [p.replace(MARK, " ") for p in self.pieces]
         for i in self.control:
             self.surface[i] = ""
@@ -77,6 +78,7 @@ class Model:
         self.least = min((self.score[i] for i in self.ids.values()), default=0.0) - 10.0
         self.tail = dict.fromkeys((p[k:] for p in self.ids for k in range(len(p))), -1) | self.ids
         self.pair: dict[int, bool] = {}
+        self.size = list(map(len, self.pieces))
         self.codes = len(self.pieces) + 0x110000
 
     def fallback(self, char: str, before: tuple[int, ...]) -> list[int]:
@@ -101,7 +103,7 @@ class Model:
     def _free(self, last: int, i: int) -> bool:
         """Whether a merge leaves two pieces apart (last -1: whether it makes the piece at all); remembered."""
         if len(self.pair) >= PAIRS:
-            self.pair = {}
+            self.pair.clear()
         name = lambda k: self.pieces[k] if k < len(self.pieces) else chr(k - len(self.pieces))
         whole = [name(i)] if last < 0 else [name(last), name(i)]
         got = self.pair[last * self.codes + i] = self.merged(list("".join(whole))) == whole
@@ -115,31 +117,33 @@ class Model:
         """
         found, before = {}, ""
         best, last, path = [0.0], [-1], [()]
-        tail, score, codes, n_pieces, unigram = self.tail, self.score, self.codes, len(self.pieces), self.kind == "unigram"
+        tail, score, codes, n_pieces, unigram = self.tail.get, self.score, self.codes, len(self.pieces), self.kind == "unigram"
+        known, size = self.pair.get, self.size
         for word in sorted(words):
             shared, most = 0, min(len(before), len(word))
             while shared < most and before[shared] == word[shared]:
                 shared += 1
             del best[shared + 1 :], last[shared + 1 :], path[shared + 1 :]
             for at in range(shared + 1, len(word) + 1):
-                ending, start = [], at - 1
-                while start >= 0:
-                    i = tail.get(word[start:at])
-                    if i is None:
+                start = at - 1
+                i = tail(word[start])
+                # A character that is no piece stands for itself.
+                ending = [i if i is not None and i >= 0 else n_pieces + ord(word[start])]
+                while i is not None:
+                    start -= 1
+                    if start < 0 or (i := tail(word[start:at])) is None:
                         break
                     if i >= 0:
-                        ending.append((start, i))
-                    start -= 1
-                if not ending or ending[0][0] != at - 1:
-                    ending.insert(0, (at - 1, n_pieces + ord(word[at - 1])))
-                top, from_, chosen = FORBIDDEN, at - 1, ending[0][1]
-                for start, i in reversed(ending):
+                        ending.append(i)
+                top, from_, chosen = FORBIDDEN, at - 1, ending[0]
+                for i in reversed(ending):
+                    start = at - size[i] if i < n_pieces else at - 1
                     if unigram:
                         own = best[start] + (score[i] if i < n_pieces else self.least)
                         if own > top:
                             top, from_, chosen = own, start, i
                         continue
-                    free = self.pair.get(last[start] * codes + i)
+                    free = known(last[start] * codes + i)
                     if free is None:
                         free = self._free(last[start], i)
                     if free:  # all other paths to here are forbidden
@@ -160,12 +164,22 @@ class Model:
         return _WORD.findall((MARK if self.prefix else "") + text.replace(" ", MARK))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [self.words(t) for t in texts]
-        if len(self.seen) > SEEN:
-            self.seen = {}
-        code = self.seen
-        code.update(self.encode_words(list(set().union(*cut).difference(code))))
-        return [np.fromiter(chain.from_iterable(map(code.__getitem__, ws)), np.int32) for ws in cut]
+        """Each text's ids. Words become numbers text by text, and numbers ids by arrays, so few objects live at a time."""
+        number: dict[str, int] = {}
+        rows = [np.fromiter([number.setdefault(w, len(number)) for w in self.words(t)], np.int32) for t in texts]
+        again = number.keys() & self.recent.keys()
+        if len(self.warm) < WARM:
+            self.warm.update((w, self.recent[w]) for w in again)
+        old, self.recent = self.recent, self.encode_words([w for w in number if w not in self.warm and w not in again])
+        codes = [self.recent.get(w) or self.warm.get(w) or old[w] for w in number]
+        size = np.fromiter(map(len, codes), np.int64, len(codes))
+        flat = np.fromiter(chain.from_iterable(codes), np.int32, int(size.sum()))
+        start = np.cumsum(size) - size
+        out = []
+        for row in rows:
+            n = size[row]
+            out.append(flat[np.repeat(start[row] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))])
+        return out
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of pieces. A byte below 128 is a character of its own; only texts with others are put together byte by byte."""
@@ -212,22 +226,17 @@ def encoded(docs: DataFrame, proto: bytes, id_col: str = "doc_id", text_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(proto)
         for batch in batches:
-            texts = [t.decode() for t in texts_of(batch.column(text_col))]
-            at = 0
-            while at < len(texts):
-                upto, size = at, 0
-                while upto < len(texts) and (upto == at or size + len(texts[upto]) <= BATCH_BYTES):
-                    size += len(texts[upto])
-                    upto += 1
-                ids = model.encode(texts[at:upto])
+            texts = batch.column(text_col)
+            for at, upto in stretches(texts, BATCH_BYTES):
+                ids = model.encode([t.decode() for t in texts_of(texts.slice(at, upto - at))])
                 back = [model.decode(x) for x in ids]
                 offsets = pa.array(np.concatenate(([0], np.cumsum([len(x) for x in ids]))), pa.int32())
-                lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32), pa.int32()))
+                lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids), pa.int32()))
                 yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(at, upto - at) for c in own), lists, pa.array(back, pa.string())], [*own, "ids", "decoded"])
-                at = upto
+        model.recent = {}
 
     kept = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in own)
-    return docs.select(*own, text_col).mapInArrow(run, f"{kept}, ids array<int>, decoded string")
+    return docs.select(*own, text_col).mapInArrow(tidy(run), f"{kept}, ids array<int>, decoded string")
 
 
 def op7_sentencepiece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:

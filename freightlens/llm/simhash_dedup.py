@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from .common import mix, texts_of, written
+from .common import mix, stretches, texts_of, tidy, written
 
 SHINGLE, RADIUS, TILE = 3, 2, 8192
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -93,12 +93,13 @@ def fingerprints(docs: DataFrame, like: Likeness = EXACT_BITS, id_col: str = "do
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [fingerprint(t, like.shingle, like.words) for t in texts_of(batch.column(text_col))]
+            texts = batch.column(text_col)
+            got = [fingerprint(t, like.shingle, like.words) for a, b in stretches(texts, 2 << 20) for t in texts_of(texts.slice(a, b - a))]
             bits = np.array([w for w, _ in got], np.uint64).reshape(-1, like.words).view(np.int64)
             more = pa.array(bits[:, 1:].tolist(), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in fields), pa.array(np.ascontiguousarray(bits[:, 0])), more, pa.array([n for _, n in got], pa.int64())], [*(f.name for f in fields), *(f.name for f in extra)])
 
-    return own.mapInArrow(run, StructType([*fields, *extra]))
+    return own.mapInArrow(tidy(run), StructType([*fields, *extra]))
 
 
 _EXTRA = StructType([StructField("fp", LongType()), StructField("more", ArrayType(LongType())), StructField("size", LongType())])
@@ -212,6 +213,11 @@ def links(nodes: DataFrame, like: Likeness = EXACT_BITS, tile: int = TILE) -> Da
     return dealt.groupBy("deal").applyInArrow(run, "a long, b long")
 
 
+def _dealt_anew(sums: DataFrame) -> DataFrame:
+    """Sums by a, with a as a computed column: a join then deals both sides anew, and adaptive execution can split a hot node's rows."""
+    return sums.select(F.col("a").bitwiseXOR(F.lit(0)).alias("a"), "m")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(fp, root long): each linked fingerprint with its component's, by large-star and small-star until nothing changes."""
     edges = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), few=True)
@@ -219,9 +225,9 @@ def components(edges: DataFrame) -> DataFrame:
         # Large star: each node's larger neighbours go to its smallest neighbour. Small star: its smaller ones and itself do.
         both = edges.union(edges.select("b", "a"))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.join(_dealt_anew(least), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select("a", F.col("m").alias("b")))
+        small = large.join(_dealt_anew(low), "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select("a", F.col("m").alias("b")))
         after = written(small.distinct(), few=True)
         if edges.exceptAll(after).isEmpty() and after.exceptAll(edges).isEmpty():
             return after.select(F.col("a").alias("fp"), F.col("b").alias("root"))

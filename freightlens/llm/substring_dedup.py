@@ -108,7 +108,7 @@ def _row(grams: np.ndarray, row: int, bits: int) -> np.ndarray:
 
 def repeated_windows(texts: DataFrame, text_col: str = "text", keep: tuple[str, ...] = (), size: int = 35, counters_per_word: float = 4.0) -> DataFrame:
     """Each text with the words that repeated windows cover: (keep..., n_words long, n_removed long, kept_text string)."""
-    total, _ = text_bytes(texts, text_col)
+    total = text_bytes(texts, text_col)
     words = total // 2 + 1
     bits = min(60, max(16, power_of_two(counters_per_word * words / 3).bit_length() - 1))
     sketch_blocks = ceil_div(total // 60 + 1, BLOCK_KEYS)

@@ -168,3 +168,15 @@ def test_fingerprint_of_little():
     assert fingerprint(b"") == ([0], 0) and fingerprint(b" \t", words=4) == ([0] * 4, 0)
     assert fingerprint(b"One two")[0] == [xxhash.xxh64_intdigest(b"one two", 42)]
     assert hashlib.sha256(repr(fingerprint("ä b c d".encode())).encode()).hexdigest() == hashlib.sha256(repr(([brute_fingerprint("ä b c d")], 2)).encode()).hexdigest()
+
+
+def test_shared_tables_can_be_cleared(spark):
+    from freightlens.llm import common
+
+    common.clear_shared(spark)
+    table = common.written(spark.range(3))
+    path = common.PLACED[-1]
+    assert table.count() == 3 and not common.PLACED[:-1]
+    common.clear_shared(spark)
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    assert not jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
