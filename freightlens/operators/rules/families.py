@@ -18,7 +18,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from freightlens.functions.values import key, moment, normal, number, present, rounded, shown, shown_moment, strip
+from freightlens.functions.values import key, moment, normal, number, present, rounded, shown, shown_moment
 
 Tables = Callable[[str], DataFrame]
 CHECKS = ("document_id", "status", "variable_1", "variable_2")
