@@ -39,6 +39,8 @@ _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 PAIRS, BATCH_BYTES = 1 << 17, 10 << 20
 #: Words whose ids a worker remembers for good: those of two batches, as long as there is room.
 WARM = 150_000
+#: Longer words aren't remembered for good.
+LONG = 256
 FORBIDDEN = float("-inf")
 
 
@@ -81,11 +83,11 @@ class Model:
         self.size = list(map(len, self.pieces))
         self.codes = len(self.pieces) + 0x110000
 
-    def fallback(self, char: str, before: tuple[int, ...]) -> list[int]:
+    def fallback(self, char: str, before: list[int]) -> list[int]:
         """A character outside the vocabulary: its bytes, else the unknown piece, once for neighbouring ones in unigram models."""
         if self.bytes:
             return [self.bytes[b] for b in char.encode()]
-        return [] if self.kind == "unigram" and before[-1:] == (self.unknown,) else [self.unknown]
+        return [] if self.kind == "unigram" and before[-1:] == [self.unknown] else [self.unknown]
 
     def merged(self, symbols: list[str]) -> list[str]:
         """Merges by the best score, the leftmost first, until none is left."""
@@ -113,17 +115,18 @@ class Model:
         """Each different word's ids, by one walk over the sorted words.
 
         Columns by length of the prefix: best, the forward score; last, the piece that ends its best path (characters
-        outside the vocabulary count from the vocabulary's end on); path, the ids so far.
+        outside the vocabulary count from the vocabulary's end on); origin, where that piece begins. Ids are read back once
+        a word is through, so memory is linear in its length.
         """
         found, before = {}, ""
-        best, last, path = [0.0], [-1], [()]
+        best, last, origin = [0.0], [-1], [0]
         tail, score, codes, n_pieces, unigram = self.tail.get, self.score, self.codes, len(self.pieces), self.kind == "unigram"
         known, size = self.pair.get, self.size
         for word in sorted(words):
             shared, most = 0, min(len(before), len(word))
             while shared < most and before[shared] == word[shared]:
                 shared += 1
-            del best[shared + 1 :], last[shared + 1 :], path[shared + 1 :]
+            del best[shared + 1 :], last[shared + 1 :], origin[shared + 1 :]
             for at in range(shared + 1, len(word) + 1):
                 start = at - 1
                 i = tail(word[start])
@@ -151,11 +154,17 @@ class Model:
                         break
                 best.append(top)
                 last.append(chosen)
-                if chosen < n_pieces:
-                    path.append((*path[from_], chosen))
-                else:
-                    path.append((*path[from_], *self.fallback(chr(chosen - n_pieces), path[from_])))
-            found[word], before = path[-1], word
+                origin.append(from_)
+            ids, at = [], len(word)
+            while at:
+                ids.append(last[at])
+                at = origin[at]
+            ids.reverse()
+            if max(ids) >= n_pieces:
+                chosen_ids, ids = ids, []
+                for i in chosen_ids:
+                    ids += [i] if i < n_pieces else self.fallback(chr(i - n_pieces), ids)
+            found[word], before = tuple(ids), word
         return found
 
     def words(self, text: str) -> list[str]:
@@ -169,7 +178,7 @@ class Model:
         rows = [np.fromiter([number.setdefault(w, len(number)) for w in self.words(t)], np.int32) for t in texts]
         again = number.keys() & self.recent.keys()
         if len(self.warm) < WARM:
-            self.warm.update((w, self.recent[w]) for w in again)
+            self.warm.update((w, self.recent[w]) for w in again if len(w) <= LONG)
         old, self.recent = self.recent, self.encode_words([w for w in number if w not in self.warm and w not in again])
         codes = [self.recent.get(w) or self.warm.get(w) or old[w] for w in number]
         size = np.fromiter(map(len, codes), np.int64, len(codes))

@@ -191,6 +191,18 @@ def test_same_pieces_as_the_library(model):
     assert [model.decode(np.array(x, np.int32)) for x in sp.encode(texts)] == [sp.decode(x) for x in sp.encode(texts)]
 
 
+def test_long_texts_without_spaces(model):
+    import sentencepiece
+
+    rng = random.Random(5)
+    sp = sentencepiece.SentencePieceProcessor(model_proto=default_model())
+    lines = "\n".join("".join(rng.choice("abcdehlotrs") for _ in range(rng.randint(2, 9))) for _ in range(40_000))[:200_000]
+    texts = [lines, "".join(rng.choice("你好数据😀Ğ\t") for _ in range(20_000)), "a" * 20_000]
+    got = model.encode(texts)
+    assert len(lines) == 200_000 and [x.tolist() for x in got] == sp.encode(texts)
+    assert [model.decode(x) for x in got] == texts
+
+
 def test_unigram_paths_score_as_the_librarys(model):
     import sentencepiece
     from sentencepiece import sentencepiece_model_pb2 as pb
