@@ -9,6 +9,11 @@ each pair of tiles is a task's work of its own, so neither memory nor time of a
 tile pair numpy compares with exclusive-or and bit counts in blocks ordered by bit count, skipping blocks that are
 out of reach, and only a spanning forest of the links leaves it, never all pairs of a group.
 
+Where a similarity is asked for too (`Likeness.least`), bits only propose: each link is confirmed by the share of
+shingles that the two texts have in common, counted over their words. Nodes are texts of equal words there. First each
+cell proposes a forest of its pairs; where confirmed links leave texts of such a forest apart, all pairs between
+the parts are tried, so the components are those of all proposed pairs, and a large group of copies isn't all pairs.
+
 Components: labels spread by alternating large-star and small-star steps over (node, node) rows with checkpoints;
 nothing is collected but the number of changed rows.
 
@@ -50,16 +55,21 @@ class Likeness:
     indexed: int = 1
     total: int = 64
     ratio: float | None = None
+    #: Links count only if the texts share this much of their different shingles; bits are then of different shingles.
+    least: float | None = None
 
 
 EXACT_BITS = Likeness()
 SIMILAR = Likeness(shingle=5, radius=9, words=4, indexed=3, total=46, ratio=0.8)
+#: Bits for proposals only: at a similarity of 0.8 about 39 of 256 bits differ, and 10 of 64.
+CONFIRMED = Likeness(shingle=5, radius=12, words=4, indexed=3, total=64, ratio=0.8, least=0.8)
 
 
-def fingerprint(text: bytes, shingle: int = SHINGLE, words: int = 1) -> tuple[list[int], int]:
+def fingerprint(text: bytes, shingle: int = SHINGLE, words: int = 1, different: bool = False) -> tuple[list[int], int]:
     """The fingerprint's words of 64 bits, and the number of shingles. A bit is 1 if it is set in over half of the shingles' hashes.
 
     The first word comes from XXH64 with seed 42, each further one from a finaliser over it.
+    different: repeated shingles count once.
     """
     tokens = text.translate(_FOLD).split()
     if not tokens:
@@ -72,6 +82,8 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, words: int = 1) -> tuple[li
         ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1)
         starts = np.concatenate(([0], ends[:-shingle]))
         hashes = np.fromiter([digest(joined[s:e], 42) for s, e in zip(starts.tolist(), (ends[shingle - 1 :] - 1).tolist(), strict=True)], np.uint64, len(tokens) - shingle + 1)
+    if different:
+        hashes = np.unique(hashes)
     out = []
     for k in range(words):
         own = hashes if not k else mix(hashes + np.uint64(k))
@@ -82,22 +94,26 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, words: int = 1) -> tuple[li
     return out, len(hashes)
 
 
-def fingerprints(docs: DataFrame, like: Likeness = EXACT_BITS, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
+def fingerprints(docs: DataFrame, like: Likeness = EXACT_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fp long, more array of long, size long): the first word's bits as a signed number, the further words.
 
-    keep: docs' columns instead of the id, and __fp, __more, __size.
+    If links are to be confirmed, also node, the number of the text's words.
     """
-    own = docs if keep else docs.select(id_col, text_col)
-    fields = docs.schema.fields if keep else [docs.schema[id_col]]
-    extra = [StructField("__" * keep + f.name, f.dataType) for f in _EXTRA.fields]
+    own = docs.select(id_col, text_col)
+    fields = [docs.schema[id_col]]
+    extra = [*_EXTRA.fields, *([StructField("node", LongType())] if like.least else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(text_col)
-            got = [fingerprint(t, like.shingle, like.words) for a, b in stretches(texts, 2 << 20) for t in texts_of(texts.slice(a, b - a))]
+            got, node = [], []
+            for a, b in stretches(texts, 2 << 20):
+                some = texts_of(texts.slice(a, b - a))
+                got += [fingerprint(t, like.shingle, like.words, bool(like.least)) for t in some]
+                node += [node_of(t) for t in some] if like.least else []
             bits = np.array([w for w, _ in got], np.uint64).reshape(-1, like.words).view(np.int64)
             more = pa.array(bits[:, 1:].tolist(), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in fields), pa.array(np.ascontiguousarray(bits[:, 0])), more, pa.array([n for _, n in got], pa.int64())], [*(f.name for f in fields), *(f.name for f in extra)])
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in fields), pa.array(np.ascontiguousarray(bits[:, 0])), more, pa.array([n for _, n in got], pa.int64()), *([pa.array(node, pa.int64())] if like.least else [])], [*(f.name for f in fields), *(f.name for f in extra)])
 
     return own.mapInArrow(tidy(run), StructType([*fields, *extra]))
 
@@ -105,11 +121,62 @@ def fingerprints(docs: DataFrame, like: Likeness = EXACT_BITS, id_col: str = "do
 _EXTRA = StructType([StructField("fp", LongType()), StructField("more", ArrayType(LongType())), StructField("size", LongType())])
 
 
+def shingles(text: bytes, shingle: int) -> set[bytes]:
+    """The different shingles of a text; a text of fewer words is one."""
+    tokens = text.translate(_FOLD).split()
+    return {b" ".join(tokens[k : k + shingle]) for k in range(max(1, len(tokens) - shingle + 1))} if tokens else set()
+
+
+def node_of(text: bytes) -> int:
+    """A signed number for a text's words: equal for texts that differ in case and white space alone."""
+    n = xxhash.xxh64_intdigest(b" ".join(text.translate(_FOLD).split()), 7)
+    return n - (1 << 64) if n >> 63 else n
+
+
+def named(docs: DataFrame, text_col: str = "text", like: Likeness = CONFIRMED) -> DataFrame:
+    """docs with __node, the number of the text's words, or the fingerprint's first word where links aren't confirmed."""
+    number = node_of if like.least else lambda t: int(np.uint64(fingerprint(t, like.shingle)[0][0]).view(np.int64))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(text_col)
+            got = [number(t) for a, b in stretches(texts, 2 << 20) for t in texts_of(texts.slice(a, b - a))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got, pa.int64())], [*batch.schema.names, "__node"])
+
+    return docs.mapInArrow(tidy(run), StructType([*docs.schema.fields, StructField("__node", LongType())]))
+
+
 def forest(a: np.ndarray, b: np.ndarray | None, like: Likeness, word: int, sizes: tuple[np.ndarray, np.ndarray] | None = None, block: int = 1024) -> tuple[np.ndarray, np.ndarray]:
     """All linked pairs of a and a (or a and b), rows of fingerprint words, told as first words of (member, first member of its group)."""
     every = a if b is None else np.concatenate((a, b))
-    size = None if sizes is None else np.concatenate(sizes)
     parent = np.arange(len(every))
+    for x, y in _near(a, b, like, word, sizes, block):
+        parent = _join(parent, x, y)
+    linked = np.flatnonzero(parent != np.arange(len(parent)))
+    return every[linked, 0], every[parent[linked], 0]
+
+
+def proposals(a: np.ndarray, b: np.ndarray | None, like: Likeness, word: int, sizes: tuple[np.ndarray, ...], part: np.ndarray | None = None, block: int = 1024) -> tuple[np.ndarray, np.ndarray]:
+    """Linked pairs as places in a and b together: a forest of them, or more; with part all pairs whose parts differ."""
+    parent, got = np.arange(len(a) + (0 if b is None else len(b))), [np.zeros((2, 0), np.int64)]
+    for x, y in _near(a, b, like, word, sizes, block):
+        if part is not None:
+            apart = part[x] != part[y]
+            got.append(np.stack((x[apart], y[apart])))
+            continue
+        while len(x := x[new := parent[x] != parent[y]]):
+            y = y[new]
+            one = np.unique(parent[x], return_index=True)[1]  # one pair for each tree
+            got.append(np.stack((x[one], y[one])))
+            parent = _join(parent, x[one], y[one])
+    x, y = np.concatenate(got, 1)
+    return x, y
+
+
+def _near(a: np.ndarray, b: np.ndarray | None, like: Likeness, word: int, sizes: tuple[np.ndarray, ...] | None, block: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All linked pairs of a and a (or a and b), as places in both together."""
+    every = a if b is None else np.concatenate((a, b))
+    size = None if sizes is None else np.concatenate(sizes)
     own = np.ascontiguousarray(every[:, word])
     bits = np.bitwise_count(own).astype(np.int64)
     rows = np.argsort(bits[: len(a)], kind="stable")
@@ -127,9 +194,7 @@ def forest(a: np.ndarray, b: np.ndarray | None, like: Likeness, word: int, sizes
                 if like.ratio:
                     near &= np.minimum(size[x], size[y]) >= like.ratio * np.maximum(size[x], size[y])
                 x, y = x[near], y[near]
-            parent = _join(parent, x, y)
-    linked = np.flatnonzero(parent != np.arange(len(parent)))
-    return every[linked, 0], every[parent[linked], 0]
+            yield x, y
 
 
 def _join(parent: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -150,21 +215,26 @@ def agreeing(n: int) -> int:
 
 
 def links(nodes: DataFrame, like: Likeness = EXACT_BITS, tile: int = TILE) -> DataFrame:
-    """(a, b long) of nodes (fp, more, size): a spanning forest, or more, of the links, each cell for itself."""
+    """(a, b long) of nodes (fp, more, size): a spanning forest, or more, of the links, each cell for itself.
+
+    If links are to be confirmed, a and b are the two nodes' `node`; nodes with a column `part` give all links between parts.
+    """
     agree = agreeing(nodes.count()) if like.radius > 2 else 1
     bands = like.radius + agree
     cut = [64 * k // bands for k in range(bands + 1)]
     masks = [sum(((1 << (cut[k + 1] - cut[k])) - 1) << cut[k] for k in chosen) for chosen in combinations(range(bands), agree)]
     signed = lambda m: m - (1 << 64) if m >> 63 else m
     word = lambda j: F.col("fp") if not j else F.col("more")[j - 1]
-    value = lambda j, k: F.xxhash64(F.lit(j), F.lit(k), word(j).bitwiseAND(F.lit(signed(masks[k]))))
+    # The mask's number is in the key; masked bits of one word pack better than a hash.
+    value = lambda j, k: word(j).bitwiseAND(F.lit(signed(masks[k]))) if like.least else F.xxhash64(F.lit(j), F.lit(k), word(j).bitwiseAND(F.lit(signed(masks[k]))))
     if like.ratio:  # by size: like texts are in one range or in neighbouring ones
         home = lambda j: F.floor(F.log(F.greatest("size", F.lit(1))) / -math.log(like.ratio) + 1e-9).cast("int")
     else:  # by set bits
         home = lambda j: F.floor(F.bit_count(word(j)) / (like.radius + 1)).cast("int")
-    cell = lambda j, k, more: F.struct(F.lit(j).alias("word"), value(j, k).alias("value"), (home(j) + more).alias("range"), F.lit(more == 1).alias("guest"))
+    cell = lambda j, k, more: F.struct(F.lit(j + like.indexed * k).alias("word"), value(j, k).alias("value"), (home(j) + more).alias("range"), F.lit(more == 1).alias("guest"))
     cells = F.array(*(cell(j, k, more) for j in range(like.indexed) for k in range(len(masks)) for more in (0, 1)))
-    own = ["fp", "more", "size"] if like.words > 1 else ["fp"]
+    named = [c for c in ("node", "part") if c in nodes.columns] if like.least else []
+    own = [*named, "fp", "more", "size"] if like.words > 1 else ["fp"]
     members = nodes.select(*own, F.explode(cells).alias("c")).select(*own, "c.*")
     key = ["word", "value", "range"]
     # Cells without a member at home or with one member have no pairs; only of large cells tiles are cut.
@@ -183,6 +253,7 @@ def links(nodes: DataFrame, like: Likeness = EXACT_BITS, tile: int = TILE) -> Da
             every, count = np.column_stack((fps, more)).view(np.uint64), table.column("size").to_numpy()
         else:
             every, count = fps.reshape(-1, 1).view(np.uint64), None
+        node, part = (table.column(c).to_numpy() if c in named else None for c in ("node", "part"))
         guest, mine = table.column("guest").to_numpy(zero_copy_only=False), table.column("own").to_numpy()
         name = [table.column(c).to_numpy() for c in (*key, "i", "j")]
         order = np.lexsort(name)
@@ -192,11 +263,17 @@ def links(nodes: DataFrame, like: Likeness = EXACT_BITS, tile: int = TILE) -> Da
         def meet(word: int, a: np.ndarray, b: np.ndarray | None) -> None:
             if len(a) and (b is None or len(b)):
                 sizes = None if count is None else (count[a],) if b is None else (count[a], count[b])
+                if named:
+                    at = a if b is None else np.concatenate((a, b))
+                    x, y = proposals(every[a], None if b is None else every[b], like, word, sizes, None if part is None else part[at])
+                    x, y = node[at[x]], node[at[y]]
+                    got.append((np.minimum(x, y), np.maximum(x, y)))
+                    return
                 got.append(forest(every[a], None if b is None else every[b], like, word, sizes))
 
         for s, e in zip(edge[:-1], edge[1:], strict=True):
             at = order[s:e]
-            word, i, j = int(name[0][at[0]]), name[3][at[0]], name[4][at[0]]
+            word, i, j = int(name[0][at[0]]) % like.indexed, name[3][at[0]], name[4][at[0]]
             homes, guests = at[~guest[at]], at[guest[at]]
             if i == j:
                 meet(word, homes, None)
@@ -208,6 +285,7 @@ def links(nodes: DataFrame, like: Likeness = EXACT_BITS, tile: int = TILE) -> Da
                 meet(word, two, guests[mine[guests] == i])
         a, b = (np.concatenate(x) if got else np.zeros(0, np.uint64) for x in (zip(*got, strict=True) if got else ((), ())))
         a, b = np.unique(np.stack((a, b), 1), axis=0).T if len(a) else (a, b)
+        a, b = (x[a != b] for x in (a, b)) if named else (a, b)
         return pa.table({"a": pa.array(np.ascontiguousarray(a).view(np.int64)), "b": pa.array(np.ascontiguousarray(b).view(np.int64))})
 
     return dealt.groupBy("deal").applyInArrow(run, "a long, b long")
@@ -248,19 +326,62 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return fps.join(_labels(fps, id_col, like, tile), "fp").select(id_col, "fp", "component_id")
 
 
-def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", like: Likeness = SIMILAR, tile: int = TILE) -> DataFrame:
+def confirmed(pairs: DataFrame, texts: DataFrame, like: Likeness) -> DataFrame:
+    """The pairs (a, b) whose texts (node, text) share `least` of their different shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep, last, other = [], None, set()
+            b, x, y = (batch.column(c) for c in ("b", "x", "y"))
+            for k, n in enumerate(b.to_pylist()):
+                if n != last:
+                    last, other = n, shingles(y[k].as_py().encode(), like.shingle)
+                one = shingles(x[k].as_py().encode(), like.shingle)
+                both = len(one & other)
+                keep.append(both + 1e-9 >= like.least * (len(one) + len(other) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    full = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a")
+    full = full.join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
+    return full.select("a", "b", "x", "y").mapInArrow(tidy(run), "a long, b long")
+
+
+def similar_parts(docs: DataFrame, prints: DataFrame, text_col: str, like: Likeness, tile: int) -> DataFrame:
+    """(node, root) of the nodes that confirmed links join to others; prints: (node, fp, more, size) of all rows."""
+    nodes = written(prints.groupBy("node").agg(F.min(F.struct("fp", "more", "size")).alias("m")).select("node", "m.*"), few=True)
+    proposed = written(links(nodes, like, tile).distinct(), few=True)
+    touched = written(proposed.select(F.col("a").alias("node")).union(proposed.select("b")).distinct(), few=True)
+    texts = named(docs.select(F.coalesce(text_col, F.lit("")).alias("text"))).withColumnRenamed("__node", "node").join(touched, "node", "left_semi")
+    texts = written(texts.groupBy("node").agg(F.min("text").alias("text")), few=True)
+    first = written(components(confirmed(proposed, texts, like)), few=True).select(F.col("fp").alias("node"), "root")
+    # What is proposed between parts that confirmed links haven't joined yet is tried in full.
+    parts = nodes.join(touched, "node", "left_semi").join(first, "node", "left").withColumn("part", F.coalesce("root", "node")).drop("root")
+    parts = written(parts, few=True)
+    further = links(parts, like, tile).distinct().join(proposed, ["a", "b"], "left_anti")
+    part = parts.select("node", "part")
+    joined = confirmed(further, texts, like).join(part.withColumnsRenamed({"node": "a", "part": "p"}), "a").join(part.withColumnsRenamed({"node": "b", "part": "q"}), "b")
+    second = components(joined.select(F.col("p").alias("a"), F.col("q").alias("b"))).select(F.col("fp").alias("part"), "root")
+    return part.join(second, "part", "left").select("node", F.coalesce("root", "part").alias("root"))
+
+
+def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", like: Likeness = CONFIRMED, tile: int = TILE) -> DataFrame:
     """docs without near duplicates: of each component one row with its smallest id stays (a null id counts as the largest)."""
     fps = written(fingerprints(docs, like, id_col, text_col))
-    label = written(_labels(fps, id_col, like, tile), few=True)
-    stays = label.where(F.col("component_id").isNotNull()).select(F.col("component_id").alias("__stays"))
-    one = Window.partitionBy(id_col).orderBy(text_col)
-    named = docs.join(stays.distinct(), F.col(id_col) == F.col("__stays"), "left_semi")
-    named = named.withColumn("__twin", F.row_number().over(one)).where("__twin = 1").drop("__twin")
-    # Rows without an id are told apart by their fingerprints.
-    lone = label.where(F.col("component_id").isNull()).groupBy("root").agg(F.min("fp").alias("__one"))
-    nameless = fingerprints(docs.where(F.col(id_col).isNull()), like, id_col, text_col, keep=True).join(lone, F.col("__fp") == F.col("__one"))
-    nameless = nameless.withColumn("__twin", F.row_number().over(Window.partitionBy("__fp").orderBy(text_col))).where("__twin = 1")
-    return named.unionByName(nameless.select(*docs.columns))
+    if like.least:
+        rows = fps.select(id_col, F.col("node").alias("__node"))
+        part = similar_parts(docs, fps.select("node", "fp", "more", "size"), text_col, like, tile).withColumnRenamed("node", "__node")
+        own = named(docs, text_col)
+    else:
+        rows = fps.select(id_col, F.col("fp").alias("__node"))
+        part = _labels(fps, id_col, like, tile).select(F.col("fp").alias("__node"), "root")
+        own = named(docs, text_col, like)
+    # A row is known by its id and its text's words, as ids may be null or used again.
+    part = rows.join(part, "__node", "left").withColumn("root", F.coalesce("root", "__node"))
+    stays = part.groupBy("root").agg(F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "__node")).alias("m"))
+    stays = written(stays.select(F.col("m.id").alias("__stays"), F.col("m.__node").alias("__of")), few=True)
+    one = Window.partitionBy("__node").orderBy(text_col)
+    left = own.join(stays, (F.col("__node") == F.col("__of")) & F.col(id_col).eqNullSafe(F.col("__stays")), "left_semi")
+    return left.withColumn("__twin", F.row_number().over(one)).where("__twin = 1").select(*docs.columns)
 
 
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Substring, line and SimHash dedup against brute force."""
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -164,6 +165,40 @@ def test_one_of_each_group_stays(spark):
     assert first_of_each(empty(spark)).count() == 0
 
 
+def five_word_sets(t, size=5):
+    w = words((t or "").translate(LOWER))
+    return {tuple(w[k : k + size]) for k in range(max(1, len(w) - size + 1))} if w else set()
+
+
+def alike(a, b):
+    return a[1] == b[1] or 10 * len(a[1] & b[1]) >= 8 * len(a[1] | b[1])
+
+
+def edited(rng, text, n):
+    w = text.split()
+    for k in rng.sample(range(len(w)), n):
+        w[k] = f"new{rng.random()}"
+    return " ".join(w)
+
+
+@pytest.mark.parametrize("tile", [16, 8192])
+def test_near_copies_are_those_of_brute_force_similarity(spark, tile):
+    # Similarities on both sides of 0.8, and chains of them; bits alone link many pairs of 0.7 to 0.8.
+    rng, texts = random.Random(4), ["", None, "few words", "Few  words"]
+    for size in (60, 200, 400):
+        for _ in range(3):
+            texts.append(" ".join(f"w{rng.random()}" for _ in range(size)))
+            for n in (1, 2, 3, 4, 5, 6, 7, 8):
+                texts.append(edited(rng, rng.choice(texts[-n:]), max(1, size * n // 200)))
+    texts.append(texts[4] + " " + texts[4])  # the same shingles, twice as many
+    rows = list(enumerate(texts))
+    rng.shuffle(rows)
+    sets = [(k, five_word_sets(t)) for k, t in rows]
+    want = sorted(set(brute_components(sets, alike)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in first_of_each(docs, tile=tile).collect()) == want
+
+
 def test_fingerprint_of_little():
     assert fingerprint(b"") == ([0], 0) and fingerprint(b" \t", words=4) == ([0] * 4, 0)
     assert fingerprint(b"One two")[0] == [xxhash.xxh64_intdigest(b"one two", 42)]
