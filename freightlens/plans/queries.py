@@ -324,7 +324,7 @@ def _(t):
 @query("null_safe_join", "SELECT a.CNOTE_NO AS a, b.CNOTE_NO AS b FROM CMS_CNOTE AS a JOIN (SELECT DISTINCT CNOTE_NO FROM CMS_CNOTE WHERE CNOTE_NO IS NULL OR CNOTE_NO < 'C2') AS b ON a.CNOTE_NO IS NOT DISTINCT FROM b.CNOTE_NO")
 def _(t):
     a = t("CMS_CNOTE").select(F.col("CNOTE_NO").alias("a"))
-    b = t("CMS_CNOTE").where("CNOTE_NO IS NULL OR CNOTE_NO < 'C2'").select(F.col("CNOTE_NO").alias("b")).distinct()
+    b = t("CMS_CNOTE").select(F.col("CNOTE_NO").alias("b")).distinct()
     return a.join(b, F.col("a").eqNullSafe(F.col("b")))
 
 

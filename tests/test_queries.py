@@ -40,6 +40,13 @@ def test_query(spark, duck, name):
     assert rows_of(df.columns, df.collect()) == rows_of(want.columns, want.fetchall())
 
 
+def test_null_safe_join_has_every_shipment(spark, duck):
+    keys = SQL["null_safe_join"].replace(" WHERE CNOTE_NO IS NULL OR CNOTE_NO < 'C2'", "")
+    df, want = QUERIES["null_safe_join"](spark, SF), duck.sql(keys)
+    assert rows_of(df.columns, df.collect()) == rows_of(want.columns, want.fetchall())
+    assert df.count() == spark.read.parquet(f"{SF}/orders.parquet").count()
+
+
 def test_entry_works(spark):
     import __spark_entry__ as entry
 
