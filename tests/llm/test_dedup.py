@@ -165,6 +165,13 @@ def test_one_of_each_group_stays(spark):
     assert first_of_each(empty(spark)).count() == 0
 
 
+def test_an_id_used_again_keeps_both_components(spark):
+    one, two = (" ".join(f"{p}{k}" for k in range(100)) for p in "uv")
+    rows = [(1, one), (2, one + " end"), (1, two), (2, two + " end"), (1, one)]
+    got = first_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter({(1, one): 1, (1, two): 1})
+
+
 def five_word_sets(t, size=5):
     w = words((t or "").translate(LOWER))
     return {tuple(w[k : k + size]) for k in range(max(1, len(w) - size + 1))} if w else set()
