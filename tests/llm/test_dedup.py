@@ -1,6 +1,5 @@
 """Substring, line and SimHash dedup against brute force."""
 
-import hashlib
 import random
 import re
 from collections import Counter, defaultdict
@@ -11,7 +10,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from freightlens.llm.line_dedup import LineRuns, dedup_lines
-from freightlens.llm.simhash_dedup import SIMILAR, Likeness, fingerprint, first_of_each, forest, links, near_duplicates
+from freightlens.llm.simhash_dedup import Likeness, bits_of, components, first_of_each, forest, links, near_duplicates, shingle_hashes
 from freightlens.llm.substring_dedup import repeated_windows, rolled, sliding
 
 from .cases import LOWER, clashing, documents, empty
@@ -136,8 +135,8 @@ def test_links_find_all_pairs_in_reach(spark, radius, tile):
     rng = np.random.default_rng(radius)
     base = rng.integers(0, 2**63, 12, dtype=np.uint64)
     fps = sorted({int(b ^ np.bitwise_or.reduce(np.uint64(1) << rng.integers(0, 64, k, dtype=np.uint64))) for b in base for k in (1, 2, 3, 6, 9, 12)} | {0})
-    rows = [(x - 2**64 if x >> 63 else x, [], 1) for x in fps]
-    nodes = spark.createDataFrame(rows, "fp long, more array<long>, size long")
+    rows = [(x - 2**64 if x >> 63 else x, [x - 2**64 if x >> 63 else x], []) for x in fps]
+    nodes = spark.createDataFrame(rows, "node long, bits array<long>, cells array<long>")
     pairs = [(r.a % 2**64, r.b % 2**64) for r in links(nodes, Likeness(radius=radius), tile).collect()]
     own = dict((f, k) for k, f in enumerate(fps))
     label = brute_components([(k, f) for k, f in enumerate(fps)], lambda a, b: (a[1] ^ b[1]).bit_count() <= radius)
@@ -145,14 +144,22 @@ def test_links_find_all_pairs_in_reach(spark, radius, tile):
     assert brute_components([(k, k) for k in range(len(fps))], lambda a, b: frozenset((a[1], b[1])) in edges) == label
 
 
-def test_forest_skips_nothing():
+@pytest.mark.parametrize("words", [1, 2])
+def test_forest_skips_nothing(words):
     rng = np.random.default_rng(1)
-    a = np.unique(rng.integers(0, 2**12, 400, dtype=np.uint64)).reshape(-1, 1)
-    x, y = forest(a, None, Likeness(radius=1), 0, block=16)
+    a = np.unique(rng.integers(0, 2 ** (12 // words), (400, words), dtype=np.uint64), axis=0)
+    x, y = forest(a, None, 1, block=16)
     edges = {frozenset(p) for p in zip(x.tolist(), y.tolist(), strict=True)}
-    fps = a[:, 0].tolist()
-    want = brute_components(list(enumerate(fps)), lambda p, q: (p[1] ^ q[1]).bit_count() <= 1)
-    assert brute_components(list(enumerate(fps)), lambda p, q: frozenset((p[1], q[1])) in edges) == want
+    fps = [tuple(r) for r in a.tolist()]
+    want = brute_components(list(enumerate(fps)), lambda p, q: sum((u ^ v).bit_count() for u, v in zip(p[1], q[1], strict=True)) <= 1)
+    assert brute_components([(k, k) for k in range(len(fps))], lambda p, q: frozenset((p[1], q[1])) in edges) == want
+
+
+def test_components_of_a_path(spark):
+    rows = [(k, k + 1) for k in range(20)] + [(31, 30), (30, 32), (40, 40)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(rows, "a long, b long")).collect()}
+    assert got == dict.fromkeys(range(21), 0) | {30: 30, 31: 30, 32: 30}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
 def test_one_of_each_group_stays(spark):
@@ -160,7 +167,7 @@ def test_one_of_each_group_stays(spark):
     near = long.replace("w200 ", "changed ")
     rows = [(5, long), (3, near), (9, long), (9, long), (7, "something else altogether that is here"), (None, "lone text without a number of its own"), (None, "lone text without a number of its own"), (None, long)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("fp", F.lit(1))
-    got = Counter((r.doc_id, r.text) for r in first_of_each(docs, like=SIMILAR).collect())
+    got = Counter((r.doc_id, r.text) for r in first_of_each(docs).collect())
     assert got == Counter({(3, near): 1, (7, rows[4][1]): 1, (None, rows[5][1]): 1})
     assert first_of_each(empty(spark)).count() == 0
 
@@ -188,8 +195,8 @@ def edited(rng, text, n):
     return " ".join(w)
 
 
-@pytest.mark.parametrize("tile", [16, 8192])
-def test_near_copies_are_those_of_brute_force_similarity(spark, tile):
+@pytest.mark.parametrize("tile, hashes", [(4, 1 << 21), (4096, 1 << 21), (4096, 500)])
+def test_near_copies_are_those_of_brute_force_similarity(spark, tile, hashes):
     # Similarities on both sides of 0.8, and chains of them; bits alone link many pairs of 0.7 to 0.8.
     rng, texts = random.Random(4), ["", None, "few words", "Few  words"]
     for size in (60, 200, 400):
@@ -203,13 +210,14 @@ def test_near_copies_are_those_of_brute_force_similarity(spark, tile):
     sets = [(k, five_word_sets(t)) for k, t in rows]
     want = sorted(set(brute_components(sets, alike)))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    assert sorted(r.doc_id for r in first_of_each(docs, tile=tile).collect()) == want
+    assert sorted(r.doc_id for r in first_of_each(docs, tile=tile, tile_hashes=hashes).collect()) == want
 
 
 def test_fingerprint_of_little():
-    assert fingerprint(b"") == ([0], 0) and fingerprint(b" \t", words=4) == ([0] * 4, 0)
-    assert fingerprint(b"One two")[0] == [xxhash.xxh64_intdigest(b"one two", 42)]
-    assert hashlib.sha256(repr(fingerprint("ä b c d".encode())).encode()).hexdigest() == hashlib.sha256(repr(([brute_fingerprint("ä b c d")], 2)).encode()).hexdigest()
+    bits = lambda t, words=1: bits_of(shingle_hashes(t, 3), words)
+    assert bits(b"") == [0] and bits(b" \t", 4) == [0] * 4 and len(shingle_hashes(b"", 3)) == 0
+    assert bits(b"One two") == [xxhash.xxh64_intdigest(b"one two", 42)]
+    assert bits("ä b c d".encode()) == [brute_fingerprint("ä b c d")]
 
 
 def test_shared_tables_can_be_cleared(spark):

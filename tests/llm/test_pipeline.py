@@ -11,11 +11,11 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from freightlens.llm import quality_cnn, simhash_dedup, source_mixing
+from freightlens.llm import quality_cnn, source_mixing
 from freightlens.llm.queries import oracle_sql, queries
 from freightlens.llm.sentencepiece_viterbi import default_model
 
-from .test_dedup import brute_components, brute_lines
+from .test_dedup import alike, brute_components, brute_lines, five_word_sets
 
 ROOT = Path(__file__).resolve().parents[2]
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -65,16 +65,9 @@ def test_stages(spark, tmp_path):
     assert all(r.n_chars == len(r.text) for r in lines.collect())
 
     once = stage(2, lines)
-    like = simhash_dedup.SIMILAR
-    prints = [(d, simhash_dedup.fingerprint(t.encode(), like.shingle, like.words)) for d, t in rows(lines)]
-
-    def linked(a, b):
-        (x, n), (y, m) = a[1], b[1]
-        apart = [(p ^ q).bit_count() for p, q in zip(x, y, strict=True)]
-        return not apart[0] or min(apart[: like.indexed]) <= like.radius and sum(apart) <= like.total and min(n, m) >= like.ratio * max(n, m)
-
-    stays = Counter(set(brute_components(prints, linked)))
-    assert Counter(d for d, _ in rows(once)) == stays and len(stays) < len(prints)
+    sets = [(d, five_word_sets(t)) for d, t in rows(lines)]
+    stays = Counter(set(brute_components(sets, alike)))
+    assert Counter(d for d, _ in rows(once)) == stays and len(stays) < len(sets)
 
     mix = stage(3, once)
     levels = once.select("doc_id", "text", *(c.alias(n) for n, c in source_mixing.levels().items())).collect()
