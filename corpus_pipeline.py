@@ -30,7 +30,7 @@ def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that links of a five-word similarity of 0.8 or more join; fingerprints propose, the texts decide."""
-    return simhash_dedup.first_of_each(docs.select(*COLUMNS), like=simhash_dedup.CONFIRMED)
+    return simhash_dedup.first_of_each(docs.select(*COLUMNS))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
