@@ -284,16 +284,62 @@ def test_license_scan(spark):
     assert license_scan.scanned(empty(spark)).count() == 0
 
 
-def test_bounds_lose_nothing():
+def common_in_order(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last = 0
+        for k, y in enumerate(b):
+            row[k + 1], last = (last + 1 if x == y else max(row[k + 1], row[k])), row[k + 1]
+    return row[-1]
+
+
+def test_notices_with_words_between_are_covered_whole():
+    scanner, notice = license_scan.Scanner(license_scan.TEMPLATES, 0.8), license_scan.TEMPLATES["MIT"].split()
+    for every, between in ((3, 2), (3, 4), (1, 30)):
+        text = " ".join(x + " comment" * (between if k % every == 0 else 0) for k, x in enumerate(notice))
+        got = [x[:2] for x in scanner.scan((("filler " * 500) + text + " more" * 500).encode())]
+        assert got == [("MIT", 1.0)]
+
+
+def test_all_copies_are_reported_in_the_right_order():
+    scanner = license_scan.Scanner(license_scan.TEMPLATES, 0.8)
+    text = "License MIT the under released. " + "Released under the MIT License. Any words. " * 4 + license_scan.TEMPLATES["MIT"] + " and " + license_scan.TEMPLATES["MIT"].upper()
+    got = Counter(x[:2] for x in scanner.scan(text.encode()))
+    assert got == {("MIT-short", 1.0): 4, ("MIT", 1.0): 2}
+    assert scanner.scan(b"License MIT the under released " * 20 + b"x") == [] or all(x[1] >= 0.8 for x in scanner.scan(b"License MIT the under released " * 20))
+
+
+def test_scan_against_brute_force():
+    # A template is found where, and only where, some stretch of the text holds 0.8 of it in order and patience can align it.
     rng = random.Random(8)
     scanner = license_scan.Scanner(license_scan.TEMPLATES, 0.8)
-    for _ in range(100):
-        name, toks, need, length = rng.choice(scanner.templates)
-        text = [x for x in toks if rng.random() < 0.93]
-        stretch = [b"zz"] * rng.randint(0, 20) + text + [b"yy"] * 5
-        match = max(len(license_scan.patience(stretch[s : s + length], toks)) for s in range(len(stretch)))
-        hit = name in {x[0] for x in scanner.scan(b" ".join(stretch))}
-        assert hit or match < 0.8 * len(toks) or len(license_scan.patience(stretch[license_scan.stretch(list(range(len(stretch))), stretch, need, length)[1] :][:length], toks)) < 0.8 * len(toks)
+    for round_ in range(150):
+        t = rng.choice(scanner.templates)
+        text = []
+        for _ in range(rng.randint(1, 3)):
+            text += [b"zz"] * rng.randint(0, 20) + [x for x in t.tokens if rng.random() < rng.choice([0.75, 0.85, 0.95])]
+            text += rng.sample(t.tokens, 3) if round_ % 2 else []
+        got = [x for x in scanner.scan(b" ".join(text)) if x[0] == t.name]
+        whole = license_scan.patience(text, t.tokens)
+        assert not got or common_in_order(text, t.tokens) >= t.enough
+        assert got or len(whole) < t.enough
+        for _, covered, a, b in got:
+            assert covered >= 0.8 and common_in_order(text[a : b + 1], t.tokens) >= covered * len(t.tokens) - 1e-9
+        assert all(x[3] < y[2] for x, y in zip(got, got[1:], strict=False))
+        row = t.full
+        for k, x in enumerate(text):  # the bound is the longest common subsequence
+            if x in t.need:
+                both = row & t.ahead[x]
+                row = (row + both | row - both) & t.full
+            if k % 7 == 0:
+                assert len(t.tokens) - row.bit_count() == common_in_order(text[: k + 1], t.tokens)
+
+
+def test_tokens_of_long_texts_are_those_of_pieces():
+    text = ("Some words of the license, a" + "b" * 300 + " x.y\n") .encode() * 40
+    every = license_scan.tokens_of(text)
+    places, found = license_scan.known_tokens(text, {b"the", b"x", b"a" + b"b" * 300}, piece=64)
+    assert found == [every[k] for k in places] and len(found) == 120
 
 
 # Mixing.
