@@ -2,18 +2,20 @@
 
 Writing ("fl_media" as a sink): each task streams its rows into archives of its own in a folder of shared storage. An
 archive holds members one after another (a small header, the name, the media bytes) and ends with a directory of
-their offsets; it rolls at `roll_bytes`. A task's archives have names of its own attempt, and only the commit lists
-them, so what a lost or repeated attempt leaves behind is never read.
+their offsets; it rolls at `roll_bytes`. A task's archives have names of its own attempt, and only a commit lists them,
+so what a lost or repeated attempt leaves behind is never read. Every write leaves a list of its own, so appending adds
+to what is there.
 
 Reading: the driver lists the committed archives and cuts each in byte ranges of `range_bytes`; it doesn't open them.
-A task reads its archive's directory, takes the members whose offsets lie in its range, and streams them through Arrow
-in batches of bounded bytes. Each member is read and checked (length and CRC-32) by itself; one that fails is retried
-at its own offset after the file is opened anew, `retries` times, and after that fails the task: rows are never
-skipped. Every member is in one range only.
+A task reads its archive's directory, takes the members whose offsets lie in its range, reads neighbouring ones in
+requests of `batch_bytes`, and streams them through Arrow in batches of as many bytes. Each member is checked (length
+and CRC-32) by itself; one that fails, or whose request fails, is retried at its own offset after the file is opened
+anew, `retries` times, and after that fails the task: rows are never skipped. Every member is in one range only.
 
 The medium here is a grey PNG 192 samples wide: a payload's bytes are its samples, so the payload comes back whole.
-Payloads are the text's UTF-8 bytes (null: none) with bytes 32 up to a positive multiple of 192. Repeated rows are
-members of their own; a null id is kept as null. Extra columns are left out. An empty table makes no archive.
+Payloads are the text's UTF-8 bytes (null: none) with bytes 32 up to a positive multiple of 192. Ids are kept as text, of
+any type; a null id is kept as null. Repeated rows are members of their own, of equal bytes. A very long text is one
+member, read in one piece. Extra columns are left out. An empty table makes no archive.
 """
 
 from __future__ import annotations
@@ -39,9 +41,10 @@ from .common import placed, tidy
 SIDE = 192
 #: A PNG file's signature, and the filter byte of an unfiltered row.
 PNG_SIGNATURE = b"\x89PNG\r\n\x1a\n"
-_MEMBER = struct.Struct("<4sIqI")  # mark, media CRC-32, id (or the least number for null), media bytes
+_MEMBER = struct.Struct("<4sIiI")  # mark, CRC-32 of name and media, the name's bytes (-1: a null id), media bytes
 _TAIL = struct.Struct("<qI4s")  # the directory's offset, its CRC-32, mark
-_MARK, _NONE = b"FLM1", -(1 << 63)
+_MARK = b"FLM2"
+_COMMITTED = "_committed-"
 
 
 def store(url: str) -> tuple[pafs.FileSystem, str]:
@@ -111,11 +114,12 @@ class _Archive:
     def __init__(self, fs: pafs.FileSystem, path: str):
         self.out, self.at, self.offsets = fs.open_output_stream(path), 0, []
 
-    def add(self, number: int | None, media: bytes) -> None:
-        head = _MEMBER.pack(_MARK, zlib.crc32(media), _NONE if number is None else number, len(media))
+    def add(self, name: bytes | None, media: bytes) -> None:
+        body = (name or b"") + media
+        head = _MEMBER.pack(_MARK, zlib.crc32(body), -1 if name is None else len(name), len(media))
         self.offsets.append(self.at)
-        self.out.write(head + media)
-        self.at += len(head) + len(media)
+        self.out.write(head + body)
+        self.at += len(head) + len(body)
 
     def close(self) -> None:
         directory = np.array(self.offsets, "<i8").tobytes()
@@ -132,11 +136,11 @@ class _Writer(DataSourceArrowWriter):
         fs.create_dir(folder, recursive=True)
         names, archive = [], None
         for batch in iterator:
-            for number, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
+            for name, text in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
                 if archive is None:
                     names.append(f"{uuid.uuid4().hex}.flm")
                     archive = _Archive(fs, f"{folder}/{names[-1]}")
-                archive.add(number, png_of(text.as_py() or b""))
+                archive.add(name, png_of(text.as_py() or b""))
                 if archive.at >= self.roll:
                     archive.close()
                     archive = None
@@ -147,8 +151,11 @@ class _Writer(DataSourceArrowWriter):
     def commit(self, messages: list) -> None:
         fs, folder = store(self.url)
         fs.create_dir(folder, recursive=True)
-        with fs.open_output_stream(f"{folder}/_committed.json") as out:
+        # Readers see the list under its last name only, whole.
+        name = uuid.uuid4().hex
+        with fs.open_output_stream(f"{folder}/_new-{name}") as out:
             out.write(json.dumps(sorted(x for m in messages if m for x in m.names)).encode())
+        fs.move(f"{folder}/_new-{name}", f"{folder}/{_COMMITTED}{name}.json")
 
     def abort(self, messages: list) -> None:
         fs, folder = store(self.url)
@@ -180,27 +187,56 @@ class MemberReader:
                 if not left:
                     raise
 
-    def offsets(self) -> np.ndarray:
+    def offsets(self) -> tuple[np.ndarray, int]:
+        """The members' offsets and where the last one ends."""
+
         def read(f):
             size = f.size()
             at, crc, mark = _TAIL.unpack(f.read_at(_TAIL.size, size - _TAIL.size))
             directory = f.read_at(size - _TAIL.size - at, at)
             if mark != _MARK or zlib.crc32(directory) != crc:
                 raise ValueError("a damaged directory")
-            return np.frombuffer(directory, "<i8")
+            return np.frombuffer(directory, "<i8"), at
 
         return self._again(read)
 
-    def member(self, at: int) -> tuple[int | None, bytes]:
+    def member(self, at: int) -> tuple[bytes | None, bytes]:
         def read(f):
-            mark, crc, number, n = _MEMBER.unpack(f.read_at(_MEMBER.size, at))
-            media = f.read_at(n, at + _MEMBER.size)
-            if mark != _MARK or zlib.crc32(media) != crc:
-                raise ValueError("a damaged member")
-            return None if number == _NONE else number, media
+            return parsed(f.read_at(_MEMBER.size + sum(sizes_of(f.read_at(_MEMBER.size, at))), at))
 
         return self._again(read)
 
+    def members(self, at: int, end: int, offsets: list[int]) -> Iterator[tuple[bytes | None, bytes]]:
+        """The members at these offsets, from one request for the bytes up to end; those that come out damaged are read by themselves."""
+        try:
+            if self.file is None:
+                self.file = self.fs.open_input_file(self.path)
+            data = self.file.read_at(end - at, at)
+        except OSError:
+            self.file, data = None, b""
+        for start, stop in zip(offsets, [*offsets[1:], end], strict=True):
+            try:
+                yield parsed(data[start - at : stop - at])
+            except (ValueError, struct.error):
+                yield self.member(start)
+
+
+def sizes_of(head: bytes) -> tuple[int, int]:
+    mark, _, name, media = _MEMBER.unpack(head[: _MEMBER.size])
+    if mark != _MARK:
+        raise ValueError("not a member")
+    return max(0, name), media
+
+
+def parsed(data: bytes) -> tuple[bytes | None, bytes]:
+    """A member's name and media, tested against its header."""
+    _, crc, named, _ = _MEMBER.unpack(data[: _MEMBER.size])
+    name, media = sizes_of(data)
+    body = data[_MEMBER.size :]
+    if len(body) != name + media or zlib.crc32(body) != crc:
+        raise ValueError("a damaged member")
+    return None if named < 0 else body[:name], body[name:]
+
 
 class _Reader(DataSourceReader):
     def __init__(self, options: dict):
@@ -209,8 +245,12 @@ class _Reader(DataSourceReader):
 
     def partitions(self) -> list[_Range]:
         fs, folder = store(self.url)
-        with fs.open_input_stream(f"{folder}/_committed.json") as f:
-            names = json.loads(f.read())
+        names = []
+        for x in fs.get_file_info(pafs.FileSelector(folder, allow_not_found=True)):
+            if x.base_name.startswith(_COMMITTED):
+                with fs.open_input_stream(x.path) as f:
+                    names += json.loads(f.read())
+        names.sort()
         sizes = [x.size for x in fs.get_file_info([f"{folder}/{n}" for n in names])]
         return [_Range(n, a, a + self.cut) for n, size in zip(names, sizes, strict=True) for a in range(0, size, self.cut)] or [_Range("", 0, 0)]
 
@@ -219,29 +259,26 @@ class _Reader(DataSourceReader):
             return
         fs, folder = store(self.url)
         reader = MemberReader(fs, f"{folder}/{partition.name}", self.retries)
-        offsets, ids, media, size = reader.offsets(), [], [], 0
-        batch = lambda: pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(media, pa.binary())], ["id", "media"])
-        for at in offsets[np.searchsorted(offsets, partition.start) : np.searchsorted(offsets, partition.end)].tolist():
-            number, data = reader.member(at)
-            ids.append(number)
-            media.append(data)
-            size += len(data)
-            if size >= self.batch or len(ids) >= 1000:
-                yield batch()
-                ids, media, size = [], [], 0
-        if ids:
-            yield batch()
+        offsets, last = reader.offsets()
+        edges = np.append(offsets, last)
+        at, upto = np.searchsorted(offsets, partition.start), np.searchsorted(offsets, partition.end)
+        while at < upto:
+            end = min(upto, max(at + 1, int(np.searchsorted(edges, edges[at] + self.batch, "right")) - 1), at + 1000)
+            found = list(reader.members(int(edges[at]), int(edges[end]), edges[at:end].tolist()))
+            ids, media = zip(*found, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()).cast(pa.string()), pa.array(media, pa.binary())], ["id", "media"])
+            at = end
 
 
 class MediaSource(DataSource):
-    """Reads (id long, media binary); writes (id long, text string)."""
+    """Reads (id string, media binary); writes (id string, text string)."""
 
     @classmethod
     def name(cls) -> str:
         return "fl_media"
 
     def schema(self) -> str:
-        return "id long, media binary"
+        return "id string, media binary"
 
     def reader(self, schema: StructType) -> DataSourceReader:
         return _Reader(self.options)
@@ -254,16 +291,16 @@ def archive(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     """Writes each text as an image into archives in the folder `path`."""
     spark = docs.sparkSession
     spark.dataSource.register(MediaSource)
-    docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).write.format("fl_media").options(path=path, **{k: str(v) for k, v in options.items()}).mode("append").save()
+    docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text")).write.format("fl_media").options(path=path, **{k: str(v) for k, v in options.items()}).mode("append").save()
 
 
 def members(spark: SparkSession, path: str, **options) -> DataFrame:
-    """(id long, media binary) of all members."""
+    """(id string, media binary) of all members."""
     spark.dataSource.register(MediaSource)
     return spark.read.format("fl_media").options(path=path, **{k: str(v) for k, v in options.items()}).load()
 
 
-DECODED = "id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+DECODED = "id string, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
 
 def decoded(found: DataFrame) -> DataFrame:
@@ -278,7 +315,7 @@ def decoded(found: DataFrame) -> DataFrame:
                 payload = samples.tobytes()
                 rows.append((number, length, len(payload), sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(png), sha256(png).hexdigest(), feature_of(samples)))
             columns = list(zip(*rows, strict=True)) or [[]] * 8
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+            kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [x.split()[0] for x in DECODED.split(", ")])
 
     return found.mapInArrow(tidy(run), DECODED)
@@ -288,4 +325,5 @@ def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text stored as an image in archives, read back and measured."""
     path = placed(spark, "media")
     archive(spark.read.parquet(f"{sf_dir}/documents.parquet"), path)
-    return decoded(members(spark, path)).withColumnRenamed("id", "doc_id")
+    found = decoded(members(spark, path))
+    return found.select(F.col("id").cast("long").alias("doc_id"), *found.columns[1:])

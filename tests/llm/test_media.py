@@ -1,6 +1,7 @@
 """The media source: exact round trips, ranges, retries of single members, and what isn't committed."""
 
 import hashlib
+import math
 import zlib
 from collections import Counter
 
@@ -30,15 +31,39 @@ def test_round_trip_of_a_table(spark, options):
     docs = documents(spark)
     path = f"{shared_dir(spark)}/media-{len(options)}"
     m.archive(clashing(docs, "id", "media"), path, **options)
-    got = Counter((r.id, r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) for r in m.decoded(m.members(spark, path, **options)).collect())
+    got = Counter(tuple(r) for r in m.decoded(m.members(spark, path, **options)).collect())
     want = Counter()
     for r in docs.collect():
         text = (r.text or "").encode()
-        payload = m.payload_of(text)
-        want[r.doc_id, len(text), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:])] += 1
+        payload, png = m.payload_of(text), m.png_of(text)
+        want[None if r.doc_id is None else str(r.doc_id), len(text), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(png), hashlib.sha256(png).hexdigest(), slow_feature(payload)] += 1
     assert got == want
 
 
+def slow_feature(payload):
+    rows = [payload[k : k + 192] for k in range(0, len(payload), 192)]
+    n, mean = len(payload), sum(payload) / len(payload)
+    deviation = max(0.0, sum(x * x for x in payload) / n - mean * mean) ** 0.5
+    step = sum(abs(x - y) for r in rows for x, y in zip(r, r[1:], strict=False)) / (len(rows) * 191)
+    entropy = -sum(payload.count(x) / n * math.log2(payload.count(x) / n) for x in set(payload))
+    return f"rows={len(rows)};mean={mean:.4f};dev={deviation:.4f};step={step:.4f};entropy={entropy:.4f}"
+
+
+def test_appending_adds_and_ids_are_of_any_type(spark):
+    path = f"{shared_dir(spark)}/media-twice"
+    for name, text in (("a/1", "first"), ("-9223372036854775808", "second"), (None, "third"), ("", "fourth")):
+        m.archive(spark.createDataFrame([(name, text)], "doc_id string, text string"), path)
+    got = {r.id: bytes(r.media) for r in m.members(spark, path).collect()}
+    assert got == {n: m.png_of(t) for n, t in (("a/1", b"first"), ("-9223372036854775808", b"second"), (None, b"third"), ("", b"fourth"))}
+
+
+def test_a_very_long_text_is_one_member(spark):
+    path, text = f"{shared_dir(spark)}/media-long", "words of a long text \n" * 400_000
+    m.archive(spark.createDataFrame([(1, text), (2, "x")], "doc_id long, text string"), path)
+    got = {r.id: r.n_bytes for r in m.decoded(m.members(spark, path)).collect()}
+    assert got == {"1": len(text), "2": 1}
+
+
 def test_empty_table(spark):
     path = f"{shared_dir(spark)}/media-empty"
     m.archive(empty(spark), path)
@@ -81,20 +106,28 @@ class FlakyFile:
 
 
 def test_members_are_retried_by_offset(tmp_path):
-    fs = pafs.LocalFileSystem()
-    archive = m._Archive(fs, str(tmp_path / "a.flm"))
+    fs, path = pafs.LocalFileSystem(), str(tmp_path / "a.flm")
+    archive = m._Archive(fs, path)
     for k in range(4):
-        archive.add(k if k else None, m.png_of(b"text %d" % k))
+        archive.add(b"%d" % k if k else None, m.png_of(b"text %d" % k))
     archive.close()
-    offsets = m.MemberReader(fs, str(tmp_path / "a.flm"), 0).offsets().tolist()
+    offsets, end = m.MemberReader(fs, path, 0).offsets()
+    offsets = offsets.tolist()
     flaky = Flaky(fs, {offsets[2]: 2})
-    reader = m.MemberReader(flaky, str(tmp_path / "a.flm"), 3)
-    assert [reader.member(at)[0] for at in reader.offsets().tolist()] == [None, 1, 2, 3]
+    reader = m.MemberReader(flaky, path, 3)
+    assert [reader.member(at)[0] for at in offsets] == [None, b"1", b"2", b"3"]
     assert flaky.opened == 3
     with pytest.raises(OSError):
-        m.MemberReader(Flaky(fs, {offsets[1]: 9}), str(tmp_path / "a.flm"), 2).member(offsets[1])
+        m.MemberReader(Flaky(fs, {offsets[1]: 9}), path, 2).member(offsets[1])
+    # A request for all of them that fails is made up for by requests for each; so is one that brings damaged bytes.
+    lost = m.MemberReader(Flaky(fs, {offsets[0]: 1}), path, 1)
+    assert [x[0] for x in lost.members(offsets[0], end, offsets)] == [None, b"1", b"2", b"3"]
     data = bytearray((tmp_path / "a.flm").read_bytes())
     data[offsets[3] + 30] ^= 1
     (tmp_path / "a.flm").write_bytes(data)
     with pytest.raises(ValueError):
-        m.MemberReader(fs, str(tmp_path / "a.flm"), 1).member(offsets[3])
+        m.MemberReader(fs, path, 1).member(offsets[3])
+    damaged = m.MemberReader(fs, path, 1).members(offsets[0], end, offsets)
+    assert [next(damaged)[0] for _ in range(3)] == [None, b"1", b"2"]
+    with pytest.raises(ValueError):
+        next(damaged)
