@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +20,7 @@ SPACE_BYTES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+_GOLDEN, _LONG_WORD = np.uint64(0x9E3779B97F4A7C15), 256
 _SPACE = np.zeros(256, bool)
 _SPACE[list(SPACE_BYTES)] = True
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -102,35 +104,23 @@ class Words:
         return np.diff(self.first)
 
     def hashes(self, seed: int) -> np.ndarray:
-        """64-bit hash of each word: a polynomial over seeded byte values, finalised with the length."""
-        rng = np.random.default_rng(seed)
-        value = rng.integers(1, 1 << 63, 256, dtype=np.uint64)
-        base = int(rng.integers(1, 1 << 62)) * 2 + 1
-        inverse = pow(base, -1, 1 << 64)
-        out, n = np.empty(len(self), np.uint64), len(self)
-        at = 0
-        while at < n:  # in stretches of some MB, so that the powers stay few
-            low = self.start[at]
-            upto = max(at + 1, int(np.searchsorted(self.end, low + (1 << 21), "right")))
-            size = int(self.end[upto - 1] - low)
-            up, down = _powers(base, size), _powers(inverse, size)
-            total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(value[self.buf[low : low + size]] * up[:size], dtype=np.uint64)))
-            s, e = self.start[at:upto] - low, self.end[at:upto] - low
-            out[at:upto] = (total[e] - total[s]) * down[s] + (e - s).astype(np.uint64) * value[7]
-            at = upto
-        return mix(out)
-
-
-_POWERS: dict[int, np.ndarray] = {}
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    got = _POWERS.get(base)
-    if got is None or len(got) < n + 1:
-        got = np.full(max(n + 1, (1 << 21) + (1 << 12)), base, np.uint64)
-        got[0] = 1
-        _POWERS[base] = got = np.cumprod(got, dtype=np.uint64)
-    return got
+        """64-bit hash of each word: its blocks of 8 bytes go one after another through a finaliser that starts with seed and length.
+
+        Each step mixes all bits, so repeating patterns in long words cancel nothing out. Very long words take XXH64.
+        """
+        n = self.end - self.start
+        out = mix(np.full(len(n), seed, np.uint64) + n.astype(np.uint64) * _GOLDEN)
+        blocks = np.ndarray((len(self.buf),), "<u8", np.concatenate((self.buf, np.zeros(8, np.uint8))), 0, (1,))
+        at = np.flatnonzero(n <= _LONG_WORD)
+        start, left = self.start[at], n[at]
+        while len(at):
+            keep = ~np.uint64(0) >> (np.uint64(64) - 8 * np.minimum(left, 8).astype(np.uint64))
+            out[at] = mix(out[at] ^ (blocks[start] & keep))
+            more = left > 8
+            at, start, left = at[more], start[more] + 8, left[more] - 8
+        for k in np.flatnonzero(n > _LONG_WORD).tolist():
+            out[k] = xxhash.xxh64_intdigest(self.buf[self.start[k] : self.end[k]].tobytes(), seed)
+        return out
 
 
 def texts_of(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
@@ -152,7 +142,7 @@ def is_scan(df: DataFrame) -> bool:
     """Whether df only reads files, projects and filters."""
     plan = df._jdf.queryExecution().optimizedPlan()
     nodes = {m[1] for line in plan.toString().splitlines() if (m := re.match(r"[\s:+|-]*(\w+)", line))}
-    return plan.deterministic() and nodes <= {"Project", "Filter", "Relation", "RelationV2"}
+    return plan.deterministic() and nodes <= {"Project", "Filter", "Relation"}
 
 
 def text_bytes(df: DataFrame, text_col: str) -> int:

@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,7 +27,9 @@ def pack(df: DataFrame, text_col: str, keep: list[str], pack_bytes: int = PACK_B
 
     Cut by bytes of text, so one long text makes a pack of its own. Empty input makes no pack. Packs are used more
     than once and must be the same each time: over a plain scan of files they are made anew, as a scan's partitions
-    and their rows are the same each time; anything else is written to the shared folder first.
+    and their rows are the same each time; anything else is written to the shared folder first. A pack's number is a
+    digest of its place and content, so if a pack came out different the next time, answers to it would reach no pack,
+    which is an error.
     """
 
     def packs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -35,8 +38,9 @@ def pack(df: DataFrame, text_col: str, keep: list[str], pack_bytes: int = PACK_B
         task, n, held, size = TaskContext.get().partitionId(), 0, [], 0
 
         def row() -> pa.RecordBatch:
-            table = pa.Table.from_batches(held).combine_chunks()
-            return pa.RecordBatch.from_arrays([pa.array([(task << 32) + n]), pa.array([shrunk(table)], pa.binary())], ["pack", "data"])
+            data = shrunk(pa.Table.from_batches(held).combine_chunks())
+            number = xxhash.xxh64_intdigest(data, (task << 32) + n) - (1 << 63)
+            return pa.RecordBatch.from_arrays([pa.array([number]), pa.array([data], pa.binary())], ["pack", "data"])
 
         for batch in batches:
             ends = np.cumsum([len(x) for x in texts_of(batch.column("text"))])

@@ -1,17 +1,17 @@
 """Substring dedup: a count-min prefilter over partition sketches, then exact grouping of what may repeat.
 
-First pass. Every pack of documents builds a sparse count-min sketch of two rows; the sketches are merged counter by
-counter in the blocks of the counter space. What is counted is not each window but each window's minimisers: the
-smallest hash among the 16-word runs inside it. Two equal windows at different places have their minimisers at
-different places, so a counter is at least the number of windows that hash to it, and about a tenth as many numbers
-travel. The space has a constant number of counters for each word of the corpus, so false alarms don't grow.
+First pass. Every pack of documents counts its windows in a count-min sketch of two rows, kept sparse; the sketches are
+merged by adding counter to counter in the blocks of the counter space. A counter is at least the number of windows that
+hash to it, so a window that repeats has counters of 2 or more in both rows. The space has a constant number of counters
+for each word of the corpus, so false alarms don't grow.
 
-Second pass. Windows whose counters are 2 or more in both rows are grouped exactly, by 128 bits of two independent
-hashes over their words; the rest cannot repeat. Each pack hears which of its windows do. Nothing is lost, capped or
-gathered in one place: copies of a passage share a counter or a key, which is a sum over at most one entry a place.
+Second pass. Windows whose counters say so are grouped exactly, by 128 bits of two hashes over their words with seeds of
+their own; the rest cannot repeat. Each pack sends a different window once, with its count, and hears which of them occur
+twice or more in all. Nothing is lost, capped or gathered in one place: copies of a passage are one sum.
 
 Windows are judged on the input. Null texts have no words; a text shorter than a window loses nothing; repeated rows
-are copies like any others and so lose their windows, both. Extra columns are left out; a null id stays null.
+are copies like any others and so lose their windows, both. A very long text is a pack of its own. An empty table has no
+rows. Extra columns are left out; a null id stays null.
 """
 
 from __future__ import annotations
@@ -25,147 +25,133 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Words, ceil_div, mix, power_of_two, text_bytes, texts_of
-from .packs import REQUEST, answer, ask, deal, expand, keys_of, meet, pack, squeeze
+from .packs import _REQUEST, REQUEST, answer, ask, deal, expand, keys_of, meet, pack, squeeze
 
-GRAM = 16
 #: Keys that a task has in hand at a time.
 BLOCK_KEYS = 500_000
-_SALT = np.uint64(0x9E3779B97F4A7C15)
 _SALTS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0x3C6EF372FE94F82A))
 _BASES = (np.uint64(0xD1342543DE82EF95), np.uint64(0xAF251AF3B0F025B5))
 
 
-def rolled(h: np.ndarray, sizes: list[int], base: np.uint64) -> list[np.ndarray]:
-    """Polynomial hashes of all runs of each size, put together from runs whose lengths are powers of two."""
-    powers, run, length, p = {}, h, 1, base
-    while length <= max(sizes):
-        powers[length] = (run, p)
-        if len(run) > length:
-            run = run[:-length] * p + run[length:]
-        else:
-            run = run[:0]
-        p, length = np.uint64(int(p) * int(p) & ((1 << 64) - 1)), length * 2
-    out = []
-    for size in sizes:
-        n, got, done = max(0, len(h) - size + 1), None, 0
-        for k in sorted(powers, reverse=True):
-            if size & k:
-                run, p = powers[k]
-                part = run[done : done + n]
-                got = part.copy() if got is None else got * p + part
-                done += k
-        out.append(got[:n])
-    return out
-
-
-def sliding(a: np.ndarray, n: int, op) -> np.ndarray:
-    """op over each n neighbours, by doubling; shorter by n - 1."""
-    have, out = 1, a
-    while have < n:
-        step = min(have, n - have)
-        out = op(out[:-step], out[step:])
-        have += step
-    return out
+def rolled(h: np.ndarray, size: int, base: np.uint64) -> np.ndarray:
+    """A hash of each run of `size` values, put together from runs whose lengths are powers of two.
+
+    Each time two runs are joined high bits are folded into low ones, so that patterns of repeating words don't cancel out.
+    """
+
+    def join(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        x = a * base + b
+        x ^= x >> np.uint64(32)
+        x *= _SALTS[0]
+        return x
+
+    n, got, done, run, length = max(0, len(h) - size + 1), None, 0, h, 1
+    while length <= size:
+        if size & length:  # the parts of a run in the order of their lengths, the shortest first
+            part = run[done : done + n]
+            got = part.copy() if got is None else join(got, part)
+            done += length
+        run = join(run[:-length], run[length:]) if len(run) > length else run[:0]
+        length *= 2
+    return mix(got[:n])
 
 
 class _Windows:
-    """A pack's windows: ok (whole inside one text), and each one's smallest run."""
+    """A pack's windows: ok tells those whole inside one text."""
 
     def __init__(self, table: pa.Table, size: int):
-        self.texts = texts_of(table.column("text"))
-        self.words = w = Words(self.texts)
-        self.n = max(0, len(w) - size + 1)
-        self.size, self.gram = size, min(GRAM, size)
-        self.ok = np.zeros(self.n, bool)
-        if self.n:
-            self.h = w.hashes(1)
-            change = np.zeros(self.n + 1, np.int64)
-            low, high = w.first[:-1], w.first[1:] - size + 1
-            some = high > low
-            np.add.at(change, low[some], 1)
-            np.add.at(change, high[some], -1)
-            self.ok = np.cumsum(change[:-1]) > 0
-            self.grams = mix(rolled(self.h, [self.gram], _BASES[0])[0])
-            self.least = sliding(self.grams, size - self.gram + 1, np.minimum)
-
-    def minimisers(self) -> np.ndarray:
-        if not self.n:
-            return np.zeros(0, np.uint64)
-        span = self.size - self.gram + 1
-        pad = np.zeros(span - 1, np.uint64)
-        most = sliding(np.concatenate((pad, np.where(self.ok, self.least, np.uint64(0)), pad)), span, np.maximum)
-        return self.grams[most == self.grams]
-
-    def keys(self, at: np.ndarray) -> np.ndarray:
-        one = rolled(self.h, [self.size], _BASES[0])[0][at]
-        two = rolled(self.words.hashes(2), [self.size], _BASES[1])[0][at]
-        return np.stack((mix(one), mix(two + _SALT)), 1)
-
-
-def _row(grams: np.ndarray, row: int, bits: int) -> np.ndarray:
-    return mix(grams + _SALTS[row]) >> np.uint64(64 - bits)
-
-
-def repeated_windows(texts: DataFrame, text_col: str = "text", keep: tuple[str, ...] = (), size: int = 35, counters_per_word: float = 4.0) -> DataFrame:
+        self.words = w = Words(texts_of(table.column("text")))
+        self.size, n = size, max(0, len(w) - size + 1)
+        change = np.zeros(n + 1, np.int64)
+        low, high = w.first[:-1], w.first[1:] - size + 1
+        some = high > low
+        np.add.at(change, low[some], 1)
+        np.add.at(change, high[some], -1)
+        self.ok = np.flatnonzero(np.cumsum(change[:-1]) > 0)
+
+    def lane(self, k: int) -> np.ndarray:
+        """64 bits of each window's key."""
+        return rolled(self.words.hashes(k + 1), self.size, _BASES[k])[self.ok]
+
+
+def repeated_windows(texts: DataFrame, text_col: str = "text", keep: tuple[str, ...] = (), size: int = 35, counters_per_word: float = 8.0) -> DataFrame:
     """Each text with the words that repeated windows cover: (keep..., n_words long, n_removed long, kept_text string)."""
     total = text_bytes(texts, text_col)
-    words = total // 2 + 1
-    bits = min(60, max(16, power_of_two(counters_per_word * words / 3).bit_length() - 1))
-    sketch_blocks = ceil_div(total // 60 + 1, BLOCK_KEYS)
-    window_blocks = ceil_div(total // 6 + 1, BLOCK_KEYS)
+    words = total // 6 + 1
+    bits = min(60, max(16, power_of_two(counters_per_word * words).bit_length() - 1))
+    blocks = ceil_div(words, BLOCK_KEYS)
     kind = np.uint32 if bits <= 32 else np.uint64
     packs = pack(texts, text_col, list(keep))
 
-    def partition_sketch(w: _Windows) -> list[tuple[np.ndarray, np.ndarray]]:
-        grams = w.minimisers()
-        return [np.unique(_row(grams, r, bits), return_counts=True) for r in (0, 1)]
+    def counters(window: np.ndarray, row: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The sketch's counters that a pack touches, the one of each window, and what each counts."""
+        return np.unique(mix(window + _SALTS[row]) >> np.uint64(64 - bits), return_inverse=True, return_counts=True)
 
     def sketches(number: int, table: pa.Table) -> Iterator[pa.RecordBatch]:
-        for r, (at, n) in enumerate(partition_sketch(_Windows(table, size))):
+        window = _Windows(table, size).lane(0)
+        for row in (0, 1):
+            at, _, n = counters(window, row)
             if len(at):
-                yield deal(number, at << np.uint64(64 - bits), at.astype(kind), np.minimum(n, 2).astype(np.uint8), sketch_blocks, r * sketch_blocks)
+                yield deal(number, at << np.uint64(64 - bits), at.astype(kind), n.astype(np.uint32), blocks, row * blocks)
 
     def merge_sketches(keys: list[bytes], extra: list[bytes]) -> list[bytes]:
         at = [keys_of(k, kind) for k in keys]
         _, inverse = np.unique(np.concatenate(at), return_inverse=True)
-        often = np.bincount(inverse, np.concatenate([expand(x, np.uint8) for x in extra])) >= 2
+        often = np.bincount(inverse, np.concatenate([expand(x, np.uint32) for x in extra])) >= 2
         return [np.packbits(x).tobytes() for x in np.split(often[inverse], np.cumsum([len(a) for a in at])[:-1])]
 
     def candidates(number: int, table: pa.Table, answers: dict[int, bytes]) -> pa.Table:
         w = _Windows(table, size)
-        maybe = np.flatnonzero(w.ok)
-        if len(maybe):
-            for r, (at, _) in enumerate(partition_sketch(w)):
-                lead = at << np.uint64(64 - bits)
-                block = ((lead >> np.uint64(32)) * np.uint64(sketch_blocks) >> np.uint64(32)).astype(np.int64)
-                sizes = np.bincount(block, minlength=sketch_blocks)
-                often = np.concatenate([np.unpackbits(np.frombuffer(answers[r * sketch_blocks + int(b)], np.uint8), count=int(sizes[b])) for b in np.flatnonzero(sizes)]).astype(bool)
-                maybe = maybe[often[np.searchsorted(at, _row(w.least[maybe], r, bits))]]
-        if not len(maybe):
-            return pa.table({"block": pa.array([], pa.int32()), "pack": pa.array([], pa.int64()), "keys": pa.array([], pa.binary()), "extra": pa.array([], pa.binary())})
-        keys = w.keys(maybe)
-        order = np.argsort(keys[:, 0], kind="stable")
-        return pa.Table.from_batches([deal(number, keys[order, 0], keys[order], maybe[order].astype(np.uint32), window_blocks)])
+        one = w.lane(0)
+        maybe = np.ones(len(one), bool)
+        for row in (0, 1):
+            at, of, _ = counters(one, row)
+            lead = at << np.uint64(64 - bits)
+            sizes = np.bincount(((lead >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)).astype(np.int64), minlength=blocks)
+            told = [np.unpackbits(np.frombuffer(answers[row * blocks + int(b)], np.uint8), count=int(sizes[b])) for b in np.flatnonzero(sizes)]
+            if told:
+                maybe &= np.concatenate(told).astype(bool)[of]
+        if not maybe.any():
+            return pa.Table.from_batches([], _REQUEST)
+        keys, n = different(np.stack((one[maybe], w.lane(1)[maybe]), 1), None)
+        return pa.Table.from_batches([deal(number, keys[:, 0], keys, n.astype(np.uint32), blocks)])
+
+    def different(keys: np.ndarray, n: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """Different keys in order, and how often each occurs (n: how often each given one does)."""
+        order = np.lexsort((keys[:, 1], keys[:, 0]))
+        keys = keys[order]
+        first = np.flatnonzero(np.concatenate(([True], (keys[1:] != keys[:-1]).any(1)))) if len(keys) else np.zeros(0, np.int64)
+        n = np.ones(len(keys), np.int64) if n is None else n[order]
+        return keys[first], np.add.reduceat(n, first, dtype=np.int64) if len(first) else n
 
     def merge_windows(keys: list[bytes], extra: list[bytes]) -> list[bytes]:
-        both = np.concatenate([np.frombuffer(k, np.uint64) for k in keys]).reshape(-1, 2)
-        order = np.lexsort((both[:, 1], both[:, 0]))
-        both = both[order]
-        same = (both[1:] == both[:-1]).all(1)
-        often = np.empty(len(both), bool)
-        often[order] = np.concatenate((same, [False])) | np.concatenate(([False], same))
-        at = [expand(x, np.uint32) for x in extra]
-        return [squeeze(a[o]) if o.any() else b"" for a, o in zip(at, np.split(often, np.cumsum([len(a) for a in at])[:-1]), strict=True)]
+        sent = [np.frombuffer(k, np.uint64).reshape(-1, 2) for k in keys]
+        every, n = different(np.concatenate(sent), np.concatenate([expand(x, np.uint32) for x in extra]))
+        often = np.ascontiguousarray(every[n >= 2])
+        return [np.ascontiguousarray(s[among(s, often)]).tobytes() for s in sent]
+
+    def among(keys: np.ndarray, often: np.ndarray) -> np.ndarray:
+        """Which keys are in often, whose rows rise."""
+        hit = np.zeros(len(keys), bool)
+        at = np.searchsorted(often[:, 0], keys[:, 0])
+        todo = np.arange(len(keys))
+        while len(todo := todo[at[todo] < len(often)]) and len(todo := todo[often[at[todo], 0] == keys[todo, 0]]):
+            hit[todo] |= often[at[todo], 1] == keys[todo, 1]
+            at[todo] += 1  # keys that share their first half
+        return hit
 
     def cut(number: int, table: pa.Table, answers: dict[int, bytes]) -> pa.Table:
         texts = texts_of(table.column("text"))
-        first = Words(texts).first
+        w = _Windows(table, size)
+        first = w.words.first
         cover = np.zeros(first[-1] + 1, np.int32)
-        for x in answers.values():
-            if x:
-                at = expand(x, np.uint32)
-                cover[at] += 1
-                np.add.at(cover, at.astype(np.int64) + size, -1)
+        if any(answers.values()):
+            often = different(np.concatenate([np.frombuffer(x, np.uint64).reshape(-1, 2) for x in answers.values()]), None)[0]
+            one = w.lane(0)
+            near = np.flatnonzero(np.isin(one, often[:, 0]))
+            at = w.ok[near[among(np.stack((one[near], w.lane(1)[near]), 1), often)]]
+            cover[at] += 1
+            np.add.at(cover, at + size, -1)
         gone = np.cumsum(cover[:-1]) > 0
         before = np.concatenate(([0], np.cumsum(gone)))
         removed = before[first[1:]] - before[first[:-1]]

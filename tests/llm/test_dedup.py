@@ -9,9 +9,10 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from freightlens.llm.common import Words
 from freightlens.llm.line_dedup import LineRuns, dedup_lines
 from freightlens.llm.simhash_dedup import Likeness, bits_of, components, first_of_each, forest, links, near_duplicates, shingle_hashes
-from freightlens.llm.substring_dedup import repeated_windows, rolled, sliding
+from freightlens.llm.substring_dedup import repeated_windows, rolled
 
 from .cases import LOWER, clashing, documents, empty
 
@@ -41,14 +42,44 @@ def test_windows_over_themselves_and_nothing(spark):
     assert repeated_windows(empty(spark), keep=("doc_id",)).count() == 0
 
 
-def test_rolling_and_sliding():
-    h = np.arange(1, 50, dtype=np.uint64)
-    base = np.uint64(1000003)
-    for size in (1, 2, 5, 35):
-        want = [sum(int(h[i + j]) * int(base) ** (size - 1 - j) for j in range(size)) % 2**64 for i in range(len(h) - size + 1)]
-        assert rolled(h, [size], base)[0].tolist() == want
-    a = np.array([5, 3, 8, 1, 9, 2], np.uint64)
-    assert sliding(a, 3, np.minimum).tolist() == [3, 1, 1, 1] and sliding(a, 4, np.maximum).tolist() == [8, 9, 9]
+@pytest.mark.parametrize("size", [1, 2, 5, 35])
+def test_equal_runs_and_only_they_hash_alike(size):
+    rng = np.random.default_rng(3)
+    word = rng.integers(0, 3 if size > 3 else 9, 3000)
+    h = rng.integers(0, 2**63, 9, dtype=np.uint64)[word]
+    h[500:600] = h[900:1000]
+    runs = [tuple(h[i : i + size].tolist()) for i in range(len(h) - size + 1)]
+    got = rolled(h, size, np.uint64(1000003)).tolist()
+    assert len(got) == len(runs) and len(set(got)) == len(set(runs)) == len(set(zip(got, runs, strict=True)))
+    assert len(rolled(h[: size - 1], size, np.uint64(3))) == 0
+
+
+def thue_morse(n):
+    s = "a"
+    while len(s) < n:
+        s += s.translate(str.maketrans("ab", "ba"))
+    return s[:n], s[:n].translate(str.maketrans("ab", "ba"))
+
+
+def test_structured_words_are_not_taken_for_each_other(spark):
+    # Polynomials modulo a power of two take these for equal, whatever the base; so do they for words in that order.
+    rest = " ".join(f"w{k}" for k in range(34))
+    rows = [f"{x} {rest}" for n in (64, 250, 1024, 4096) for x in thue_morse(n)]
+    rows += [" ".join({"a": "one", "b": "two"}[c] for c in x) for x in thue_morse(64)]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in repeated_windows(docs, keep=("doc_id",), size=35).collect()}
+    seen = Counter(tuple(r.split()[i : i + 35]) for r in rows for i in range(len(r.split()) - 34))
+    want = {k: len({p for i in range(len(r.split()) - 34) if seen[tuple(r.split()[i : i + 35])] > 1 for p in range(i, i + 35)}) for k, r in enumerate(rows)}
+    assert got == want and all(want[k] == 0 for k in range(8))
+
+
+def test_word_hashes():
+    rng = random.Random(2)
+    every = ["".join(rng.choice("ab\x00é数") for _ in range(rng.choice([1, 2, 7, 8, 9, 16, 17, 90, 300]))) for _ in range(5000)]
+    got = Words([" ".join(every).encode()]).hashes(1)
+    assert len(got) == len(every) and len(set(got.tolist())) == len(set(every)) == len(set(zip(got.tolist(), every, strict=True)))
+    assert Words([w.encode() for w in every]).hashes(1).tolist() == got.tolist() != Words([w.encode() for w in every]).hashes(2).tolist()
+    assert Words([b"ABC abc " + b"X" * 400 + b" " + b"x" * 400], fold=True).hashes(1).tolist()[::2] == Words([b"ABC abc " + b"X" * 400 + b" " + b"x" * 400], fold=True).hashes(1).tolist()[1::2]
 
 
 def brute_lines(rows, length=40, enough=5):
