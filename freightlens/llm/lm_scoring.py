@@ -7,13 +7,17 @@ rest. All token and pair counts of the whole training part are used; none is pru
 
 Counts come through packs and tallies (see packs.py): each pack of documents sends its different tokens and pairs by
 64-bit hash with their training counts, blocks add up, and each pack hears the totals of what it asked for. Frequent
-words are one key with a sum. What each token was told is written once, as two numbers a token; the weights and all
-scores come from that table by narrow passes. The driver gets N, V and a histogram of rounded held-out ratios by
-bucket, whose size is bounded by its grid (about 45 buckets of 200 x 200 cells at most), not by the corpus.
+words are one key with a sum. Of the packs that have a token in training texts one is told that it counts it for V. What
+each token was told is written once, as two numbers a token; the weights and all scores come from that table by narrow
+passes.
+
+Expectation-maximisation starts on the driver, from a histogram of rounded held-out ratios by bucket, whose size is
+bounded by its grid (about 45 buckets of 200 x 200 cells at most). From there on each round is a pass over the held-out
+counts of all training tokens as they are, which gives three sums a bucket, until no weight moves by `tolerance`.
 
 Null and empty texts have one token, the end. A table without training rows scores with the uniform part alone.
-Repeated rows count and are scored like any others; a null id counts as the empty text in the choice of the fold.
-Extra columns are left out.
+Repeated rows count and are scored like any others; a null id counts as the empty text in the choice of the fold. A very
+long text is a pack of its own. An empty table gives no rows and a model without counts. Extra columns are left out.
 """
 
 from __future__ import annotations
@@ -33,6 +37,8 @@ BLOCK_KEYS = 500_000
 _END, _START, _STEP = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F), np.uint64(0x9E3779B97F4A7C15)
 #: Steps of the histogram in an octave.
 FINE = 4
+#: Marks the total of a token that a pack counts for V.
+_OWN = np.uint64(1 << 63)
 
 
 def bucket_of(n: np.ndarray) -> np.ndarray:
@@ -75,27 +81,41 @@ class Model:
         return self.weights[np.minimum(bucket, len(self.weights) - 1)]
 
 
-def learn(cells: np.ndarray, n: np.ndarray, tokens: int, types: int, rounds: int = 50) -> Model:
-    """Expectation-maximisation over held-out cells (bucket, word step, pair step) with n tokens each."""
+START = np.array([0.05, 0.35, 0.6])
+
+
+def renewed(sums: np.ndarray) -> np.ndarray:
+    """Weights by bucket from the expected tokens of each part; buckets with few tokens stay near the start."""
+    got = sums + 1e-3 * START
+    got[0, 2] = 0  # a context that wasn't seen has no pairs
+    return got / got.sum(1, keepdims=True)
+
+
+def started(cells: np.ndarray, n: np.ndarray, tokens: int, types: int, rounds: int = 50) -> Model:
+    """Expectation-maximisation over rounded held-out cells (bucket, word step, pair step) with n tokens each."""
     if not len(cells) or tokens < 2:
         return Model(tokens, types)
     bucket, word, pair = cells.T
     p = np.stack((np.full(len(n), 1 / (types + 1)), np.where(word > 0, 2.0 ** ((word - 1) / FINE), 0) / (tokens - 1), np.where(pair > 0, 2.0 ** (-(pair - 1) / FINE), 0)), 1)
     size = int(bucket.max()) + 1
-    start = np.array([0.05, 0.35, 0.6])
-    weights = np.tile(start, (size, 1))
-    weights[0] = [0.1, 0.9, 0]
+    weights = renewed(np.zeros((size, 3)))
     for _ in range(rounds):
         share = weights[bucket] * p
         share *= (n / share.sum(1))[:, None]
-        got = np.stack([np.bincount(bucket, share[:, k], size) for k in range(3)], 1) + 1e-3 * start  # buckets with few tokens stay near the start
-        got[0, 2] = 0
-        weights = got / got.sum(1, keepdims=True)
+        weights = renewed(np.stack([np.bincount(bucket, share[:, k], size) for k in range(3)], 1))
     return Model(tokens, types, weights)
 
 
+def expected(model: Model, c: np.ndarray, h: np.ndarray, hc: np.ndarray) -> np.ndarray:
+    """Expected tokens by bucket and part, of tokens with the held-out counts c (word), h (context), hc (pair)."""
+    bucket = bucket_of(h)
+    share = model.of(bucket) * np.stack((np.full(len(c), 1 / (model.types + 1)), c / max(model.tokens - 1, 1), hc / np.maximum(h, 1)), 1)
+    share /= share.sum(1, keepdims=True)
+    return np.stack([np.bincount(bucket, share[:, k], len(model.weights)) for k in range(3)], 1)
+
+
 class Counts:
-    """A corpus with what each of its tokens was told. table: (docs, word, pair binary; trained long; types double; cell, seen binary)."""
+    """A corpus with what each of its tokens was told. table: (docs, word, pair binary; trained, types long; cell, seen binary)."""
 
     def __init__(self, table: DataFrame, keep: dict[str, str]):
         self.table, self.keep = table, keep
@@ -115,19 +135,22 @@ class Counts:
 
         def merge(keys: list[bytes], extra: list[bytes]) -> list[bytes]:
             at = [keys_of(k, np.uint64) for k in keys]
-            _, inverse = np.unique(np.concatenate(at), return_inverse=True)
-            total = np.bincount(inverse, np.concatenate([expand(x, np.uint32) for x in extra])).astype(np.uint64)[inverse]
+            _, first, inverse = np.unique(np.concatenate(at), return_index=True, return_inverse=True)
+            sums = np.bincount(inverse, np.concatenate([expand(x, np.uint32) for x in extra])).astype(np.uint64)
+            total = sums[inverse]
+            total[first[sums > 0]] |= _OWN
             return [squeeze(x) for x in np.split(total, np.cumsum([len(a) for a in at])[:-1])]
 
         def told(number: int, table: pa.Table, answers: dict[int, bytes]) -> pa.Table:
             t = _Tokens(table)
-            got: list[np.ndarray] = []
+            got, types = [], []
             for which, first, blocks in parts:
                 keys, inverse, _ = t.asked(which)
                 back = np.concatenate([expand(answers[b], np.uint64) for b in range(first, first + blocks) if b in answers])
                 if len(back) != len(keys):
                     raise RuntimeError("a pack's answers don't fit its keys")
-                got.append(back[inverse])
+                types.append(int((back >= _OWN).sum()))
+                got.append((back & ~_OWN)[inverse])
             word, pair = got
             before = np.concatenate(([0], word[:-1])).astype(np.int64)
             before[t.start] = word[t.end]  # as many starts as ends
@@ -135,13 +158,25 @@ class Counts:
             steps = [bucket_of(h), np.where(c > 0, 1 + np.rint(FINE * np.log2(np.maximum(c, 1))), 0).astype(np.int64), np.where(hc > 0, 1 + np.rint(FINE * np.log2(np.maximum(h, 1) / np.maximum(hc, 1))), 0).astype(np.int64)]
             cell, seen = np.unique((steps[0] << 24) + (steps[1] << 12) + steps[2], return_counts=True)
             own = table.select(list(keep)).append_column("n", pa.array(t.n)).append_column("held_out", pa.array(~table.column("train").to_numpy(zero_copy_only=False)))
-            row = {"docs": shrunk(own), "word": squeeze(word, 5), "pair": squeeze(pair, 5), "trained": int(t.train.sum()), "types": float((1 / word[t.train]).sum()), "cell": cell.astype(np.int64).tobytes(), "seen": seen.astype(np.int64).tobytes()}
+            row = {"docs": shrunk(own), "word": squeeze(word, 5), "pair": squeeze(pair, 5), "trained": int(t.train.sum()), "types": types[0], "cell": cell.astype(np.int64).tobytes(), "seen": seen.astype(np.int64).tobytes()}
             return pa.Table.from_pylist([row])
 
-        table = meet(packs, answer(ask(packs, requests), merge), told, "docs binary, word binary, pair binary, trained long, types double, cell binary, seen binary")
+        table = meet(packs, answer(ask(packs, requests), merge), told, "docs binary, word binary, pair binary, trained long, types long, cell binary, seen binary")
         return Counts(written(table, "none"), {c: docs.schema[c].dataType.simpleString() for c in keep})
 
-    def learn(self) -> Model:
+    @staticmethod
+    def told(docs: pa.Scalar, word: pa.Scalar, pair: pa.Scalar) -> tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """A pack's documents, each one's first token, and each token's counts: its own, its context's, its pair's."""
+        own = unpack(docs.as_py())
+        n, word, pair = own.column("n").to_numpy(), expand(word.as_py(), np.uint64), expand(pair.as_py(), np.uint64)
+        start = np.cumsum(n) - n
+        before = np.concatenate(([0], word[:-1])).astype(word.dtype)
+        before[start] = word[start + n - 1]  # as many starts as ends
+        return own, start, word.astype(float), before.astype(float), pair.astype(float)
+
+    def learn(self, tolerance: float = 1e-3, rounds: int = 30) -> Model:
+        """A model whose weights a further round of expectation-maximisation would move by less than tolerance."""
+
         def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for cell, seen in zip(batch.column(0), batch.column(1), strict=True):
@@ -150,7 +185,32 @@ class Counts:
         total = self.table.agg(F.sum("trained").alias("n"), F.sum("types").alias("v")).first()
         rows = self.table.select("cell", "seen").mapInArrow(cells, "cell long, seen long").groupBy("cell").agg(F.sum("seen").alias("n")).orderBy("cell").toArrow()
         cell = rows.column("cell").to_numpy()
-        return learn(np.stack((cell >> 24, cell >> 12 & 4095, cell & 4095), 1), rows.column("n").to_numpy().astype(float), int(total.n or 0), round(total.v or 0))
+        model = started(np.stack((cell >> 24, cell >> 12 & 4095, cell & 4095), 1), rows.column("n").to_numpy().astype(float), int(total.n or 0), int(total.v or 0))
+        for _ in range(rounds if model.tokens > 1 else 0):
+            weights = renewed(self._expected(model))
+            moved = float(np.abs(weights - model.weights).max())
+            model = Model(model.tokens, model.types, weights)
+            if moved < tolerance:
+                break
+        return model
+
+    def _expected(self, model: Model) -> np.ndarray:
+        def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            got = np.zeros_like(model.weights)
+            for batch in batches:
+                for row in zip(*(batch.column(k) for k in range(3)), strict=True):
+                    own, _, word, before, pair = Counts.told(*row)
+                    train = np.repeat(~own.column("held_out").to_numpy(zero_copy_only=False), own.column("n").to_numpy())
+                    got += expected(model, word[train] - 1, before[train] - 1, pair[train] - 1)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(got))), *(pa.array(np.ascontiguousarray(x)) for x in got.T)], ["bucket", "a", "b", "c"])
+            trim()
+
+        table = self.table.select("docs", "word", "pair").mapInArrow(sums, "bucket long, a double, b double, c double")
+        rows = table.groupBy("bucket").agg(*(F.sum(k).alias(k) for k in "abc")).collect()  # about 45 at most
+        out = np.zeros_like(model.weights)
+        for r in rows:
+            out[r.bucket] = r.a, r.b, r.c
+        return out
 
     def score(self, model: Model) -> DataFrame:
         """(keep..., held_out boolean, n_tokens, n_known, train_tokens long, base_score, score double)."""
@@ -158,13 +218,9 @@ class Counts:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for docs, word, pair in zip(*(batch.column(k) for k in range(3)), strict=True):
-                    own = unpack(docs.as_py())
-                    word, pair = expand(word.as_py(), np.uint64).astype(float), expand(pair.as_py(), np.uint64).astype(float)
+                for row in zip(*(batch.column(k) for k in range(3)), strict=True):
+                    own, start, word, before, pair = Counts.told(*row)
                     n = own.column("n").to_numpy()
-                    start = np.cumsum(n) - n
-                    before = np.concatenate(([0.0], word[:-1]))
-                    before[start] = word[start + n - 1]
                     share = model.of(bucket_of(before))
                     p = share[:, 0] / (model.types + 1) + share[:, 1] * word / max(model.tokens, 1) + share[:, 2] * pair / np.maximum(before, 1)
                     base = np.log10((word + 0.5) / (model.tokens + 0.5 * (model.types + 1)))

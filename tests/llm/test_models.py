@@ -162,9 +162,34 @@ def test_model_beats_base_on_held_out_texts_and_needs_no_training_rows(spark):
     assert blank.score(blank.learn()).count() == 0
 
 
+def test_weights_against_brute_force(spark):
+    docs = documents(spark, n=90)
+    counts = lm_scoring.Counts.gather(docs, fold_of("doc_id") != 1)
+    m = counts.learn(tolerance=1e-7, rounds=500)
+    rows = [["<>", *words((r.text or "").translate(LOWER)), "</>"] for r in docs.collect() if fold(r.doc_id) != 1]
+    one, two = Counter(x for t in rows for x in t[1:]), Counter(p for t in rows for p in zip(t, t[1:], strict=False))
+    one["<>"] = one["</>"]
+    n, v = sum(one.values()) - one["<>"], len(one) - 1
+    cells = Counter((one[h] - 1, one[x] - 1, two[h, x] - 1) for t in rows for h, x in zip(t, t[1:], strict=False))
+    bucket = {h: 0 if h < 1 else 1 + int(math.log2(h)) for h, _, _ in cells}
+    size = max(bucket.values()) + 1
+    weights = [list(lm_scoring.START) for _ in range(size)]
+    weights[0] = [0.125, 0.875, 0.0]
+    for _ in range(500):
+        sums = [[1e-3 * x for x in lm_scoring.START] for _ in range(size)]
+        for (h, c, hc), k in cells.items():
+            w = weights[bucket[h]]
+            p = [w[0] / (v + 1), w[1] * c / (n - 1), w[2] * hc / max(h, 1)]
+            for j in range(3):
+                sums[bucket[h]][j] += k * p[j] / sum(p)
+        sums[0][2] = 0.0
+        weights = [[x / sum(s) for x in s] for s in sums]
+    assert (m.tokens, m.types) == (n, v) and np.allclose(m.weights, weights, atol=2e-4)
+
+
 def test_em_prefers_what_predicts():
     cells = np.array([[3, 1, 1], [3, 1, 0]])  # bucket 3: pairs predict surely (step 1: ratio 1) in most tokens
-    m = lm_scoring.learn(cells, np.array([900.0, 100.0]), 1000, 500)
+    m = lm_scoring.started(cells, np.array([900.0, 100.0]), 1000, 500)
     assert m.weights[3, 2] > 0.8 and m.weights[0, 2] == 0
 
 
