@@ -437,7 +437,7 @@ def similar(docs: DataFrame, nodes: DataFrame, text_col: str, like: Likeness, ti
 
 def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", like: Likeness = CONFIRMED, tile: int = 4096, tile_hashes: int = TILE_HASHES) -> DataFrame:
     """docs without near duplicates: of each component one row with its smallest id stays (a null id counts as the largest)."""
-    fps = written(fingerprints(docs, like, id_col, text_col))
+    fps = fingerprints(docs, like, id_col, text_col)
     least = F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "th")).alias("least")
     nodes = fps.groupBy("node").agg(least, *(F.first(c).alias(c) for c in ("bits", "size", "cells")))
     nodes = written(nodes.withColumn("th", F.col("least.th")), few=True)
