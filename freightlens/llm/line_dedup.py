@@ -1,20 +1,22 @@
 """Line dedup with levelled sorted runs of line hashes; DataFrame functions only.
 
-Documents arrive in batches. Of each batch the different line keys of every document are hashed (128 bits) and added
-up to one row a key: the number of documents and the largest id. The batch is then merge-anti-joined against each run
-so far: keys found in none are fresh and their holder in this batch becomes the keeper; keys seen before only add to
-the count. Both go into a new run of level 0, bucketed and sorted by hash, so that later joins move the new batch and
-not the runs. When a level has `fanout` runs they are compacted to one of the next level.
+Documents arrive in batches. Of each batch the long lines' keys are hashed (128 bits) and added up to one row a key: the
+number of documents and the largest id. The batch is then merge-anti-joined against each run so far: keys found in none
+are fresh and their holder in this batch becomes the keeper; keys seen before only add to the count. Both go into a new
+run of level 0, bucketed and sorted by hash, so that later joins move the new batch and not the runs. When a level has
+`fanout` runs they are compacted to one of the next level.
 
 A line goes if its key has at least `min_length` characters, is in at least `min_documents` documents, and the
 document isn't the keeper: the largest id of the earliest batch that holds the key. Fed with batches of falling ids
-this is the largest id of all. A frequent line is one key with a count, summed before any shuffle; the lines that go
-are joined by key with the few keys that are frequent (adaptive execution splits a hot one), and reach their texts as
-one list a document.
-
-Null and empty texts are one empty line. Each row counts as a document, repeated rows too; rows that share an id
-share its verdict. Null ids are the smallest; if no holder has an id, all keep the line. Of lines that repeat in one
-document all go or all stay. Extra columns pass through.
+this is the largest id of all. A frequent line is one key with a count, summed before any shuffle by key. Lines that go
+are found by joining their keys with the few that are frequent: keys with a thousandth of all lines or more, at most a
+thousand, by broadcast, so that no task gets all lines of such a key; the others by shuffle. Their places in each text
+come together as one list, and what stays is put together by place, in time that is linear in the text's lines.
+
+Null and empty texts are one empty line. A document is an id: repeated rows count once, and rows that share an id share
+its verdict; rows without an id are one document, with the smallest id. If no holder has an id, all keep the line. Of
+lines that repeat in one document all go or all stay. A text of any length is one row of lines. An empty table has no
+rows. Ids may be of any type that has an order; they are cut in batches if they are numbers. Extra columns pass through.
 """
 
 from __future__ import annotations
@@ -24,10 +26,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from .common import LOWER, SPACE_CHARS, UPPER, ceil_div, placed, text_bytes, written
 
 KEY = ["h1", "h2"]
+#: Keys with this part of all lines are joined by broadcast.
+HOT_PART = 1000
 
 
 def key_of(line: Column) -> Column:
@@ -36,6 +41,10 @@ def key_of(line: Column) -> Column:
     return F.when(F.octet_length(bare) == F.char_length(bare), F.lower(bare)).otherwise(F.translate(bare, UPPER, LOWER))
 
 
+def text_hash(text_col: str) -> Column:
+    return F.xxhash64(F.col(text_col))
+
+
 def lines_of(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
@@ -67,11 +76,11 @@ class LineRuns:
         self.levels[level].append(name)
 
     def add(self, batch: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> None:
-        long = F.filter(F.transform(lines_of(F.col(text_col)), key_of), lambda k: F.char_length(k) >= self.min_length)
-        keys = batch.select(F.col(id_col).alias("id"), F.explode(F.array_distinct(long)).alias("k"))
-        lines = written(keys.select("id", F.xxhash64("k").alias("h1"), F.xxhash64(F.lit(7), F.col("k")).alias("h2")))
+        every = batch.select(F.col(id_col).alias("id"), text_hash(text_col).alias("th"), F.posexplode(lines_of(F.col(text_col))).alias("pos", "line"))
+        long = every.withColumn("k", key_of(F.col("line"))).where(F.char_length("k") >= self.min_length)
+        lines = written(long.select("id", "th", "pos", F.xxhash64("k").alias("h1"), F.xxhash64(F.lit(7), F.col("k")).alias("h2")))
         self.lines.append(lines)
-        own = lines.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("keeper"))
+        own = lines.select("id", *KEY).distinct().groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("keeper"))
         if self.runs():
             own = written(own, few=True)
             fresh = reduce(lambda left, run: left.join(run.hint("merge"), KEY, "left_anti"), self.runs(bucketed=True), own)
@@ -90,22 +99,25 @@ class LineRuns:
                 self.levels[level] = []
 
     def doomed(self) -> DataFrame:
-        """(id, gone array of h1): for each id, the keys that its lines lose."""
-        frequent = self._totals(self.runs()).where(F.col("n") >= self.min_documents).select(*KEY, "keeper")
-        frequent = written(frequent, few=True)  # an input of its own, so that a hot key's lines can be split
+        """(id, th, gone array of int): for each id and text, the places of the lines that go."""
+        frequent = self._totals(self.runs()).where(F.col("n") >= self.min_documents).select(*KEY, "n", "keeper")
+        frequent = written(frequent, few=True)
         lines = reduce(DataFrame.unionByName, self.lines)
-        lost = lines.join(frequent, KEY).where(~F.col("id").eqNullSafe(F.col("keeper")))
-        return lost.groupBy("id").agg(F.collect_set("h1").alias("gone"))
+        hot = F.col("n") * HOT_PART >= lines.count()
+        # Keys have n lines or more, so at most HOT_PART of them are hot.
+        common, others = F.broadcast(frequent.where(hot).drop("n")), frequent.where(~hot).drop("n")
+        lost = lines.join(common, KEY).unionByName(lines.join(common, KEY, "left_anti").join(others, KEY))
+        return lost.where(~F.col("id").eqNullSafe(F.col("keeper"))).groupBy("id", "th").agg(F.collect_set("pos").alias("gone"))
 
     def cut(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
         """docs with the columns __n_lines, __n_dropped and __kept (text) besides their own."""
-        gone = self.doomed().withColumnRenamed("id", "__id").withColumnRenamed("gone", "__gone")
-        rows = docs.join(gone.hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col("__id")), "left")
-        lines = lines_of(F.col(text_col))
-        stays = F.filter(F.col("__lines"), lambda x: ~F.array_contains(F.col("__gone"), F.xxhash64(key_of(x))))
-        rows = rows.withColumn("__lines", lines).withColumn("__stays", F.when(F.col("__gone").isNotNull(), stays))
-        n, left = F.size("__lines").cast("long"), F.coalesce(F.size("__stays"), F.size("__lines"))
-        kept = F.when(F.col("__stays").isNull(), F.coalesce(F.col(text_col), F.lit(""))).otherwise(F.array_join("__stays", "\n"))
+        gone = self.doomed().withColumnsRenamed({"id": "__id", "th": "__th", "gone": "__gone"})
+        rows = docs.join(gone.hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col("__id")) & (text_hash(text_col) == F.col("__th")), "left")
+        rows = rows.withColumn("__lines", lines_of(F.col(text_col)))
+        rows = rows.withColumn("__stay", F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), "__gone"))
+        n, left = F.size("__lines").cast("long"), F.coalesce(F.when(F.col("__gone").isNotNull(), F.size("__stay")), F.size("__lines"))
+        kept = F.array_join(F.transform("__stay", lambda p: F.get(F.col("__lines"), p)), "\n")
+        kept = F.when(F.col("__gone").isNull(), F.coalesce(F.col(text_col), F.lit(""))).otherwise(kept)
         return rows.select(*(F.col(f"`{c}`") for c in docs.columns), n.alias("__n_lines"), (n - left).alias("__n_dropped"), kept.alias("__kept"))
 
     def drop(self) -> None:
@@ -115,7 +127,8 @@ class LineRuns:
 
 
 def falling_batches(docs: DataFrame, n: int, id_col: str = "doc_id") -> list[DataFrame]:
-    """docs by ranges of a numeric id, the largest first and null ids last."""
+    """docs by ranges of a numeric id, the largest first and null ids last; ids of another type are one batch."""
+    n = n if isinstance(docs.schema[id_col].dataType, NumericType) else 1
     cuts = docs.agg(F.percentile_approx(id_col, F.array(*(F.lit(k / n) for k in range(1, n)))).alias("c")).first().c if n > 1 else None
     cuts = sorted(set(cuts or []))
     col = F.col(id_col)
@@ -145,13 +158,14 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"), F.sha2("__kept", 256).alias("kept_sha256"))
 
 
-#: The same in DuckDB's SQL.
+#: The same in DuckDB's SQL, a row for each row of the table.
 OP8_SQL = """
-WITH l AS (SELECT doc_id, i, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
-  FROM (SELECT doc_id, unnest(s) AS line, unnest(range(1, len(s) + 1)) AS i FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS s FROM documents))),
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS s FROM documents),
+l AS (SELECT r, doc_id, i, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM (SELECT r, doc_id, unnest(s) AS line, unnest(range(1, len(s) + 1)) AS i FROM d)),
 f AS (SELECT k, max(doc_id) AS keeper FROM l WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5),
-m AS (SELECT l.doc_id, l.i, l.line, f.k IS NOT NULL AND l.doc_id <> f.keeper AS gone FROM l LEFT JOIN f USING (k))
+m AS (SELECT l.r, l.doc_id, l.i, l.line, f.k IS NOT NULL AND l.doc_id <> f.keeper AS gone FROM l LEFT JOIN f USING (k))
 SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
-FROM m GROUP BY doc_id
+FROM m GROUP BY r, doc_id
 """

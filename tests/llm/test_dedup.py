@@ -9,6 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from freightlens.llm import line_dedup
 from freightlens.llm.common import Words
 from freightlens.llm.line_dedup import LineRuns, dedup_lines
 from freightlens.llm.simhash_dedup import Likeness, bits_of, components, first_of_each, forest, links, near_duplicates, shingle_hashes
@@ -86,11 +87,11 @@ def brute_lines(rows, length=40, enough=5):
     def key(line):
         return line.strip(" \t\n\x0b\x0c\r").translate(LOWER)
 
-    holders = defaultdict(list)
+    holders = defaultdict(set)  # documents are ids; rows without one are one document
     for doc, t in rows:
         for k in {key(x) for x in (t or "").split("\n")}:
             if len(k) >= length:
-                holders[k].append(doc)
+                holders[k].add(doc)
     keeper = {k: max((d for d in ds if d is not None), default=None) for k, ds in holders.items() if len(ds) >= enough}
     out = Counter()
     for doc, t in rows:
@@ -100,8 +101,9 @@ def brute_lines(rows, length=40, enough=5):
     return out
 
 
-@pytest.mark.parametrize("batches, fanout", [(1, 2), (3, 2), (5, 3)])
-def test_lines(spark, batches, fanout):
+@pytest.mark.parametrize("batches, fanout, part", [(1, 2, 1000), (3, 2, 1), (5, 3, 1000)])
+def test_lines(spark, monkeypatch, batches, fanout, part):
+    monkeypatch.setattr(line_dedup, "HOT_PART", part)  # at 1 no key is joined by broadcast
     docs = documents(spark)
     found = dedup_lines(clashing(docs, "h1", "keeper", "id", "n"), batches=batches, fanout=fanout, buckets=3)
     assert {"h1", "keeper", "lang"} <= set(found.columns)
@@ -121,6 +123,30 @@ def test_runs_are_compacted_and_keep_counting(spark):
     runs.drop()
 
 
+LINE = "This line is forty characters long or more, so it counts."
+
+
+def test_repeated_rows_are_one_document(spark, tmp_path):
+    import duckdb
+
+    rows = [(1, f"{LINE}\nx")] * 3 + [(2, LINE), (3, LINE)]
+    more = [(k, f"{LINE.upper()}?\n{LINE}?") for k in range(4, 9)] + [(4, f"a\n{LINE}?")]
+    for own, dropped in ((rows, 0), (rows + more, 9)):
+        spark.createDataFrame(own, "doc_id long, text string").write.parquet(str(tmp_path / f"{len(own)}/documents.parquet"))
+        got = line_dedup.op8_line_dedup(spark, str(tmp_path / str(len(own))))
+        c = duckdb.connect()
+        c.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/{len(own)}/documents.parquet/*.parquet'")
+        want = Counter(map(tuple, c.sql(line_dedup.OP8_SQL).fetchall()))
+        assert Counter(map(tuple, got.collect())) == want and sum(r[2] * n for r, n in want.items()) == dropped
+
+
+def test_ids_of_text_and_long_texts(spark):
+    long = "\n".join(f"line {k} {LINE}" for k in range(60_000))
+    rows = [(x, long) for x in "abcdef"]
+    got = {r.doc_id: (r["__n_lines"], r["__n_dropped"], len(r["__kept"])) for r in dedup_lines(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert got == {x: (60_000, 60_000, 0) for x in "abcde"} | {"f": (60_000, 0, len(long))}
+
+
 def test_lines_of_an_empty_table(spark):
     assert dedup_lines(empty(spark)).count() == 0
 
