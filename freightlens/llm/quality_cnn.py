@@ -5,23 +5,27 @@ however long. Each byte has a learned embedding, each filter is a learned weight
 responses are max-pooled over the text, and a logistic layer combines the pooled responses into one probability.
 Beside its maximum each filter's mean response enters too, so that a habit of the whole text counts as well as a spot.
 
-Training (Adam on the log loss, numpy alone, seeded) sees a bounded sample of the labelled rows: at most
-`sample` of each class, those with the smallest hash of their ids, whole texts, on the driver. With the default of 1500
-a class, texts of 3.4 kB make 10 MB. The model's few thousand weights travel to the scoring tasks in the closure.
-
-Null and empty texts are scored like any other text (one chunk of zeros). Rows repeated in the labels count once, with
-the smallest label; labels without a document are ignored. Without labels of both classes every score is the share of
-ones (or 0.5). Repeated documents are scored alike, a null id counts as the empty text in the choice of the fold.
+Training (Adam on the log loss, numpy alone, seeded) sees a bounded sample of the labelled rows: at most `sample` of each
+class, those with the smallest hash of their ids, whole texts of at most `most_bytes` each and `sample_bytes` together,
+on the driver. With the default of 1500 a class, texts of 3.4 kB make 10 MB. A bound for each class changes the share of
+good texts in the sample; the last layer's shift is set right by the classes' numbers among all labels, so a score means
+the same whatever the size. Batches go through in pieces of bounded size, so memory grows with a batch's bytes only. The
+model's few thousand weights travel to the scoring tasks in the closure.
+
+Null and empty texts are scored like any other text (one chunk of zeros); so are texts of any length, in pieces. Rows
+repeated in the labels count once, with the smallest label; labels without a document are ignored. Without labels of both
+classes every score is the share of ones (or 0.5). Repeated documents are scored alike, a null id counts as the empty
+text in the choice of the fold. An empty table has no scores. Extra columns pass through `scored`.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
@@ -30,7 +34,7 @@ from .common import fold_of, stretches, texts_of, tidy
 CHUNK, STRIDE, WIDTH, FILTERS = 16, 8, 4, 24
 #: From this score on a text counts as good.
 THRESHOLD = 0.3
-_PIECE = 1 << 20
+_PIECE = 1 << 22
 
 
 def chunks_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -56,20 +60,25 @@ class Network:
         x = self.embedding[data[start[:, None] + np.arange(CHUNK)]].reshape(len(start), -1)
         return np.maximum(x @ self.filters + self.bias, 0)
 
+    def pieces(self, data: np.ndarray, start: np.ndarray, first: np.ndarray) -> Iterator[tuple[slice, slice, np.ndarray, np.ndarray]]:
+        """Of some chunks at a time: which chunks, which texts, each text's first chunk among them, and the responses."""
+        ends, step = np.append(first[1:], len(start)), _PIECE // (CHUNK * WIDTH)
+        for at in range(0, len(start), step):
+            upto = min(at + step, len(start))
+            a, b = int(np.searchsorted(ends, at, "right")), int(np.searchsorted(first, upto))
+            yield slice(at, upto), slice(a, b), np.maximum(first[a:b] - at, 0), self.responses(data, start[at:upto])
+
     def pooled(self, texts: list[bytes]) -> np.ndarray:
         """Each text's largest and mean responses; chunks go through in pieces of bounded size."""
         data, start, first = chunks_of(texts)
-        ends = np.append(first[1:], len(start))
-        out = np.zeros((len(texts), 2 * FILTERS), np.float32)
-        step = _PIECE // (CHUNK * WIDTH)
-        for at in range(0, len(start), step):
-            r = self.responses(data, start[at : at + step])
-            a, b = np.searchsorted(ends, at, "right"), np.searchsorted(first, at + len(r))
-            local = np.maximum(first[a:b] - at, 0)
-            np.maximum(out[a:b, :FILTERS], np.maximum.reduceat(r, local), out=out[a:b, :FILTERS])
-            out[a:b, FILTERS:] += np.add.reduceat(r, local)
-        out[:, FILTERS:] /= (ends - first)[:, None]
-        return out
+        return pool(self.pieces(data, start, first), np.diff(np.append(first, len(start))))
+
+    def for_share(self, seen: np.ndarray, all_of: dict[int, int]) -> Network:
+        """The network for the classes' true numbers, if it learned from both classes in another proportion."""
+        ones, zeros = int((seen == 1).sum()), int((seen == 0).sum())
+        if not (ones and zeros and all_of.get(0) and all_of.get(1)):
+            return self
+        return replace(self, shift=self.shift + float(np.log(all_of[1] / all_of[0]) - np.log(ones / zeros)))
 
     def score(self, texts: list[bytes]) -> np.ndarray:
         if not texts:
@@ -77,6 +86,45 @@ class Network:
         return 1 / (1 + np.exp(-np.clip(self.pooled(texts) @ self.top + self.shift, -40, 40).astype(float)))
 
 
+def pool(pieces: Iterable[tuple[slice, slice, np.ndarray, np.ndarray]], n: np.ndarray) -> np.ndarray:
+    """The largest and mean responses of texts of n chunks."""
+    out = np.zeros((len(n), 2 * FILTERS), np.float32)
+    for _, of, local, r in pieces:
+        np.maximum(out[of, :FILTERS], np.maximum.reduceat(r, local), out=out[of, :FILTERS])
+        out[of, FILTERS:] += np.add.reduceat(r, local)
+    out[:, FILTERS:] /= n[:, None]
+    return out
+
+
+def gradients(net: Network, texts: list[bytes], y: np.ndarray) -> dict[str, np.ndarray | float]:
+    """Of the mean log loss. Responses are made once for a batch of one piece; else again for each pass over the pieces."""
+    data, start, first = chunks_of(texts)
+    n = np.diff(np.append(first, len(start)))
+    made = list(net.pieces(data, start, first)) if len(start) <= _PIECE // (CHUNK * WIDTH) else None
+    z = pool(made or net.pieces(data, start, first), n)
+    e = (1 / (1 + np.exp(-np.clip(z @ net.top + net.shift, -30, 30))) - y) / len(y)
+    dz = e[:, None] * net.top
+    # A maximum's gradient goes to the chunks that attain it, shared.
+    shared = np.zeros((len(texts), FILTERS), np.float32)
+    for at, of, local, r in made or net.pieces(data, start, first):
+        own = np.repeat(np.arange(of.start, of.stop), np.diff(np.append(local, at.stop - at.start)))
+        shared[of] += np.add.reduceat((r == z[own, :FILTERS]) & (r > 0), local, dtype=np.float32)
+    grads = {"embedding": np.zeros((256, WIDTH)), "filters": np.zeros_like(net.filters), "bias": np.zeros_like(net.bias), "top": z.T @ e, "shift": float(e.sum())}
+    for at, of, local, r in made or net.pieces(data, start, first):
+        own = np.repeat(np.arange(of.start, of.stop), np.diff(np.append(local, at.stop - at.start)))
+        dr = np.where(r > 0, (dz[:, FILTERS:] / n[:, None])[own], 0)
+        dr += np.where((r == z[own, :FILTERS]) & (r > 0), (dz[:, :FILTERS] / np.maximum(shared, 1))[own], 0)
+        dr = dr.astype(np.float32)
+        codes = data[start[at][:, None] + np.arange(CHUNK)]
+        x = net.embedding[codes].reshape(len(codes), -1)
+        dx, flat = (dr @ net.filters.T).reshape(-1, WIDTH), codes.reshape(-1)
+        grads["embedding"] += np.stack([np.bincount(flat, dx[:, k], 256) for k in range(WIDTH)], 1)
+        grads["filters"] += x.T @ dr
+        grads["bias"] += dr.sum(0)
+    grads["embedding"] = grads["embedding"].astype(np.float32)
+    return grads
+
+
 def train(texts: list[bytes], labels: np.ndarray, seed: int = 7, epochs: int = 12, steps: int = 240, batch_bytes: int = 1 << 18, rate: float = 0.01, decay: float = 1e-4) -> Network:
     """Fits a network; each class weighs as in the sample given. A small sample is gone through more often, up to `steps` steps."""
     rng = np.random.default_rng(seed)
@@ -95,26 +143,9 @@ def train(texts: list[bytes], labels: np.ndarray, seed: int = 7, epochs: int = 1
             size += len(texts[i])
             if size < batch_bytes and i != order[-1]:
                 continue
-            y = labels[held].astype(np.float32)
-            data, start, first = chunks_of([texts[k] for k in held])
-            ends = np.append(first[1:], len(start))
-            codes = data[start[:, None] + np.arange(CHUNK)]
-            x = net.embedding[codes].reshape(len(start), -1)
-            r = np.maximum(x @ net.filters + net.bias, 0)
-            most = np.maximum.reduceat(r, first)
-            n = (ends - first).astype(np.float32)[:, None]
-            z = np.concatenate((most, np.add.reduceat(r, first) / n), 1)
-            p = 1 / (1 + np.exp(-np.clip(z @ net.top + net.shift, -30, 30)))
-            e = (p - y) / len(held)
-            of = np.repeat(np.arange(len(held)), ends - first)
-            dz = e[:, None] * net.top
-            top = (r == most[of]) & (r > 0)  # a maximum's gradient goes to the chunks that attain it, shared
-            dr = np.where(r > 0, (dz[:, FILTERS:] / n)[of], 0)
-            shared = np.add.reduceat(top, first, dtype=np.float32)
-            dr += np.where(top, (dz[:, :FILTERS] / np.maximum(shared, 1))[of], 0)
-            dx = (dr @ net.filters.T).reshape(-1, WIDTH)
-            flat = codes.reshape(-1)
-            grads = {"embedding": np.stack([np.bincount(flat, dx[:, k], 256) for k in range(WIDTH)], 1).astype(np.float32), "filters": x.T @ dr + decay * net.filters, "bias": dr.sum(0), "top": z.T @ e + decay * net.top, "shift": float(e.sum())}
+            grads = gradients(net, [texts[k] for k in held], labels[held].astype(np.float32))
+            grads["filters"] += decay * net.filters
+            grads["top"] += decay * net.top
             t += 1
             for k in names:
                 m[k] = 0.9 * m[k] + 0.1 * grads[k]
@@ -125,19 +156,31 @@ def train(texts: list[bytes], labels: np.ndarray, seed: int = 7, epochs: int = 1
     return net
 
 
-def sample_of(docs: DataFrame, labels: DataFrame, sample: int, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
-    """(text, label) of at most `sample` labelled rows of each class outside the held-out fold."""
-    one = labels.where((fold_of(id_col) != 0) & F.col(label_col).isNotNull()).groupBy(id_col).agg(F.min(label_col).cast("int").alias("label"))
+def labelled(labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> DataFrame:
+    """(id, label) outside the held-out fold, one row an id."""
+    return labels.where((fold_of(id_col) != 0) & F.col(label_col).isNotNull()).groupBy(id_col).agg(F.min(label_col).cast("int").alias("label"))
+
+
+def sample_of(docs: DataFrame, labels: DataFrame, sample: int, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", most_bytes: int = 4 << 20, sample_bytes: int = 64 << 20) -> DataFrame:
+    """(text, label) of at most `sample` labelled rows of each class outside the held-out fold, and of bounded bytes."""
+    one = labelled(labels, id_col, label_col)
     pick = lambda y: one.where(F.col("label") == y).orderBy(F.xxhash64(id_col), id_col).limit(sample)
     chosen = pick(0).union(pick(1)).select(F.col(id_col).alias("__id"), "label")
     # At most 2 * sample rows of two numbers, so the texts need no shuffle.
-    rows = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("__id")).groupBy("__id", "label").agg(F.min(text_col).alias("text"))
-    return rows.orderBy(F.xxhash64("__id"), "__id").select("text", "label")
+    size = F.octet_length(F.coalesce(F.col(text_col), F.lit("")))
+    rows = docs.where(size <= most_bytes).join(F.broadcast(chosen), F.col(id_col) == F.col("__id")).groupBy("__id", "label").agg(F.min(text_col).alias("text"))
+    order = [F.xxhash64("__id"), F.col("__id")]
+    so_far = F.sum(F.octet_length(F.coalesce("text", F.lit("")))).over(Window.orderBy(*order))  # over 2 * sample rows at most
+    return rows.withColumn("__bytes", so_far).where(F.col("__bytes") <= sample_bytes).orderBy(*order).select("text", "label")
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = 1500, **columns) -> Network:
     rows = sample_of(docs, labels, sample, **columns).toArrow()
-    return train(texts_of(rows.column("text")), rows.column("label").to_numpy())
+    seen = rows.column("label").to_numpy()
+    net = train(texts_of(rows.column("text")), seen)
+    every = labelled(labels, **{k: v for k, v in columns.items() if k in ("id_col", "label_col")})
+    all_of = {r.label: r.n for r in every.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row a class
+    return net.for_share(seen, all_of)
 
 
 def scored(docs: DataFrame, net: Network, text_col: str = "text", name: str = "score") -> DataFrame:

@@ -60,6 +60,61 @@ def test_classifier_reads_whole_texts_and_survives_nothing(spark):
     assert ones.score([b"x"])[0] > 0.9
 
 
+def slow_score(net, text):
+    chunks = [text[:16]] + [text[k * 8 : k * 8 + 16] for k in range(1, 1 + max(0, -(-(len(text) - 16) // 8)))]
+    got = []
+    for c in chunks:
+        x = [float(net.embedding[b, k]) for b in c.ljust(16, b"\0") for k in range(quality_cnn.WIDTH)]
+        got.append([max(0.0, sum(v * float(net.filters[i, f]) for i, v in enumerate(x)) + float(net.bias[f])) for f in range(quality_cnn.FILTERS)])
+    z = [max(r[f] for r in got) for f in range(quality_cnn.FILTERS)] + [sum(r[f] for r in got) / len(got) for f in range(quality_cnn.FILTERS)]
+    return 1 / (1 + math.exp(-sum(a * float(b) for a, b in zip(z, net.top, strict=True)) - float(net.shift)))
+
+
+def test_scores_of_the_network_against_brute_force(monkeypatch):
+    rng = random.Random(2)
+    net = quality_cnn.train([prose(rng, 30).encode() if k % 2 else junk(rng, 30).encode() for k in range(40)], np.arange(40) % 2, steps=30)
+    texts = [b"", b"x", b"a" * 16, b"a" * 17, prose(rng, 60).encode(), junk(rng, 40).encode(), bytes(range(256))]
+    want = [slow_score(net, t) for t in texts]
+    assert np.allclose(net.score(texts), want, atol=1e-4)
+    monkeypatch.setattr(quality_cnn, "_PIECE", 64 * 3)  # three chunks at a time
+    assert np.allclose(net.score(texts), want, atol=1e-4)
+
+
+def test_gradients_are_slopes_and_the_same_in_pieces(monkeypatch):
+    rng = random.Random(6)
+    texts, y = [prose(rng, 20).encode() if k % 2 else junk(rng, 9).encode() for k in range(6)], np.arange(6, dtype=np.float32) % 2
+    net = quality_cnn.train(texts, y, steps=3, epochs=1)
+
+    def loss():
+        p = net.score(texts)
+        return float(-(y * np.log(p) + (1 - y) * np.log(1 - p)).mean())
+
+    whole = quality_cnn.gradients(net, texts, y)
+    for name, at in (("top", 3), ("top", 40), ("bias", 5), ("filters", (7, 2)), ("embedding", (ord("a"), 1)), ("embedding", (ord("!"), 2))):
+        value, step = getattr(net, name)[at], 1e-3
+        getattr(net, name)[at] = value + step
+        up = loss()
+        getattr(net, name)[at] = value - step
+        slope = (up - loss()) / (2 * step)
+        getattr(net, name)[at] = value
+        assert whole[name][at] == pytest.approx(slope, rel=0.1, abs=1e-3)
+    monkeypatch.setattr(quality_cnn, "_PIECE", 64 * 3)
+    for name, got in quality_cnn.gradients(net, texts, y).items():
+        assert np.allclose(got, whole[name], atol=1e-4)
+
+
+def test_sample_bounds_and_the_classes_share(spark):
+    rows = [(k, ("good words " if k % 5 else "BAD !! ") * (1 + k % 7), int(k % 5 > 0)) for k in range(300)] + [(900 + k, "x" * 5000, 1) for k in range(9)]
+    docs, labels = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"), spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, quality int")
+    taken = quality_cnn.sample_of(docs, labels, 30, most_bytes=1000, sample_bytes=10**6).collect()
+    assert Counter(r.label for r in taken)[0] == 30 and max(len(r.text) for r in taken) < 1000
+    few = quality_cnn.sample_of(docs, labels, 30, most_bytes=1000, sample_bytes=800).collect()
+    assert 0 < sum(len(r.text) for r in few) <= 800
+    net = quality_cnn.train([], np.zeros(0))
+    assert net.for_share(np.array([0, 1]), {0: 100, 1: 300}).shift == pytest.approx(math.log(3))
+    assert net.for_share(np.array([1, 1]), {1: 300}) is net
+
+
 def test_chunks_cover_all_bytes():
     for n in (0, 1, 15, 16, 17, 24, 25, 100):
         data, start, first = quality_cnn.chunks_of([b"x" * n, b"y" * 3])
