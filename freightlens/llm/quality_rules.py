@@ -1,15 +1,18 @@
 """Quality rules by weak supervision: rules vote or abstain, and EM says how far each is to be trusted.
 
 Rules read counts of one text (words, symbols, repeated lines and words, letters, case, sentence ends) and vote good
-(1), bad (0) or abstain. The model: each text is good with probability `prior`, and each rule says good, says bad or is
-silent with chances of its own for good and for bad texts: its accuracy, where silence counts too, so a rule that only
-ever accuses also tells something by not accusing. Expectation-maximisation estimates all of that from the votes alone,
-without labels. Its data are the vote patterns with their counts: at most 3^rules rows however many texts there are,
-summed before they reach the driver. The result is the posterior probability of good; it replaces the filter in which
-every rule must pass, so one false alarm doesn't condemn a text that other rules speak for.
-
-Null and empty texts have no words: they fail the base rule. Repeated rows vote like any others. An empty table
-gives no rows and the model stays at its start. Extra columns are left out.
+(1), bad (0) or abstain in between. Their thresholds are common knowledge of web corpora's filters (mean word length of
+3 to 10, a symbol for every ten words, 30 % repeated lines, 80 % letters and the like), set without a look at labels. The
+model: each text is good with probability `prior`, and each rule says good, says bad or is silent with chances of its
+own for good and for bad texts: its accuracy, where silence counts too. Expectation-maximisation estimates all of that
+from the votes of the texts that pass the base rule, without labels; that votes for good come from good texts is all that its start says. Its data are
+the vote patterns with their counts: at most 3^rules rows however many texts there are, summed before they reach the
+driver. The result is the posterior probability of good; it replaces the filter in which every rule must pass, so one
+false alarm doesn't condemn a text that other rules speak for.
+
+Null and empty texts have no words: they fail the base rule. Repeated rows vote like any others. Of a very long text the
+words are counted a MB of texts at a time, one text as a whole. Ties don't arise: a verdict is a threshold on the
+posterior. An empty table gives no rows and the model stays at its start. Extra columns are left out.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import texts_of, tidy
+from .common import stretches, texts_of, tidy, written
 
 #: The characters that count as symbols.
 SYMBOLS = b"#*$%&|<>"
@@ -73,7 +76,7 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = np.array([counts_of(t) for t in texts_of(batch.column(1))], np.int64).reshape(-1, len(COUNTS))
+            rows = np.array([counts_of(t) for a, b in stretches(batch.column(1), 1 << 20) for t in texts_of(batch.column(1).slice(a, b - a))], np.int64).reshape(-1, len(COUNTS))
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(np.ascontiguousarray(c)) for c in rows.T)], [id_col, *COUNTS])
 
     return docs.select(id_col, text_col).mapInArrow(tidy(run), f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, " + ", ".join(f"{c} long" for c in COUNTS))
@@ -88,19 +91,18 @@ class Rule:
     bad: str
 
 
-#: Most rules know one kind of bad text and are silent on the rest; two speak for a text as well.
+#: Of a text between the two thresholds a rule says nothing.
 RULES = (
-    Rule("length", "n_words >= 100", "n_words < 20"),
-    Rule("stops", "n_stops > 0 AND n_stops * 3 <= n_words", "n_words >= 50 AND n_stops * 2 > n_words"),
-    Rule("symbols", "false", "n_symbols * 10 > n_words"),
-    Rule("marks", "false", "n_symbols * 20 > n_bytes"),
-    Rule("letters", "false", "n_letters * 100 < n_bytes * 80"),
-    Rule("repeat_words", "false", "n_repeat_words * 100 > n_words * 45"),
-    Rule("variety", "false", "n_words >= 50 AND n_types * 4 < n_words"),
-    Rule("dup_lines", "false", "n_dup_lines * 10 > n_lines * 6"),
-    Rule("case", "false", "n_upper * 2 > n_lower"),
-    Rule("shouts", "false", "n_shouts * 10 > n_words"),
-    Rule("word_length", "false", "word_chars < n_words * 2 OR word_chars > n_words * 12"),
+    Rule("length", "n_words BETWEEN 100 AND 100000", "n_words < 20"),
+    Rule("word_length", "word_chars BETWEEN 3 * n_words AND 10 * n_words", "word_chars < 2 * n_words OR word_chars > 15 * n_words"),
+    Rule("sentences", "n_stops * 40 >= n_words AND n_stops * 4 <= n_words", "n_stops * 2 > n_words OR n_words >= 100 AND n_stops * 200 < n_words"),
+    Rule("symbols", "n_symbols * 100 <= n_words", "n_symbols * 10 > n_words"),
+    Rule("letters", "n_letters * 100 >= n_bytes * 90", "n_letters * 100 < n_bytes * 80"),
+    Rule("repeat_words", "n_repeat_words * 100 <= n_words * 10", "n_repeat_words * 100 > n_words * 30"),
+    Rule("dup_lines", "n_dup_lines * 100 <= n_lines * 10", "n_dup_lines * 100 > n_lines * 30"),
+    Rule("variety", "n_types * n_types >= 16 * n_words", "n_types * n_types < 4 * n_words"),
+    Rule("case", "n_upper * 10 <= n_lower", "n_upper * 2 > n_lower"),
+    Rule("shouts", "n_shouts * 100 <= n_words", "n_shouts * 10 > n_words"),
 )
 
 
@@ -109,9 +111,9 @@ def votes(rules: tuple[Rule, ...] = RULES) -> Column:
     return F.concat(*(F.when(F.expr(r.good), "1").when(F.expr(r.bad), "0").otherwise("2") for r in rules))
 
 
-#: Start of EM, by class (bad, good): how often a rule says bad, says good, is silent. Rules that only accuse, others.
-ACCUSES = ((0.3, 0.0, 0.7), (0.02, 0.0, 0.98))
-JUDGES = ((0.3, 0.35, 0.35), (0.05, 0.7, 0.25))
+#: Start of EM, by class (bad, good): how often a rule says bad, says good, is silent. A bad text is bad in ways of its
+#: own and passes most rules too, so a vote for good says little at first, a vote for bad more.
+START = ((0.3, 0.5, 0.2), (0.05, 0.75, 0.2))
 
 
 @dataclass
@@ -132,7 +134,7 @@ class LabelModel:
 
 def learn(patterns: list[str], n: np.ndarray, rules: tuple[Rule, ...], prior: float = 0.8, rounds: int = 200) -> LabelModel:
     """EM over vote patterns with counts n; a few imagined votes (a thousandth) keep the sense of the start."""
-    start = np.array([ACCUSES if r.good == "false" else JUDGES for r in rules])
+    start = np.array([START] * len(rules))
     model = LabelModel(prior, start)
     if not patterns:
         return model
@@ -149,13 +151,12 @@ def learn(patterns: list[str], n: np.ndarray, rules: tuple[Rule, ...], prior: fl
     return model
 
 
-def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES, least: float = 0.3) -> DataFrame:
+def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES, least: float = 0.5) -> DataFrame:
     """(id, COUNTS..., votes string, base_failed boolean, quality double, kept boolean)."""
-    from .common import written
-
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     rows = written(measured(docs, id_col, text_col)).withColumn("votes", votes(rules)).withColumn("base_failed", base)
-    seen = rows.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).orderBy("votes").collect()  # at most 3^rules rows
+    passed = F.count_if(~F.col("base_failed")).alias("n")  # the model is about texts that the base rule leaves
+    seen = rows.groupBy("votes").agg(passed).orderBy("votes").collect()  # at most 3^rules rows
     patterns = [r.votes for r in seen]
     quality = learn(patterns, np.array([r.n for r in seen], float), rules).posterior(patterns)
     table = docs.sparkSession.createDataFrame(list(zip(patterns, quality.tolist(), strict=True)), "votes string, quality double")
