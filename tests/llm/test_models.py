@@ -471,16 +471,70 @@ def test_tokens_of_long_texts_are_those_of_pieces():
 # Mixing.
 
 
-def test_shortages_go_to_siblings_first():
+def slow_quotas(leaves, weights, budget, epochs, other=1.0):
+    """The definition: children share by weight, the full ones drop out, the rest is shared again."""
+    supply = {p: t * epochs if all(weights.get(p[: k + 1], other) > 0 for k in range(len(p))) else 0 for p, t in leaves.items()}
+
+    def give(prefix, budget):
+        k = len(prefix)
+        if prefix in leaves:
+            return {prefix: min(budget, supply[prefix])}
+        children = sorted({p[: k + 1] for p in leaves if p[:k] == prefix})
+        can = {c: sum(s for p, s in supply.items() if p[: k + 1] == c) for c in children}
+        share, left, open_ = dict.fromkeys(children, 0.0), budget, [c for c in children if can[c] > 0]
+        while open_ and left > 1e-9 * max(budget, 1):
+            total = sum(weights.get(c, other) for c in open_)
+            full = [c for c in open_ if can[c] <= left * weights.get(c, other) / total]
+            if not full:
+                share.update((c, left * weights.get(c, other) / total) for c in open_)
+                break
+            for c in full:
+                share[c] = can[c]
+            left -= sum(can[c] for c in full)
+            open_ = [c for c in open_ if c not in full]
+        return {p: x for c in children for p, x in give(c, share[c]).items()}
+
+    return {p: round(x) for p, x in give((), min(budget, sum(supply.values()))).items()} if leaves else {}
+
+
+def frame_quotas(spark, leaves, weights, budget, epochs, other=1.0):
+    names = [f"l{k}" for k in range(len(next(iter(leaves))))] if leaves else ["l0"]
+    rows = spark.createDataFrame([(*p, t) for p, t in leaves.items()], ", ".join(f"{n} string" for n in names) + ", tokens long")
+    return {tuple(r[n] for n in names): r.due for r in source_mixing.quotas(rows, names, weights, budget, epochs, other).collect()}
+
+
+def test_shortages_go_to_siblings_first(spark):
     leaves = {("a", "x"): 10, ("a", "y"): 1000, ("b", "z"): 1000}
     weights = {("a",): 0.5, ("b",): 0.5, ("a", "x"): 0.9, ("a", "y"): 0.1}
-    assert source_mixing.quotas(leaves, weights, 200, 1) == {("a", "x"): 10, ("a", "y"): 90, ("b", "z"): 100}
-    assert source_mixing.quotas(leaves, weights, 200, 4) == {("a", "x"): 40, ("a", "y"): 60, ("b", "z"): 100}
+    quotas = lambda *a: frame_quotas(spark, *a)
+    assert quotas(leaves, weights, 200, 1) == {("a", "x"): 10, ("a", "y"): 90, ("b", "z"): 100}
+    assert quotas(leaves, weights, 200, 4) == {("a", "x"): 40, ("a", "y"): 60, ("b", "z"): 100}
     leaves[("a", "y")] = 20  # the whole branch is short: only then the other one takes more
-    assert source_mixing.quotas(leaves, weights, 200, 1) == {("a", "x"): 10, ("a", "y"): 20, ("b", "z"): 170}
-    assert source_mixing.quotas(leaves, weights, 10**9, 2) == {("a", "x"): 20, ("a", "y"): 40, ("b", "z"): 2000}
-    assert source_mixing.quotas(leaves, weights | {("b",): 0.0}, 10**9, 1)[("b", "z")] == 0
-    assert source_mixing.quotas({}, {}, 5, 1) == {}
+    assert quotas(leaves, weights, 200, 1) == {("a", "x"): 10, ("a", "y"): 20, ("b", "z"): 170}
+    assert quotas(leaves, weights, 10**9, 2) == {("a", "x"): 20, ("a", "y"): 40, ("b", "z"): 2000}
+    assert quotas(leaves, weights | {("b",): 0.0}, 10**9, 1)[("b", "z")] == 0
+    assert quotas({}, {}, 5, 1) == {}
+
+
+def test_quotas_against_brute_force(spark, monkeypatch):
+    rng = random.Random(11)
+    monkeypatch.setattr(source_mixing, "SLOTS", 8)  # several rounds
+    for _ in range(3):
+        leaves = {(f"d{rng.randint(0, 2)}", f"l{rng.randint(0, 3)}", f"s{k}"): rng.choice([0, 1, 7, 7, 100, rng.randint(1, 10**7)]) for k in range(60)}
+        weights = {p[:k]: rng.choice([0.0, 0.5, 1.0, 2.0, rng.random()]) for p in list(leaves)[::3] for k in (1, 2, 3)} | {("d0",): 1.0}
+        budget = rng.random() * sum(leaves.values())
+        got, want = frame_quotas(spark, leaves, weights, budget, 2, 0.7), slow_quotas(leaves, weights, budget, 2, 0.7)
+        assert got.keys() == want.keys() and all(abs(got[p] - want[p]) <= 1 for p in want)
+
+
+def test_a_family_of_many_leaves(spark):
+    n = 150_000
+    leaves = spark.range(n).select(F.lit("web").alias("d"), F.col("id").cast("string").alias("host"), (F.col("id") % 1000 + 1).alias("tokens"))
+    due = source_mixing.quotas(leaves, ["d", "host"], {}, 30_000_000, 1).join(leaves, ["d", "host"])
+    r = due.agg(F.sum("due").alias("all"), F.max("due").alias("top"), F.count_if(F.expr("due < tokens AND due < 225")).alias("odd")).first()
+    # Of 150 equal groups of sizes 1 to 1000 the level is where sizes below it and it for all others make 30 million.
+    level = next(x for x in range(1, 1001) if 150 * (x * (x + 1) // 2 + x * (1000 - x)) >= 30_000_000)
+    assert abs(r["top"] - level) <= 1 and abs(r["all"] - 30_000_000) <= n and r.odd == 0
 
 
 @pytest.mark.parametrize("budget, epochs, slice_rows", [(0.5, 1, 3), (0.9, 4, 1000), (3.0, 4, 2), (1, 1, 5)])
@@ -498,7 +552,7 @@ def test_prefixes_of_epochs(spark, budget, epochs, slice_rows):
         assert r.n_tokens == len(words(r.text))
         leaves.setdefault((r["__lang"], r["__source"]), []).append(r)
     supply = {k: sum(r.n_tokens for r in v) for k, v in leaves.items()}
-    due = source_mixing.quotas(supply, weights, how["budget"] * total if budget <= 1 else how["budget"], epochs)
+    due = slow_quotas(supply, weights, how["budget"] * total if budget <= 1 else how["budget"], epochs)
     for leaf, own in leaves.items():
         whole, rest = divmod(due[leaf], supply[leaf]) if supply[leaf] else (0, 0)
         assert {r.copies for r in own} <= {whole, whole + 1}
