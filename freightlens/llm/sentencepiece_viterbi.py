@@ -16,8 +16,10 @@ Two kinds of model have different lattices:
   equals the library's. Pairs are tried once and remembered in a cache of bounded size.
 
 Characters outside the vocabulary become byte pieces (or the unknown piece); decoding joins pieces, turns byte pieces
-back and takes off the mark in front. Null and empty texts have no pieces. Repeated rows are encoded alike. Extra
-columns are left out. The model's file is a parameter; its content travels in the closure (0.5 MB).
+back and takes off the mark in front. Null and empty texts have no pieces. A very long text is a batch of its own, and a
+very long word takes memory linear in its length. Repeated rows are encoded alike; of equal sums in a unigram model the
+longer last piece wins. An empty table has no rows. Extra columns are left out. The model's file is a parameter; its
+content travels in the closure (0.5 MB).
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ import re
 from collections.abc import Iterator
 from itertools import chain
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -36,7 +39,7 @@ from .common import stretches, texts_of, tidy
 MARK = "▁"
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 #: Pairs of pieces that the merge check remembers, and texts' bytes that share a trie.
-PAIRS, BATCH_BYTES = 1 << 17, 10 << 20
+PAIRS, BATCH_BYTES = 1 << 18, 10 << 20
 #: Words whose ids a worker remembers for good: those of two batches, as long as there is room.
 WARM = 150_000
 #: Longer words aren't remembered for good.
@@ -78,9 +81,11 @@ class Model:
         self.wide = np.zeros(len(self.pieces), bool)
         self.wide[[i for b, i in self.bytes.items() if b >= 128]] = True
         self.least = min((self.score[i] for i in self.ids.values()), default=0.0) - 10.0
-        self.tail = dict.fromkeys((p[k:] for p in self.ids for k in range(len(p))), -1) | self.ids
+        self.automaton, self.longest = ahocorasick.Automaton(), max(map(len, self.ids), default=1)
+        for piece, i in self.ids.items():
+            self.automaton.add_word(piece, (i, len(piece)))
+        self.automaton.make_automaton()
         self.pair: dict[int, bool] = {}
-        self.size = list(map(len, self.pieces))
         self.codes = len(self.pieces) + 0x110000
 
     def fallback(self, char: str, before: list[int]) -> list[int]:
@@ -115,46 +120,51 @@ class Model:
         """Each different word's ids, by one walk over the sorted words.
 
         Columns by length of the prefix: best, the forward score; last, the piece that ends its best path (characters
-        outside the vocabulary count from the vocabulary's end on); origin, where that piece begins. Ids are read back once
-        a word is through, so memory is linear in its length.
+        outside the vocabulary count from the vocabulary's end on); origin, where that piece begins. The pieces that end at
+        a place come from an automaton over the vocabulary, longest first. Ids are read back once a word is through, so
+        memory is linear in its length.
         """
         found, before = {}, ""
         best, last, origin = [0.0], [-1], [0]
-        tail, score, codes, n_pieces, unigram = self.tail.get, self.score, self.codes, len(self.pieces), self.kind == "unigram"
-        known, size = self.pair.get, self.size
+        score, codes, n_pieces, unigram = self.score, self.codes, len(self.pieces), self.kind == "unigram"
+        known, ends = self.pair.get, self.automaton.iter
         for word in sorted(words):
             shared, most = 0, min(len(before), len(word))
             while shared < most and before[shared] == word[shared]:
                 shared += 1
             del best[shared + 1 :], last[shared + 1 :], origin[shared + 1 :]
-            for at in range(shared + 1, len(word) + 1):
-                start = at - 1
-                i = tail(word[start])
-                # A character that is no piece stands for itself.
-                ending = [i if i is not None and i >= 0 else n_pieces + ord(word[start])]
-                while i is not None:
-                    start -= 1
-                    if start < 0 or (i := tail(word[start:at])) is None:
-                        break
-                    if i >= 0:
-                        ending.append(i)
-                top, from_, chosen = FORBIDDEN, at - 1, ending[0]
-                for i in reversed(ending):
-                    start = at - size[i] if i < n_pieces else at - 1
-                    if unigram:
-                        own = best[start] + (score[i] if i < n_pieces else self.least)
-                        if own > top:
-                            top, from_, chosen = own, start, i
-                        continue
-                    free = known(last[start] * codes + i)
-                    if free is None:
-                        free = self._free(last[start], i)
-                    if free:  # all other paths to here are forbidden
-                        top, from_, chosen = best[start] + (score[i] if i < n_pieces else 0.0), start, i
-                        break
-                best.append(top)
-                last.append(chosen)
-                origin.append(from_)
+            done = shared  # prefixes up to here are through
+            for end, (i, size) in ends(word, max(0, shared + 1 - self.longest)):
+                if end < (shared if unigram else done):
+                    continue
+                while end > done:  # nothing ends there, or no path is free: the character stands for itself
+                    best.append(best[done] + self.least)
+                    last.append(n_pieces + ord(word[done]))
+                    origin.append(done)
+                    done += 1
+                start = end + 1 - size
+                if unigram:
+                    if end == done:  # the first piece that ends here; a character that is no piece can stand for itself too
+                        best.append(FORBIDDEN if word[end] in self.ids else best[end] + self.least)
+                        last.append(n_pieces + ord(word[end]))
+                        origin.append(end)
+                        done += 1
+                    own = best[start] + score[i]
+                    if own > best[-1]:
+                        best[-1], last[-1], origin[-1] = own, i, start
+                    continue
+                free = known(last[start] * codes + i)
+                if free is None:
+                    free = self._free(last[start], i)
+                if free:  # all other paths to here are forbidden
+                    best.append(best[start] + score[i])
+                    last.append(i)
+                    origin.append(start)
+                    done += 1
+            for at in range(len(best) - 1, len(word)):
+                best.append(best[at] + self.least)
+                last.append(n_pieces + ord(word[at]))
+                origin.append(at)
             ids, at = [], len(word)
             while at:
                 ids.append(last[at])
