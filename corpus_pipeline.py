@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freightlens.llm import line_dedup, quality_cnn, sentencepiece_viterbi, simhash_dedup, source_mixing
-from freightlens.llm.common import placed
+from freightlens.llm.common import discard, placed, scoped
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -62,10 +62,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs.write.parquet(path := placed(spark, "stage"))
-            docs = spark.read.parquet(path)
-    return docs
+    """The last stage's rows. What a stage needed, its input too, is deleted once its output is written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for _, stage in STAGES[:-1]:
+        path = placed(spark, "stage")
+        with scoped(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            discard(spark, before)
+        docs, before = spark.read.parquet(path), path
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -7,6 +7,7 @@ import math
 import re
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -47,23 +48,50 @@ def shared_dir(spark: SparkSession) -> str:
     return place.rstrip("/")
 
 
-#: Paths that this process has put in shared folders.
-PLACED: list[str] = []
+#: What this process has put in shared storage, by scope, the innermost last: paths, and tables' names.
+_SCOPES: list[list[str]] = [[]]
+_TABLE = "table:"
 
 
 def placed(spark: SparkSession, kind: str = "table") -> str:
     """A new path in the shared folder."""
-    PLACED.append(f"{shared_dir(spark)}/fl-{kind}-{uuid.uuid4().hex}")
-    return PLACED[-1]
+    _SCOPES[-1].append(f"{shared_dir(spark)}/fl-{kind}-{uuid.uuid4().hex}")
+    return _SCOPES[-1][-1]
 
 
-def clear_shared(spark: SparkSession) -> None:
-    """Deletes what operators have put in the shared folder; call it when their results have been read."""
-    while PLACED:
-        path = spark._jvm.org.apache.hadoop.fs.Path(PLACED.pop())
+def named_table() -> str:
+    """A new name for a table of the catalog."""
+    _SCOPES[-1].append(f"{_TABLE}fl_run_{uuid.uuid4().hex}")
+    return _SCOPES[-1][-1].removeprefix(_TABLE)
+
+
+def discard(spark: SparkSession, name: str) -> None:
+    """Deletes a path or table that was placed in the present scope."""
+    _SCOPES[-1].remove(name)
+    if name.startswith(_TABLE):
+        spark.sql(f"DROP TABLE IF EXISTS {name.removeprefix(_TABLE)}")
+    else:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def clear_shared(spark: SparkSession) -> None:
+    """Deletes what operators of this scope have put in shared storage; call it when their results have been read."""
+    while _SCOPES[-1]:
+        discard(spark, _SCOPES[-1][-1])
+
+
+@contextmanager
+def scoped(spark: SparkSession) -> Iterator[None]:
+    """A scope of its own: what operators put in shared storage inside is deleted at its end, other scopes' isn't."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        clear_shared(spark)
+        _SCOPES.pop()
+
+
 def written(df: DataFrame, compression: str = "zstd", few: bool = False) -> DataFrame:
     """df as a table in the shared folder, read back: cuts lineage and survives lost executors.
 

@@ -21,14 +21,13 @@ rows. Ids may be of any type that has an order; they are cut in batches if they
 
 from __future__ import annotations
 
-import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from .common import LOWER, SPACE_CHARS, UPPER, ceil_div, placed, text_bytes, written
+from .common import LOWER, SPACE_CHARS, UPPER, ceil_div, named_table, placed, text_bytes, written
 
 KEY = ["h1", "h2"]
 #: Keys with this part of all lines are joined by broadcast.
@@ -69,7 +68,7 @@ class LineRuns:
         return self.spark.read.schema(self.spark.table(name).schema).parquet(f"{self.place}/{name}")
 
     def _keep(self, rows: DataFrame, level: int) -> None:
-        name = f"fl_run_{uuid.uuid4().hex}"
+        name = named_table()
         rows.repartition(self.buckets, *KEY).write.bucketBy(self.buckets, *KEY).sortBy(*KEY).option("path", f"{self.place}/{name}").saveAsTable(name)
         while len(self.levels) <= level:
             self.levels.append([])
@@ -120,11 +119,6 @@ class LineRuns:
         kept = F.when(F.col("__gone").isNull(), F.coalesce(F.col(text_col), F.lit(""))).otherwise(kept)
         return rows.select(*(F.col(f"`{c}`") for c in docs.columns), n.alias("__n_lines"), (n - left).alias("__n_dropped"), kept.alias("__kept"))
 
-    def drop(self) -> None:
-        """Forgets the tables' names (their files stay with the shared folder's owner)."""
-        for name in [x for level in self.levels for x in level]:
-            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-
 
 def falling_batches(docs: DataFrame, n: int, id_col: str = "doc_id") -> list[DataFrame]:
     """docs by ranges of a numeric id, the largest first and null ids last; ids of another type are one batch."""

@@ -120,7 +120,6 @@ def test_runs_are_compacted_and_keep_counting(spark):
     assert [len(level) for level in runs.levels] == [0, 0, 1]
     gone = {r.id for r in runs.doomed().collect()}
     assert gone == {8, 7, 6, 4}  # x is kept by 9, y by 8; z is in two documents
-    runs.drop()
 
 
 LINE = "This line is forty characters long or more, so it counts."
@@ -280,10 +279,17 @@ def test_fingerprint_of_little():
 def test_shared_tables_can_be_cleared(spark):
     from freightlens.llm import common
 
+    there = lambda p: (q := spark._jvm.org.apache.hadoop.fs.Path(p)).getFileSystem(spark._jsc.hadoopConfiguration()).exists(q)
+    outer = common.written(spark.range(2))
+    path = common._SCOPES[-1][-1]
+    with common.scoped(spark):
+        assert common.written(spark.range(3)).count() == 3
+        dedup_lines(documents(spark)).count()
+        inner = list(common._SCOPES[-1])
+        tables = [t.name for t in spark.catalog.listTables() if t.name.startswith("fl_run_")]
+        assert tables and len(inner) > 3
+    left = {t.name for t in spark.catalog.listTables()}
+    assert not any(there(p) for p in inner if not p.startswith("table:")) and not left & {p.removeprefix("table:") for p in inner}
+    assert there(path) and outer.count() == 2
     common.clear_shared(spark)
-    table = common.written(spark.range(3))
-    path = common.PLACED[-1]
-    assert table.count() == 3 and not common.PLACED[:-1]
-    common.clear_shared(spark)
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    assert not jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
+    assert not there(path)

@@ -15,6 +15,7 @@ from freightlens.llm import quality_cnn, source_mixing
 from freightlens.llm.queries import oracle_sql, queries
 from freightlens.llm.sentencepiece_viterbi import default_model
 
+from .cases import clashing, documents, empty
 from .test_dedup import alike, brute_components, brute_lines, five_word_sets
 
 ROOT = Path(__file__).resolve().parents[2]
@@ -99,6 +100,34 @@ def test_run_is_its_stages(spark):
     assert got.columns == ["doc_id", "lang", "source", "n_pieces", "ids", "decoded_sha256"] and 0 < got.count() < 200
 
 
+def labels_of(spark, docs):
+    return docs.selectExpr("doc_id", "cast(length(text) > 300 as int) AS quality", "0 AS toxic").where("doc_id % 2 = 0")
+
+
+@pytest.mark.parametrize("nothing", [False, True])
+def test_stages_on_odd_tables(spark, tmp_path, nothing):
+    # Nulls in every column, empty and long texts, ties, repeated rows, and columns that stages use inside.
+    docs = empty(spark) if nothing else documents(spark)
+    more = clashing(docs, "__score", "__kept", "id", "n", "th", "node", "n_tokens", "copies", "quality", "ids")
+    more.write.parquet(str(tmp_path / "documents.parquet"))
+    labels_of(spark, docs).write.parquet(str(tmp_path / "labels.parquet"))
+    table = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        found = stage(spark, table, str(tmp_path))
+        assert found.columns == (corpus_pipeline.COLUMNS if k < 4 else ["doc_id", "lang", "source", "n_pieces", "ids", "decoded_sha256"])
+        assert found.count() <= docs.count() and (found.count() == 0) == nothing
+    n = corpus_pipeline.run(spark, str(tmp_path)).count()
+    assert n == 0 if nothing else 0 < n < docs.count()
+
+
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_queries_on_odd_tables(spark, tmp_path, name):
+    for which, docs in (("some", documents(spark)), ("none", empty(spark))):
+        docs.write.parquet(str(tmp_path / which / "documents.parquet"))
+        labels_of(spark, docs).write.parquet(str(tmp_path / which / "labels.parquet"))
+        assert queries()[name](spark, str(tmp_path / which)).count() == docs.count()
+
+
 @needs_tables
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_against_sql(spark, name):
