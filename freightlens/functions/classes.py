@@ -10,16 +10,72 @@ from pyspark.sql import functions as F
 from .values import key
 
 #: The region of each branch prefix.
-REGION_BRANCHES = {
-    "Bodetabekcikcil": "BKI BOO CKR CLG DPK TGR",
-    "JTBNN": "AMI DPS JBR KDR KOE LBJ MDN MJK MXG PBL PSR SDA SUB",
-    "Jakarta": "CGK",
-    "Jawa Barat": "BDO CBN GRT KRW PWT SMI TSM",
-    "Jawa Tengah": "CXP JOG MGL SOC SRG TGL",
-    "Kalimantan": "BDJ BPN BTG PKY PNK SMD TRK",
-    "Sulampapua": "AMQ DJJ GTO KDI MDC MKQ MKW PLW SOQ TIM TTE UPG",
-    "Sumbagsel": "BKS DJB PGK PLM TJQ TKG",
-    "Sumbagut": "BTH BTJ DTB MES PDG PKU TNJ",
+REGION_OF = {
+    "AMI": "JTBNN",
+    "AMQ": "Sulampapua",
+    "BDJ": "Kalimantan",
+    "BDO": "Jawa Barat",
+    "BKI": "Bodetabekcikcil",
+    "BKS": "Sumbagsel",
+    "BOO": "Bodetabekcikcil",
+    "BPN": "Kalimantan",
+    "BTG": "Kalimantan",
+    "BTH": "Sumbagut",
+    "BTJ": "Sumbagut",
+    "CBN": "Jawa Barat",
+    "CGK": "Jakarta",
+    "CKR": "Bodetabekcikcil",
+    "CLG": "Bodetabekcikcil",
+    "CXP": "Jawa Tengah",
+    "DJB": "Sumbagsel",
+    "DJJ": "Sulampapua",
+    "DPK": "Bodetabekcikcil",
+    "DPS": "JTBNN",
+    "DTB": "Sumbagut",
+    "GRT": "Jawa Barat",
+    "GTO": "Sulampapua",
+    "JBR": "JTBNN",
+    "JOG": "Jawa Tengah",
+    "KDI": "Sulampapua",
+    "KDR": "JTBNN",
+    "KOE": "JTBNN",
+    "KRW": "Jawa Barat",
+    "LBJ": "JTBNN",
+    "MDC": "Sulampapua",
+    "MDN": "JTBNN",
+    "MES": "Sumbagut",
+    "MGL": "Jawa Tengah",
+    "MJK": "JTBNN",
+    "MKQ": "Sulampapua",
+    "MKW": "Sulampapua",
+    "MXG": "JTBNN",
+    "PBL": "JTBNN",
+    "PDG": "Sumbagut",
+    "PGK": "Sumbagsel",
+    "PKU": "Sumbagut",
+    "PKY": "Kalimantan",
+    "PLM": "Sumbagsel",
+    "PLW": "Sulampapua",
+    "PNK": "Kalimantan",
+    "PSR": "JTBNN",
+    "PWT": "Jawa Barat",
+    "SDA": "JTBNN",
+    "SMD": "Kalimantan",
+    "SMI": "Jawa Barat",
+    "SOC": "Jawa Tengah",
+    "SOQ": "Sulampapua",
+    "SRG": "Jawa Tengah",
+    "SUB": "JTBNN",
+    "TGL": "Jawa Tengah",
+    "TGR": "Bodetabekcikcil",
+    "TIM": "Sulampapua",
+    "TJQ": "Sumbagsel",
+    "TKG": "Sumbagsel",
+    "TNJ": "Sumbagut",
+    "TRK": "Kalimantan",
+    "TSM": "Jawa Barat",
+    "TTE": "Sulampapua",
+    "UPG": "Sulampapua",
 }
 #: Service prefixes with a bucket of their own.
 SERVICES = ("YES", "OKE", "JTR", "REG")
@@ -27,7 +83,7 @@ OTHER = "Other"
 
 
 def branch_region(place: Column) -> Column:
-    regions = F.create_map(*(F.lit(x) for x in chain.from_iterable((b, r) for r, names in REGION_BRANCHES.items() for b in names.split())))
+    regions = F.create_map(*(F.lit(x) for x in chain.from_iterable(REGION_OF.items())))
     return F.coalesce(F.try_element_at(regions, F.substring(F.upper(key(place)), 1, 3)), F.lit(OTHER))
 
 

@@ -59,6 +59,23 @@ PATHS = (
 )
 
 
+def sources_of(available: Callable[[str], bool] = lambda _: True, paths: tuple[Path, ...] = PATHS) -> set[str]:
+    """The tables whose documents have links: those with a path all of whose tables are there."""
+    return {p.source for p in paths if all(map(available, p.tables()))}
+
+
+def key_tables(tables: Tables, available: Callable[[str], bool] = lambda _: True, paths: tuple[Path, ...] = PATHS) -> Tables:
+    """The key columns of each table that paths need, as text, distinct: the same rows whatever the path, so that plans share them."""
+    need: dict[str, set[str]] = {}
+    for path in paths:
+        later = {b for _, _, b in path.hops} | {path.shipment, path.document}
+        for table, own in ((path.start, path.document), *((t, o) for t, o, _ in path.hops)):
+            if available(table):
+                need.setdefault(table, set()).update(c for c in tables(table).columns if c in later | {own})
+    made = {t: tables(t).select(*(key(F.col(c)).alias(c) for c in sorted(names))).distinct() for t, names in need.items()}
+    return made.__getitem__
+
+
 def along(path: Path, tables: Tables) -> DataFrame:
     """(document_id, cnote_no) of one path; each hop reads its two or three key columns, distinct, so fan-out stays that of the keys."""
     later = {b for _, _, b in path.hops} | {path.shipment, path.document}
@@ -79,11 +96,11 @@ def along(path: Path, tables: Tables) -> DataFrame:
 
 def build_links(tables: Tables, available: Callable[[str], bool] = lambda _: True, paths: tuple[Path, ...] = PATHS) -> DataFrame:
     """Links of all paths whose tables there are."""
-    parts = []
+    parts, keys = [], key_tables(tables, available, paths)
     for path in paths:
         if all(map(available, path.tables())):
             kind = path.source.removeprefix("CMS_")
-            parts.append(along(path, tables).select(F.lit(kind).alias("document_type"), F.lit(path.source).alias("source_table"), "document_id", "cnote_no", F.lit(f"{path.source.lower()}_bridge").alias("link_method")))
+            parts.append(along(path, keys).select(F.lit(kind).alias("document_type"), F.lit(path.source).alias("source_table"), "document_id", "cnote_no", F.lit(f"{path.source.lower()}_bridge").alias("link_method")))
     if not parts:
         raise ValueError("no path has all its tables")
     universe = tables("CMS_CNOTE").select(key(F.col("CNOTE_NO")).alias("cnote_no")).distinct()

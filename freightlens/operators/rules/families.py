@@ -223,10 +223,13 @@ def integrity_orphan(tables, rule):
 
 @family("uniqueness")
 def uniqueness(tables, rule):
-    columns = [F.col(c) for c in rule["columns"]]
+    """Keys are counted before any shuffle of rows; only those that occur again are joined back, so a key of many rows (a blank, say) is split like any skewed join."""
+    names = rule["columns"]
+    columns = [F.col(c) for c in names]
     rows = tables(rule.table).where(reduce(Column.__and__, [c.isNotNull() for c in columns]))
-    rows = rows.withColumn("_twins", F.count(F.lit(1)).over(Window.partitionBy(*rule["columns"])))
-    return as_checks(rows, document_of(rows, rule), F.col("_twins") > 1, F.concat_ws("|", *(c.cast("string") for c in columns)), _blank())
+    again = rows.groupBy(*(c.alias(f"_key{k}") for k, c in enumerate(columns))).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    rows = rows.join(again, reduce(Column.__and__, [c == F.col(f"_key{k}") for k, c in enumerate(columns)]), "left")
+    return as_checks(rows, document_of(rows, rule), F.col("_n").isNotNull(), F.concat_ws("|", *(c.cast("string") for c in columns)), _blank())
 
 
 # Rules over pairs and paths of tables.
@@ -249,8 +252,11 @@ def paired(tables: Tables, rule: RuleSpec) -> DataFrame:
         raise ValueError("a pair rule needs the join keys of both sides")
     right = tables(rule["right_table"])
     if latest := rule.get("right_latest_by"):
-        order = Window.partitionBy(on[1]).orderBy(moment(F.col(latest)).desc_nulls_last(), *(F.col(f"`{c}`") for c in sorted(right.columns)))
-        right = right.withColumn("_latest", F.row_number().over(order)).where("_latest = 1").drop("_latest")
+        # An aggregate, so that rows of a key (or without one) are reduced before they move. Ties: the smallest row.
+        when, names = moment(F.col(latest)), sorted(right.columns)
+        seconds = F.unix_date(when.cast("date")) * 86_400 + F.hour(when) * 3_600 + F.minute(when) * 60  # no time zone is asked
+        row = F.struct(when.isNull().alias("_none"), (-seconds).alias("_back"), (-F.extract(F.lit("SECOND"), when)).alias("_second"), *(F.col(f"`{c}`") for c in names))
+        right = right.groupBy(F.col(on[1]).alias("_on")).agg(F.min(row).alias("_row")).select(*(F.col(f"_row.`{c}`").alias(c) for c in right.columns))
     return suffixed(tables(rule["left_table"]), right, on, ("_left", "_right"))
 
 

@@ -93,9 +93,18 @@ def classification_matrix(spine: DataFrame) -> DataFrame:
     return spine.groupBy(*classes).agg(F.count(F.lit(1)).alias("n")).orderBy(*classes)
 
 
-def quality_of(spine: DataFrame, anchor_rows: int) -> dict:
+def quality_counts() -> dict[str, Column]:
+    """Aggregates over a spine that its writing job can take along (see write_table)."""
+    return {"unknown": F.count_if(F.col("shipment_scope") == "Unknown")}
+
+
+def judged_quality(rows: int, unknown: int, anchor_rows: int) -> dict:
     """Rows, the share of unknown scopes, and what is wrong: a row count unlike the anchor's, over 1 % unknown."""
-    r = spine.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("shipment_scope") == "Unknown").alias("u")).first()
-    share = r.u / r.n if r.n else 0.0
-    wrong = ([f"the spine has {r.n} rows, the anchor {anchor_rows}"] if r.n != anchor_rows else []) + ([f"{share:.1%} of scopes are unknown"] if share > 0.01 else [])
-    return {"rows": r.n, "unknown_share": share, "wrong": wrong}
+    share = unknown / rows if rows else 0.0
+    wrong = ([f"the spine has {rows} rows, the anchor {anchor_rows}"] if rows != anchor_rows else []) + ([f"{share:.1%} of scopes are unknown"] if share > 0.01 else [])
+    return {"rows": rows, "unknown_share": share, "wrong": wrong}
+
+
+def quality_of(spine: DataFrame, anchor_rows: int) -> dict:
+    r = spine.agg(F.count(F.lit(1)).alias("n"), *(c.alias(k) for k, c in quality_counts().items())).first()
+    return judged_quality(r.n, r.unknown, anchor_rows)

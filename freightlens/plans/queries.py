@@ -14,8 +14,9 @@ from freightlens.functions.values import key, normal, number, present, rounded,
 from freightlens.operators import links, mart, spine
 from freightlens.operators.rules import RuleSpec, compile_rule
 from freightlens.operators.rules.catalog import by_code, load
+from freightlens.operators.routes import match_places
 from freightlens.operators.rules.families import with_route_parts
-from freightlens.operators.rules.runner import contexts, enriched, missing, plan_checks, summarised, totals
+from freightlens.operators.rules.runner import RESULT_COLUMNS, contexts, enriched, missing, plan_checks, summarised, totals
 
 from . import oracle as o
 from .scopes import ScopeGraph
@@ -68,9 +69,10 @@ _pair = lambda a, b, on: f"{a} AS a JOIN {b} AS b ON a.{on[0]} IS NOT DISTINCT F
 rule("r01_completeness", "COMP1B12", o.checks("CNOTE_NO", f"NOT {o.there('CNOTE_ORIGIN')}", "CNOTE_ORIGIN", "''", "CMS_CNOTE"))
 rule("r02_conditional_completeness", _spec("conditional_completeness", "CMS_MHOCNOTE", column="MHOCNOTE_SIGNDATE", condition_column="MHOCNOTE_APPROVE", condition_value="Y", cnote_column="MHOCNOTE_NO"), o.checks("MHOCNOTE_NO", "MHOCNOTE_SIGNDATE IS NULL", "MHOCNOTE_SIGNDATE", "MHOCNOTE_APPROVE", "CMS_MHOCNOTE WHERE upper(trim(MHOCNOTE_APPROVE)) = 'Y'"))
 rule("r02_conditional_by_pattern", "COMP3J9", o.checks("MFBAG_NO", "false", "MFBAG_MAN_REF", "MFBAG_MAN_REF", "CMS_MFBAG WHERE regexp_matches(trim(MFBAG_MAN_REF), '(^|/)IM(/|$)')"))
+rule("r02_conditional_by_pattern_of_another", _spec("conditional_completeness", "CMS_CNOTE", column="CNOTE_ORIGIN", condition_column="CNOTE_SERVICES_CODE", condition_regex="^(REG|YES)", cnote_column="CNOTE_NO"), o.checks("CNOTE_NO", f"NOT {o.there('CNOTE_ORIGIN')}", "CNOTE_ORIGIN", "CNOTE_SERVICES_CODE", "CMS_CNOTE WHERE regexp_matches(trim(CNOTE_SERVICES_CODE), '^(REG|YES)')"))
 rule("r03_reference_conditional_completeness", "COMP2P6", o.checks("DRSHEET_CNOTE_NO", f"NOT {o.there('DRSHEET_FLAG')}", "DRSHEET_FLAG", "DRSHEET_CNOTE_NO", f"CMS_DRSHEET WHERE {o.norm('DRSHEET_CNOTE_NO')} IN {o.ref('CMS_CNOTE_POD', 'CNOTE_POD_NO')}"))
 rule("r04_validity_regex", "VALD1B6", o.checks("CNOTE_NO", "NOT regexp_matches(CNOTE_SERVICES_CODE, '^[A-Z0-9]{2,5}$')", "CNOTE_SERVICES_CODE", "'^[A-Z0-9]{2,5}$'", f"CMS_CNOTE WHERE {o.there('CNOTE_SERVICES_CODE')}"))
-rule("r05_validity_datetime", _spec("validity_datetime", "CMS_CNOTE", column="CNOTE_QTY", cnote_column="CNOTE_NO"), o.checks("CNOTE_NO", "TRY_CAST(CNOTE_QTY AS TIMESTAMP) IS NULL AND length(CNOTE_QTY) <> 4", "CNOTE_QTY", "''", "CMS_CNOTE"))
+rule("r05_validity_datetime", _spec("validity_datetime", "CMS_MSTATUS", column="MSTATUS_TEXT", cnote_column="MSTATUS_NO"), o.checks("MSTATUS_NO", "TRY_CAST(MSTATUS_TEXT AS TIMESTAMP) IS NULL", "MSTATUS_TEXT", "''", "CMS_MSTATUS"))
 rule("r06_validity_integer", "VALD2B15", o.checks("CNOTE_NO", f"{o.num('CNOTE_WEIGHT')} IS NULL OR {o.num('CNOTE_WEIGHT')} <> {o.half_even(o.num('CNOTE_WEIGHT'))}", "CNOTE_WEIGHT", "''", f"CMS_CNOTE WHERE {o.there('CNOTE_WEIGHT')}"))
 rule("r07_validity_in_set", "VALD10S5", o.checks("DHOV_RSHEET_CNOTE", f"{o.norm('DHOV_RSHEET_UNDEL')} NOT IN ('0', '1')", "DHOV_RSHEET_UNDEL", "'0,1'", "CMS_DHOV_RSHEET"))
 rule("r08_value_in_reference", "ACCU6B6", o.checks("CNOTE_NO", f"{o.norm('CNOTE_SERVICES_CODE')} NOT IN {o.ref('CMS_DROURATE', 'DROURATE_SERVICE')}", "CNOTE_SERVICES_CODE", "'CMS_DROURATE'", f"CMS_CNOTE WHERE {o.there('CNOTE_SERVICES_CODE')}"))
@@ -233,18 +235,19 @@ def _(t):
     return summarised(t.spark, _some(), skipped, {}, counts).select("index_code", "rule_family", "table_name", "total_checked", "total_failed", "skip_reason", "status")
 
 
-_RESULT = ("index_code", "document_no", "cnote_no", "status", "level", "stage", "shipment_type", "cnote_service_code", "origin_region", "column_name", "link_method")
+_RESULT = (*(c for c in RESULT_COLUMNS if c != "result_id"), "link_method")
 _REGION = "coalesce(CASE upper(left(trim({0}), 3)) WHEN 'CGK' THEN 'Jakarta' WHEN 'BDO' THEN 'Jawa Barat' WHEN 'SUB' THEN 'JTBNN' WHEN 'MES' THEN 'Sumbagut' WHEN 'TGR' THEN 'Bodetabekcikcil' WHEN 'UPG' THEN 'Sulampapua' ELSE 'Other' END, 'Other')"
-_CONTEXT = f"""x AS (SELECT * EXCLUDE (rn) FROM (SELECT trim(CNOTE_NO) AS cnote_no, {_REGION.format("CNOTE_ORIGIN")} AS origin_region, CASE WHEN upper(left(CNOTE_SERVICES_CODE, 3)) IN ('YES', 'OKE', 'JTR', 'REG') THEN upper(left(CNOTE_SERVICES_CODE, 3)) ELSE 'Other' END AS cnote_service_code,
+_CONTEXT = f"""x AS (SELECT * EXCLUDE (rn) FROM (SELECT trim(CNOTE_NO) AS cnote_no, {o.key("CNOTE_ORIGIN")} AS cnote_origin, {o.key("CNOTE_DESTINATION")} AS cnote_destination, {_REGION.format("CNOTE_ORIGIN")} AS origin_region, {_REGION.format("CNOTE_DESTINATION")} AS destination_region, CASE WHEN upper(left(CNOTE_SERVICES_CODE, 3)) IN ('YES', 'OKE', 'JTR', 'REG') THEN upper(left(CNOTE_SERVICES_CODE, 3)) ELSE 'Other' END AS cnote_service_code,
   CASE WHEN o = '' OR d = '' OR p = '' OR q = '' THEN 'Unknown' WHEN o = d AND p = q THEN 'Intracity' WHEN o = d THEN 'Intercity' ELSE 'Domestic' END AS shipment_type, row_number() OVER (PARTITION BY trim(CNOTE_NO)) AS rn FROM (SELECT *, regexp_extract(upper({o.key("CNOTE_ORIGIN")}), '^([A-Z]{{3}})', 1) AS o, regexp_extract(upper({o.key("CNOTE_DESTINATION")}), '^([A-Z]{{3}})', 1) AS d,
   regexp_extract(upper({o.key("CNOTE_ORIGIN")}), '^[A-Z]{{3}}([0-9])', 1) AS p, regexp_extract(upper({o.key("CNOTE_DESTINATION")}), '^[A-Z]{{3}}([0-9])', 1) AS q FROM CMS_CNOTE) WHERE trim(CNOTE_NO) <> '') WHERE rn = 1)"""
 _BAGS = by_code(CATALOG, "COMP1J3", "COMP1B12")
 _ENRICHED = f"""{LINKS.replace("WITH l AS", "WITH l0 AS").replace("SELECT l.* FROM l SEMI", "SELECT l.* FROM l0 AS l SEMI").replace(") SELECT l.*", "), l AS (SELECT l.*")}), {_CONTEXT},
-k AS (SELECT 'COMP1J3' AS index_code, trim(MFBAG_NO) AS document_id, CASE WHEN {o.there("MFBAG_ACT_WEIGHT")} THEN 'PASS' ELSE 'FAIL' END AS status FROM CMS_MFBAG),
-n AS (SELECT 'COMP1B12' AS index_code, {o.key("CNOTE_NO")} AS document_id, CASE WHEN {o.there("CNOTE_ORIGIN")} THEN 'PASS' ELSE 'FAIL' END AS status FROM CMS_CNOTE),
-r AS (SELECT k.*, l.cnote_no AS c, 'bag' AS level, '2. Manifest' AS stage, 'MFBAG_ACT_WEIGHT' AS column_name, 'cms_mfbag_bridge' AS link_method FROM k LEFT JOIN l ON l.source_table = 'CMS_MFBAG' AND l.document_id = k.document_id
-  UNION ALL SELECT n.*, n.document_id, 'cnote', '', 'CNOTE_ORIGIN', 'direct_cnote' FROM n)
-SELECT index_code, CASE WHEN document_id <> coalesce(x.cnote_no, '') THEN document_id ELSE '' END AS document_no, coalesce(x.cnote_no, '') AS cnote_no, status, level, stage, coalesce(shipment_type, '') AS shipment_type, coalesce(cnote_service_code, '') AS cnote_service_code, coalesce(origin_region, '') AS origin_region, column_name, link_method FROM r LEFT JOIN x ON r.c = x.cnote_no"""
+k AS (SELECT 'COMP1J3' AS index_code, trim(MFBAG_NO) AS document_id, CASE WHEN {o.there("MFBAG_ACT_WEIGHT")} THEN 'PASS' ELSE 'FAIL' END AS status, {o.show("MFBAG_ACT_WEIGHT")} AS variable_1 FROM CMS_MFBAG),
+n AS (SELECT 'COMP1B12' AS index_code, {o.key("CNOTE_NO")} AS document_id, CASE WHEN {o.there("CNOTE_ORIGIN")} THEN 'PASS' ELSE 'FAIL' END AS status, {o.show("CNOTE_ORIGIN")} AS variable_1 FROM CMS_CNOTE),
+r AS (SELECT k.*, l.cnote_no AS c, 'CMS_MFBAG' AS table_name, 'bag' AS level, '2. Manifest' AS stage, 'MFBAG_ACT_WEIGHT' AS column_name, 'Weight' AS main_indicator, 'Reporting' AS main_impact, 'Understated weight' AS impact_details, 'Mandatory Field - Blank' AS issue_description, 'cms_mfbag_bridge' AS link_method FROM k LEFT JOIN l ON l.source_table = 'CMS_MFBAG' AND l.document_id = k.document_id
+  UNION ALL SELECT n.*, n.document_id, 'CMS_CNOTE', 'cnote', '', 'CNOTE_ORIGIN', 'Origin', 'TBD', 'TBD', 'TBD', 'direct_cnote' FROM n)
+SELECT coalesce(shipment_type, '') AS shipment_type, coalesce(x.cnote_no, '') AS cnote_no, CASE WHEN document_id <> coalesce(x.cnote_no, '') THEN document_id ELSE '' END AS document_no, coalesce(cnote_origin, '') AS cnote_origin, coalesce(cnote_destination, '') AS cnote_destination, coalesce(origin_region, '') AS origin_region, coalesce(destination_region, '') AS destination_region, coalesce(cnote_service_code, '') AS cnote_service_code,
+  index_code, 'Completeness' AS element, table_name || '.' || column_name || ' must not be null or empty' AS logic_description, table_name, level, stage, variable_1, '' AS variable_2, column_name, main_indicator, main_impact, impact_details, issue_description, status, link_method FROM r LEFT JOIN x ON r.c = x.cnote_no"""
 
 
 @query("result_enrichment", _ENRICHED)
@@ -268,13 +271,8 @@ def _(t):
 @query("route_reference_match", f"""WITH r AS (SELECT DROURATE_CODE AS c, regexp_matches(DROURATE_CODE, '^[A-Z]{{3}}[0-9]{{5}}[A-Z]{{3}}[0-9]{{5}}$') AS ok FROM CMS_DROURATE), k AS (SELECT DISTINCT CNOTE_ORIGIN AS v FROM CMS_CNOTE WHERE {o.there("CNOTE_ORIGIN")})
 SELECT v AS candidate, EXISTS (SELECT 1 FROM r WHERE ok AND left(c, 8) = v) AS matched, (SELECT count(*) FROM r WHERE NOT ok) AS malformed FROM k""")
 def _(t):
-    """Candidates are few, the reference is large: it is read once and reduced to the candidates' matches by a semi join."""
-    candidates = t("CMS_CNOTE").where(present(F.col("CNOTE_ORIGIN"))).select(normal(F.col("CNOTE_ORIGIN")).alias("candidate")).distinct()
-    origin, _, whole = route_parts(normal(F.col("DROURATE_CODE")))
-    reference = t("CMS_DROURATE").select(origin.alias("place"), whole.alias("whole"))
-    matches = reference.where("whole").select("place").join(candidates, F.col("place") == F.col("candidate"), "left_semi").distinct()
-    bad = reference.agg(F.count_if(~F.col("whole")).alias("malformed"))
-    return candidates.join(matches, F.col("candidate") == F.col("place"), "left").select("candidate", F.col("place").isNotNull().alias("matched"), bad.scalar().alias("malformed"))
+    candidates = t("CMS_CNOTE").where(present(F.col("CNOTE_ORIGIN"))).select(normal(F.col("CNOTE_ORIGIN")).alias("candidate"))
+    return match_places(candidates, t("CMS_DROURATE"), "origin")
 
 
 @query("route_components", "SELECT DISTINCT DROURATE_CODE AS code, regexp_extract(DROURATE_CODE, '^([A-Z]{3}[0-9]{5})([A-Z]{3}[0-9]{5})$', 1) AS origin, regexp_extract(DROURATE_CODE, '^([A-Z]{3}[0-9]{5})([A-Z]{3}[0-9]{5})$', 2) AS destination FROM CMS_DROURATE")
@@ -321,7 +319,7 @@ def _(t):
     return t.raw("customer").drop("c_acctbal", "c_mktsegment")
 
 
-@query("null_safe_join", "SELECT a.CNOTE_NO AS a, b.CNOTE_NO AS b FROM CMS_CNOTE AS a JOIN (SELECT DISTINCT CNOTE_NO FROM CMS_CNOTE WHERE CNOTE_NO IS NULL OR CNOTE_NO < 'C2') AS b ON a.CNOTE_NO IS NOT DISTINCT FROM b.CNOTE_NO")
+@query("null_safe_join", "SELECT a.CNOTE_NO AS a, b.CNOTE_NO AS b FROM CMS_CNOTE AS a JOIN (SELECT DISTINCT CNOTE_NO FROM CMS_CNOTE) AS b ON a.CNOTE_NO IS NOT DISTINCT FROM b.CNOTE_NO")
 def _(t):
     a = t("CMS_CNOTE").select(F.col("CNOTE_NO").alias("a"))
     b = t("CMS_CNOTE").select(F.col("CNOTE_NO").alias("b")).distinct()
@@ -338,3 +336,6 @@ def _(t):
 def _(t):
     rows = t.spark.createDataFrame([(a, b) for a in ("Transit", "Direct") for b in ("Domestic", "Intracity", "Intercity", "Unknown")], "kind string, scope string")
     return rows.withColumn("category", delivery_category(F.col("kind"), F.col("scope")))
+
+
+from . import run_queries  # noqa: E402, F401  its queries need those above

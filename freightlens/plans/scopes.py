@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import reduce
@@ -25,58 +26,54 @@ class SourceTable:
     guard: str = ""
 
 
-def _inventory() -> dict[str, SourceTable]:
-    """One line a stage; in it `TABLE column SCOPE date`, a dash for none."""
-    #: The source tables.
-    lines = {
-        "anchor": "CMS_CNOTE - - -",
-        "cnote": """
-            CMS_APICUST APICUST_CNOTE_NO CNOTE -
-            T_CANCEL_CNOTE_API API_CNOTE_NO CNOTE CREATE_DATE
-            CMS_CNOTE_AMO CNOTE_NO CNOTE CDATE
-            CMS_DRCNOTE DRCNOTE_CNOTE_NO CNOTE -
-            CMS_MRCNOTE MRCNOTE_NO DRCNOTE MRCNOTE_DATE
-            CMS_DHI_HOC DHI_CNOTE_NO CNOTE CDATE
-            CMS_MHI_HOC MHI_NO DHI_HOC MHI_DATE
-            CMS_DSTATUS DSTATUS_CNOTE_NO CNOTE CREATE_DATE
-            CMS_CNOTE_POD CNOTE_POD_NO CNOTE CNOTE_POD_DATE
-            CMS_DHOV_RSHEET DHOV_RSHEET_CNOTE CNOTE CREATE_DATE
-            CMS_MHOV_RSHEET MHOV_RSHEET_NO HOV_RSHEET CREATE_DATE
-            CMS_DHOUNDEL_POD DHOUNDEL_CNOTE_NO CNOTE CREATE_DATE
-            CMS_MHOUNDEL_POD MHOUNDEL_NO DHOUNDEL MHOUNDEL_DATE
-            CMS_DRSHEET DRSHEET_CNOTE_NO CNOTE DRSHEET_DATE
-            CMS_DRSHEET_PRA DRSHEET_CNOTE_NO CNOTE CREATION_DATE
-            CMS_MRSHEET_PRA MRSHEET_NO DRSHEET_PRA MRSHEET_DATE
-            CMS_DBAG_HO DBAG_CNOTE_NO CNOTE CDATE
-            CMS_DHOCNOTE DHOCNOTE_CNOTE_NO CNOTE DHOCNOTE_TDATE
-            CMS_DHICNOTE DHICNOTE_CNOTE_NO CNOTE DHICNOTE_TDATE
-            CMS_COST_DTRANSIT_AGEN CNOTE_NO CNOTE ESB_TIME
-            CMS_MFCNOTE MFCNOTE_NO CNOTE MFCNOTE_CRDATE
-            CMS_DCORRECT_DEST DCORRECT_CNOTE_NO CNOTE DCORRECT_CDATE
-            T_CORRECT_AWB C_CNOTE_NO CNOTE -""",
-        "bag_manifest": """
-            CMS_MANIFEST MANIFEST_NO MANIFEST MANIFEST_DATE
-            CMS_MFBAG MFBAG_MAN_NO MANIFEST MFBAG_CRDATE
-            CMS_DMBAG DMBAG_BAG_NO MFBAG ESB_TIME
-            CMS_MMBAG MMBAG_NO DMBAG MMBAG_DATE
-            CMS_DSMU DSMU_BAG_NO DMBAG ESB_TIME
-            CMS_MSMU MSMU_NO SMU MSMU_DATE
-            CMS_COST_MTRANSIT_AGEN MANIFEST_NO COST_MANIFEST MANIFEST_DATE""",
-        "runsheet_do": """
-            CMS_MRSHEET MRSHEET_NO DRSHEET MRSHEET_DATE
-            CMS_MSTATUS MSTATUS_NO DSTATUS CREATE_DATE
-            CMS_MSJ MSJ_NO MSJ MSJ_DATE
-            CMS_RDSJ RDSJ_HVI_NO HVI RDSJ_CDATE
-            CMS_MHICNOTE MHICNOTE_NO HVI MHICNOTE_DATE
-            CMS_MHOCNOTE MHOCNOTE_NO HVO MHOCNOTE_DATE
-            CMS_DSJ DSJ_HVO_NO RDSJ_HVO DSJ_CDATE""",
-        "reference": "\n".join(f"{t} - - -" for t in ("CMS_DROURATE", "ORA_BRANCH", "ORA_ZONE", "ORA_USER", "T_MDT_CITY_ORIGIN", "LASTMILE_COURIER")),
-    }
-    rows = [(stage, line.split()) for stage, block in lines.items() for line in block.strip().splitlines()]
-    return {r[0]: SourceTable(r[0], stage, *("" if x == "-" else x for x in r[1:])) for stage, r in rows}
-
-
-SOURCES = _inventory()
+#: The source tables.
+_TABLES = (
+    SourceTable("CMS_CNOTE", "anchor"),
+    SourceTable("CMS_APICUST", "cnote", column="APICUST_CNOTE_NO", scope="CNOTE"),
+    SourceTable("T_CANCEL_CNOTE_API", "cnote", column="API_CNOTE_NO", scope="CNOTE", guard="CREATE_DATE"),
+    SourceTable("CMS_CNOTE_AMO", "cnote", column="CNOTE_NO", scope="CNOTE", guard="CDATE"),
+    SourceTable("CMS_DRCNOTE", "cnote", column="DRCNOTE_CNOTE_NO", scope="CNOTE"),
+    SourceTable("CMS_MRCNOTE", "cnote", column="MRCNOTE_NO", scope="DRCNOTE", guard="MRCNOTE_DATE"),
+    SourceTable("CMS_DHI_HOC", "cnote", column="DHI_CNOTE_NO", scope="CNOTE", guard="CDATE"),
+    SourceTable("CMS_MHI_HOC", "cnote", column="MHI_NO", scope="DHI_HOC", guard="MHI_DATE"),
+    SourceTable("CMS_DSTATUS", "cnote", column="DSTATUS_CNOTE_NO", scope="CNOTE", guard="CREATE_DATE"),
+    SourceTable("CMS_CNOTE_POD", "cnote", column="CNOTE_POD_NO", scope="CNOTE", guard="CNOTE_POD_DATE"),
+    SourceTable("CMS_DHOV_RSHEET", "cnote", column="DHOV_RSHEET_CNOTE", scope="CNOTE", guard="CREATE_DATE"),
+    SourceTable("CMS_MHOV_RSHEET", "cnote", column="MHOV_RSHEET_NO", scope="HOV_RSHEET", guard="CREATE_DATE"),
+    SourceTable("CMS_DHOUNDEL_POD", "cnote", column="DHOUNDEL_CNOTE_NO", scope="CNOTE", guard="CREATE_DATE"),
+    SourceTable("CMS_MHOUNDEL_POD", "cnote", column="MHOUNDEL_NO", scope="DHOUNDEL", guard="MHOUNDEL_DATE"),
+    SourceTable("CMS_DRSHEET", "cnote", column="DRSHEET_CNOTE_NO", scope="CNOTE", guard="DRSHEET_DATE"),
+    SourceTable("CMS_DRSHEET_PRA", "cnote", column="DRSHEET_CNOTE_NO", scope="CNOTE", guard="CREATION_DATE"),
+    SourceTable("CMS_MRSHEET_PRA", "cnote", column="MRSHEET_NO", scope="DRSHEET_PRA", guard="MRSHEET_DATE"),
+    SourceTable("CMS_DBAG_HO", "cnote", column="DBAG_CNOTE_NO", scope="CNOTE", guard="CDATE"),
+    SourceTable("CMS_DHOCNOTE", "cnote", column="DHOCNOTE_CNOTE_NO", scope="CNOTE", guard="DHOCNOTE_TDATE"),
+    SourceTable("CMS_DHICNOTE", "cnote", column="DHICNOTE_CNOTE_NO", scope="CNOTE", guard="DHICNOTE_TDATE"),
+    SourceTable("CMS_COST_DTRANSIT_AGEN", "cnote", column="CNOTE_NO", scope="CNOTE", guard="ESB_TIME"),
+    SourceTable("CMS_MFCNOTE", "cnote", column="MFCNOTE_NO", scope="CNOTE", guard="MFCNOTE_CRDATE"),
+    SourceTable("CMS_DCORRECT_DEST", "cnote", column="DCORRECT_CNOTE_NO", scope="CNOTE", guard="DCORRECT_CDATE"),
+    SourceTable("T_CORRECT_AWB", "cnote", column="C_CNOTE_NO", scope="CNOTE"),
+    SourceTable("CMS_MANIFEST", "bag_manifest", column="MANIFEST_NO", scope="MANIFEST", guard="MANIFEST_DATE"),
+    SourceTable("CMS_MFBAG", "bag_manifest", column="MFBAG_MAN_NO", scope="MANIFEST", guard="MFBAG_CRDATE"),
+    SourceTable("CMS_DMBAG", "bag_manifest", column="DMBAG_BAG_NO", scope="MFBAG", guard="ESB_TIME"),
+    SourceTable("CMS_MMBAG", "bag_manifest", column="MMBAG_NO", scope="DMBAG", guard="MMBAG_DATE"),
+    SourceTable("CMS_DSMU", "bag_manifest", column="DSMU_BAG_NO", scope="DMBAG", guard="ESB_TIME"),
+    SourceTable("CMS_MSMU", "bag_manifest", column="MSMU_NO", scope="SMU", guard="MSMU_DATE"),
+    SourceTable("CMS_COST_MTRANSIT_AGEN", "bag_manifest", column="MANIFEST_NO", scope="COST_MANIFEST", guard="MANIFEST_DATE"),
+    SourceTable("CMS_MRSHEET", "runsheet_do", column="MRSHEET_NO", scope="DRSHEET", guard="MRSHEET_DATE"),
+    SourceTable("CMS_MSTATUS", "runsheet_do", column="MSTATUS_NO", scope="DSTATUS", guard="CREATE_DATE"),
+    SourceTable("CMS_MSJ", "runsheet_do", column="MSJ_NO", scope="MSJ", guard="MSJ_DATE"),
+    SourceTable("CMS_RDSJ", "runsheet_do", column="RDSJ_HVI_NO", scope="HVI", guard="RDSJ_CDATE"),
+    SourceTable("CMS_MHICNOTE", "runsheet_do", column="MHICNOTE_NO", scope="HVI", guard="MHICNOTE_DATE"),
+    SourceTable("CMS_MHOCNOTE", "runsheet_do", column="MHOCNOTE_NO", scope="HVO", guard="MHOCNOTE_DATE"),
+    SourceTable("CMS_DSJ", "runsheet_do", column="DSJ_HVO_NO", scope="RDSJ_HVO", guard="DSJ_CDATE"),
+    SourceTable("CMS_DROURATE", "reference"),
+    SourceTable("ORA_BRANCH", "reference"),
+    SourceTable("ORA_ZONE", "reference"),
+    SourceTable("ORA_USER", "reference"),
+    SourceTable("T_MDT_CITY_ORIGIN", "reference"),
+    SourceTable("LASTMILE_COURIER", "reference"),
+)
+SOURCES = {t.name: t for t in _TABLES}
 
 
 @dataclass(frozen=True)
@@ -141,27 +138,33 @@ def waves(scopes: Iterable[str]) -> list[set[str]]:
 
 
 class ScopeGraph:
-    """Lazy key sets over a catalog of tables. Each scope is one DataFrame `k`; Spark plans the chain as a whole."""
+    """Key sets over a catalog of tables. Each scope is one DataFrame `k`, lazy unless `store` (name, keys) puts it somewhere.
 
-    def __init__(self, tables: Tables, window: DateWindow, limit: int | None = None, back: int = 0, ahead: int = 30, anchor_date: str = "CNOTE_DATE", guards: bool = True):
+    Without a store Spark plans a chain of scopes as a whole; with one each is computed once, however many tables need it.
+    """
+
+    def __init__(self, tables: Tables, window: DateWindow, limit: int | None = None, back: int = 0, ahead: int = 30, anchor_date: str = "CNOTE_DATE", guards: bool = True, store: Callable[[str, DataFrame], DataFrame] | None = None):
         if limit is not None and limit < 1:
             raise ValueError("the anchor's limit is at least 1")
         self.tables, self.window, self.limit, self.back, self.ahead = tables, window, limit, back, ahead
-        self.anchor_date, self.guards, self._made = anchor_date, guards, {}
+        self.anchor_date, self.guards, self.store, self.made = anchor_date, guards, store, {}
 
     def _guard(self, df: DataFrame, column: str) -> Column:
-        if not self.guards or not column or column not in df.columns:
+        if not self.guards or not column:
+            return F.lit(True)
+        if column not in df.columns:
+            warnings.warn(f"there is no column {column}: its table is not restricted by dates", stacklevel=2)
             return F.lit(True)
         return self.window.guarded(F.col(column), self.back, self.ahead)
 
     def keys(self, scope: str) -> DataFrame:
-        if scope not in self._made:
-            self._made[scope] = self._derive(scope)
-        return self._made[scope]
+        scope = SAME.get(scope, scope)
+        if scope not in self.made:
+            keys = self._derive(scope)
+            self.made[scope] = self.store(scope, keys) if self.store else keys
+        return self.made[scope]
 
     def _derive(self, scope: str) -> DataFrame:
-        if scope in SAME:
-            return self.keys(SAME[scope])
         if scope == "CNOTE":
             rows = self.tables(ANCHOR.name)
             rows = rows.where(self.window.contains(F.col(self.anchor_date)))

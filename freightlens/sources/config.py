@@ -8,6 +8,8 @@ from collections.abc import Mapping
 from pathlib import Path
 from typing import Any
 
+from pyspark.sql import SparkSession
+
 _NAME = re.compile(r"\$\{(\w+)(?::-([^}]*))?\}")
 
 
@@ -47,3 +49,26 @@ def run_name(text: str) -> str:
     if not name:
         raise ValueError("a run needs a name")
     return name
+
+
+def object_store(env: Mapping[str, str]) -> dict[str, str]:
+    """Hadoop settings of an S3 store from the usual variables; empty if no end point or key is named.
+
+    S3_ENDPOINT may have its scheme; path-style addresses are the default, as private stores want them.
+    """
+    names = {"S3_ENDPOINT": "fs.s3a.endpoint", "S3_ACCESS_KEY": "fs.s3a.access.key", "S3_SECRET_KEY": "fs.s3a.secret.key", "S3_REGION": "fs.s3a.endpoint.region"}
+    found = {key: env[name] for name, key in names.items() if env.get(name)}
+    if not found:
+        return {}
+    point = found.get("fs.s3a.endpoint", "")
+    secure = env.get("S3_USE_SSL", "false" if point.startswith("http://") else "true")
+    if point:
+        found["fs.s3a.endpoint"] = point.split("://", 1)[-1].rstrip("/")
+    return found | {"fs.s3a.path.style.access": str(truth(env.get("S3_PATH_STYLE", "true"))).lower(), "fs.s3a.connection.ssl.enabled": str(truth(secure)).lower()}
+
+
+def use_object_store(spark: SparkSession, env: Mapping[str, str]) -> None:
+    """Lets a session read and write s3a:// paths by these variables."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for key, value in object_store(env).items():
+        conf.set(key, value)

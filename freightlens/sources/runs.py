@@ -9,11 +9,12 @@ Files are written and read by Spark's own file systems, so a root may be in any
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from freightlens.plans.scopes import ScopeGraph, SourceTable
@@ -73,14 +74,40 @@ class Store:
         return fs.exists(p) and any(s.getPath().getName().startswith("part-") for s in fs.listStatus(p))
 
 
-def write_table(df: DataFrame, path: str, rows_per_file: int = 250_000, compression: str = "zstd", partitions: int | None = None) -> int:
-    """Writes parts of at most rows_per_file rows, counts the rows in the same job, and leaves the count in _rows."""
-    counted = Observation()
-    out = df.observe(counted, F.count(F.lit(1)).alias("n"))
-    if partitions:
+def work_folder(spark: SparkSession, work: str | None = None) -> str:
+    """A new folder in work, or in the folder that the cluster shares (spark.checkpoint.dir)."""
+    place = work or spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not place:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        place = f"/tmp/checkpoints/{uuid.uuid4().hex}"
+    return f"{place.rstrip('/')}/work-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, work: str | None = None) -> DataFrame:
+    """df as a table in a work folder, read back: computed once, whatever reads it."""
+    path = work_folder(df.sparkSession, work)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def write_table(df: DataFrame, path: str, rows_per_file: int = 250_000, compression: str = "zstd", partitions: int | None = None, order: Iterable[str] = (), observed: dict[str, Column] | None = None) -> int:
+    """Writes parts of at most rows_per_file rows, counts the rows in the same job, and leaves the count in _rows.
+
+    order: the physical sort key; rows go to parts by ranges of it and are sorted in each, so readers skip parts by its
+    least and greatest values. observed: further aggregates of the same job; their values replace them in the dict.
+    """
+    out, counted = df, Observation()
+    if order := [c for c in order if c in df.columns]:
+        out = (out.repartitionByRange(partitions, *order) if partitions else out.repartitionByRange(*order)).sortWithinPartitions(*order)
+    elif partitions:
         out = out.repartition(partitions)
+    # Last, as ranges are found by reading the rows once before.
+    out = out.observe(counted, F.count(F.lit(1)).alias("n"), *(c.alias(k) for k, c in (observed or {}).items()))
     out.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).option("compression", compression).parquet(path)
     n = int(counted.get["n"])
+    if observed is not None:
+        observed.update({k: counted.get[k] for k in observed})
     Store(df.sparkSession).write(f"{path}/_rows", f"{n}\n")
     return n
 
@@ -140,8 +167,19 @@ class Run:
 
 
 def extract(run: Run, graph: ScopeGraph, specs: Iterable[SourceTable], exclude: Callable[[str], Iterable[str]] = lambda _: (), resume: bool = True, reuse: Run | None = None, count_scopes: bool = False, **how) -> dict[str, str]:
-    """Writes the restricted tables. Returns what was done with each: written, kept (finished before), reused (a reference of an earlier run)."""
+    """Writes the restricted tables. Returns what was done with each: written, kept (finished before), reused (a reference of an earlier run).
+
+    Each scope's keys are derived once and written to the run's folder; tables and further scopes read them there.
+    """
     done = {}
+
+    def kept(scope: str, keys: DataFrame) -> DataFrame:
+        path = f"{run.path}/_scopes/{scope.lower()}"
+        if not (resume and rows_written(run.spark, path) is not None):
+            write_table(keys, path)
+        return run.spark.read.schema(keys.schema).parquet(path)
+
+    graph.store = graph.store or kept
     for spec in specs:
         path = f"{run.path}/{spec.name.lower()}"
         if resume and (n := rows_written(run.spark, path)) is not None:
@@ -152,15 +190,15 @@ def extract(run: Run, graph: ScopeGraph, specs: Iterable[SourceTable], exclude:
             run.add(spec.name, graph.restricted(spec.name, exclude=exclude(spec.name)), **how)
             done[spec.name] = "written"
     if count_scopes:
-        run.scopes = {name: df.count() for name, df in graph._made.items()}
+        run.scopes = {name: df.count() for name, df in graph.made.items()}
     run.save()
     return done
 
 
-def publish(spark: SparkSession, frames: dict[str, DataFrame], target: str, audit: str | None = None, run_id: str = "", skip: Iterable[str] = (), expected: dict[str, int] | None = None) -> dict[str, int]:
+def publish(spark: SparkSession, frames: dict[str, DataFrame], target: str, audit: str | None = None, run_id: str = "", skip: Iterable[str] = (), expected: dict[str, int] | None = None, order: dict[str, list[str]] | None = None) -> dict[str, int]:
     """Writes all frames to a staging folder, checks row counts, then swaps table after table into target.
 
-    Tables in `skip` that target has already are left as they are. Each call leaves a row in `audit`: SUCCESS or
+    Tables in `skip` that target has already are left as they are. order: the physical sort key of each table. Each call leaves a row in `audit`: SUCCESS or
     FAILED with the error. The swap is by table, not of all tables at once.
     """
     store, staging, counts, error = Store(spark), f"{target.rstrip('/')}/_staging-{run_name(run_id or 'run')}", {}, ""
@@ -169,7 +207,7 @@ def publish(spark: SparkSession, frames: dict[str, DataFrame], target: str, audi
         store.delete(staging)
         todo = {n: df for n, df in frames.items() if not (n in set(skip) and store.exists(f"{target}/{n}"))}
         for name, df in todo.items():
-            counts[name] = write_table(df, f"{staging}/{name}")
+            counts[name] = write_table(df, f"{staging}/{name}", order=(order or {}).get(name, ()))
             if expected and name in expected and counts[name] != expected[name]:
                 raise ValueError(f"{name} has {counts[name]} rows, expected {expected[name]}")
         for name in todo:

@@ -9,8 +9,8 @@ from pyspark.errors import PySparkException
 from freightlens.__main__ import main
 from freightlens.plans.scopes import ScopeGraph, selected
 from freightlens.plans.windows import DateWindow
-from freightlens.sources.config import expand, run_name, truth
-from freightlens.sources.readers import TableCatalog, as_source, demo_tables, read_csv, read_parquet
+from freightlens.sources.config import expand, object_store, run_name, truth
+from freightlens.sources.readers import TableCatalog, as_source, demo_tables, read_csv, read_jdbc, read_parquet
 from freightlens.sources.runs import Run, extract, publish, rows_written, write_results, write_table
 from tests.test_shipments import scoped
 
@@ -25,6 +25,38 @@ def test_config():
     assert run_name(" May run/1 ") == "May_run_1"
 
 
+def test_object_store():
+    assert object_store({}) == {}
+    found = object_store({"S3_ENDPOINT": "http://store:9000/", "S3_ACCESS_KEY": "a", "S3_SECRET_KEY": "b"})
+    assert found == {"fs.s3a.endpoint": "store:9000", "fs.s3a.access.key": "a", "fs.s3a.secret.key": "b", "fs.s3a.path.style.access": "true", "fs.s3a.connection.ssl.enabled": "false"}
+    assert object_store({"S3_REGION": "x", "S3_PATH_STYLE": "no"})["fs.s3a.path.style.access"] == "false"
+
+
+def test_database_gets_columns_and_filters(spark):
+    url, driver = "jdbc:derby:memory:readers;create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    spark.range(20).selectExpr("cast(id as int) AS N", "cast(id * 2 as int) AS M").coalesce(1).write.jdbc(url, "T", properties=driver)
+    df = read_jdbc(spark, url, "T", columns=["M"], where="N > 4 AND M < 20", split=("N", 0, 20, 3), **driver)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.M for r in df.collect()) == [10, 12, 14, 16, 18] and df.rdd.getNumPartitions() == 3
+    assert "GreaterThan(N,4)" in plan and "ReadSchema: struct<M:int>" in plan
+
+
+def test_missing_guard_is_told_and_scopes_are_stored_once(spark):
+    made = []
+    graph = ScopeGraph(scoped(spark), WINDOW, store=lambda name, keys: made.append(name) or keys)
+    graph.keys("MFBAG"), graph.keys("MANIFEST"), graph.keys("MFBAG")
+    assert sorted(made) == ["CNOTE", "MANIFEST", "MFBAG"]
+    with pytest.warns(UserWarning, match="NOT_THERE"):
+        graph._guard(spark.range(1), "NOT_THERE")
+
+
+def test_physical_order(spark, tmp_path):
+    rows = spark.range(1000).selectExpr("id % 7 AS a", "1000 - id AS b").repartition(5)
+    assert write_table(rows, str(tmp_path / "t"), order=["a", "b", "none"], partitions=3) == 1000
+    parts = [[tuple(r) for r in spark.read.parquet(str(p)).collect()] for p in sorted((tmp_path / "t").glob("part-*.parquet"))]
+    assert all(p == sorted(p) for p in parts) and sorted(x for p in parts for x in p) == sorted((k % 7, 1000 - k) for k in range(1000))
+
+
 def test_parquet_with_missing_columns(spark, tmp_path):
     spark.createDataFrame([(1, "a"), (1, "a")], "KNOWN int, B string").write.parquet(str(tmp_path / "t"))
     df = read_parquet(spark, str(tmp_path / "t"), ["KNOWN", "MISSING"], distinct=True)
