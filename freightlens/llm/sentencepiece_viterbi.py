@@ -39,7 +39,7 @@ from .common import stretches, texts_of, tidy
 MARK = "▁"
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 #: Pairs of pieces that the merge check remembers, and texts' bytes that share a trie.
-PAIRS, BATCH_BYTES = 1 << 18, 10 << 20
+PAIRS, BATCH_BYTES = 1 << 18, 6 << 20
 #: Words whose ids a worker remembers for good: those of two batches, as long as there is room.
 WARM = 150_000
 #: Longer words aren't remembered for good.

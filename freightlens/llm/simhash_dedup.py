@@ -403,11 +403,12 @@ def shingle_sets(rows: DataFrame, like: Likeness) -> DataFrame:
 
 
 def similar(docs: DataFrame, nodes: DataFrame, text_col: str, like: Likeness, tile: int = TILE, tile_hashes: int = TILE_HASHES) -> DataFrame:
-    """(node, root) of the nodes that confirmed links join to others. nodes: (node, th, bits, size, cells)."""
+    """(node, root) of the nodes that confirmed links join to others. docs: (name, text); nodes: (node, name, bits, size, cells), the name of one row of each."""
     proposed = written(components(links(nodes, like, tile)).withColumnRenamed("root", "part"), few=True)
-    chosen = nodes.join(proposed, "node").select("th", F.struct("node", "part", "bits").alias("of"))
-    texts = docs.select(text_hash(text_col).alias("th"), F.coalesce(text_col, F.lit("")).alias("text")).join(chosen, "th")
-    texts = texts.groupBy("th").agg(F.first("of").alias("of"), F.first("text").alias("text")).select("of.*", "text")
+    chosen = nodes.join(proposed, "node").select("name", F.struct("node", "part", "bits").alias("of"))
+    # Rows are found by name, which equal texts with other ids don't share, so a large group of copies isn't one task's.
+    texts = docs.select("name", F.coalesce(text_col, F.lit("")).alias("text")).join(chosen, "name")
+    texts = texts.groupBy("name").agg(F.first("of").alias("of"), F.first("text").alias("text")).select("of.*", "text")
     sets = written(shingle_sets(texts, like), "none")
 
     # A component of many texts is cut in tiles; what a tile holds is decided there.
@@ -440,13 +441,13 @@ def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     fps = fingerprints(docs, like, id_col, text_col)
     least = F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "th")).alias("least")
     nodes = fps.groupBy("node").agg(least, *(F.first(c).alias(c) for c in ("bits", "size", "cells")))
-    nodes = written(nodes.withColumn("th", F.col("least.th")), few=True)
-    roots = similar(docs, nodes, text_col, like, tile, tile_hashes)
-    found = nodes.select("node", "least").join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("least").alias("m"))
     # A row is known by its id and its text, as ids may be null or used again; of equal rows one stays.
     name = lambda i, h: F.concat_ws(":", h.cast("string"), i.cast("string"))
-    stays = found.select(name(F.col("m.id"), F.col("m.th")).alias("__name"))
+    nodes = written(nodes.withColumn("name", name(F.col("least.id"), F.col("least.th"))), few=True)
     own = docs.withColumn("__name", name(F.col(id_col), text_hash(text_col)))
+    roots = similar(own.select(F.col("__name").alias("name"), text_col), nodes, text_col, like, tile, tile_hashes)
+    found = nodes.select("node", "least", "name").join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root"))
+    stays = found.agg(F.min(F.struct("least", "name")).alias("m")).select(F.col("m.name").alias("__name"))
     one = Window.partitionBy("__name").orderBy(F.xxhash64(*docs.columns))
     left = own.join(stays, "__name", "left_semi")
     return left.withColumn("__twin", F.row_number().over(one)).where("__twin = 1").select(*docs.columns)

@@ -120,8 +120,10 @@ def mixed(docs: DataFrame, path: dict[str, Column], weights: dict[tuple, float],
     before = lambda what, order: F.coalesce(F.sum(what).over(Window.partitionBy(*names).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     sums = sums.withColumn("__before", before("__own", "__slice"))
     edge = sums.where("__before < __rest AND __before + __own >= __rest").select(*names, F.col("__slice").alias("__edge"), (F.col("__rest") - F.col("__before")).alias("__left"))
+    edge = written(edge, few=True)  # a row a leaf, as `cut`; written, so that Spark knows their sizes
     inside = placed.join(edge, names).where(F.col("__slice") == F.col("__edge")).groupBy(*names, "__place").agg(F.sum("n_tokens").alias("__own"), F.first("__left").alias("__left"))
     cut = inside.withColumn("__before", before("__own", "__place")).where("__before < __left").groupBy(*names).agg(F.max("__place").alias("__cut"))
+    cut = written(cut, few=True)
     found = rows.join(plan, names).join(cut, names, "left").select("*", place)
     copies = F.col("__whole") + F.coalesce((F.col("__place") <= F.col("__cut")).cast("int"), F.lit(0))
     return found.select(*docs.columns, *names, "n_tokens", copies.alias("copies"))
