@@ -212,8 +212,14 @@ def enriched(checks: DataFrame, rules: list[RuleSpec], links: DataFrame | None,
 
 
 def numbered(rows: DataFrame) -> DataFrame:
-    """result_id: a number of each result row, given by the task that writes it, so that no row moves for it; write before use."""
-    return rows.withColumn("result_id", F.concat(F.lit("R"), F.lpad(F.monotonically_increasing_id().cast("string"), 19, "0")))
+    """result_id: a running number of the rows of a written table, R000000000001 and so on.
+
+    A row's number is its place in its file, after the rows of the files before: only a row a file is summed up in order.
+    """
+    placed = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at"))
+    before = F.sum("n").over(Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1))
+    files = placed.groupBy("_file").agg(F.count(F.lit(1)).alias("n")).select("_file", F.coalesce(before, F.lit(0)).alias("_before"))
+    return placed.join(files, "_file").withColumn("result_id", F.format_string("R%012d", F.col("_before") + F.col("_at") + 1)).drop("_file", "_at", "_before")
 
 
 @dataclass
@@ -275,7 +281,7 @@ def run_rules(spark: SparkSession, tables: Tables, catalog: Iterable[RuleSpec],
         checks = written(checks, work) if checks is not None else None
     runnable = [r for r in runnable if r.code not in errors]
     shipments = tables("CMS_CNOTE") if available("CMS_CNOTE") else None
-    results = written(numbered(enriched(checks, runnable, links, shipments, available)), work) if checks is not None else None
+    results = numbered(written(enriched(checks, runnable, links, shipments, available), work)) if checks is not None else None
     counts = totals(checks, results) if checks is not None else None
     summary = summarised(spark, enabled, skipped, errors, counts)
     if fail_on_skipped and skipped:

@@ -33,6 +33,7 @@ def test_object_store():
 
 
 def test_database_gets_columns_and_filters(spark):
+    spark._jvm.System.setProperty("derby.stream.error.file", "/dev/null")
     url, driver = "jdbc:derby:memory:readers;create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
     spark.range(20).selectExpr("cast(id as int) AS N", "cast(id * 2 as int) AS M").coalesce(1).write.jdbc(url, "T", properties=driver)
     df = read_jdbc(spark, url, "T", columns=["M"], where="N > 4 AND M < 20", split=("N", 0, 20, 3), **driver)
