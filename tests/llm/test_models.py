@@ -329,6 +329,20 @@ def test_long_texts_without_spaces(model):
     assert [model.decode(x) for x in got] == texts
 
 
+def test_memory_of_long_words_is_linear(model):
+    import base64
+    import tracemalloc
+
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("你好数据文本处理系统") for _ in range(200_000)), base64.b64encode(rng.randbytes(150_000)).decode()]
+    model.encode(["warm"])
+    tracemalloc.start()
+    ids = model.encode(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300e6 and [model.decode(x) for x in ids] == texts
+
+
 def test_unigram_paths_score_as_the_librarys(model):
     import sentencepiece
     from sentencepiece import sentencepiece_model_pb2 as pb
