@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Words, ceil_div, fold_of, mix, text_bytes, texts_of, trim, written
-from .packs import answer, ask, deal, expand, keys_of, meet, pack, shrunk, squeeze, unpack
+from .packs import PACK_BYTES, answer, ask, deal, expand, keys_of, meet, pack, shrunk, squeeze, unpack
 
 BLOCK_KEYS = 500_000
 _END, _START, _STEP = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F), np.uint64(0x9E3779B97F4A7C15)
@@ -121,10 +121,11 @@ class Counts:
         self.table, self.keep = table, keep
 
     @staticmethod
-    def gather(docs: DataFrame, train: Column, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> Counts:
+    def gather(docs: DataFrame, train: Column, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), pack_bytes: int = PACK_BYTES) -> Counts:
+        """pack_bytes: text that a worker has in hand at a time; larger packs send fewer and longer rows."""
         total = text_bytes(docs, text_col)
         words, pairs = ceil_div(total // 40 + 1, BLOCK_KEYS), ceil_div(total // 6 + 1, BLOCK_KEYS)
-        packs = pack(docs.select(*keep, text_col, F.coalesce(train, F.lit(False)).alias("train")), text_col, [*keep, "train"])
+        packs = pack(docs.select(*keep, text_col, F.coalesce(train, F.lit(False)).alias("train")), text_col, [*keep, "train"], pack_bytes)
         parts = (("token", 0, words), ("pair", words, pairs))
 
         def requests(number: int, table: pa.Table) -> Iterator[pa.RecordBatch]:

@@ -45,7 +45,6 @@ def water_levels(children: DataFrame, family: list[str]) -> DataFrame:
     ends = rows.groupBy(*family).agg(F.first("b").alias("b"), F.min("r").alias("low"), F.max("r").alias("high"))
     by = Window.partitionBy(*family).orderBy("slot")
     for _ in range(ROUNDS):
-        ends = written(ends, few=True)
         part = (F.log2("r") - F.log2("low")) / F.greatest(F.log2("high") - F.log2("low"), F.lit(1e-300))
         slot = F.when(F.col("r") < F.col("low"), -1).when(F.col("r") > F.col("high"), SLOTS).otherwise(F.least(F.floor(part * SLOTS), F.lit(SLOTS - 1)))
         sums = rows.drop("b").join(ends, family).groupBy(*family, slot.alias("slot")).agg(F.first("b").alias("b"), F.sum("s").alias("s"), F.sum("w").alias("w"), F.min("r").alias("low"), F.max("r").alias("high"))
@@ -53,19 +52,16 @@ def water_levels(children: DataFrame, family: list[str]) -> DataFrame:
         full = F.coalesce(F.sum("s").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
         larger = F.coalesce(F.sum("w").over(by.rowsBetween(1, Window.unboundedFollowing)), F.lit(0.0))
         sums = sums.select("*", full.alias("full"), larger.alias("larger")).withColumn("given", F.col("full") + F.col("low") * (F.col("w") + F.col("larger")))
-        found = F.max_by(F.struct("low", "high", "given", "w", "larger"), F.when(F.col("given") <= F.col("b"), F.col("slot"))).alias("at")
+        last = F.max_by(F.struct("low", "high", "given", "w", "larger"), F.when(F.col("given") <= F.col("b"), F.col("slot"))).alias("at")
         first = F.min_by(F.struct("low", (F.col("w") + F.col("larger")).alias("all")), "slot").alias("first")
-        ends = written(sums.groupBy(*family).agg(F.first("b").alias("b"), found, first), few=True)
-        if ends.where("at.low < at.high").isEmpty():
+        found = written(sums.groupBy(*family).agg(F.first("b").alias("b"), last, first), few=True)
+        if found.where("at.low < at.high").isEmpty():
             break
-        ends = ends.select(*family, "b", F.coalesce("at.low", "first.low").alias("low"), F.coalesce("at.high", "first.low").alias("high"), "at", "first")
-        last, ends = ends, ends.drop("at", "first")
-    else:
-        ends = last
+        ends = found.select(*family, "b", F.coalesce("at.low", "first.low").alias("low"), F.coalesce("at.high", "first.low").alias("high"))
     # Children of the last slot have the same ratio and are full; were there rounds too few, they count as not full.
     left = F.col("at.larger") + F.when(F.col("at.low") < F.col("at.high"), F.col("at.w")).otherwise(0.0)
     above = F.col("at.low") + (F.col("b") - F.col("at.given")) / F.when(left > 0, left)
-    return ends.select(*family, F.when(F.col("at").isNull() | F.col("at.low").isNull(), F.col("b") / F.col("first.all")).otherwise(above).alias("level"))
+    return found.select(*family, F.when(F.col("at").isNull(), F.col("b") / F.col("first.all")).otherwise(above).alias("level"))
 
 
 def quotas(leaves: DataFrame, path: list[str], weights: dict[tuple, float], budget: float, epochs: float, other: float = 1.0) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Words, ceil_div, mix, power_of_two, text_bytes, texts_of
-from .packs import _REQUEST, REQUEST, answer, ask, deal, expand, keys_of, meet, pack, squeeze
+from .packs import _REQUEST, PACK_BYTES, REQUEST, answer, ask, deal, expand, keys_of, meet, pack, squeeze
 
 #: Keys that a task has in hand at a time.
 BLOCK_KEYS = 500_000
@@ -74,14 +74,17 @@ class _Windows:
         return rolled(self.words.hashes(k + 1), self.size, _BASES[k])[self.ok]
 
 
-def repeated_windows(texts: DataFrame, text_col: str = "text", keep: tuple[str, ...] = (), size: int = 35, counters_per_word: float = 8.0) -> DataFrame:
-    """Each text with the words that repeated windows cover: (keep..., n_words long, n_removed long, kept_text string)."""
+def repeated_windows(texts: DataFrame, text_col: str = "text", keep: tuple[str, ...] = (), size: int = 35, counters_per_word: float = 8.0, pack_bytes: int = PACK_BYTES) -> DataFrame:
+    """Each text with the words that repeated windows cover: (keep..., n_words long, n_removed long, kept_text string).
+
+    pack_bytes: text that a worker has in hand at a time; larger packs send fewer and longer rows.
+    """
     total = text_bytes(texts, text_col)
     words = total // 6 + 1
     bits = min(60, max(16, power_of_two(counters_per_word * words).bit_length() - 1))
     blocks = ceil_div(words, BLOCK_KEYS)
     kind = np.uint32 if bits <= 32 else np.uint64
-    packs = pack(texts, text_col, list(keep))
+    packs = pack(texts, text_col, list(keep), pack_bytes)
 
     def counters(window: np.ndarray, row: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The sketch's counters that a pack touches, the one of each window, and what each counts."""
