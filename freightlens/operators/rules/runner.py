@@ -174,8 +174,8 @@ def contexts(shipments: DataFrame) -> DataFrame:
         text("CNOTE_NO").alias("cnote_no"), text("CNOTE_ORIGIN").alias("cnote_origin"), text("CNOTE_DESTINATION").alias("cnote_destination"), service_bucket(text("CNOTE_SERVICES_CODE")).alias("cnote_service_code"),
         kind.alias("shipment_type"), branch_region(text("CNOTE_ORIGIN")).alias("origin_region"), branch_region(text("CNOTE_DESTINATION")).alias("destination_region"),
     ).where("cnote_no <> ''")
-    order = Window.partitionBy("cnote_no").orderBy("cnote_origin", "cnote_destination", "cnote_service_code", "shipment_type")
-    return rows.withColumn("_first", F.row_number().over(order)).where("_first = 1").drop("_first")
+    first = F.min(F.struct("cnote_origin", "cnote_destination", "cnote_service_code", "shipment_type", "origin_region", "destination_region"))
+    return rows.groupBy("cnote_no").agg(first.alias("first")).select("cnote_no", "first.*")
 
 
 def enriched(checks: DataFrame, rules: list[RuleSpec], links: DataFrame | None, shipments: DataFrame | None, available: Callable[[str], bool] = lambda _: True) -> DataFrame:
