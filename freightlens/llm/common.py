@@ -166,6 +166,21 @@ def stretches(column: pa.Array, most: int) -> Iterator[tuple[int, int]]:
         at = upto
 
 
+_GAP = re.compile(rb"[ \t\n\x0b\x0c\r]")
+
+
+def pieces_of(text: bytes, size: int = 1 << 20) -> Iterator[bytes]:
+    """A text in pieces of some size, cut after white space, so that few words of a very long text are objects at a time."""
+    at = 0
+    while at < len(text):
+        end = at + size
+        if end < len(text):
+            gap = _GAP.search(text, end)
+            end = gap.end() if gap else len(text)
+        yield text[at:end]
+        at = end
+
+
 def is_scan(df: DataFrame) -> bool:
     """Whether df only reads files, projects and filters."""
     plan = df._jdf.queryExecution().optimizedPlan()

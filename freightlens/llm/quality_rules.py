@@ -10,8 +10,8 @@ the vote patterns with their counts: at most 3^rules rows however many texts the
 driver. The result is the posterior probability of good; it replaces the filter in which every rule must pass, so one
 false alarm doesn't condemn a text that other rules speak for.
 
-Null and empty texts have no words: they fail the base rule. Repeated rows vote like any others. Of a very long text the
-words are counted a MB of texts at a time, one text as a whole. Ties don't arise: a verdict is a threshold on the
+Null and empty texts have no words: they fail the base rule. Repeated rows vote like any others. A very long text
+is counted as a whole, a MB of words at a time. Ties don't arise: a verdict is a threshold on the
 posterior. An empty table gives no rows and the model stays at its start. Extra columns are left out.
 """
 
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stretches, texts_of, tidy, written
+from .common import pieces_of, stretches, texts_of, tidy, written
 
 #: The characters that count as symbols.
 SYMBOLS = b"#*$%&|<>"
@@ -38,21 +38,19 @@ _ODD = bytes(x for x in range(128) if not chr(x).isalpha())
 _TAILS = bytes(set(range(256)) - set(range(128, 192)))
 
 
-def repeat_words(words: list[bytes], size: int = 3) -> int:
-    """Words inside runs of `size` words that occur twice or more."""
-    n = len(words) - size + 1
+def repeat_words(ids: np.ndarray, types: int, size: int = 3) -> int:
+    """Words inside runs of `size` words that occur twice or more; words are numbers below `types`."""
+    n = len(ids) - size + 1
     if n < 2:
         return 0
-    code: dict[bytes, int] = {}
-    ids = np.fromiter([code.setdefault(w, len(code)) for w in words], np.int64, len(words))
     key = ids[:n].copy()
     for k in range(1, size):
         # Ranks stay below the number of words, so the pairs are exact.
-        key = np.unique(key * len(code) + ids[k : n + k], return_inverse=True)[1]
+        key = np.unique(key * types + ids[k : n + k], return_inverse=True)[1]
     often = np.flatnonzero(np.bincount(key)[key] > 1)
     if not len(often):
         return 0
-    cover = np.zeros(len(words) + 1, np.int64)
+    cover = np.zeros(len(ids) + 1, np.int64)
     np.add.at(cover, often, 1)
     np.add.at(cover, often + size, -1)
     return int((np.cumsum(cover) > 0).sum())
@@ -62,12 +60,19 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 
 
 def counts_of(text: bytes) -> tuple[int, ...]:
-    words = text.split()
-    body = b"".join(words)
+    code: dict[bytes, int] = {}
+    ids, sums = [np.zeros(0, np.int64)], np.zeros(7, np.int64)
+    for piece in pieces_of(text):
+        words = piece.split()
+        ids.append(np.fromiter([code.setdefault(w, len(code)) for w in words], np.int64, len(words)))
+        body = b"".join(words)
+        sums += [len(body) - len(body.translate(None, _TAILS)), *(len(body.translate(None, drop)) for drop in (_UPPER, _LOWER, _STOPS, _SHOUTS)), len(body), len(body.translate(None, _ODD))]
+    chars, upper, lower, stops, shouts, size, letters = sums.tolist()
+    every = np.concatenate(ids)
     lines = [x for x in text.split(b"\n") if x.split(None, 1)]
     return (
-        len(words), len(body) - len(body.translate(None, _TAILS)), len(text.translate(None, _DROP)), len(lines) - len(set(lines)), repeat_words(words),
-        len(body.translate(None, _UPPER)), len(body.translate(None, _LOWER)), len(body.translate(None, _STOPS)), len(body.translate(None, _SHOUTS)), len(lines), len(set(words)), len(body), len(body.translate(None, _ODD)),
+        len(every), chars, len(text.translate(None, _DROP)), len(lines) - len(set(lines)), repeat_words(every, len(code)),
+        upper, lower, stops, shouts, len(lines), len(code), size, letters,
     )
 
 

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from .common import mix, power_of_two, stretches, texts_of, tidy, written
+from .common import mix, pieces_of, power_of_two, stretches, texts_of, tidy, written
 
 SHINGLE, RADIUS, TILE = 3, 2, 8192
 #: Rows of a group of cells, and shingle hashes of a tile whose texts are compared.
@@ -67,15 +67,18 @@ CONFIRMED = Likeness(shingle=5, radius=64, words=4, least=0.8)
 
 def shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
     """XXH64 (seed 42) of each run of `shingle` words, repeats included; a text of fewer words is one run."""
-    tokens = text.translate(_FOLD).split()
-    if not tokens:
-        return np.zeros(0, np.uint64)
-    joined, digest = b" ".join(tokens), xxhash.xxh64_intdigest
-    if len(tokens) <= shingle:
-        return np.array([digest(joined, 42)], np.uint64)
-    ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1)
-    starts = np.concatenate(([0], ends[:-shingle]))
-    return np.fromiter([digest(joined[s:e], 42) for s, e in zip(starts.tolist(), (ends[shingle - 1 :] - 1).tolist(), strict=True)], np.uint64, len(tokens) - shingle + 1)
+    digest, out, held = xxhash.xxh64_intdigest, [], []
+    for piece in pieces_of(text):
+        tokens = held + piece.translate(_FOLD).split()
+        if len(tokens) >= shingle:
+            joined = b" ".join(tokens)
+            ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1)
+            starts = np.concatenate(([0], ends[:-shingle]))
+            out.append(np.fromiter([digest(joined[s:e], 42) for s, e in zip(starts.tolist(), (ends[shingle - 1 :] - 1).tolist(), strict=True)], np.uint64, len(tokens) - shingle + 1))
+        held = tokens[len(tokens) - shingle + 1 :] if len(tokens) >= shingle else tokens
+    if not out:
+        return np.array([digest(b" ".join(held), 42)] if held else [], np.uint64)
+    return np.concatenate(out)
 
 
 def bits_of(hashes: np.ndarray, words: int = 1) -> list[int]:
@@ -110,7 +113,12 @@ def cells_of(hashes: list[np.ndarray], bands: int, rows: int) -> np.ndarray:
 
 def node_of(text: bytes) -> int:
     """A number for a text's words: equal for texts that differ in the case of A-Z and white space alone."""
-    return xxhash.xxh64_intdigest(b" ".join(text.translate(_FOLD).split()), 7)
+    state, gap = xxhash.xxh64(seed=7), b""
+    for piece in pieces_of(text):
+        if tokens := piece.translate(_FOLD).split():
+            state.update(gap + b" ".join(tokens))
+            gap = b" "
+    return state.intdigest()
 
 
 _PRINT = StructType([StructField("th", LongType()), StructField("node", LongType()), StructField("bits", ArrayType(LongType())), StructField("size", LongType()), StructField("cells", ArrayType(LongType()))])

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from freightlens.llm import license_scan, lm_scoring, quality_cnn, quality_rules, source_mixing
+from freightlens.llm import common, license_scan, lm_scoring, quality_cnn, quality_rules, simhash_dedup, source_mixing
 from freightlens.llm.common import fold_of
 from freightlens.llm.sentencepiece_viterbi import Model, default_model, encoded
 
@@ -147,6 +147,19 @@ def test_rule_counts_against_brute_force(spark):
     assert quality_rules.judged(empty(spark)).count() == 0
 
 
+def test_counts_of_pieces_are_those_of_the_whole(monkeypatch):
+    rng = random.Random(4)
+    texts = [prose(rng, 400).encode(), b"", b" \n ", ("# a! b.\n" * 90).encode(), "ä".encode() * 300 + b" x"]
+    whole = [quality_rules.counts_of(t) for t in texts]
+    hashes = [(simhash_dedup.shingle_hashes(t, 3).tolist(), simhash_dedup.node_of(t)) for t in texts]
+    small = lambda t: common.pieces_of(t, 17)
+    monkeypatch.setattr(quality_rules, "pieces_of", small)
+    monkeypatch.setattr(simhash_dedup, "pieces_of", small)
+    assert [quality_rules.counts_of(t) for t in texts] == whole
+    assert [(simhash_dedup.shingle_hashes(t, 3).tolist(), simhash_dedup.node_of(t)) for t in texts] == hashes
+    assert all(b"".join(small(t)) == t for t in texts)
+
+
 def test_em_finds_the_accuracies():
     rng = np.random.default_rng(2)
     rules = tuple(quality_rules.Rule(f"r{k}", "true", "true") for k in range(5))
