@@ -209,6 +209,19 @@ def trim() -> None:
     pa.default_memory_pool().release_unused()
 
 
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def in_batches(df: DataFrame) -> DataFrame:
+    """df, whose rows go to Python in Arrow batches of some MB, unless the session has a size of its own.
+
+    Spark's default of 64 MB is held several times by every task: in the executor's Java and Python processes, in and out.
+    """
+    if df.sparkSession.conf.get(_BATCH) in ("64m", "67108864", "67108864b"):
+        df.sparkSession.conf.set(_BATCH, "4m")
+    return df
+
+
 def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """A function over batches that gives memory back when a task's batches are through."""
 

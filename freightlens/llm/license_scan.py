@@ -27,7 +27,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import stretches, texts_of, tidy
+from .common import in_batches, stretches, texts_of, tidy
 
 #: Short notices as they are commonly printed.
 TEMPLATES = {
@@ -193,7 +193,7 @@ def scanned(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least: float
             spans = pa.array([[dict(zip(keys, x, strict=True)) for x in r] for r in rows], _SPANS)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len({x[0] for x in r}) for r in rows], pa.int32()), pa.array([b[0] for b in best], pa.string()), pa.array([b[1] for b in best], pa.float64()), spans], [id_col, "n_licenses", "license", "coverage", "spans"])
 
-    return docs.select(id_col, text_col).mapInArrow(tidy(run), f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, n_licenses int, license string, coverage double, spans {SPANS}")
+    return in_batches(docs.select(id_col, text_col)).mapInArrow(tidy(run), f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, n_licenses int, license string, coverage double, spans {SPANS}")
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 from pyspark.sql.types import StructType
 
-from .common import placed, tidy
+from .common import in_batches, placed, tidy
 
 SIDE = 192
 #: A PNG file's signature, and the filter byte of an unfiltered row.
@@ -291,7 +291,7 @@ def archive(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     """Writes each text as an image into archives in the folder `path`."""
     spark = docs.sparkSession
     spark.dataSource.register(MediaSource)
-    docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text")).write.format("fl_media").options(path=path, **{k: str(v) for k, v in options.items()}).mode("append").save()
+    in_batches(docs).select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text")).write.format("fl_media").options(path=path, **{k: str(v) for k, v in options.items()}).mode("append").save()
 
 
 def members(spark: SparkSession, path: str, **options) -> DataFrame:
@@ -318,7 +318,7 @@ def decoded(found: DataFrame) -> DataFrame:
             kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [x.split()[0] for x in DECODED.split(", ")])
 
-    return found.mapInArrow(tidy(run), DECODED)
+    return in_batches(found).mapInArrow(tidy(run), DECODED)
 
 
 def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import is_scan, texts_of, trim, written
+from .common import in_batches, is_scan, texts_of, trim, written
 
 PACK_BYTES = 6 << 20
 
@@ -58,7 +58,7 @@ def pack(df: DataFrame, text_col: str, keep: list[str], pack_bytes: int = PACK_B
             yield row()
 
     cols = [F.col(c) for c in keep] + [F.coalesce(F.col(text_col), F.lit("")).alias("text")]
-    found = df.select(*cols).mapInArrow(packs, "pack long, data binary")
+    found = in_batches(df.select(*cols)).mapInArrow(packs, "pack long, data binary")
     return found if is_scan(df) else written(found, "none")
 
 
@@ -122,7 +122,7 @@ def ask(packs: DataFrame, requests: Callable[[int, pa.Table], Iterator[pa.Record
                 yield from requests(number, unpack(data.as_py()))
                 trim()
 
-    return packs.mapInArrow(run, REQUEST)
+    return in_batches(packs).mapInArrow(run, REQUEST)
 
 
 def answer(requests: DataFrame, merge: Callable[[list[bytes], list[bytes]], list[bytes]]) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import fold_of, stretches, texts_of, tidy
+from .common import fold_of, in_batches, stretches, texts_of, tidy
 
 CHUNK, STRIDE, WIDTH, FILTERS = 16, 8, 4, 24
 #: From this score on a text counts as good.
@@ -193,7 +193,7 @@ def scored(docs: DataFrame, net: Network, text_col: str = "text", name: str = "s
             got = [net.score(texts_of(texts.slice(a, b - a))) for a, b in stretches(texts, 2 << 20)]
             yield batch.append_column(name, pa.array(np.concatenate(got) if got else np.zeros(0)))
 
-    return docs.mapInArrow(tidy(run), StructType([*docs.schema.fields, StructField(name, DoubleType())]))
+    return in_batches(docs).mapInArrow(tidy(run), StructType([*docs.schema.fields, StructField(name, DoubleType())]))
 
 
 def op2_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:

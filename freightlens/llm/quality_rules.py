@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import pieces_of, stretches, texts_of, tidy, written
+from .common import in_batches, pieces_of, stretches, texts_of, tidy, written
 
 #: The characters that count as symbols.
 SYMBOLS = b"#*$%&|<>"
@@ -84,7 +84,7 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             rows = np.array([counts_of(t) for a, b in stretches(batch.column(1), 1 << 20) for t in texts_of(batch.column(1).slice(a, b - a))], np.int64).reshape(-1, len(COUNTS))
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(np.ascontiguousarray(c)) for c in rows.T)], [id_col, *COUNTS])
 
-    return docs.select(id_col, text_col).mapInArrow(tidy(run), f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, " + ", ".join(f"{c} long" for c in COUNTS))
+    return in_batches(docs.select(id_col, text_col)).mapInArrow(tidy(run), f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, " + ", ".join(f"{c} long" for c in COUNTS))
 
 
 @dataclass(frozen=True)

@@ -34,12 +34,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stretches, texts_of, tidy
+from .common import in_batches, stretches, texts_of, tidy
 
 MARK = "▁"
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 #: Pairs of pieces that the merge check remembers, and texts' bytes that share a trie.
-PAIRS, BATCH_BYTES = 1 << 18, 6 << 20
+PAIRS, BATCH_BYTES = 1 << 18, 4 << 20
 #: Words whose ids a worker remembers for good: those of two batches, as long as there is room.
 WARM = 150_000
 #: Longer words aren't remembered for good.
@@ -255,7 +255,7 @@ def encoded(docs: DataFrame, proto: bytes, id_col: str = "doc_id", text_col: str
         model.recent = {}
 
     kept = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in own)
-    return docs.select(*own, text_col).mapInArrow(tidy(run), f"{kept}, ids array<int>, decoded string")
+    return in_batches(docs.select(*own, text_col)).mapInArrow(tidy(run), f"{kept}, ids array<int>, decoded string")
 
 
 def op7_sentencepiece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:

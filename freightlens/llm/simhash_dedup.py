@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from .common import mix, pieces_of, power_of_two, stretches, texts_of, tidy, written
+from .common import in_batches, mix, pieces_of, power_of_two, stretches, texts_of, tidy, written
 
 SHINGLE, RADIUS, TILE = 3, 2, 8192
 #: Rows of a group of cells, and shingle hashes of a tile whose texts are compared.
@@ -157,7 +157,7 @@ def fingerprints(docs: DataFrame, like: Likeness = EXACT_BITS, id_col: str = "do
                     node, cells = bits[:, 0], np.zeros((len(texts), 0), np.uint64)
                 yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(a, b - a) for k in (0, 1)), signed(node), lists(bits), pa.array(size, pa.int64()), lists(cells)], [id_col, *(f.name for f in _PRINT.fields)])
 
-    return own.mapInArrow(tidy(run), StructType([docs.schema[id_col], *_PRINT.fields]))
+    return in_batches(own).mapInArrow(tidy(run), StructType([docs.schema[id_col], *_PRINT.fields]))
 
 
 def _near(a: np.ndarray, b: np.ndarray | None, radius: int, sizes: np.ndarray | None = None, ratio: float = 0.0, block: int = 1024) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -407,7 +407,7 @@ def shingle_sets(rows: DataFrame, like: Likeness) -> DataFrame:
                 yield some.drop_columns(["text"]).append_column("hashes", sets)
 
     kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "text")
-    return rows.mapInArrow(tidy(run), f"{kept}, hashes binary")
+    return in_batches(rows).mapInArrow(tidy(run), f"{kept}, hashes binary")
 
 
 def similar(docs: DataFrame, nodes: DataFrame, text_col: str, like: Likeness, tile: int = TILE, tile_hashes: int = TILE_HASHES) -> DataFrame:
