@@ -140,7 +140,7 @@ def falling_batches(docs: DataFrame, n: int, id_col: str = "doc_id") -> list[Dat
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batches: int = 3, **how) -> DataFrame:
     total = text_bytes(docs, text_col)
-    runs = LineRuns(docs.sparkSession, **({"buckets": max(24, ceil_div(total, 32 << 20))} | how))
+    runs = LineRuns(docs.sparkSession, **({"buckets": max(16, ceil_div(total, 64 << 20))} | how))
     for batch in falling_batches(docs, batches, id_col):
         runs.add(batch, id_col, text_col)
     return runs.cut(docs, id_col, text_col)
