@@ -17,6 +17,7 @@ from freightlens.llm.sentencepiece_viterbi import default_model
 
 from .cases import clashing, documents, empty
 from .test_dedup import alike, brute_components, brute_lines, five_word_sets
+from .test_models import slow_quotas
 
 ROOT = Path(__file__).resolve().parents[2]
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -86,7 +87,7 @@ def test_stages(spark, tmp_path):
     supply = Counter()
     for r in levels:
         supply[r["__domain"], r["__lang"], r["__source"]] += len(r.text.split())
-    due = source_mixing.quotas(dict(supply), source_mixing.WEIGHTS, 0.9 * sum(supply.values()), 1)
+    due = slow_quotas(dict(supply), source_mixing.WEIGHTS, 0.9 * sum(supply.values()), 1)
     taken, longest = Counter(), Counter()
     chosen = {d for d, _ in rows(mix)}
     for r in levels:
