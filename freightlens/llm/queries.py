@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .best_fit_packing import op11_best_fit_packing
+from .conversation_repair import op13_conversation_repair
 from .license_scan import op9_license_scan
 from .line_dedup import OP8_SQL, op8_line_dedup
 from .lm_scoring import op6_lm_scoring
@@ -16,6 +18,7 @@ from .sentencepiece_viterbi import op7_sentencepiece_viterbi
 from .simhash_dedup import op10_simhash_near_dedup
 from .source_mixing import op1_source_mixing
 from .substring_dedup import OP5_SQL, op5_substring_dedup
+from .vector_codes import OP12_SQL, op12_vector_codes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,8 +35,11 @@ def queries() -> dict[str, Query]:
         "op8_line_dedup": op8_line_dedup,
         "op9_license_scan": op9_license_scan,
         "op10_simhash_near_dedup": op10_simhash_near_dedup,
+        "op11_best_fit_packing": op11_best_fit_packing,
+        "op12_vector_codes": op12_vector_codes,
+        "op13_conversation_repair": op13_conversation_repair,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_substring_dedup": OP5_SQL, "op8_line_dedup": OP8_SQL}
+    return {"op5_substring_dedup": OP5_SQL, "op8_line_dedup": OP8_SQL, "op12_vector_codes": OP12_SQL}
