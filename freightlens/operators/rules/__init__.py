@@ -1,6 +1,7 @@
 """Data-quality rules: declared families that compile to DataFrame plans, the catalog, and the runner."""
 
-from .families import CHECKS, FAMILIES, RuleSpec, compile_rule
+from .families import CHECKS, FAMILIES, RuleSpec
+from .fuse import compile_rule, plan_checks
 from .runner import RunResult, run_rules
 
-__all__ = ["CHECKS", "FAMILIES", "RuleSpec", "RunResult", "compile_rule", "run_rules"]
+__all__ = ["CHECKS", "FAMILIES", "RuleSpec", "RunResult", "compile_rule", "plan_checks", "run_rules"]

@@ -1,47 +1,154 @@
-"""Many row rules in one scan: a table's rules become an array of checks that is exploded.
+"""Many rules in few scans and joins.
 
-A rule catalog has hundreds of rules that look at one row; a scan for each would read a table dozens of times. Rules
-go in chunks, so that the generated code of one projection stays small enough to be compiled.
+A catalog has hundreds of rules; a scan or join for each would read a table dozens of times. Rules fall into groups:
+
+* Rules over the rows of one frame (a table, a pair or path of tables, sums of one) become arrays of checks that are
+  exploded, so the frame is scanned and joined once. They go in chunks, so that the generated code of one projection
+  stays small enough to be compiled.
+* Rules that look values up: each table gives narrow rows (rule, reference, value, what the check would show), all tables'
+  rows meet the keys of all references in one join, and each reference table is scanned once for its keys.
+* Rules on keys that occur again: narrow rows (rule, key), counted before any row moves, and joined back.
+* Other rules have a plan of their own.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from freightlens.functions.values import shown
+from freightlens.functions.values import normal, shown
 
-from .families import FAMILIES, RowRule, RuleSpec, Tables
+from .families import FAMILIES, Built, Frames, KeyRule, LookupRule, RowRule, RuleSpec, Tables
 
 CHUNK = 24
+#: What puts a frame that several plans read somewhere, and gives it back; without one it is planned anew each time.
+Keep = Callable[[DataFrame], DataFrame]
 
 
-def row_rules(tables: Tables, rules: list[RuleSpec]) -> tuple[dict[str, list[tuple[RuleSpec, RowRule]]], list[RuleSpec]]:
-    """Row rules by table, and the other rules."""
-    by_table: dict[str, list[tuple[RuleSpec, RowRule]]] = {}
-    rest = []
-    for rule in rules:
-        built = FAMILIES[rule.family](tables, rule)
-        if isinstance(built, RowRule):
-            by_table.setdefault(rule.table, []).append((rule, built))
-        else:
-            rest.append(rule)
-    return by_table, rest
+@dataclass
+class Group:
+    """Rules that share a plan."""
+
+    rules: list[RuleSpec]
+    plan: Callable[[], DataFrame]
+
+
+def _status(failed: Column) -> Column:
+    return F.when(failed, "FAIL").otherwise("PASS")
+
+
+def _exploded(rows: DataFrame, structs: list[Column], chunk: int) -> DataFrame:
+    """The structs of each row that aren't null, as rows."""
+    parts = [rows.select(F.explode(F.array(*structs[at : at + chunk])).alias("c")).where("c IS NOT NULL").select("c.*") for at in range(0, len(structs), chunk)]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def fused(rows: DataFrame, rules: list[tuple[RuleSpec, RowRule]], chunk: int = CHUNK) -> DataFrame:
-    """(code, document_id, status, variable_1, variable_2) of all rules."""
+    """(code, document_id, status, variable_1, variable_2) of rules over one frame."""
+
+    def one(code: str, r: RowRule) -> Column:
+        return F.when(r.eligible, F.struct(F.lit(code).alias("code"), shown(r.document).alias("document_id"), _status(r.failed).alias("status"), shown(r.one).alias("variable_1"), shown(r.two).alias("variable_2")))
 
-    def one(code: str, r: RowRule):
-        return F.when(
-            r.eligible,
-            F.struct(F.lit(code).alias("code"), shown(r.document).alias("document_id"), F.when(r.failed, "FAIL").otherwise("PASS").alias("status"), shown(r.one).alias("variable_1"), shown(r.two).alias("variable_2")),
-        )
+    return _exploded(rows, [one(rule.code, r) for rule, r in rules], chunk)
 
+
+def reference_keys(frames: Frames, references: dict[tuple, int]) -> DataFrame:
+    """(_reference, _ref): the different keys of all references; each of their tables is scanned once."""
+    by_table: dict[str, list[tuple[int, str, bool]]] = {}
+    for sources, number in references.items():
+        for table, column, as_text in sources:
+            by_table.setdefault(table, []).append((number, column, as_text))
     parts = []
-    for at in range(0, len(rules), chunk):
-        checks = F.array(*(one(rule.code, r) for rule, r in rules[at : at + chunk]))
-        parts.append(rows.select(F.explode(checks).alias("c")).where("c IS NOT NULL").select("c.*"))
-    return reduce(DataFrame.unionByName, parts)
+    for table, wanted in by_table.items():
+        keys = [F.struct(F.lit(n).alias("_reference"), (F.col(c).cast("string") if as_text else normal(F.col(c))).alias("_ref")) for n, c, as_text in wanted]
+        parts.append(frames(table).select(F.explode(F.array(*keys)).alias("k")).select("k.*"))
+    return reduce(DataFrame.unionByName, parts).where("_ref <> ''").distinct()
+
+
+def looked_up(frames: Frames, rules: list[tuple[RuleSpec, LookupRule]], keep: Keep = lambda df: df, chunk: int = CHUNK) -> DataFrame:
+    """The checks of all rules that look values up, by one join."""
+    references = {r: k for k, r in enumerate(dict.fromkeys(r.sources for _, r in rules))}
+    by_table: dict[str, list[Column]] = {}
+    for rule, r in rules:
+        status = [(F.lit(None).cast("string") if f is None else _status(f)).alias(name) for f, name in ((r.known, "_known"), (r.unknown, "_unknown"))]
+        row = F.struct(F.lit(rule.code).alias("code"), F.lit(references[r.sources]).alias("_number"), r.value.alias("_value"), shown(r.document).alias("document_id"), *status, shown(r.one).alias("variable_1"), shown(r.two).alias("variable_2"))
+        by_table.setdefault(r.table, []).append(F.when(r.eligible, row))
+    rows = reduce(DataFrame.unionByName, [_exploded(frames(t), structs, chunk) for t, structs in by_table.items()])
+    keys = keep(reference_keys(frames, references))
+    rows = rows.join(keys, (F.col("_number") == F.col("_reference")) & (F.col("_value") == F.col("_ref")), "left")
+    rows = rows.withColumn("status", F.when(F.col("_ref").isNotNull(), F.col("_known")).otherwise(F.col("_unknown"))).where("status IS NOT NULL")
+    return rows.select("code", "document_id", "status", "variable_1", "variable_2")
+
+
+def occurring_again(frames: Frames, rules: list[tuple[RuleSpec, KeyRule]], chunk: int = CHUNK) -> DataFrame:
+    """The checks of all rules on keys: keys are counted before any shuffle of rows, only those that occur again are joined back."""
+    full: dict[str, list[Column]] = {}
+    bare: dict[str, list[Column]] = {}
+    for rule, r in rules:
+        there = reduce(Column.__and__, [c.isNotNull() for c in r.columns])
+        texts = [c.cast("string") for c in r.columns]
+        row = [F.lit(rule.code).alias("code"), F.array(*texts).alias("_key")]
+        bare.setdefault(r.table, []).append(F.when(there, F.struct(*row)))
+        full.setdefault(r.table, []).append(F.when(there, F.struct(*row, shown(r.document).alias("document_id"), F.concat_ws("|", *texts).alias("variable_1"))))
+    keys = reduce(DataFrame.unionByName, [_exploded(frames(t), structs, chunk) for t, structs in bare.items()])
+    again = keys.groupBy("code", "_key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(F.col("code").alias("_code"), F.col("_key").alias("_again"))
+    rows = reduce(DataFrame.unionByName, [_exploded(frames(t), structs, chunk) for t, structs in full.items()])
+    rows = rows.join(again, (F.col("code") == F.col("_code")) & (F.col("_key") == F.col("_again")), "left")
+    return rows.select("code", "document_id", _status(F.col("_again").isNotNull()).alias("status"), "variable_1", F.lit("").alias("variable_2"))
+
+
+def groups(tables: Tables, rules: Iterable[RuleSpec], errors: dict[str, str] | None = None, keep: Keep = lambda df: df) -> list[Group]:
+    """The rules by what they share. errors: rules that can't be planned are put there and don't stop the rest."""
+    frames = tables if isinstance(tables, Frames) else Frames(tables)
+    by_frame: dict[tuple, list[tuple[RuleSpec, RowRule]]] = {}
+    lookups, keys, out = [], [], []
+    for rule in rules:
+        try:
+            built: Built = FAMILIES[rule.family].build(frames, rule)
+            if isinstance(built, RowRule):
+                by_frame.setdefault(built.frame, []).append((rule, built))
+            elif isinstance(built, LookupRule):
+                lookups.append((rule, built))
+            elif isinstance(built, KeyRule):
+                keys.append((rule, built))
+            else:
+                out.append(Group([rule], lambda b=built, r=rule: b.select(F.lit(r.code).alias("code"), "*")))
+        except Exception as e:  # noqa: BLE001  a rule that can't be planned is reported, others go on
+            if errors is None:
+                raise
+            errors[rule.code] = str(e)
+    out = [Group([r for r, _ in own], lambda f=frame, o=own: fused(frames.made[f], o)) for frame, own in by_frame.items()] + out
+    if lookups:
+        out.append(Group([r for r, _ in lookups], lambda: looked_up(frames, lookups, keep)))
+    if keys:
+        out.append(Group([r for r, _ in keys], lambda: occurring_again(frames, keys)))
+    return out
+
+
+def plan_checks(tables: Tables, rules: Iterable[RuleSpec], errors: dict[str, str] | None = None, keep: Keep = lambda df: df, each: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame | None:
+    """(code, document_id, status, variable_1, variable_2) of all rules as one plan. each: what is done with each group's checks.
+
+    If a group fails its rules are tried one by one, and those that fail are put in errors.
+    """
+    parts = []
+    for group in groups(tables, rules, errors, keep):
+        try:
+            parts.append(each(group.plan()))
+        except Exception as e:  # noqa: BLE001
+            if errors is None:
+                raise
+            if len(group.rules) == 1:
+                errors[group.rules[0].code] = str(e).splitlines()[0]
+                continue
+            alone = [plan_checks(tables, [rule], errors, keep, each) for rule in group.rules]
+            parts += [x for x in alone if x is not None]
+    return reduce(DataFrame.unionByName, parts) if parts else None
+
+
+def compile_rule(tables: Tables, rule: RuleSpec) -> DataFrame:
+    """A rule's checks (document_id, status, variable_1, variable_2)."""
+    return plan_checks(tables, [rule]).drop("code")

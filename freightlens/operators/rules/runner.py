@@ -1,15 +1,13 @@
 """Running a catalog: what can run, the checks of all rules, their shipments and context, the summary.
 
-Planning happens on the driver from schemas; the data path is one plan per table of row rules and one per other rule,
-united. A rule that can't be planned or run is reported and doesn't stop the rest.
+Planning happens on the driver from schemas; the data path is one plan for each group of rules that share scans and joins
+(see fuse.py), united. A rule that can't be planned or run is reported and doesn't stop the rest.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -17,10 +15,10 @@ from pyspark.sql import functions as F
 from freightlens.functions.classes import branch_region, delivery_category, service_bucket, shipment_scope
 from freightlens.functions.values import key
 from freightlens.operators.links import sources_of
-from freightlens.sources.runs import written
+from freightlens.sources.runs import Store, work_folder, written
 
-from .families import FAMILIES, RowRule, RuleSpec, Tables, compile_rule
-from .fuse import fused
+from .families import FAMILIES, Frames, RuleSpec, Tables
+from .fuse import plan_checks
 
 #: Columns of the results, of their shipments, and of the summary.
 RESULT_COLUMNS = (
@@ -97,68 +95,16 @@ BAG_LEVEL = {
     "CMS_RDSJ",
 }
 
-_TABLE_PARAMS = ("left_table", "right_table", "start_table", "end_table", "child_table", "parent_table", "reference_table", "master_table", "detail_table")
-#: Tables and columns that families use without a parameter.
-_BUILT_IN = {
-    "manifest_code_sequence": {"CMS_MFCNOTE": "MFCNOTE_NO MFCNOTE_MAN_NO", "CMS_MANIFEST": "MANIFEST_NO MANIFEST_CODE"},
-    "cnote_im_manifest_before_msj": {
-        "CMS_MFCNOTE": "MFCNOTE_NO MFCNOTE_MAN_NO", "CMS_MANIFEST": "MANIFEST_NO MANIFEST_CODE MANIFEST_DATE", "CMS_DHICNOTE": "DHICNOTE_NO DHICNOTE_CNOTE_NO",
-        "CMS_RDSJ": "RDSJ_HVI_NO RDSJ_HVO_NO", "CMS_DSJ": "DSJ_HVO_NO DSJ_NO", "CMS_MSJ": "MSJ_NO MSJ_SIGNDATE",
-    },
-    "transit_manifest_required_for_origin_mismatch": {"CMS_DSMU": "DSMU_NO DSMU_BAG_NO DSMU_BAG_ORIGIN", "CMS_MSMU": "MSMU_NO MSMU_ORIGIN", "CMS_MFBAG": "MFBAG_NO MFBAG_MAN_NO"},
-}
-
-
-def tables_of(rule: RuleSpec) -> set[str]:
-    named = {rule.table, *(rule.get(k) for k in _TABLE_PARAMS), *(s["table"] for s in rule.get("joins", [])), *(r["table"] for r in rule.get("references", []))}
-    return {t for t in named | set(_BUILT_IN.get(rule.family, {})) if t}
-
-
-def columns_of(rule: RuleSpec) -> dict[str, set[str]]:
-    """The columns that a rule can't do without, by table (not the document column, which may be missing)."""
-    need: dict[str, set[str]] = {t: set(c.split()) for t, c in _BUILT_IN.get(rule.family, {}).items()}
-
-    def add(table: str | None, *columns: str | None) -> None:
-        if table:
-            need.setdefault(table, set()).update(c for c in columns if c)
-
-    get = rule.get
-    add(rule.table, get("column"), get("condition_column"), *get("columns", []))
-    for side in ("left", "right", "start", "end"):
-        add(get(f"{side}_table"), get(f"{side}_column"), get(f"{side}_join_key") or get("join_key"))
-    add(get("left_table"), get("start_column"))
-    add(get("right_table"), get("right_latest_by"))
-    at = get("left_table") or get("detail_table")
-    for step in get("joins", []):
-        add(at, step["left_on"])
-        add(step["table"], step["right_on"])
-        at = step["table"]
-    if get("joins"):
-        add(at, get("right_column"), get("end_column"))
-    add(at if get("detail_table") else None, get("detail_key"))
-    add(get("child_table"), get("child_column"), get("child_key"), get("count_column"))
-    add(get("parent_table"), get("parent_column"))
-    component = {"origin": "__origin_component", "destination": "__destination_component"}.get(get("reference_component"))
-    add(get("reference_table"), component or get("reference_column"))
-    for r in get("references", []):
-        add(r["table"], r["column"])
-    add(get("master_table"), get("master_key"), get("master_column"), get("master_value_column"), get("master_count_column"))
-    add(get("detail_table"), get("detail_value_column") if not get("joins") else None, get("detail_count_column") if not get("joins") else None)
-    return need
-
-
 def columns_reported(rule: RuleSpec) -> str:
-    names = ("column", "left_column", "right_column", "start_column", "end_column", "master_value_column", "master_count_column", "detail_value_column", "detail_count_column", "child_column", "parent_column")
-    found = [str(rule.get(n)) for n in names if rule.get(n)] + list(rule.get("columns", []))
-    return ", ".join(dict.fromkeys(found))
+    return ", ".join(FAMILIES[rule.family].names(rule))
 
 
 def missing(rule: RuleSpec, tables: Tables, available: Callable[[str], bool]) -> str:
-    """Why a rule can't run: tables or columns that aren't there; empty if it can."""
-    gone = sorted(t for t in tables_of(rule) if not available(t))
-    if gone:
+    """Why a rule can't run: tables or columns that aren't there; empty if it can. Its family declares what it reads; the document's column may be missing."""
+    needs = FAMILIES[rule.family].needs(rule)
+    if gone := sorted(t for t in needs if not available(t)):
         return f"missing tables: {', '.join(gone)}"
-    gone = sorted(f"{t}.{c}" for t, columns in columns_of(rule).items() for c in columns - set(tables(t).columns))
+    gone = sorted(f"{t}.{c}" for t, columns in needs.items() if columns for c in columns - set(tables(t).columns))
     return f"missing columns: {', '.join(gone)}" if gone else ""
 
 
@@ -211,15 +157,29 @@ def enriched(checks: DataFrame, rules: list[RuleSpec], links: DataFrame | None,
     return rows.withColumnRenamed("code", "index_code").fillna("", ["cnote_origin", "cnote_destination", "cnote_service_code", "shipment_type", "origin_region", "destination_region"])
 
 
+#: Tasks whose counts are broadcast, some bytes each; beyond that they are joined by a shuffle of the results.
+MOST_TASKS = 1_000_000
+_ROW_BITS = 33
+
+
+def placed(rows: DataFrame) -> DataFrame:
+    """rows with _place, which tells the task that makes a row and its number there; to be written."""
+    return rows.withColumn("_place", F.monotonically_increasing_id())
+
+
 def numbered(rows: DataFrame) -> DataFrame:
-    """result_id: a running number of the rows of a written table, R000000000001 and so on.
+    """result_id: a running number of the rows of a written table with _place, R000000000001 and so on.
 
-    A row's number is its place in its file, after the rows of the files before: only a row a file is summed up in order.
+    A row's number is its number in the task that wrote it, after the rows of the tasks before. Only a row a task is summed
+    up in order, and these sums are broadcast up to MOST_TASKS, so that no result moves for its number.
     """
-    placed = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at"))
-    before = F.sum("n").over(Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1))
-    files = placed.groupBy("_file").agg(F.count(F.lit(1)).alias("n")).select("_file", F.coalesce(before, F.lit(0)).alias("_before"))
-    return placed.join(files, "_file").withColumn("result_id", F.format_string("R%012d", F.col("_before") + F.col("_at") + 1)).drop("_file", "_at", "_before")
+    task = F.shiftright("_place", _ROW_BITS)
+    counts = rows.groupBy(task.alias("_task")).agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1))
+    starts = counts.select("_task", F.coalesce(before, F.lit(0)).alias("_before"))
+    starts = F.broadcast(starts) if counts.count() <= MOST_TASKS else starts
+    own = F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    return rows.join(starts, task == F.col("_task")).withColumn("result_id", F.format_string("R%012d", F.col("_before") + own + 1)).drop("_place", "_task", "_before")
 
 
 @dataclass
@@ -232,56 +192,32 @@ class RunResult:
     summary: DataFrame
     errors: dict[str, str] = field(default_factory=dict)
     skipped: dict[str, str] = field(default_factory=dict)
+    folder: str = ""
+
+    def forget(self) -> None:
+        """Deletes what the run has written; its frames can't be read afterwards."""
+        Store(self.summary.sparkSession).delete(self.folder)
 
 
-def plan_checks(tables: Tables, rules: Iterable[RuleSpec], errors: dict[str, str] | None = None) -> DataFrame | None:
-    """(code, document_id, status, variable_1, variable_2) of all rules; row rules of a table share a scan."""
-    rows_of: dict[str, list[tuple[RuleSpec, RowRule]]] = {}
-    parts = []
-    for rule in rules:
-        try:
-            built = FAMILIES[rule.family](tables, rule)
-        except Exception as e:  # noqa: BLE001  a rule that can't be planned is reported, others go on
-            if errors is None:
-                raise
-            errors[rule.code] = str(e)
-            continue
-        if isinstance(built, RowRule):
-            rows_of.setdefault(rule.table, []).append((rule, built))
-        else:
-            parts.append(built.select(F.lit(rule.code).alias("code"), "*"))
-    parts = [fused(tables(t), own) for t, own in rows_of.items()] + parts
-    return reduce(DataFrame.unionByName, parts) if parts else None
-
-
-def run_rules(spark: SparkSession, tables: Tables, catalog: Iterable[RuleSpec], available: Callable[[str], bool] = lambda _: True, links: DataFrame | None = None, strict: bool = True, fail_on_skipped: bool = False, isolate: bool = False, workers: int = 4, work: str | None = None) -> RunResult:
-    """Runs all enabled rules: checks are written once, results are written once from them, all else is read from these.
-
-    work: a folder for both that all executors reach (default: a new one in spark.checkpoint.dir). isolate: each rule's
-    checks are written by themselves (in parallel jobs), so that one that fails when it runs is reported too.
+def run_rules(spark: SparkSession, tables: Tables, catalog: Iterable[RuleSpec], available: Callable[[str], bool] = lambda _: True, links: DataFrame | None = None, strict: bool = True, fail_on_skipped: bool = False, isolate: bool = False, work: str | None = None) -> RunResult:
+    """Runs all enabled rules: keys of references and checks are written once, results are written once from them, all else is read from these.
+
+    work: a folder for them that all executors reach (default: a new one in spark.checkpoint.dir; `RunResult.forget`
+    deletes it). isolate: each group of rules that share a plan is written by itself, and if it fails, each of its rules,
+    so that one that fails when it runs is reported too and the others still share scans.
     """
+    folder = work_folder(spark, work)
+    keep = lambda df: written(df, folder)
     enabled = [r for r in catalog if r.enabled]
     errors: dict[str, str] = {}
+    tables = Frames(tables)
     skipped = {r.code: why for r in enabled if (why := missing(r, tables, available))}
     runnable = [r for r in enabled if r.code not in skipped]
-    if isolate:
-
-        def attempt(rule: RuleSpec) -> DataFrame | None:
-            try:
-                return written(compile_rule(tables, rule).select(F.lit(rule.code).alias("code"), "*"), work)
-            except Exception as e:  # noqa: BLE001
-                errors[rule.code] = str(e).splitlines()[0]
-                return None
-
-        with ThreadPoolExecutor(workers) as pool:
-            parts = [x for x in pool.map(attempt, runnable) if x is not None]
-        checks = reduce(DataFrame.unionByName, parts) if parts else None
-    else:
-        checks = plan_checks(tables, runnable, errors)
-        checks = written(checks, work) if checks is not None else None
+    checks = plan_checks(tables, runnable, errors, keep, keep if isolate else lambda df: df)
+    checks = keep(checks) if checks is not None and not isolate else checks
     runnable = [r for r in runnable if r.code not in errors]
     shipments = tables("CMS_CNOTE") if available("CMS_CNOTE") else None
-    results = numbered(written(enriched(checks, runnable, links, shipments, available), work)) if checks is not None else None
+    results = numbered(keep(placed(enriched(checks, runnable, links, shipments, available)))) if checks is not None else None
     counts = totals(checks, results) if checks is not None else None
     summary = summarised(spark, enabled, skipped, errors, counts)
     if fail_on_skipped and skipped:
@@ -290,7 +226,7 @@ def run_rules(spark: SparkSession, tables: Tables, catalog: Iterable[RuleSpec],
         raise RuntimeError(f"{len(errors)} rules failed: {errors}")
     published = results.select(*RESULT_COLUMNS) if results is not None else None
     linked = results.where("cnote_no <> ''").select(*LINK_COLUMNS) if results is not None else None
-    return RunResult(checks, published, linked, summary, errors, skipped)
+    return RunResult(checks, published, linked, summary, errors, skipped, folder)
 
 
 def totals(checks: DataFrame, results: DataFrame) -> DataFrame:

@@ -12,11 +12,11 @@ from freightlens.functions.classes import branch_region, delivery_category, rout
 from freightlens.functions.events import first_value, last_value, latest
 from freightlens.functions.values import key, normal, number, present, rounded, strip
 from freightlens.operators import links, mart, spine
-from freightlens.operators.rules import RuleSpec, compile_rule
+from freightlens.operators.rules import RuleSpec, compile_rule, plan_checks
 from freightlens.operators.rules.catalog import by_code, load
 from freightlens.operators.routes import match_places
 from freightlens.operators.rules.families import with_route_parts
-from freightlens.operators.rules.runner import RESULT_COLUMNS, contexts, enriched, missing, plan_checks, summarised, totals
+from freightlens.operators.rules.runner import RESULT_COLUMNS, contexts, enriched, missing, summarised, totals
 
 from . import oracle as o
 from .scopes import ScopeGraph

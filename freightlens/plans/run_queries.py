@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from freightlens.operators import spine
 from freightlens.operators.rules import run_rules
+from freightlens.operators.rules.families import with_route_parts
 from freightlens.sources.config import expand
 from freightlens.sources.readers import read_csv, read_jdbc, read_parquet
 from freightlens.sources.runs import Run, extract, publish, work_folder, write_results, write_table
 
 from . import oracle as o
-from .queries import _CHAIN, _IN, _SUMMED, _WINDOW, _guard, _merge, _some, query
+from .catalog_sql import totals_sql
+from .queries import _CHAIN, _IN, _SUMMED, _WINDOW, CATALOG, _guard, _merge, _some, query
 from .scopes import ScopeGraph, selected
 from .standins import Standins
 from .windows import DateWindow
@@ -138,6 +140,14 @@ def _(t):
     return run_rules(t.spark, t, _some(), t.available, isolate=True).summary.select("index_code", "rule_family", "table_name", "total_checked", "total_failed", "result_rows", "status")
 
 
+@query("rules_of_catalog", totals_sql(CATALOG))
+def _(t):
+    """All 493 rules in one run, which scans and joins for groups of rules: totals and status of each."""
+    tables = lambda n: with_route_parts(t(n)) if n == "CMS_DROURATE" else t(n)
+    columns = ("index_code", "rule_family", "table_name", "total_checked", "total_failed", "result_rows", "status")
+    return run_rules(t.spark, tables, CATALOG, t.available).summary.select(*columns)
+
+
 @query("result_ids", f"SELECT CAST(sum(total_checked) AS BIGINT) AS n, CAST(sum(total_checked) AS BIGINT) AS ids, 'R000000000001' AS first, printf('R%012d', CAST(sum(total_checked) AS BIGINT)) AS last FROM ({_SUMMED})")
 def _(t):
     """Running numbers of the results, none left out."""
