@@ -43,7 +43,7 @@ CAPACITY, END_ID = 1024, 2
 SLOTS = 8192
 #: Sequences of a level with copies are held back for the next level when less than this part of them is full, at most HELD slots.
 WELL_FILLED, HELD = 0.998, 512
-ISLANDS, POPULATION, EPOCHS, OFFSPRING = 4, 6, 4, 24
+ISLANDS, POPULATION, EPOCHS, OFFSPRING = 4, 6, 3, 24
 
 
 class Encoder:
@@ -66,6 +66,11 @@ class Encoder:
         self.special = {x.content: k for k, x in self.tokenizer.get_added_tokens_decoder().items()}
         alone = {c: self.tokenizer.encode(c, add_special_tokens=False).ids for c in self._MARKS}
         self.marks = {c: ids[0] for c, ids in alone.items() if len(ids) == 1}
+        # What a byte-level vocabulary's tokens have in bytes: a character stands for each.
+        levels = type(self.tokenizer.pre_tokenizer).__name__ == "ByteLevel"
+        self.bytes = np.zeros(self.tokenizer.get_vocab_size(), np.int64) if levels else None
+        for token, k in self.tokenizer.get_vocab().items() if levels else ():
+            self.bytes[k] = len(token)
         self._clear()
 
     def _clear(self) -> None:
@@ -73,18 +78,32 @@ class Encoder:
         self.flat, self.start, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def _encode(self, keys: list[str]) -> list[np.ndarray]:
-        """The ids of some words, which are encoded together with a special token in between."""
-        words = [k[1:] if k[:1] == " " else " " + k for k in keys]
-        plain = len(self.special) == 1 and not any(s in w for s in self.special for w in words)
-        if not plain:
-            return [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        (mark, number), out = next(iter(self.special.items())), []
-        together = [mark.join(words[a : a + 128]) for a in range(0, len(words), 128)]
-        for x in self.tokenizer.encode_batch_fast(together, add_special_tokens=False):
-            ids = np.array(x.ids, np.uint32)
-            edge = np.concatenate(([-1], np.flatnonzero(ids == number), [len(ids)]))
-            out += [ids[a + 1 : b] for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)]
-        return out
+        """The ids of some words: plain ones are encoded together and told apart by the bytes of their tokens, others one by one."""
+        plain = [k for k in keys if k and not k[0].isspace() and not k[-1].isspace()] if self.bytes is not None else []
+        found = self._together(plain)
+        if found is None:
+            plain, found = [], []
+        if len(plain) == len(keys):
+            return found
+        by_key = dict(zip(plain, found, strict=True))
+        rest = [k for k in keys if k not in by_key]
+        words = [k[1:] if k[:1] == " " else " " + k for k in rest]
+        by_key.update(zip(rest, (np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)), strict=True))
+        return [by_key[k] for k in keys]
+
+    def _together(self, keys: list[str], most: int = 64) -> list[np.ndarray] | None:
+        """The ids of words that begin and end without white space, some in one text; None if that can't be."""
+        texts = [" " + " ".join(keys[a : a + most]) for a in range(0, len(keys), most)]
+        if any(s in t for s in self.special for t in texts):
+            return None
+        ids = [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
+        upto = np.cumsum(self.bytes[ids])
+        ends = np.cumsum(pc.binary_length(pa.array(keys, pa.string())).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+        at = np.searchsorted(upto, ends)
+        if len(keys) and (at[-1] + 1 != len(ids) or not np.array_equal(upto[at], ends)):
+            return None
+        return np.split(ids, at[:-1] + 1) if len(keys) else []
 
     def _add(self, keys: list[str], flat: np.ndarray, size: np.ndarray) -> None:
         self.known.update(zip(keys, range(len(self.known), len(self.known) + len(keys)), strict=True))
@@ -172,7 +191,7 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
         part, encode, seen = TaskContext.get().partitionId(), encoder(tokenizer), [0] * (capacity + 1)
         for batch in batches:
             column = batch.column(1)
-            for a, b in stretches(column, 4 << 20):
+            for a, b in stretches(column, 8 << 20):
                 texts = column.slice(a, b - a)
                 found = encode(texts) if b - a > 1 else [encode.long(texts[0].as_py() or "")]
                 rows = []
@@ -201,9 +220,9 @@ class Groups:
         self.by_room: list[list[int]] = [[] for _ in range(capacity + 1)]
         self.mask, self.capacity = 0, capacity
 
-    def add(self, group: list[int]) -> None:
+    def add(self, group: list[int], room: int | None = None) -> None:
         self.groups.append(group)
-        self.room.append(self.capacity - sum(map(self.sizes.__getitem__, group)))
+        self.room.append(self.capacity - sum(map(self.sizes.__getitem__, group)) if room is None else room)
         self._open(len(self.groups) - 1)
 
     def _open(self, g: int) -> None:
@@ -227,59 +246,63 @@ class Groups:
             self.room[g] = room - size
             self._open(g)
 
+    def fitness(self) -> tuple[int, int]:
+        """Smaller is better: the number of sequences, then how evenly they are filled (a few that are nearly empty can still be dissolved)."""
+        return len(self.groups), -sum((self.capacity - r) ** 2 for r in self.room)
+
     def chromosome(self) -> np.ndarray:
         out = np.zeros(len(self.sizes), np.int32)
         for g, group in enumerate(self.groups):
             out[group] = g
         return out
 
+    @classmethod
+    def of(cls, chromosome: np.ndarray, sizes: list[int], capacity: int) -> Groups:
+        out = cls(sizes, capacity)
+        for group in groups_of(chromosome):
+            out.add(group)
+        return out
+
 
 def groups_of(chromosome: np.ndarray) -> list[list[int]]:
     order = np.argsort(chromosome, kind="stable")
     return [x.tolist() for x in np.split(order, np.flatnonzero(np.diff(chromosome[order])) + 1)]
 
 
-def fitness(chromosome: np.ndarray, sizes: np.ndarray) -> tuple[int, float]:
-    """Smaller is better: the number of sequences, then how evenly they are filled (a few that are nearly empty can still be dissolved)."""
-    fill = np.bincount(chromosome, sizes)
-    return len(fill), -float(np.square(fill).sum())
-
-
-def crossed(one: np.ndarray, two: np.ndarray, sizes: list[int], capacity: int, rng: random.Random) -> np.ndarray:
+def crossed(one: Groups, two: Groups, rng: random.Random) -> Groups:
     """A child of `one` with well-filled groups of `two`, without a few of the emptiest groups."""
-    weights, givers = np.asarray(sizes), groups_of(two)
-    fill = np.bincount(two, weights)
-    best = np.argsort(-fill, kind="stable")[: max(1, len(fill) // 2)]
-    injected = [givers[g] for g in rng.sample(best.tolist(), max(1, len(best) // rng.choice((2, 4, 8))))]
-    taken = np.zeros(len(sizes), bool)
-    taken[[s for group in injected for s in group]] = True
-    child, displaced, left = Groups(sizes, capacity), [], []
-    for group in injected:
-        child.add(group)
-    for group in groups_of(one):
-        doubled = [s for s in group if not taken[s]]
-        if len(doubled) < len(group):
-            displaced += doubled
+    ranked = sorted(range(len(two.groups)), key=two.room.__getitem__)
+    best = ranked[: max(1, len(ranked) // 2)]
+    chosen = rng.sample(best, max(1, len(best) // rng.choice((4, 16, 64))))
+    taken = bytearray(len(one.sizes))
+    child, displaced, left = Groups(one.sizes, one.capacity), [], []
+    for g in chosen:
+        child.add(list(two.groups[g]), two.room[g])
+        for s in two.groups[g]:
+            taken[s] = 1
+    for g, group in enumerate(one.groups):
+        if any(map(taken.__getitem__, group)):
+            displaced += [s for s in group if not taken[s]]
         else:
-            left.append(group)
-    left.sort(key=lambda group: sum(map(sizes.__getitem__, group)))
+            left.append(g)
+    left.sort(key=one.room.__getitem__, reverse=True)
     dissolved = min(len(left), rng.randint(1, 8))
-    for group in left[:dissolved]:
-        displaced += group
-    for group in left[dissolved:]:
-        child.add(group)
+    for g in left[:dissolved]:
+        displaced += one.groups[g]
+    for g in left[dissolved:]:
+        child.add(list(one.groups[g]), one.room[g])
     child.best_fit(displaced)
-    return child.chromosome()
+    return child
 
 
-def beginning(sizes: list[int], capacity: int, rng: random.Random, plain: bool) -> np.ndarray:
+def beginning(sizes: list[int], capacity: int, rng: random.Random, plain: bool) -> Groups:
     """Best fit of all slots, the largest first; unless plain, after some random slots have been given a sequence each."""
     start = Groups(sizes, capacity)
     alone = set() if plain else set(rng.sample(range(len(sizes)), len(sizes) // 8))
     for s in sorted(alone):
         start.add([s])
     start.best_fit([s for s in range(len(sizes)) if s not in alone])
-    return start.chromosome()
+    return start
 
 
 def least(sizes: list[int], capacity: int) -> int:
@@ -287,22 +310,23 @@ def least(sizes: list[int], capacity: int) -> int:
     return max(-(-sum(sizes) // capacity), sum(2 * s > capacity for s in sizes))
 
 
-def evolved(population: list[np.ndarray], sizes: list[int], capacity: int, offspring: int, rng: random.Random) -> list[np.ndarray]:
+def evolved(population: list[Groups], offspring: int, rng: random.Random) -> list[Groups]:
     """The population after some children, each of which takes the place of the worst if it is better; the best first."""
-    weights, bound = np.asarray(sizes), least(sizes, capacity)
-    ranked = sorted(((fitness(c, weights), k, c) for k, c in enumerate(population)), key=lambda x: x[:2])
+    bound = least(population[0].sizes, population[0].capacity)
+    ranked = sorted(((c.fitness(), k, c) for k, c in enumerate(population)), key=lambda x: x[:2])
     for k in range(offspring):
-        if ranked[0][0][0] <= bound:
+        if ranked[0][0][0] <= bound or len(ranked) < 2:
             break
         one, two = rng.sample(ranked, 2)
-        child = crossed(one[2], two[2], sizes, capacity, rng)
-        found = (fitness(child, weights), len(population) + k, child)
+        child = crossed(one[2], two[2], rng)
+        found = (child.fitness(), len(population) + k, child)
         if found[0] < ranked[-1][0] and all(found[0] != x[0] for x in ranked):
             ranked = sorted([*ranked[:-1], found], key=lambda x: x[:2])
     return [x[2] for x in ranked]
 
 
 _STATE = "island int, epoch int, sequences int, elite binary, others binary"
+_STATE_FIELDS = pa.schema([("island", pa.int32()), ("epoch", pa.int32()), ("sequences", pa.int32()), ("elite", pa.binary()), ("others", pa.binary())])
 
 
 def solved(spark: SparkSession, sizes: list[int], capacity: int = CAPACITY, islands: int = ISLANDS, population: int = POPULATION, epochs: int = EPOCHS, offspring: int = OFFSPRING, seed: int = 11) -> np.ndarray:
@@ -315,13 +339,14 @@ def solved(spark: SparkSession, sizes: list[int], capacity: int = CAPACITY, isla
                 for row in batch.to_pylist():
                     rng = random.Random(f"{seed} {row['island']} {epoch}")
                     if epoch:
-                        held = list(np.frombuffer(row["elite"] + row["others"], np.int32).reshape(-1, n))
+                        held = np.frombuffer(row["elite"] + row["others"], np.int32).reshape(-1, n)
                         guest = np.frombuffer(row["guest"], np.int32)
-                        own = [*held[:-1], guest]  # the guest takes the place of the worst
+                        own = [Groups.of(c, sizes, capacity) for c in [*held[:-1], guest]]  # the guest takes the place of the worst
                     else:
                         own = [beginning(sizes, capacity, rng, plain=not row["island"] and not k) for k in range(population)]
-                    best, *others = evolved(own, sizes, capacity, offspring, rng)
-                    yield pa.RecordBatch.from_pylist([{"island": row["island"], "epoch": epoch, "sequences": int(best.max()) + 1, "elite": best.tobytes(), "others": np.concatenate(others).tobytes()}], pa.schema([("island", pa.int32()), ("epoch", pa.int32()), ("sequences", pa.int32()), ("elite", pa.binary()), ("others", pa.binary())]))
+                    best, *others = evolved(own, offspring, rng)
+                    out = {"island": row["island"], "epoch": epoch, "sequences": len(best.groups), "elite": best.chromosome().tobytes(), "others": b"".join(c.chromosome().tobytes() for c in others)}
+                    yield pa.RecordBatch.from_pylist([out], _STATE_FIELDS)
 
         return run
 
@@ -329,7 +354,7 @@ def solved(spark: SparkSession, sizes: list[int], capacity: int = CAPACITY, isla
     for epoch in range(epochs):
         if epoch:
             guests = state.select(F.pmod(F.col("island") + 1, F.lit(islands)).cast("int").alias("island"), F.col("elite").alias("guest"))
-            state = state.join(guests, "island")
+            state = state.join(guests, "island").repartition(islands, "island")
         state = written(state.mapInArrow(step(epoch), _STATE))
         if state.agg(F.min("sequences").alias("n")).first().n <= least(sizes, capacity):
             break

@@ -85,14 +85,13 @@ def test_sequences_hold_the_ids(spark):
 
 
 def test_evolution_finds_a_better_packing():
-    """Best fit of falling sizes needs five sequences here, four are possible; islands of children find them."""
+    """Children of best fits have fewer or fuller sequences than best fit of falling sizes."""
     sizes, rng = [44, 24, 24, 22, 21, 17, 8, 8, 6, 6] * 3, random.Random(3)
     plain = packing.beginning(sizes, 60, rng, plain=True)
     population = [plain] + [packing.beginning(sizes, 60, rng, plain=False) for _ in range(5)]
-    best = packing.evolved(population, sizes, 60, 600, rng)[0]
-    weights = np.array(sizes)
-    assert (np.bincount(best, weights) <= 60).all()
-    assert packing.fitness(best, weights) < packing.fitness(plain, weights)
+    best = packing.evolved(population, 600, rng)[0]
+    assert (np.bincount(best.chromosome(), np.array(sizes)) <= 60).all()
+    assert best.fitness() < plain.fitness()
 
 
 def test_children_hold_every_slot_once():
@@ -100,9 +99,11 @@ def test_children_hold_every_slot_once():
     sizes = [rng.randint(1, 100) for _ in range(200)]
     parents = [packing.beginning(sizes, 100, rng, plain=False) for _ in range(2)]
     for _ in range(50):
-        child = packing.crossed(*parents, sizes, 100, rng)
-        assert len(child) == len(sizes) and (np.bincount(child, np.array(sizes)) <= 100).all()
-        assert set(range(child.max() + 1)) == set(child.tolist())
+        child = packing.crossed(*parents, rng)
+        where = child.chromosome()
+        assert sorted(s for g in child.groups for s in g) == list(range(200)) and (np.bincount(where, np.array(sizes)) <= 100).all()
+        assert child.room == [100 - int(x) for x in np.bincount(where, np.array(sizes))]
+        assert packing.Groups.of(where, sizes, 100).fitness() == child.fitness()
 
 
 def test_whole_table(spark):
