@@ -25,14 +25,16 @@ from freightlens.operators.spine import build_spine, judged_quality, quality_cou
 from freightlens.plans.scopes import SOURCES, ScopeGraph, selected
 from freightlens.plans.windows import DateWindow
 from freightlens.sources.config import load_config, truth, use_object_store
-from freightlens.sources.readers import TableCatalog, as_source, demo_tables, read_jdbc, read_parquet
-from freightlens.sources.runs import Run, extract, publish, write_results
+from freightlens.sources.extraction import extract
+from freightlens.sources.publishing import publish
+from freightlens.sources.readers import JdbcTable, TableCatalog, demo_tables, read_parquet
+from freightlens.sources.runs import Run, write_results
 
 
 def source(spark: SparkSession, config: dict) -> TableCatalog:
     if "jdbc" in config:
         options = {k: str(v) for k, v in config["jdbc"].items() if k != "url"}
-        return TableCatalog({n: (lambda n=n: as_source(read_jdbc(spark, config["jdbc"]["url"], n, **options))) for n in SOURCES})
+        return TableCatalog({n: JdbcTable(spark, config["jdbc"]["url"], n, **options) for n in SOURCES})
     return TableCatalog({n: (lambda n=n: read_parquet(spark, f"{config['parquet']}/{n.lower()}")) for n in SOURCES})
 
 
@@ -66,7 +68,7 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> No
     if a.step == "extract":
         graph = ScopeGraph(source(spark, config["source"]), window, limit=config.get("limit"), ahead=int(config.get("ahead", 30)), back=int(config.get("back", 0)), guards=truth(config.get("guards", True)))
         gone = config.get("exclude", {})
-        extract(run, graph, selected(config.get("tables")), lambda t: gone.get(t, []), reuse=Run.open(spark, config["reuse"]) if config.get("reuse") else None)
+        extract(run, graph, selected(config.get("tables")), lambda t: gone.get(t, []), reuse=Run.open(spark, config["reuse"]) if config.get("reuse") else None, workers=int(config.get("workers", 4)))
         print(run.path)
         return
     run = Run.open(spark, a.run)
@@ -90,6 +92,7 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> No
         for name, df in (("governance_results", found.results), ("governance_result_cnotes", found.links), ("governance_rule_summary", found.summary)):
             if df is not None:
                 write_results(df, f"{run.path}/{name}")
+        found.forget()
     elif a.step == "mart":
         if run.add("UNIFIED_SHIPMENTS", build_mart(tables), derived=True) != run.tables["CMS_CNOTE"]["rows"]:
             raise ValueError("the mart and the anchor differ in rows")

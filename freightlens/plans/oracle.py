@@ -145,3 +145,26 @@ k AS (SELECT * EXCLUDE (legs, p, h, r, b, i, o, m, s, v, sc), CNOTE_CRDATE AS cm
   CASE WHEN legs IS NULL THEN 'Direct' ELSE 'Transit' END AS delivery_type, sc AS shipment_scope, coalesce(legs, 0) AS transit_manifest_count, coalesce(legs, 0) + (r IS NOT NULL)::BIGINT + (i IS NOT NULL)::BIGINT + (o IS NOT NULL)::BIGINT + (s IS NOT NULL)::BIGINT AS handover_count,
   {_hours("r", "v")} AS sla_total_hours, {_hours("CNOTE_CRDATE", "r")} AS total_duration_hour_to_receival, {_hours("r", "b")} AS total_duration_hour_to_manifest, {_hours("coalesce(b, r)", "m")} AS total_duration_hour_to_handover, {_hours("coalesce(m, b, r)", "s")} AS total_duration_hour_to_runsheet, {_hours("s", "v")} AS total_duration_hour_to_delivery FROM j)
 SELECT *, CASE WHEN shipment_scope = 'Domestic' THEN delivery_type || ' Domestic' ELSE shipment_scope END AS delivery_category FROM k"""
+
+#: The links of documents to shipments, one SELECT a path.
+LINKS = """WITH l AS (
+  SELECT 'MFCNOTE' AS document_type, 'CMS_MFCNOTE' AS source_table, trim(t0.MFCNOTE_NO) AS document_id, trim(t0.MFCNOTE_NO) AS cnote_no, 'cms_mfcnote_bridge' AS link_method FROM CMS_MFCNOTE AS t0 WHERE trim(t0.MFCNOTE_NO) <> '' AND trim(t0.MFCNOTE_NO) <> ''
+  UNION SELECT 'MFBAG' AS document_type, 'CMS_MFBAG' AS source_table, trim(t0.MFCNOTE_BAG_NO) AS document_id, trim(t0.MFCNOTE_NO) AS cnote_no, 'cms_mfbag_bridge' AS link_method FROM CMS_MFCNOTE AS t0 WHERE trim(t0.MFCNOTE_BAG_NO) <> '' AND trim(t0.MFCNOTE_NO) <> ''
+  UNION SELECT 'DMBAG' AS document_type, 'CMS_DMBAG' AS source_table, trim(t0.MFCNOTE_BAG_NO) AS document_id, trim(t0.MFCNOTE_NO) AS cnote_no, 'cms_dmbag_bridge' AS link_method FROM CMS_MFCNOTE AS t0 WHERE trim(t0.MFCNOTE_BAG_NO) <> '' AND trim(t0.MFCNOTE_NO) <> ''
+  UNION SELECT 'MANIFEST' AS document_type, 'CMS_MANIFEST' AS source_table, trim(t0.MFCNOTE_MAN_NO) AS document_id, trim(t0.MFCNOTE_NO) AS cnote_no, 'cms_manifest_bridge' AS link_method FROM CMS_MFCNOTE AS t0 WHERE trim(t0.MFCNOTE_MAN_NO) <> '' AND trim(t0.MFCNOTE_NO) <> ''
+  UNION SELECT 'DMBAG' AS document_type, 'CMS_DMBAG' AS source_table, trim(t0.DMBAG_NO) AS document_id, trim(t1.MFCNOTE_NO) AS cnote_no, 'cms_dmbag_bridge' AS link_method FROM CMS_DMBAG AS t0 JOIN CMS_MFCNOTE AS t1 ON trim(t0.DMBAG_BAG_NO) = trim(t1.MFCNOTE_BAG_NO) AND trim(t1.MFCNOTE_BAG_NO) <> '' WHERE trim(t0.DMBAG_NO) <> '' AND trim(t1.MFCNOTE_NO) <> ''
+  UNION SELECT 'MMBAG' AS document_type, 'CMS_MMBAG' AS source_table, trim(t0.MMBAG_NO) AS document_id, trim(t1.MFCNOTE_NO) AS cnote_no, 'cms_mmbag_bridge' AS link_method FROM CMS_MMBAG AS t0 JOIN CMS_MFCNOTE AS t1 ON trim(t0.MMBAG_NO) = trim(t1.MFCNOTE_BAG_NO) AND trim(t1.MFCNOTE_BAG_NO) <> '' WHERE trim(t0.MMBAG_NO) <> '' AND trim(t1.MFCNOTE_NO) <> ''
+  UNION SELECT 'MMBAG' AS document_type, 'CMS_MMBAG' AS source_table, trim(t0.MMBAG_NO) AS document_id, trim(t2.MFCNOTE_NO) AS cnote_no, 'cms_mmbag_bridge' AS link_method FROM CMS_MMBAG AS t0 JOIN CMS_DMBAG AS t1 ON trim(t0.MMBAG_NO) = trim(t1.DMBAG_NO) AND trim(t1.DMBAG_NO) <> '' JOIN CMS_MFCNOTE AS t2 ON trim(t1.DMBAG_BAG_NO) = trim(t2.MFCNOTE_BAG_NO) AND trim(t2.MFCNOTE_BAG_NO) <> '' WHERE trim(t0.MMBAG_NO) <> '' AND trim(t2.MFCNOTE_NO) <> ''
+  UNION SELECT 'MRSHEET' AS document_type, 'CMS_MRSHEET' AS source_table, trim(t0.DRSHEET_NO) AS document_id, trim(t0.DRSHEET_CNOTE_NO) AS cnote_no, 'cms_mrsheet_bridge' AS link_method FROM CMS_DRSHEET AS t0 WHERE trim(t0.DRSHEET_NO) <> '' AND trim(t0.DRSHEET_CNOTE_NO) <> ''
+  UNION SELECT 'MHICNOTE' AS document_type, 'CMS_MHICNOTE' AS source_table, trim(t0.DHICNOTE_NO) AS document_id, trim(t0.DHICNOTE_CNOTE_NO) AS cnote_no, 'cms_mhicnote_bridge' AS link_method FROM CMS_DHICNOTE AS t0 WHERE trim(t0.DHICNOTE_NO) <> '' AND trim(t0.DHICNOTE_CNOTE_NO) <> ''
+  UNION SELECT 'MHI_HOC' AS document_type, 'CMS_MHI_HOC' AS source_table, trim(t0.DHI_NO) AS document_id, trim(t0.DHI_CNOTE_NO) AS cnote_no, 'cms_mhi_hoc_bridge' AS link_method FROM CMS_DHI_HOC AS t0 WHERE trim(t0.DHI_NO) <> '' AND trim(t0.DHI_CNOTE_NO) <> ''
+  UNION SELECT 'MHOCNOTE' AS document_type, 'CMS_MHOCNOTE' AS source_table, trim(t0.DHOCNOTE_NO) AS document_id, trim(t0.DHOCNOTE_CNOTE_NO) AS cnote_no, 'cms_mhocnote_bridge' AS link_method FROM CMS_DHOCNOTE AS t0 WHERE trim(t0.DHOCNOTE_NO) <> '' AND trim(t0.DHOCNOTE_CNOTE_NO) <> ''
+  UNION SELECT 'MHOUNDEL_POD' AS document_type, 'CMS_MHOUNDEL_POD' AS source_table, trim(t0.DHOUNDEL_NO) AS document_id, trim(t0.DHOUNDEL_CNOTE_NO) AS cnote_no, 'cms_mhoundel_pod_bridge' AS link_method FROM CMS_DHOUNDEL_POD AS t0 WHERE trim(t0.DHOUNDEL_NO) <> '' AND trim(t0.DHOUNDEL_CNOTE_NO) <> ''
+  UNION SELECT 'DSMU' AS document_type, 'CMS_DSMU' AS source_table, trim(t0.DSMU_NO) AS document_id, trim(t1.MFCNOTE_NO) AS cnote_no, 'cms_dsmu_bridge' AS link_method FROM CMS_DSMU AS t0 JOIN CMS_MFCNOTE AS t1 ON trim(t0.DSMU_BAG_NO) = trim(t1.MFCNOTE_BAG_NO) AND trim(t1.MFCNOTE_BAG_NO) <> '' WHERE trim(t0.DSMU_NO) <> '' AND trim(t1.MFCNOTE_NO) <> ''
+  UNION SELECT 'DSMU' AS document_type, 'CMS_DSMU' AS source_table, trim(t0.DSMU_NO) AS document_id, trim(t2.MFCNOTE_NO) AS cnote_no, 'cms_dsmu_bridge' AS link_method FROM CMS_DSMU AS t0 JOIN CMS_DMBAG AS t1 ON trim(t0.DSMU_BAG_NO) = trim(t1.DMBAG_NO) AND trim(t1.DMBAG_NO) <> '' JOIN CMS_MFCNOTE AS t2 ON trim(t1.DMBAG_BAG_NO) = trim(t2.MFCNOTE_BAG_NO) AND trim(t2.MFCNOTE_BAG_NO) <> '' WHERE trim(t0.DSMU_NO) <> '' AND trim(t2.MFCNOTE_NO) <> ''
+  UNION SELECT 'MSMU' AS document_type, 'CMS_MSMU' AS source_table, trim(t0.MSMU_NO) AS document_id, trim(t2.MFCNOTE_NO) AS cnote_no, 'cms_msmu_bridge' AS link_method FROM CMS_MSMU AS t0 JOIN CMS_DSMU AS t1 ON trim(t0.MSMU_NO) = trim(t1.DSMU_NO) AND trim(t1.DSMU_NO) <> '' JOIN CMS_MFCNOTE AS t2 ON trim(t1.DSMU_BAG_NO) = trim(t2.MFCNOTE_BAG_NO) AND trim(t2.MFCNOTE_BAG_NO) <> '' WHERE trim(t0.MSMU_NO) <> '' AND trim(t2.MFCNOTE_NO) <> ''
+  UNION SELECT 'MSMU' AS document_type, 'CMS_MSMU' AS source_table, trim(t0.MSMU_NO) AS document_id, trim(t3.MFCNOTE_NO) AS cnote_no, 'cms_msmu_bridge' AS link_method FROM CMS_MSMU AS t0 JOIN CMS_DSMU AS t1 ON trim(t0.MSMU_NO) = trim(t1.DSMU_NO) AND trim(t1.DSMU_NO) <> '' JOIN CMS_DMBAG AS t2 ON trim(t1.DSMU_BAG_NO) = trim(t2.DMBAG_NO) AND trim(t2.DMBAG_NO) <> '' JOIN CMS_MFCNOTE AS t3 ON trim(t2.DMBAG_BAG_NO) = trim(t3.MFCNOTE_BAG_NO) AND trim(t3.MFCNOTE_BAG_NO) <> '' WHERE trim(t0.MSMU_NO) <> '' AND trim(t3.MFCNOTE_NO) <> ''
+  UNION SELECT 'DSJ' AS document_type, 'CMS_DSJ' AS source_table, trim(t0.DSJ_NO) AS document_id, trim(t2.DHICNOTE_CNOTE_NO) AS cnote_no, 'cms_dsj_bridge' AS link_method FROM CMS_DSJ AS t0 JOIN CMS_RDSJ AS t1 ON trim(t0.DSJ_HVO_NO) = trim(t1.RDSJ_HVO_NO) AND trim(t1.RDSJ_HVO_NO) <> '' JOIN CMS_DHICNOTE AS t2 ON trim(t1.RDSJ_HVI_NO) = trim(t2.DHICNOTE_NO) AND trim(t2.DHICNOTE_NO) <> '' WHERE trim(t0.DSJ_NO) <> '' AND trim(t2.DHICNOTE_CNOTE_NO) <> ''
+  UNION SELECT 'RDSJ' AS document_type, 'CMS_RDSJ' AS source_table, trim(t0.RDSJ_NO) AS document_id, trim(t1.DHOCNOTE_CNOTE_NO) AS cnote_no, 'cms_rdsj_bridge' AS link_method FROM CMS_RDSJ AS t0 JOIN CMS_DHOCNOTE AS t1 ON trim(t0.RDSJ_HVO_NO) = trim(t1.DHOCNOTE_NO) AND trim(t1.DHOCNOTE_NO) <> '' WHERE trim(t0.RDSJ_NO) <> '' AND trim(t1.DHOCNOTE_CNOTE_NO) <> ''
+  UNION SELECT 'MSJ' AS document_type, 'CMS_MSJ' AS source_table, trim(t0.MSJ_NO) AS document_id, trim(t3.DHICNOTE_CNOTE_NO) AS cnote_no, 'cms_msj_bridge' AS link_method FROM CMS_MSJ AS t0 JOIN CMS_DSJ AS t1 ON trim(t0.MSJ_NO) = trim(t1.DSJ_NO) AND trim(t1.DSJ_NO) <> '' JOIN CMS_RDSJ AS t2 ON trim(t1.DSJ_HVO_NO) = trim(t2.RDSJ_HVO_NO) AND trim(t2.RDSJ_HVO_NO) <> '' JOIN CMS_DHICNOTE AS t3 ON trim(t2.RDSJ_HVI_NO) = trim(t3.DHICNOTE_NO) AND trim(t3.DHICNOTE_NO) <> '' WHERE trim(t0.MSJ_NO) <> '' AND trim(t3.DHICNOTE_CNOTE_NO) <> ''
+) SELECT l.* FROM l SEMI JOIN CMS_CNOTE AS c ON l.cnote_no = trim(c.CNOTE_NO)"""

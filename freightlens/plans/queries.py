@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from freightlens.functions.classes import branch_region, delivery_category, route_parts, service_bucket
+from freightlens.functions.classes import branch_region, delivery_category, route_parts, service_bucket, shipment_scope
 from freightlens.functions.events import first_value, last_value, latest
 from freightlens.functions.values import key, normal, number, present, rounded, strip
 from freightlens.operators import links, mart, spine
@@ -144,20 +144,7 @@ def _(t):
     return mart.zones(t).select(F.col("_user").alias("user_id"), F.col("_zone").alias("zone_code"))
 
 
-def _link_sql() -> str:
-    parts = []
-    for p in links.PATHS:
-        where, chain = [], f"{p.start} AS t0"
-        owner = {p.document: "t0"}
-        for i, (table, own, before) in enumerate(p.hops, 1):
-            chain += f" JOIN {table} AS t{i} ON trim(t{i - 1}.{before}) = trim(t{i}.{own}) AND trim(t{i}.{own}) <> ''"
-        last = f"t{len(p.hops)}.{p.shipment}"
-        where = f"trim({owner[p.document]}.{p.document}) <> '' AND trim({last}) <> ''"
-        parts.append(f"SELECT '{p.source.removeprefix('CMS_')}' AS document_type, '{p.source}' AS source_table, trim(t0.{p.document}) AS document_id, trim({last}) AS cnote_no, '{p.source.lower()}_bridge' AS link_method FROM {chain} WHERE {where}")
-    return "WITH l AS (" + " UNION ".join(parts) + ") SELECT l.* FROM l SEMI JOIN CMS_CNOTE AS c ON l.cnote_no = trim(c.CNOTE_NO)"
-
-
-LINKS = _link_sql()
+LINKS = o.LINKS
 
 
 @query("document_links", LINKS)
@@ -332,10 +319,18 @@ def _(t):
     return t("CMS_CNOTE").select("CNOTE_DATE", number(c("CNOTE_QTY")).alias("qty"), normal(c("CNOTE_QTY")).alias("code"), rounded(number(c("CNOTE_WEIGHT")), 0).alias("weight"), strip(c("CNOTE_USER")).alias("user_id"), key(c("CNOTE_DESTINATION")).alias("destination"), present(c("CNOTE_DESTINATION")).alias("given"))
 
 
-@query("delivery_categories", "SELECT a AS kind, b AS scope, CASE WHEN b = 'Domestic' THEN a || ' Domestic' ELSE b END AS category FROM (VALUES ('Transit'), ('Direct')) AS x(a), (VALUES ('Domestic'), ('Intracity'), ('Intercity'), ('Unknown')) AS y(b)", over_standins=False)
+_PLACES = f"regexp_extract(upper({o.key('CNOTE_ORIGIN')}), '^([A-Z]{{3}})', 1) AS a, regexp_extract(upper({o.key('CNOTE_DESTINATION')}), '^([A-Z]{{3}})', 1) AS b, regexp_extract(upper({o.key('CNOTE_ORIGIN')}), '^[A-Z]{{3}}([0-9])', 1) AS p, regexp_extract(upper({o.key('CNOTE_DESTINATION')}), '^[A-Z]{{3}}([0-9])', 1) AS q"
+
+
+@query("delivery_categories", f"""SELECT kind, scope, CASE WHEN scope = 'Domestic' THEN kind || ' Domestic' ELSE scope END AS category, count(*) AS n FROM (
+SELECT kind, CASE WHEN a = '' OR b = '' OR p = '' OR q = '' THEN 'Unknown' WHEN a = b AND p = q THEN 'Intracity' WHEN a = b THEN 'Intercity' ELSE 'Domestic' END AS scope FROM (
+SELECT CASE WHEN CNOTE_CANCEL = 'Y' THEN 'Transit' ELSE 'Direct' END AS kind, {_PLACES} FROM CMS_CNOTE)) GROUP BY ALL""")
 def _(t):
-    rows = t.spark.createDataFrame([(a, b) for a in ("Transit", "Direct") for b in ("Domestic", "Intracity", "Intercity", "Unknown")], "kind string, scope string")
-    return rows.withColumn("category", delivery_category(F.col("kind"), F.col("scope")))
+    """Categories of the shipments by kind and by the places' scope."""
+    kind = F.when(F.col("CNOTE_CANCEL") == "Y", "Transit").otherwise("Direct")
+    rows = t("CMS_CNOTE").select(kind.alias("kind"), shipment_scope(key(F.col("CNOTE_ORIGIN")), key(F.col("CNOTE_DESTINATION"))).alias("scope"))
+    rows = rows.withColumn("category", delivery_category(F.col("kind"), F.col("scope")))
+    return rows.groupBy("kind", "scope", "category").agg(F.count(F.lit(1)).alias("n"))
 
 
 from . import run_queries  # noqa: E402, F401  its queries need those above

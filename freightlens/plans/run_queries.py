@@ -7,16 +7,18 @@ from datetime import date
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from freightlens.operators import spine
+from freightlens.operators import links, spine
 from freightlens.operators.rules import run_rules
 from freightlens.operators.rules.families import with_route_parts
 from freightlens.sources.config import expand
-from freightlens.sources.readers import read_csv, read_jdbc, read_parquet
-from freightlens.sources.runs import Run, extract, publish, work_folder, write_results, write_table
+from freightlens.sources.extraction import extract
+from freightlens.sources.publishing import publish, published
+from freightlens.sources.readers import JdbcTable, TableCatalog, read_csv, read_jdbc, read_parquet
+from freightlens.sources.runs import Run, work_folder, write_results, write_table
 
 from . import oracle as o
 from .catalog_sql import totals_sql
-from .queries import _CHAIN, _IN, _SUMMED, _WINDOW, CATALOG, _guard, _merge, _some, query
+from .queries import _BAGS, _CHAIN, _ENRICHED, _IN, _SCOPE, _SUMMED, _WINDOW, CATALOG, _guard, _merge, _some, query
 from .scopes import ScopeGraph, selected
 from .standins import Standins
 from .windows import DateWindow
@@ -117,11 +119,60 @@ def _(t):
             publish(t.spark, frames, target, audit, name, **how)
         except ValueError:
             pass  # the third one's row count can't be right
-        out[name] = (read_parquet(t.spark, f"{target}/zones").count(), read_parquet(t.spark, f"{target}/branches").count())
+        now = published(t.spark, target)
+        out[name] = (now("zones").count(), now("branches").count())
     counts = _rows(t, [(k, *v) for k, v in out.items()], "run_id string, zones long, branches long")
     return t.spark.read.parquet(audit).join(counts, "run_id").select("run_id", "status", "tables", "total_rows", "zones", "branches")
 
 
+_SHOWN = "(SELECT count(*) AS zones FROM ORA_ZONE{z}), (SELECT count(*) AS branches, min(BRANCH_CODE) AS first FROM ORA_BRANCH{b})"
+
+
+@query("publish_all_or_nothing", "SELECT 'one' AS run_id, zones, branches, first FROM " + _SHOWN.format(z="", b="") + " UNION ALL SELECT 'two', zones, branches, first FROM " + _SHOWN.format(z="", b="") + " UNION ALL SELECT 'three', zones, branches, first FROM " + _SHOWN.format(z=" WHERE ZONE_CODE > 'Z1'", b=" WHERE BRANCH_CODE > 'BR2'"))
+def _(t):
+    """What readers see after a publication, one that fails at its second table, and one of other rows: never tables of two."""
+    target, shown = f"{work_folder(t.spark)}/mart", []
+    zones, branches = t("ORA_ZONE"), t("ORA_BRANCH")
+    less = {"zones": zones.where("ZONE_CODE > 'Z1'"), "branches": branches.where("BRANCH_CODE > 'BR2'")}
+    for name, frames, how in (("one", {"zones": zones, "branches": branches}, {}), ("two", less, {"expected": {"branches": -1}}), ("three", less, {})):
+        try:
+            publish(t.spark, frames, target, run_id=name, **how)
+        except ValueError:
+            pass  # the second one's branches can't be so many, after its zones are written
+        now = published(t.spark, target)
+        counts = now("branches").agg(F.count(F.lit(1)).alias("branches"), F.min("BRANCH_CODE").alias("first"))
+        shown.append(counts.select(F.lit(name).alias("run_id"), now("zones").agg(F.count(F.lit(1))).scalar().alias("zones"), "branches", "first"))
+    return shown[0].unionByName(shown[1]).unionByName(shown[2])
+
+
+class _Failing:
+    """Tables, one of which can't be read."""
+
+    def __init__(self, t: Standins, name: str):
+        self.t, self.name = t, name
+
+    def __call__(self, name: str) -> DataFrame:
+        if name == self.name:
+            raise OSError(f"{name} can't be reached")
+        return self.t(name)
+
+
+_WAVES = "(VALUES ('CMS_CNOTE', 0), ('ORA_ZONE', 0), ('CMS_MFCNOTE', 1), ('CMS_MFBAG', 2)) AS w(name, wave)"
+
+
+@query("extraction_waves", _CHAIN.rstrip() + f", {_COUNTS} SELECT r.run, n.name, w.wave, CASE WHEN r.run = 'first' AND n.name = 'CMS_MFCNOTE' THEN 'failed' WHEN r.run = 'first' AND n.name = 'CMS_MFBAG' THEN 'waiting' WHEN r.run = 'first' OR n.name IN ('CMS_MFCNOTE', 'CMS_MFBAG') THEN 'written' ELSE 'kept' END AS done, CASE WHEN r.run = 'second' OR w.wave = 0 THEN n.rows ELSE 0 END AS rows FROM n JOIN {_WAVES} ON n.name = w.name CROSS JOIN (VALUES ('first'), ('second')) AS r(run)")
+def _(t):
+    """Extraction by waves in threads: a table that can't be read keeps back what depends on it alone, and the next call does the rest."""
+    root, out = work_folder(t.spark), []
+    for title, tables in (("first", _Failing(t, "CMS_MFCNOTE")), ("second", t)):
+        run = Run(t.spark, root, _WINDOW, "waves", date(1995, 6, 1))
+        done = extract(run, ScopeGraph(tables, _WINDOW), selected(_NAMES), strict=False)
+        waves = {"CMS_CNOTE": 0, "ORA_ZONE": 0, "CMS_MFCNOTE": 1, "CMS_MFBAG": 2} | {n: f["wave"] for n, f in run.tables.items()}
+        stored = Run.open(t.spark, run.path)
+        out += [(title, n, waves[n], done[n], stored.tables[n]["rows"] if n in stored.tables else 0) for n in _NAMES]
+    return _rows(t, out, "run string, name string, wave int, done string, rows long")
+
+
 @query("parts_with_other_columns", "SELECT MSTATUS_NO, MSTATUS_UID, NULL::VARCHAR AS MSTATUS_ZONE_CODE FROM CMS_MSTATUS UNION SELECT MSTATUS_NO, NULL, MSTATUS_ZONE_CODE FROM CMS_MSTATUS")
 def _(t):
     """Parts of one table with different columns, some columns asked for that no part has, without repeated rows."""
@@ -148,6 +199,13 @@ def _(t):
     return run_rules(t.spark, tables, CATALOG, t.available).summary.select(*columns)
 
 
+@query("results_published", f"SELECT * EXCLUDE (link_method), 'R000000000000' AS result_id FROM ({_merge(_ENRICHED)})", over_standins=False)
+def _(t):
+    """All columns of the results as they are published; of the running number its form (result_ids counts them)."""
+    found = run_rules(t.spark, t, _BAGS, t.available, links=links.build_links(t, t.available)).results
+    return found.withColumn("result_id", F.regexp_replace("result_id", "[0-9]", "0"))
+
+
 @query("result_ids", f"SELECT CAST(sum(total_checked) AS BIGINT) AS n, CAST(sum(total_checked) AS BIGINT) AS ids, 'R000000000001' AS first, printf('R%012d', CAST(sum(total_checked) AS BIGINT)) AS last FROM ({_SUMMED})")
 def _(t):
     """Running numbers of the results, none left out."""
@@ -155,14 +213,30 @@ def _(t):
     return ids.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("result_id").alias("ids"), F.min("result_id").alias("first"), F.max("result_id").alias("last"))
 
 
+_DERBY = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+
+
+def _database(t: Standins) -> str:
+    """The address of a new database in files; it opens in one Java process, so these queries are for a local master."""
+    t.spark._jvm.System.setProperty("derby.stream.error.file", "/dev/null")  # else it leaves a log where it runs
+    return f"jdbc:derby:{work_folder(t.spark).split('://')[-1].removeprefix('file:')}/db;create=true"
+
+
 @query("jdbc_scan", "SELECT ZONE_CODE AS \"ZONE_CODE\" FROM ORA_ZONE WHERE ZONE_CODE > 'Z1'")
 def _(t):
-    """A database's table (one in memory), whose columns and rows are chosen there."""
-    t.spark._jvm.System.setProperty("derby.stream.error.file", "/dev/null")  # else it leaves a log where it runs
-    url = f"jdbc:derby:memory:{work_folder(t.spark).rsplit('-', 1)[-1]};create=true"
-    driver = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
-    t("ORA_ZONE").withColumn("OTHER", F.lit("x")).coalesce(1).write.option("createTableColumnTypes", "ZONE_CODE VARCHAR(40), OTHER VARCHAR(40)").jdbc(url, "ZONES", properties=driver)
-    return read_jdbc(t.spark, url, "ZONES", columns=["ZONE_CODE"], where="ZONE_CODE > 'Z1'", **driver)
+    """A database's table, whose columns and rows are chosen there."""
+    url = _database(t)
+    t("ORA_ZONE").withColumn("OTHER", F.lit("x")).coalesce(1).write.option("createTableColumnTypes", "ZONE_CODE VARCHAR(40), OTHER VARCHAR(40)").jdbc(url, "ZONES", properties=_DERBY)
+    return read_jdbc(t.spark, url, "ZONES", columns=["ZONE_CODE"], where="ZONE_CODE > 'Z1'", **_DERBY)
+
+
+@query("jdbc_scope", f"WITH c AS ({_SCOPE}) SELECT DHOCNOTE_NO, DHOCNOTE_CNOTE_NO, DHOCNOTE_TDATE FROM CMS_DHOCNOTE SEMI JOIN c ON DHOCNOTE_CNOTE_NO = k WHERE {_guard('DHOCNOTE_TDATE')}")
+def _(t):
+    """A restricted table of a database, to which the scope's keys and the date guard go."""
+    url = _database(t)
+    t("CMS_DHOCNOTE").coalesce(1).write.option("createTableColumnTypes", "DHOCNOTE_NO VARCHAR(40), DHOCNOTE_CNOTE_NO VARCHAR(40)").jdbc(url, "CMS_DHOCNOTE", properties=_DERBY)
+    tables = TableCatalog({"CMS_CNOTE": lambda: t("CMS_CNOTE"), "CMS_DHOCNOTE": JdbcTable(t.spark, url, "CMS_DHOCNOTE", **_DERBY)})
+    return ScopeGraph(tables, _WINDOW).restricted("CMS_DHOCNOTE")
 
 
 @query("configured_window", f"SELECT count(*) AS n FROM CMS_CNOTE WHERE {_IN.replace('o_orderdate', 'CNOTE_DATE')}")

@@ -157,6 +157,15 @@ class ScopeGraph:
             return F.lit(True)
         return self.window.guarded(F.col(column), self.back, self.ahead)
 
+    def _within(self, table: str, column: str, scope: str, guard: str) -> DataFrame:
+        """The rows of a table whose column is in a scope: chosen by the table's source, if it can, else by a semi join."""
+        keys, chosen = self.keys(scope), getattr(self.tables, "within", lambda *_: None)
+        rows = chosen(table, column, keys)
+        if rows is not None:
+            return rows.where(self._guard(rows, guard))
+        rows = self.tables(table)
+        return rows.where(self._guard(rows, guard)).join(keys, F.col(column) == F.col("k"), "left_semi")
+
     def keys(self, scope: str) -> DataFrame:
         scope = SAME.get(scope, scope)
         if scope not in self.made:
@@ -172,22 +181,17 @@ class ScopeGraph:
                 rows = rows.select("CNOTE_NO", self.anchor_date).orderBy(self.anchor_date, "CNOTE_NO").limit(self.limit)
             found = [rows.select(F.col("CNOTE_NO").alias("k"))]
         else:
-            found = []
-            for step in SCOPES[scope]:
-                rows = self.tables(step.table)
-                rows = rows.where(self._guard(rows, step.guard))
-                found.append(rows.join(self.keys(step.parent), F.col(step.column) == F.col("k"), "left_semi").select(F.col(step.key).alias("k")))
+            found = [self._within(step.table, step.column, step.parent, step.guard).select(F.col(step.key).alias("k")) for step in SCOPES[scope]]
         return reduce(DataFrame.union, found).where("k IS NOT NULL").distinct()
 
     def restricted(self, table: str, columns: list[str] | None = None, exclude: Iterable[str] = ()) -> DataFrame:
         """The rows of a table that belong to the window, some of its columns."""
-        spec, rows = SOURCES[table], self.tables(table)
+        spec = SOURCES[table]
+        rows = self.tables(table) if not spec.scope else self._within(table, spec.column, spec.scope, spec.guard)
         if spec.stage == "anchor":
             rows = rows.where(self.window.contains(F.col(self.anchor_date)))
             if self.limit is not None:
                 rows = rows.join(self.keys("CNOTE"), F.col("CNOTE_NO") == F.col("k"), "left_semi")
-        elif spec.scope:
-            rows = rows.where(self._guard(rows, spec.guard)).join(self.keys(spec.scope), F.col(spec.column) == F.col("k"), "left_semi")
         gone = {c.upper() for c in exclude}
         names = [c for c in (columns or rows.columns) if c.upper() not in gone]
         if not names:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,6 +44,38 @@ def read_jdbc(spark: SparkSession, url: str, table: str, columns: list[str] | No
     return df.select(*columns) if columns else df
 
 
+def with_keys(rows: DataFrame, column: str, keys: DataFrame, most: int = 50_000, chunk: int = 1000, ranges: int = 64) -> DataFrame:
+    """The rows of a database's table whose column is among keys (one column), chosen by the database.
+
+    Up to `most` keys go there as lists of `chunk`, each list a query (Oracle takes a thousand); they are counted before
+    they are collected. More keys go there as ranges, each with its least and greatest key, and what the ranges let
+    through is joined with the keys here. Filters and columns that are chosen later reach the database too.
+    """
+    spark, k, kind = rows.sparkSession, keys.columns[0], rows.schema[column].dataType
+    keys = keys.select(F.col(k).alias("_key")).where("_key IS NOT NULL").distinct()
+    if keys.limit(most + 1).count() <= most:
+        found = sorted(r._key for r in keys.collect())
+        lists = [found[at : at + chunk] for at in range(0, len(found), chunk)]
+        parts = [rows.where(F.col(column).isin(*(F.lit(v).cast(kind) for v in part))) for part in lists]
+        return reduce(DataFrame.union, parts) if parts else spark.createDataFrame([], rows.schema)
+    edges = keys.select(F.col("_key").cast(kind).alias("_key")).repartitionByRange(ranges, "_key").groupBy(F.spark_partition_id()).agg(F.min("_key").alias("low"), F.max("_key").alias("high"))
+    parts = [rows.where(F.col(column).between(F.lit(r.low).cast(kind), F.lit(r.high).cast(kind))) for r in edges.collect()]
+    return reduce(DataFrame.union, parts).join(keys, F.col(column).cast("string") == F.col("_key").cast("string"), "left_semi")
+
+
+class JdbcTable:
+    """A database's table for a catalog: all its rows, or those with some keys."""
+
+    def __init__(self, spark: SparkSession, url: str, table: str, **options):
+        self.read = lambda: read_jdbc(spark, url, table, preferTimestampNTZ="true", **options)
+
+    def __call__(self) -> DataFrame:
+        return as_source(self.read())
+
+    def within(self, column: str, keys: DataFrame) -> DataFrame:
+        return as_source(with_keys(self.read(), column, keys))
+
+
 def as_source(df: DataFrame) -> DataFrame:
     """Types as they are kept at rest: numbers but floating ones and binary values as text, times without zone."""
     out = []
@@ -71,6 +104,11 @@ class TableCatalog:
             self._instead[name.upper()] = instead.upper()
         return self
 
+    def within(self, name: str, column: str, keys: DataFrame) -> DataFrame | None:
+        """The rows of a table whose column is among keys, chosen by its source; None if its source can't."""
+        reader = self._readers.get(self._instead.get(name.upper(), name.upper()))
+        return reader.within(column, keys) if hasattr(reader, "within") else None
+
     def available(self, name: str) -> bool:
         return self._instead.get(name.upper(), name.upper()) in self._readers
 

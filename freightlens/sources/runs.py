@@ -10,14 +10,13 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from freightlens.plans.scopes import ScopeGraph, SourceTable
 from freightlens.plans.windows import DateWindow
 
 from .config import run_name
@@ -55,17 +54,25 @@ class Store:
         finally:
             stream.close()
 
-    def move(self, source: str, target: str) -> None:
-        """Replaces target by source."""
-        fs, a = self._at(source)
-        b = self.jvm.org.apache.hadoop.fs.Path(target)
-        if fs.exists(b):
-            fs.delete(b, True)
-        fs.mkdirs(b.getParent())
-        if not fs.rename(a, b):
-            raise OSError(f"{source} can't be moved to {target}")
+    def replace(self, path: str, text: str) -> None:
+        """Puts a small file in the place of another; readers see the old one or the new one.
+
+        By a rename that overwrites, where a store has one; in object stores a file is there once it is whole.
+        """
+        fs, p = self._at(path)
+        if p.toUri().getScheme() in ("s3", "s3a", "s3n", "gs", "abfs", "abfss", "wasb", "wasbs"):
+            self.write(path, text)
+            return
+        new = f"{path}.{uuid.uuid4().hex}"
+        self.write(new, text)
+        options = self.spark.sparkContext._gateway.new_array(self.jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        options[0] = self.jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+        context = self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self.spark._jsc.hadoopConfiguration())
+        context.rename(self.jvm.org.apache.hadoop.fs.Path(new), p, options)
 
     def delete(self, path: str) -> None:
+        if path in _WORK:
+            _WORK.remove(path)
         fs, p = self._at(path)
         fs.delete(p, True)
 
@@ -74,6 +81,10 @@ class Store:
         return fs.exists(p) and any(s.getPath().getName().startswith("part-") for s in fs.listStatus(p))
 
 
+#: Work folders of this process that are still there.
+_WORK: list[str] = []
+
+
 def work_folder(spark: SparkSession, work: str | None = None) -> str:
     """A new folder in work, or in the folder that the cluster shares (spark.checkpoint.dir)."""
     place = work or spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -81,7 +92,15 @@ def work_folder(spark: SparkSession, work: str | None = None) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         place = f"/tmp/checkpoints/{uuid.uuid4().hex}"
-    return f"{place.rstrip('/')}/work-{uuid.uuid4().hex}"
+    _WORK.append(f"{place.rstrip('/')}/work-{uuid.uuid4().hex}")
+    return _WORK[-1]
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Deletes the work folders of this process; call it when what was made of them has been read."""
+    store = Store(spark)
+    while _WORK:
+        store.delete(_WORK.pop())
 
 
 def written(df: DataFrame, work: str | None = None) -> DataFrame:
@@ -132,6 +151,7 @@ class Run:
     tables: dict[str, dict] = field(default_factory=dict)
     derived: dict[str, dict] = field(default_factory=dict)
     scopes: dict[str, int] = field(default_factory=dict)
+    failed: dict[str, str] = field(default_factory=dict)
 
     def __post_init__(self):
         self.run_id = run_name(self.run_id)
@@ -144,7 +164,7 @@ class Run:
         rows = {k: v["rows"] for k, v in self.tables.items()}
         body = {
             "run_id": self.run_id, "window": [str(self.window.start), str(self.window.end)], "extract_date": str(self.extract_date), "scopes": self.scopes,
-            "tables": self.tables, "derived": self.derived, "total_rows": sum(rows.values()), "complete": complete, "written_at": datetime.now(timezone.utc).isoformat(),
+            "tables": self.tables, "derived": self.derived, "failed": self.failed, "total_rows": sum(rows.values()), "complete": complete, "written_at": datetime.now(timezone.utc).isoformat(),
         }
         Store(self.spark).write(f"{self.path}/manifest.json", json.dumps(body, indent=1))
 
@@ -152,7 +172,7 @@ class Run:
     def open(cls, spark: SparkSession, path: str) -> Run:
         body = json.loads(Store(spark).read(f"{path}/manifest.json"))
         root = path.split("/window_start=")[0]
-        return cls(spark, root, DateWindow(*map(date.fromisoformat, body["window"])), body["run_id"], date.fromisoformat(body["extract_date"]), body["tables"], body["derived"], body["scopes"])
+        return cls(spark, root, DateWindow(*map(date.fromisoformat, body["window"])), body["run_id"], date.fromisoformat(body["extract_date"]), body["tables"], body["derived"], body["scopes"], body.get("failed", {}))
 
     def add(self, name: str, df: DataFrame, derived: bool = False, **how) -> int:
         path = f"{self.path}/{name.lower()}"
@@ -166,64 +186,6 @@ class Run:
         return TableCatalog({k: (lambda p=v["path"]: read_parquet(self.spark, p)) for k, v in found.items()}).use("CMS_CNOTE", "CMS_CNOTE_TRANSFORMED")
 
 
-def extract(run: Run, graph: ScopeGraph, specs: Iterable[SourceTable], exclude: Callable[[str], Iterable[str]] = lambda _: (), resume: bool = True, reuse: Run | None = None, count_scopes: bool = False, **how) -> dict[str, str]:
-    """Writes the restricted tables. Returns what was done with each: written, kept (finished before), reused (a reference of an earlier run).
-
-    Each scope's keys are derived once and written to the run's folder; tables and further scopes read them there.
-    """
-    done = {}
-
-    def kept(scope: str, keys: DataFrame) -> DataFrame:
-        path = f"{run.path}/_scopes/{scope.lower()}"
-        if not (resume and rows_written(run.spark, path) is not None):
-            write_table(keys, path)
-        return run.spark.read.schema(keys.schema).parquet(path)
-
-    graph.store = graph.store or kept
-    for spec in specs:
-        path = f"{run.path}/{spec.name.lower()}"
-        if resume and (n := rows_written(run.spark, path)) is not None:
-            run.tables[spec.name], done[spec.name] = {"path": path, "rows": n}, "kept"
-        elif spec.stage == "reference" and reuse and spec.name in reuse.tables and rows_written(run.spark, reuse.tables[spec.name]["path"]) is not None:
-            run.tables[spec.name], done[spec.name] = dict(reuse.tables[spec.name]), "reused"
-        else:
-            run.add(spec.name, graph.restricted(spec.name, exclude=exclude(spec.name)), **how)
-            done[spec.name] = "written"
-    if count_scopes:
-        run.scopes = {name: df.count() for name, df in graph.made.items()}
-    run.save()
-    return done
-
-
-def publish(spark: SparkSession, frames: dict[str, DataFrame], target: str, audit: str | None = None, run_id: str = "", skip: Iterable[str] = (), expected: dict[str, int] | None = None, order: dict[str, list[str]] | None = None) -> dict[str, int]:
-    """Writes all frames to a staging folder, checks row counts, then swaps table after table into target.
-
-    Tables in `skip` that target has already are left as they are. order: the physical sort key of each table. Each call leaves a row in `audit`: SUCCESS or
-    FAILED with the error. The swap is by table, not of all tables at once.
-    """
-    store, staging, counts, error = Store(spark), f"{target.rstrip('/')}/_staging-{run_name(run_id or 'run')}", {}, ""
-    started = datetime.now(timezone.utc)
-    try:
-        store.delete(staging)
-        todo = {n: df for n, df in frames.items() if not (n in set(skip) and store.exists(f"{target}/{n}"))}
-        for name, df in todo.items():
-            counts[name] = write_table(df, f"{staging}/{name}", order=(order or {}).get(name, ()))
-            if expected and name in expected and counts[name] != expected[name]:
-                raise ValueError(f"{name} has {counts[name]} rows, expected {expected[name]}")
-        for name in todo:
-            store.move(f"{staging}/{name}", f"{target}/{name}")
-    except Exception as e:
-        error = str(e).splitlines()[0] if str(e) else type(e).__name__
-        raise
-    finally:
-        store.delete(staging)
-        if audit:
-            row = [(run_id, "FAILED" if error else "SUCCESS", started.replace(tzinfo=None), datetime.now(timezone.utc).replace(tzinfo=None), len(counts), sum(counts.values()), error)]
-            schema = "run_id string, status string, started_at timestamp_ntz, ended_at timestamp_ntz, tables int, total_rows long, error string"
-            spark.createDataFrame(row, schema).coalesce(1).write.mode("append").parquet(audit)
-    return counts
-
-
 def write_results(results: DataFrame, path: str) -> None:
     """Results as Parquet and CSV, all text, null as empty; an empty result still leaves its columns."""
     text = results.select(*(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c) for c in results.columns))

@@ -1,6 +1,8 @@
 """Readers, run folders, resuming and reuse, publishing, configuration and the command line."""
 
 import datetime as dt
+import time
+from pathlib import Path
 
 import pytest
 from py4j.protocol import Py4JJavaError
@@ -10,8 +12,10 @@ from freightlens.__main__ import main
 from freightlens.plans.scopes import ScopeGraph, selected
 from freightlens.plans.windows import DateWindow
 from freightlens.sources.config import expand, object_store, run_name, truth
-from freightlens.sources.readers import TableCatalog, as_source, demo_tables, read_csv, read_jdbc, read_parquet
-from freightlens.sources.runs import Run, extract, publish, rows_written, write_results, write_table
+from freightlens.sources.extraction import ExtractionError, extract, plan_waves
+from freightlens.sources.publishing import current, publish, published
+from freightlens.sources.readers import JdbcTable, TableCatalog, as_source, demo_tables, read_csv, read_jdbc, read_parquet, with_keys
+from freightlens.sources.runs import Run, Store, clear_work, rows_written, work_folder, write_results, write_table
 from tests.test_shipments import scoped
 
 WINDOW = DateWindow(dt.date(2026, 5, 1), dt.date(2026, 6, 1))
@@ -103,14 +107,146 @@ def test_rolling_files(spark, tmp_path):
 def test_publish(spark, tmp_path):
     target, audit = str(tmp_path / "mart"), str(tmp_path / "audit")
     assert publish(spark, {"a": spark.range(3), "r": spark.range(2)}, target, audit, "run1") == {"a": 3, "r": 2}
+    opened = published(spark, target)
     assert publish(spark, {"a": spark.range(5), "r": spark.range(9)}, target, audit, "run2", skip=["r"]) == {"a": 5}
-    assert read_parquet(spark, f"{target}/a").count() == 5 and read_parquet(spark, f"{target}/r").count() == 2
+    now = published(spark, target)
+    assert now("a").count() == 5 and now("r").count() == 2 and opened("a").count() == 3
     with pytest.raises(ValueError):
-        publish(spark, {"a": spark.range(1)}, target, audit, "run3", expected={"a": 2})
-    assert read_parquet(spark, f"{target}/a").count() == 5
+        publish(spark, {"a": spark.range(1), "r": spark.range(1)}, target, audit, "run3", expected={"r": 2})
+    now = published(spark, target)
+    assert now("a").count() == 5 and now("r").count() == 2
     assert sorted(r.status for r in spark.read.parquet(audit).collect()) == ["FAILED", "SUCCESS", "SUCCESS"]
 
 
+def test_old_versions_go_once_no_table_lies_in_them(spark, tmp_path):
+    target = str(tmp_path / "mart")
+    publish(spark, {"a": spark.range(1), "kept": spark.range(7)}, target, run_id="r0")
+    for k in range(1, 5):
+        publish(spark, {"a": spark.range(k)}, target, run_id=f"r{k}")
+    stays = {p.name.split("-")[0] for p in (tmp_path / "mart/_versions").iterdir()}
+    assert stays == {"r0", "r3", "r4"} and len(current(spark, target)["versions"]) == 5
+    assert published(spark, target)("kept").count() == 7 and published(spark, target)("a").count() == 4
+
+
+def test_a_pointer_is_replaced_whole(spark, tmp_path):
+    store, path = Store(spark), f"file://{tmp_path}/p.json"
+    for text in ("one", "two, longer", "3"):
+        store.replace(path, text)
+        assert store.read(path) == text
+    assert sorted(p.name for p in tmp_path.iterdir() if not p.name.startswith(".")) == ["p.json"]
+
+
+def waiting(tables, seconds=1.5):
+    """Tables that take some time to be read, and when each was."""
+    times = {}
+
+    def read(name):
+        times.setdefault(name, time.monotonic())
+        time.sleep(seconds)
+        return tables(name)
+
+    return read, times
+
+
+def test_tables_of_a_wave_overlap(spark, tmp_path):
+    tables, times = waiting(scoped(spark))
+    run = Run(spark, str(tmp_path / "lake"), WINDOW, "waves", dt.date(2026, 6, 2))
+    extract(run, ScopeGraph(tables, WINDOW), selected(["CMS_CNOTE", "CMS_MFBAG", "ORA_ZONE"]))
+    facts = Run.open(spark, run.path).tables
+    assert {n: f["wave"] for n, f in facts.items()} == {"CMS_CNOTE": 0, "ORA_ZONE": 0, "CMS_MFBAG": 2}
+    assert facts["CMS_CNOTE"]["started"] < facts["ORA_ZONE"]["ended"] and facts["ORA_ZONE"]["started"] < facts["CMS_CNOTE"]["ended"]
+    assert facts["CMS_MFBAG"]["started"] > facts["CMS_CNOTE"]["ended"]
+
+
+def test_a_failed_table_keeps_back_what_depends_on_it(spark, tmp_path):
+    good = scoped(spark)
+
+    def broken(name):
+        if name == "CMS_MFCNOTE":
+            raise OSError("gone")
+        return good(name)
+
+    specs = selected(["CMS_CNOTE", "CMS_MFCNOTE", "CMS_MFBAG", "ORA_ZONE"])
+    run = Run(spark, str(tmp_path / "lake"), WINDOW, "broken", dt.date(2026, 6, 2))
+    with pytest.raises(ExtractionError):
+        extract(run, ScopeGraph(broken, WINDOW), specs)
+    opened = Run.open(spark, run.path)
+    assert set(opened.tables) == {"CMS_CNOTE", "ORA_ZONE"} and opened.failed["CMS_MFBAG"] == "waits for MANIFEST" and "gone" in opened.failed["CMS_MFCNOTE"]
+    assert extract(opened, ScopeGraph(good, WINDOW), specs) == {"CMS_CNOTE": "kept", "ORA_ZONE": "kept", "CMS_MFCNOTE": "written", "CMS_MFBAG": "written"}
+    assert Run.open(spark, run.path).failed == {}
+
+
+def test_waves_follow_the_scopes():
+    names = [[t.name for t in wave] for wave in plan_waves(selected(["CMS_CNOTE", "CMS_MMBAG", "CMS_MSMU", "ORA_USER"]), limited=True)]
+    assert names[0] == ["CNOTE", "ORA_USER"] and "CMS_CNOTE" in names[1] and names[-1] == ["CMS_MSMU"]
+    at = {n: k for k, wave in enumerate(names) for n in wave}
+    assert at["MANIFEST"] < at["MFBAG"] < at["DMBAG"] < at["CMS_MMBAG"] == at["SMU"] < at["CMS_MSMU"]
+
+
+DERBY = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+
+
+def database(spark, tmp_path, n):
+    spark._jvm.System.setProperty("derby.stream.error.file", "/dev/null")
+    url = f"jdbc:derby:{tmp_path}/db;create=true"
+    rows = spark.range(n).selectExpr("concat('K', lpad(id, 5, '0')) AS K", "CAST(id AS INT) AS N", "id % 7 AS V").coalesce(1)
+    rows.write.option("createTableColumnTypes", "K VARCHAR(20)").jdbc(url, "T", properties=DERBY)
+    return url
+
+
+def scanned(df):
+    """A frame's rows, the rows that its database scans gave, and its plan."""
+    df.sparkSession.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = df.collect()
+        plan = df._jdf.queryExecution().executedPlan()
+        leaves = plan.collectLeaves()
+        read = sum(leaves.apply(k).metrics().apply("numOutputRows").value() for k in range(leaves.size()) if "JDBC" in leaves.apply(k).nodeName())
+        return rows, read, df._jdf.queryExecution().toString()
+    finally:
+        df.sparkSession.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_keys_go_to_the_database(spark, tmp_path):
+    table = JdbcTable(spark, database(spark, tmp_path, 2000), "T", **DERBY)
+    keys = spark.createDataFrame([(f"K{k:05d}",) for k in range(0, 2000, 400)] + [("K9", ), (None,), ("it's",)], "k string")
+    rows, read, plan = scanned(table.within("K", keys).where("V < 4").select("K", "V"))
+    assert sorted(r.K for r in rows) == [f"K{k:05d}" for k in range(0, 2000, 400) if k % 7 < 4]
+    assert read <= 5 and "In(K" in plan.replace(" ", "").replace("*", "") and "K00400" in plan
+    numbers, read, _ = scanned(table.within("N", spark.createDataFrame([("7",), ("9",)], "k string")))
+    assert sorted(r.N for r in numbers) == ["7", "9"] and read == 2
+    assert table.within("K", keys.where("k = 'none'")).collect() == []
+
+
+def test_many_keys_go_to_the_database_as_ranges(spark, tmp_path):
+    raw = JdbcTable(spark, database(spark, tmp_path, 2000), "T", **DERBY).read()
+    keys = spark.createDataFrame([(f"K{k:05d}",) for k in [*range(100, 150, 2), *range(1700, 1750, 2)]], "k string")
+    rows, read, plan = scanned(with_keys(raw, "K", keys, most=10, ranges=8))
+    assert sorted(r.K for r in rows) == sorted(r.k for r in keys.collect())
+    assert 50 <= read < 600 and "GreaterThanOrEqual(K" in plan.replace("*", "")
+    some = with_keys(raw, "K", keys, most=1000, chunk=7)
+    assert sorted(r.K for r in some.collect()) == sorted(r.k for r in keys.collect())
+
+
+def test_scopes_push_their_keys(spark, tmp_path):
+    spark._jvm.System.setProperty("derby.stream.error.file", "/dev/null")
+    url = f"jdbc:derby:{tmp_path}/db;create=true"
+    own = scoped(spark)
+    own("CMS_MFCNOTE").coalesce(1).write.option("createTableColumnTypes", "MFCNOTE_NO VARCHAR(20)").jdbc(url, "CMS_MFCNOTE", properties=DERBY)
+    tables = TableCatalog({"CMS_CNOTE": lambda: own("CMS_CNOTE"), "CMS_MFCNOTE": JdbcTable(spark, url, "CMS_MFCNOTE", **DERBY)})
+    pushed, plain = (ScopeGraph(t, WINDOW).restricted("CMS_MFCNOTE") for t in (tables, own))
+    rows, _, plan = scanned(pushed)
+    assert sorted(map(str, rows)) == sorted(map(str, plain.select(*pushed.columns).collect())) and rows
+    assert "JDBCRelation" in plan and "In(MFCNOTE_NO" in plan.replace("*", "")
+
+
+def test_work_folders_are_deleted(spark, tmp_path):
+    place = work_folder(spark, str(tmp_path))
+    spark.range(1).write.parquet(place)
+    clear_work(spark)
+    assert not Path(place).exists()
+
+
 def test_results_keep_their_columns(spark, tmp_path):
     write_results(spark.createDataFrame([], "a string, b int"), str(tmp_path / "r"))
     assert spark.read.parquet(str(tmp_path / "r.parquet")).columns == ["a", "b"]
