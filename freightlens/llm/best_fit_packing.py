@@ -77,33 +77,30 @@ class Encoder:
         self.known: dict[str, int] = {}
         self.flat, self.start, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def _encode(self, keys: list[str]) -> list[np.ndarray]:
-        """The ids of some words: plain ones are encoded together and told apart by the bytes of their tokens, others one by one."""
-        plain = [k for k in keys if k and not k[0].isspace() and not k[-1].isspace()] if self.bytes is not None else []
-        found = self._together(plain)
-        if found is None:
-            plain, found = [], []
-        if len(plain) == len(keys):
-            return found
-        by_key = dict(zip(plain, found, strict=True))
-        rest = [k for k in keys if k not in by_key]
+    def _encode(self, keys: list[str]) -> None:
+        """Learns some words: plain ones are encoded together and told apart by the bytes of their tokens, others one by one."""
+        odd = {k for k in keys if not k or k[0].isspace() or k[-1].isspace()} if self.bytes is not None else set(keys)
+        plain = [k for k in keys if k not in odd] if odd else keys
+        if plain and not self._together(plain):
+            odd = set(keys)
+        rest = list(odd)
         words = [k[1:] if k[:1] == " " else " " + k for k in rest]
-        by_key.update(zip(rest, (np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)), strict=True))
-        return [by_key[k] for k in keys]
+        found = [x.ids for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        self._add(rest, np.fromiter((i for x in found for i in x), np.uint32), np.fromiter(map(len, found), np.int64, len(found)))
 
-    def _together(self, keys: list[str], most: int = 64) -> list[np.ndarray] | None:
-        """The ids of words that begin and end without white space, some in one text; None if that can't be."""
+    def _together(self, keys: list[str], most: int = 64) -> bool:
+        """Learns words that begin and end without white space, some in one text; tells if that could be."""
         texts = [" " + " ".join(keys[a : a + most]) for a in range(0, len(keys), most)]
         if any(s in t for s in self.special for t in texts):
-            return None
-        ids = [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        ids = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
+            return False
+        ids = np.concatenate([np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
         upto = np.cumsum(self.bytes[ids])
         ends = np.cumsum(pc.binary_length(pa.array(keys, pa.string())).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
         at = np.searchsorted(upto, ends)
-        if len(keys) and (at[-1] + 1 != len(ids) or not np.array_equal(upto[at], ends)):
-            return None
-        return np.split(ids, at[:-1] + 1) if len(keys) else []
+        if at[-1] + 1 != len(ids) or not np.array_equal(upto[at], ends):
+            return False
+        self._add(keys, ids, np.diff(at, prepend=-1))
+        return True
 
     def _add(self, keys: list[str], flat: np.ndarray, size: np.ndarray) -> None:
         self.known.update(zip(keys, range(len(self.known), len(self.known) + len(keys)), strict=True))
@@ -118,8 +115,7 @@ class Encoder:
         marked = [k for k in new if k[-1:] in self.marks and k[-2:-1].isalpha()]
         plain = list(new.difference(marked).union(k[:-1] for k in marked).difference(self.known))
         if plain:
-            found = self._encode(plain)
-            self._add(plain, np.concatenate(found), np.fromiter(map(len, found), np.int64, len(found)))
+            self._encode(plain)
         if marked:
             at = np.fromiter((self.known[k[:-1]] for k in marked), np.int64, len(marked))
             size = self.size[at] + 1
@@ -146,7 +142,7 @@ class Encoder:
     def _of(self, lists: pa.ListArray) -> list[np.ndarray]:
         """The ids of lists of words."""
         first, coded = lists.offsets.to_numpy(), lists.values.dictionary_encode()
-        words, firsts = coded.dictionary.to_pylist(), [" " + x for x in lists.values.take(lists.offsets[:-1]).to_pylist()]
+        words, firsts = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), [" " + x for x in lists.values.take(lists.offsets[:-1]).to_pylist()]
         self._learn([*words, *firsts])
         at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))[coded.indices.to_numpy()]
         at[first[:-1]] = [self.known[x] for x in firsts]
