@@ -3,24 +3,24 @@
 Every text is cut in overlapping chunks of bytes, the last one padded with zeros, so the chunks cover the whole text,
 however long. Each byte has a learned embedding, each filter is a learned weight vector over a chunk, its rectified
 responses are max-pooled over the text, and a logistic layer combines the pooled responses into one probability.
-Beside its maximum each filter's mean response enters too, so that a habit of the whole text counts as well as a spot.
 
 Training (Adam on the log loss, numpy alone, seeded) sees a bounded sample of the labelled rows: at most `sample` of each
 class, those with the smallest hash of their ids, whole texts of at most `most_bytes` each and `sample_bytes` together,
 on the driver. With the default of 1500 a class, texts of 3.4 kB make 10 MB. A bound for each class changes the share of
-good texts in the sample; the last layer's shift is set right by the classes' numbers among all labels, so a score means
-the same whatever the size. Batches go through in pieces of bounded size, so memory grows with a batch's bytes only. The
+good texts in the sample; the last layer's shift is set right by the classes' numbers among all labelled documents, so a
+score means the same whatever the size. Batches go through in pieces of bounded size, so memory grows with a batch's bytes only. The
 model's few thousand weights travel to the scoring tasks in the closure.
 
 Null and empty texts are scored like any other text (one chunk of zeros); so are texts of any length, in pieces. Rows
-repeated in the labels count once, with the smallest label; labels without a document are ignored. Without labels of both
+repeated in the labels count once, with the smallest label; labels without a document are ignored. Of equal responses
+(ties) the first chunk's counts in training; of equal hashes the smaller id is sampled. Without labels of both
 classes every score is the share of ones (or 0.5). Repeated documents are scored alike, a null id counts as the empty
 text in the choice of the fold. An empty table has no scores. Extra columns pass through `scored`.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import fold_of, in_batches, stretches, texts_of, tidy
+from .common import fold_of, stretches, texts_of, tidy
 
 CHUNK, STRIDE, WIDTH, FILTERS = 16, 8, 4, 24
 #: From this score on a text counts as good.
@@ -53,7 +53,7 @@ class Network:
     embedding: np.ndarray  # 256 x WIDTH
     filters: np.ndarray  # CHUNK * WIDTH x FILTERS
     bias: np.ndarray
-    top: np.ndarray  # 2 * FILTERS
+    top: np.ndarray  # FILTERS
     shift: float
 
     def responses(self, data: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -69,9 +69,12 @@ class Network:
             yield slice(at, upto), slice(a, b), np.maximum(first[a:b] - at, 0), self.responses(data, start[at:upto])
 
     def pooled(self, texts: list[bytes]) -> np.ndarray:
-        """Each text's largest and mean responses; chunks go through in pieces of bounded size."""
+        """Each text's largest responses; chunks go through in pieces of bounded size."""
         data, start, first = chunks_of(texts)
-        return pool(self.pieces(data, start, first), np.diff(np.append(first, len(start))))
+        out = np.zeros((len(first), FILTERS), np.float32)
+        for _, of, local, r in self.pieces(data, start, first):
+            np.maximum(out[of], np.maximum.reduceat(r, local), out=out[of])
+        return out
 
     def for_share(self, seen: np.ndarray, all_of: dict[int, int]) -> Network:
         """The network for the classes' true numbers, if it learned from both classes in another proportion."""
@@ -86,54 +89,45 @@ class Network:
         return 1 / (1 + np.exp(-np.clip(self.pooled(texts) @ self.top + self.shift, -40, 40).astype(float)))
 
 
-def pool(pieces: Iterable[tuple[slice, slice, np.ndarray, np.ndarray]], n: np.ndarray) -> np.ndarray:
-    """The largest and mean responses of texts of n chunks."""
-    out = np.zeros((len(n), 2 * FILTERS), np.float32)
-    for _, of, local, r in pieces:
-        np.maximum(out[of, :FILTERS], np.maximum.reduceat(r, local), out=out[of, :FILTERS])
-        out[of, FILTERS:] += np.add.reduceat(r, local)
-    out[:, FILTERS:] /= n[:, None]
-    return out
+def winners(net: Network, data: np.ndarray, start: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each text's largest responses, and the first chunk that attains each."""
+    z, at = np.full((len(first), FILTERS), -1, np.float32), np.zeros((len(first), FILTERS), np.int64)
+    for chunks, of, local, r in net.pieces(data, start, first):
+        best = np.maximum.reduceat(r, local)
+        own = np.repeat(np.arange(len(local)), np.diff(np.append(local, len(r))))
+        place = np.where(r == best[own], np.arange(chunks.start, chunks.stop)[:, None], len(start))
+        place = np.minimum.reduceat(place, local)
+        better = best > z[of]
+        at[of] = np.where(better, place, at[of])
+        z[of] = np.where(better, best, z[of])
+    return z, at
 
 
 def gradients(net: Network, texts: list[bytes], y: np.ndarray) -> dict[str, np.ndarray | float]:
-    """Of the mean log loss. Responses are made once for a batch of one piece; else again for each pass over the pieces."""
+    """Of the mean log loss. A maximum's gradient goes to the chunk that attains it, so only those chunks are seen again."""
     data, start, first = chunks_of(texts)
-    n = np.diff(np.append(first, len(start)))
-    made = list(net.pieces(data, start, first)) if len(start) <= _PIECE // (CHUNK * WIDTH) else None
-    z = pool(made or net.pieces(data, start, first), n)
+    z, at = winners(net, data, start, first)
     e = (1 / (1 + np.exp(-np.clip(z @ net.top + net.shift, -30, 30))) - y) / len(y)
-    dz = e[:, None] * net.top
-    # A maximum's gradient goes to the chunks that attain it, shared.
-    shared = np.zeros((len(texts), FILTERS), np.float32)
-    for at, of, local, r in made or net.pieces(data, start, first):
-        own = np.repeat(np.arange(of.start, of.stop), np.diff(np.append(local, at.stop - at.start)))
-        shared[of] += np.add.reduceat((r == z[own, :FILTERS]) & (r > 0), local, dtype=np.float32)
-    grads = {"embedding": np.zeros((256, WIDTH)), "filters": np.zeros_like(net.filters), "bias": np.zeros_like(net.bias), "top": z.T @ e, "shift": float(e.sum())}
-    for at, of, local, r in made or net.pieces(data, start, first):
-        own = np.repeat(np.arange(of.start, of.stop), np.diff(np.append(local, at.stop - at.start)))
-        dr = np.where(r > 0, (dz[:, FILTERS:] / n[:, None])[own], 0)
-        dr += np.where((r == z[own, :FILTERS]) & (r > 0), (dz[:, :FILTERS] / np.maximum(shared, 1))[own], 0)
-        dr = dr.astype(np.float32)
-        codes = data[start[at][:, None] + np.arange(CHUNK)]
-        x = net.embedding[codes].reshape(len(codes), -1)
-        dx, flat = (dr @ net.filters.T).reshape(-1, WIDTH), codes.reshape(-1)
-        grads["embedding"] += np.stack([np.bincount(flat, dx[:, k], 256) for k in range(WIDTH)], 1)
-        grads["filters"] += x.T @ dr
-        grads["bias"] += dr.sum(0)
-    grads["embedding"] = grads["embedding"].astype(np.float32)
-    return grads
+    dz = np.where(z > 0, e[:, None] * net.top, 0).astype(np.float32)
+    seen, own = np.unique(at, return_inverse=True)
+    dr = np.zeros((len(seen), FILTERS), np.float32)
+    np.add.at(dr, (own.reshape(at.shape), np.arange(FILTERS)[None, :]), dz)
+    codes = data[start[seen][:, None] + np.arange(CHUNK)]
+    x = net.embedding[codes].reshape(len(codes), -1)
+    dx, flat = (dr @ net.filters.T).reshape(-1, WIDTH), codes.reshape(-1)
+    embedding = np.stack([np.bincount(flat, dx[:, k], 256) for k in range(WIDTH)], 1).astype(np.float32)
+    return {"embedding": embedding, "filters": x.T @ dr, "bias": dr.sum(0), "top": z.T @ e, "shift": float(e.sum())}
 
 
 def train(texts: list[bytes], labels: np.ndarray, seed: int = 7, epochs: int = 12, steps: int = 240, batch_bytes: int = 1 << 18, rate: float = 0.01, decay: float = 1e-4) -> Network:
     """Fits a network; each class weighs as in the sample given. A small sample is gone through more often, up to `steps` steps."""
     rng = np.random.default_rng(seed)
     share = float(np.mean(labels)) if len(labels) else 0.5
-    net = Network(rng.normal(0, 0.5, (256, WIDTH)).astype(np.float32), (rng.normal(0, 1, (CHUNK * WIDTH, FILTERS)) / np.sqrt(CHUNK * WIDTH) * 2).astype(np.float32), np.zeros(FILTERS, np.float32), np.zeros(2 * FILTERS, np.float32), 0.0)
+    net = Network(rng.normal(0, 0.5, (256, WIDTH)).astype(np.float32), (rng.normal(0, 1, (CHUNK * WIDTH, FILTERS)) / np.sqrt(CHUNK * WIDTH) * 2).astype(np.float32), np.zeros(FILTERS, np.float32), np.zeros(FILTERS, np.float32), 0.0)
     if not len(labels) or share in (0, 1):
         net.shift = float(np.log(max(share, 0.01) / max(1 - share, 0.01)))
         return net
-    net.top = rng.normal(0, 0.1, 2 * FILTERS).astype(np.float32)
+    net.top = rng.normal(0, 0.1, FILTERS).astype(np.float32)
     names = ["embedding", "filters", "bias", "top", "shift"]
     m, v, t = {k: 0.0 for k in names}, {k: 0.0 for k in names}, 0
     for _ in range(max(epochs, -(-steps * batch_bytes // max(batch_bytes, sum(map(len, texts)))))):
@@ -179,6 +173,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 1500, **columns) -> Ne
     seen = rows.column("label").to_numpy()
     net = train(texts_of(rows.column("text")), seen)
     every = labelled(labels, **{k: v for k, v in columns.items() if k in ("id_col", "label_col")})
+    id_col = columns.get("id_col", "doc_id")
+    every = every.join(docs.select(id_col), id_col, "left_semi")  # labels of other documents don't count
     all_of = {r.label: r.n for r in every.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row a class
     return net.for_share(seen, all_of)
 
@@ -193,7 +189,7 @@ def scored(docs: DataFrame, net: Network, text_col: str = "text", name: str = "s
             got = [net.score(texts_of(texts.slice(a, b - a))) for a, b in stretches(texts, 2 << 20)]
             yield batch.append_column(name, pa.array(np.concatenate(got) if got else np.zeros(0)))
 
-    return in_batches(docs).mapInArrow(tidy(run), StructType([*docs.schema.fields, StructField(name, DoubleType())]))
+    return docs.mapInArrow(tidy(run), StructType([*docs.schema.fields, StructField(name, DoubleType())]))
 
 
 def op2_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
