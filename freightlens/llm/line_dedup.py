@@ -1,7 +1,7 @@
 """Line dedup with levelled sorted runs of line hashes; DataFrame functions only.
 
 Documents arrive in batches. Of each batch the long lines' keys are hashed (128 bits) and added up to one row a key: the
-number of documents and the largest id. The batch is then merge-anti-joined against each run so far: keys found in none
+number of documents, that of lines and the largest id. The batch is then merge-anti-joined against each run so far: keys found in none
 are fresh and their holder in this batch becomes the keeper; keys seen before only add to the count. Both go into a new
 run of level 0, bucketed and sorted by hash, so that later joins move the new batch and not the runs. When a level has
 `fanout` runs they are compacted to one of the next level.
@@ -15,7 +15,7 @@ come together as one list, and what stays is put together by place, in time that
 
 Null and empty texts are one empty line. A document is an id: repeated rows count once, and rows that share an id share
 its verdict; rows without an id are one document, with the smallest id. If no holder has an id, all keep the line. Of
-lines that repeat in one document all go or all stay. A text of any length is one row of lines. An empty table has no
+lines that repeat in one document all go or all stay; of equal lines (ties) only their documents' ids decide. A text of any length is one row of lines. An empty table has no
 rows. Ids may be of any type that has an order; they are cut in batches if they are numbers. Extra columns pass through.
 """
 
@@ -32,6 +32,8 @@ from .common import LOWER, SPACE_CHARS, UPPER, ceil_div, named_table, placed, te
 KEY = ["h1", "h2"]
 #: Keys with this part of all lines are joined by broadcast.
 HOT_PART = 1000
+#: Spark takes 100,000 buckets at most; in a corpus that would need more, buckets are larger, and their sorts spill.
+MOST_BUCKETS = 1 << 16
 
 
 def key_of(line: Column) -> Column:
@@ -79,7 +81,8 @@ class LineRuns:
         long = every.withColumn("k", key_of(F.col("line"))).where(F.char_length("k") >= self.min_length)
         lines = written(long.select("id", "th", "pos", F.xxhash64("k").alias("h1"), F.xxhash64(F.lit(7), F.col("k")).alias("h2")))
         self.lines.append(lines)
-        own = lines.select("id", *KEY).distinct().groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("keeper"))
+        by_document = lines.groupBy("id", *KEY).agg(F.count(F.lit(1)).alias("lines"))
+        own = by_document.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"), F.sum("lines").alias("lines"), F.max("id").alias("keeper"))
         if self.runs():
             own = written(own, few=True)
             fresh = reduce(lambda left, run: left.join(run.hint("merge"), KEY, "left_anti"), self.runs(bucketed=True), own)
@@ -89,7 +92,7 @@ class LineRuns:
         self._compact()
 
     def _totals(self, runs: list[DataFrame]) -> DataFrame:
-        return reduce(DataFrame.unionByName, runs).groupBy(*KEY).agg(F.sum("n").alias("n"), F.max("keeper").alias("keeper"))
+        return reduce(DataFrame.unionByName, runs).groupBy(*KEY).agg(F.sum("n").alias("n"), F.sum("lines").alias("lines"), F.max("keeper").alias("keeper"))
 
     def _compact(self) -> None:
         for level in range(len(self.levels)):
@@ -99,12 +102,12 @@ class LineRuns:
 
     def doomed(self) -> DataFrame:
         """(id, th, gone array of int): for each id and text, the places of the lines that go."""
-        frequent = self._totals(self.runs()).where(F.col("n") >= self.min_documents).select(*KEY, "n", "keeper")
+        frequent = self._totals(self.runs()).where(F.col("n") >= self.min_documents).select(*KEY, "lines", "keeper")
         frequent = written(frequent, few=True)
         lines = reduce(DataFrame.unionByName, self.lines)
-        hot = F.col("n") * HOT_PART >= lines.count()
-        # Keys have n lines or more, so at most HOT_PART of them are hot.
-        common, others = F.broadcast(frequent.where(hot).drop("n")), frequent.where(~hot).drop("n")
+        hot = F.col("lines") * HOT_PART >= lines.count()
+        # The keys' lines add up to all lines, so at most HOT_PART of them are hot.
+        common, others = F.broadcast(frequent.where(hot).drop("lines")), frequent.where(~hot).drop("lines")
         lost = lines.join(common, KEY).unionByName(lines.join(common, KEY, "left_anti").join(others, KEY))
         return lost.where(~F.col("id").eqNullSafe(F.col("keeper"))).groupBy("id", "th").agg(F.collect_set("pos").alias("gone"))
 
@@ -140,7 +143,7 @@ def falling_batches(docs: DataFrame, n: int, id_col: str = "doc_id") -> list[Dat
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batches: int = 3, **how) -> DataFrame:
     total = text_bytes(docs, text_col)
-    runs = LineRuns(docs.sparkSession, **({"buckets": max(16, ceil_div(total, 64 << 20))} | how))
+    runs = LineRuns(docs.sparkSession, **({"buckets": min(max(16, ceil_div(total, 64 << 20)), MOST_BUCKETS)} | how))
     for batch in falling_batches(docs, batches, id_col):
         runs.add(batch, id_col, text_col)
     return runs.cut(docs, id_col, text_col)
