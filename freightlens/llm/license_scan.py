@@ -9,7 +9,8 @@ The whole text is scanned, and every copy of a notice is reported. Repeated copi
 made between copies' borders: a stretch of the text, of any length, is looked at if it holds `least` of the template's
 tokens in their order, which is told exactly by a bit-parallel longest common subsequence (an upper bound of what an
 alignment can match). The shortest such stretch that ends first is aligned by itself and with all that lies between the
-copy before and the next such stretch, and the better alignment counts. If no stretch gives a copy, the text is aligned
+copy before and the next such stretch, up to some lengths of the stretch or the template on either side (so that time
+grows with the text), and the better alignment counts. If no stretch gives a copy, the text is aligned
 as a whole. So comments between the words of a notice, or any number of notices one after another, cost no coverage.
 
 The templates are a parameter (a few notices, carried in the closure). Null and empty texts match nothing; a text of any
@@ -27,7 +28,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import in_batches, stretches, texts_of, tidy
+from .common import stretches, texts_of, tidy
 
 #: Short notices as they are commonly printed.
 TEMPLATES = {
@@ -40,6 +41,8 @@ TEMPLATES = {
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "BSD-clauses": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
 }
+#: How far beyond a stretch an alignment looks, in lengths of the stretch or the template.
+REACH = 4
 TOKEN = re.compile(rb"[a-z0-9]+")
 _GAP = re.compile(rb"[^A-Za-z0-9]")
 
@@ -145,7 +148,8 @@ class Template:
         while found:
             start, end = found
             after = self.stretch(tokens, end + 1)
-            spans = ((start, end + 1), (done, after[0] if after else len(tokens)))
+            reach = REACH * max(len(self.tokens), end + 1 - start)
+            spans = ((start, end + 1), (max(done, start - reach), min(after[0] if after else len(tokens), end + 1 + reach)))
             match, low = max(((patience(tokens[a:b], self.tokens), a) for a, b in spans), key=lambda x: len(x[0]))
             if len(match) >= self.enough:
                 out.append((len(match) / len(self.tokens), low + match[0][0], low + match[-1][0]))
@@ -193,7 +197,7 @@ def scanned(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least: float
             spans = pa.array([[dict(zip(keys, x, strict=True)) for x in r] for r in rows], _SPANS)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len({x[0] for x in r}) for r in rows], pa.int32()), pa.array([b[0] for b in best], pa.string()), pa.array([b[1] for b in best], pa.float64()), spans], [id_col, "n_licenses", "license", "coverage", "spans"])
 
-    return in_batches(docs.select(id_col, text_col)).mapInArrow(tidy(run), f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, n_licenses int, license string, coverage double, spans {SPANS}")
+    return docs.select(id_col, text_col).mapInArrow(tidy(run), f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, n_licenses int, license string, coverage double, spans {SPANS}")
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
