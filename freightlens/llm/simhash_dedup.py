@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from .common import in_batches, mix, pieces_of, power_of_two, stretches, texts_of, tidy, written
+from .common import mix, pieces_of, power_of_two, stretches, texts_of, tidy, written
 
 SHINGLE, RADIUS, TILE = 3, 2, 8192
 #: Rows of a group of cells, and shingle hashes of a tile whose texts are compared.
@@ -157,7 +157,7 @@ def fingerprints(docs: DataFrame, like: Likeness = EXACT_BITS, id_col: str = "do
                     node, cells = bits[:, 0], np.zeros((len(texts), 0), np.uint64)
                 yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(a, b - a) for k in (0, 1)), signed(node), lists(bits), pa.array(size, pa.int64()), lists(cells)], [id_col, *(f.name for f in _PRINT.fields)])
 
-    return in_batches(own).mapInArrow(tidy(run), StructType([docs.schema[id_col], *_PRINT.fields]))
+    return own.mapInArrow(tidy(run), StructType([docs.schema[id_col], *_PRINT.fields]))
 
 
 def _near(a: np.ndarray, b: np.ndarray | None, radius: int, sizes: np.ndarray | None = None, ratio: float = 0.0, block: int = 1024) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -257,14 +257,15 @@ def _edges(pairs: list[tuple[np.ndarray, np.ndarray]]) -> pa.Table:
 
 def links(nodes: DataFrame, like: Likeness = EXACT_BITS, tile: int = TILE) -> DataFrame:
     """(a, b long): a spanning forest, or more, of the nodes (node, bits, size, cells) within the radius, each cell for itself."""
-    n = nodes.count()
     members = _members(nodes.select("node", "cells") if like.least else nodes.select("node", "bits", "cells"), like)
     # Cells without a member at home or with one member have no pairs; only of large cells tiles are cut.
     sizes = members.groupBy(*CELL).agg(F.count(F.lit(1)).alias("n"), F.min("guest").alias("guests_only")).where("n > 1 AND NOT guests_only")
-    rows = _tiled(members, sizes.select(*CELL, F.ceil(F.col("n") / tile).cast("int").alias("tiles")), CELL)
+    sizes = written(sizes.select(*CELL, "n", F.ceil(F.col("n") / tile).cast("int").alias("tiles")), few=True)
+    tiled = sizes.agg(F.sum(F.col("n") * F.col("tiles")).alias("n")).first().n or 0  # each member goes to as many pairs of tiles as there are tiles
+    rows = _tiled(members, sizes.drop("n"), CELL)
     if like.least:
         rows = rows.join(nodes.select("node", "bits", "size"), "node")
-    rows = _dealt(rows, CELL, power_of_two(max(1 << 10, n * (like.bands if like.least else 2 * like.radius + 2) / GROUP_ROWS)))
+    rows = _dealt(rows, CELL, power_of_two(max(1 << 10, tiled / GROUP_ROWS)))
 
     def run(table: pa.Table) -> pa.Table:
         every, node = _words(table), table.column("node").to_numpy()
@@ -407,7 +408,7 @@ def shingle_sets(rows: DataFrame, like: Likeness) -> DataFrame:
                 yield some.drop_columns(["text"]).append_column("hashes", sets)
 
     kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "text")
-    return in_batches(rows).mapInArrow(tidy(run), f"{kept}, hashes binary")
+    return rows.mapInArrow(tidy(run), f"{kept}, hashes binary")
 
 
 def similar(docs: DataFrame, nodes: DataFrame, text_col: str, like: Likeness, tile: int = TILE, tile_hashes: int = TILE_HASHES) -> DataFrame:
