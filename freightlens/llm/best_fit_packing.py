@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import in_batches, stretches, tidy, written
+from .common import stretches, tidy, written
 
 CAPACITY, END_ID = 1024, 2
 #: An instance has so many slots, up to twice as many in the last level, and what was held back.
@@ -205,7 +205,7 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     schema = f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long, part long, nth long" + ", ids array<long>" * keep_ids
-    return in_batches(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))).mapInArrow(tidy(run), schema)
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(tidy(run), schema)
 
 
 class Groups:

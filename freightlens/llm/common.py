@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import math
 import re
+import threading
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -48,26 +49,32 @@ def shared_dir(spark: SparkSession) -> str:
     return place.rstrip("/")
 
 
-#: What this process has put in shared storage, by scope, the innermost last: paths, and tables' names.
-_SCOPES: list[list[str]] = [[]]
+class _Scopes(threading.local):
+    """What a thread has put in shared storage, by scope, the innermost last: paths, and tables' names."""
+
+    def __init__(self):
+        self.all: list[list[str]] = [[]]
+
+
+_SCOPES = _Scopes()
 _TABLE = "table:"
 
 
 def placed(spark: SparkSession, kind: str = "table") -> str:
     """A new path in the shared folder."""
-    _SCOPES[-1].append(f"{shared_dir(spark)}/fl-{kind}-{uuid.uuid4().hex}")
-    return _SCOPES[-1][-1]
+    _SCOPES.all[-1].append(f"{shared_dir(spark)}/fl-{kind}-{uuid.uuid4().hex}")
+    return _SCOPES.all[-1][-1]
 
 
 def named_table() -> str:
     """A new name for a table of the catalog."""
-    _SCOPES[-1].append(f"{_TABLE}fl_run_{uuid.uuid4().hex}")
-    return _SCOPES[-1][-1].removeprefix(_TABLE)
+    _SCOPES.all[-1].append(f"{_TABLE}fl_run_{uuid.uuid4().hex}")
+    return _SCOPES.all[-1][-1].removeprefix(_TABLE)
 
 
 def discard(spark: SparkSession, name: str) -> None:
     """Deletes a path or table that was placed in the present scope."""
-    _SCOPES[-1].remove(name)
+    _SCOPES.all[-1].remove(name)
     if name.startswith(_TABLE):
         spark.sql(f"DROP TABLE IF EXISTS {name.removeprefix(_TABLE)}")
     else:
@@ -76,20 +83,20 @@ def discard(spark: SparkSession, name: str) -> None:
 
 
 def clear_shared(spark: SparkSession) -> None:
-    """Deletes what operators of this scope have put in shared storage; call it when their results have been read."""
-    while _SCOPES[-1]:
-        discard(spark, _SCOPES[-1][-1])
+    """Deletes what operators of this scope and thread have put in shared storage; call it when their results have been read."""
+    while _SCOPES.all[-1]:
+        discard(spark, _SCOPES.all[-1][-1])
 
 
 @contextmanager
 def scoped(spark: SparkSession) -> Iterator[None]:
     """A scope of its own: what operators put in shared storage inside is deleted at its end, other scopes' isn't."""
-    _SCOPES.append([])
+    _SCOPES.all.append([])
     try:
         yield
     finally:
         clear_shared(spark)
-        _SCOPES.pop()
+        _SCOPES.all.pop()
 
 
 def written(df: DataFrame, compression: str = "zstd", few: bool = False) -> DataFrame:
@@ -212,14 +219,13 @@ def trim() -> None:
 _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-def in_batches(df: DataFrame) -> DataFrame:
-    """df, whose rows go to Python in Arrow batches of some MB, unless the session has a size of its own.
+def small_batches(spark: SparkSession) -> None:
+    """Rows go to Python in Arrow batches of some MB from now on, unless the session has a size of its own. For the queries and the pipeline; operators leave a session as it is.
 
     Spark's default of 64 MB is held several times by every task: in the executor's Java and Python processes, in and out.
     """
-    if df.sparkSession.conf.get(_BATCH) in ("64m", "67108864", "67108864b"):
-        df.sparkSession.conf.set(_BATCH, "4m")
-    return df
+    if spark.conf.get(_BATCH) in ("64m", "67108864", "67108864b"):
+        spark.conf.set(_BATCH, "4m")
 
 
 def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:

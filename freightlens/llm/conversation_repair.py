@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE_CHARS, in_batches, tidy, written
+from .common import SPACE_CHARS, tidy, written
 
 KEEP, REROLE, DELETE, INSERT = "K", "R", "D", "I"
 #: Costs of the edits, and of a truncated row that stays.
@@ -229,7 +229,7 @@ def in_order(rows: DataFrame, block: int = BLOCK, block_chars: int = BLOCK_CHARS
 
     keys = ["conv_id", "turn", "role", "text"]
     placed = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    return in_batches(placed.select(conv_key(F.col("conv_id")).alias("conv"), "role", "text", "n", "blank", "seen", "truncated")).mapInArrow(tidy(run), _MOVED)
+    return placed.select(conv_key(F.col("conv_id")).alias("conv"), "role", "text", "n", "blank", "seen", "truncated").mapInArrow(tidy(run), _MOVED)
 
 
 def conv_key(c: Column) -> Column:
@@ -278,7 +278,7 @@ def told(blocks: DataFrame) -> DataFrame:
                 lines = [*edited(rows, unwound(path)), *(NAMES[x] + ":" for x in after)]
                 yield pa.RecordBatch.from_pylist([r | {"labels": labels + INSERT * len(after), "lines": lines}], pa.schema([*(batch.schema.field(c) for c in ("conv", "range", "block", "illegal", "cost")), ("labels", pa.string()), ("lines", pa.list_(pa.string()))]))
 
-    return in_batches(blocks.select("conv", "range", "block", "illegal", "cost", "rows", "begin", "to", "after")).mapInArrow(run, "conv string, range int, block int, illegal long, cost long, labels string, lines array<string>")
+    return blocks.select("conv", "range", "block", "illegal", "cost", "rows", "begin", "to", "after").mapInArrow(run, "conv string, range int, block int, illegal long, cost long, labels string, lines array<string>")
 
 
 def hashed(parts: DataFrame) -> DataFrame:
@@ -305,7 +305,7 @@ def hashed(parts: DataFrame) -> DataFrame:
             yield row()
 
     placed = parts.repartition("conv").sortWithinPartitions("conv", "range", "block")
-    return in_batches(placed.select("conv", "illegal", "cost", "labels", "lines")).mapInArrow(run, "conv string, illegal long, cost long, audit string, hash string")
+    return placed.select("conv", "illegal", "cost", "labels", "lines").mapInArrow(run, "conv string, illegal long, cost long, audit string, hash string")
 
 
 def repair(rows: DataFrame, ids: DataFrame, **blocks: int) -> DataFrame:

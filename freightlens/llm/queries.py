@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .best_fit_packing import op11_best_fit_packing
+from .common import small_batches
 from .conversation_repair import op13_conversation_repair
 from .license_scan import op9_license_scan
 from .line_dedup import OP8_SQL, op8_line_dedup
@@ -23,8 +24,16 @@ from .vector_codes import OP12_SQL, op12_vector_codes
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def in_small_batches(query: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
-    return {
+    found = {
         "op1_source_mixing": op1_source_mixing,
         "op2_quality_cnn": op2_quality_cnn,
         "op3_quality_rules": op3_quality_rules,
@@ -39,6 +48,7 @@ def queries() -> dict[str, Query]:
         "op12_vector_codes": op12_vector_codes,
         "op13_conversation_repair": op13_conversation_repair,
     }
+    return {name: in_small_batches(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:

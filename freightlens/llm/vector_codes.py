@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import in_batches, written
+from .common import written
 
 PARTS, ENTRIES, ROUNDS, SCALE = 8, 16, 6, 4096
 #: A key with this part of all rows is joined by broadcast.
@@ -93,7 +93,7 @@ def moved(distinct: DataFrame, books: Codebooks) -> Codebooks:
         yield pa.RecordBatch.from_arrays([pa.array(pos, pa.int32()), pa.array(entry, pa.int32()), pa.array(n, pa.int64()), pa.array(total, pa.list_(pa.int64()))], ["pos", "entry", "n", "total"])
 
     width = max(b.shape[1] for b in books)
-    found = in_batches(distinct).mapInArrow(run, "pos int, entry int, n long, total array<long>")
+    found = distinct.mapInArrow(run, "pos int, entry int, n long, total array<long>")
     sums = found.groupBy("pos", "entry").agg(F.sum("n").alias("n"), *(F.sum(F.get("total", F.lit(k))).alias(f"s{k}") for k in range(width)))
     out = [b.copy() for b in books]
     for r in sums.collect():  # parts * entries rows at most
@@ -111,7 +111,7 @@ def coded(distinct: DataFrame, books: Codebooks) -> DataFrame:
                 code[at], error[at] = nearest(values, books[p])
             yield batch.append_column("code", pa.array(code)).append_column("error", pa.array(error))
 
-    return in_batches(distinct).mapInArrow(run, "pos int, value array<long>, weight long, code long, error long")
+    return distinct.mapInArrow(run, "pos int, value array<long>, weight long, code long, error long")
 
 
 def joined(rows: DataFrame, facts: DataFrame, on: Column, weight: str, total: int) -> DataFrame:

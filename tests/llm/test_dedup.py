@@ -2,14 +2,16 @@
 
 import random
 import re
+import threading
 from collections import Counter, defaultdict
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from freightlens.llm import line_dedup
+from freightlens.llm import common, line_dedup, quality_rules
 from freightlens.llm.common import Words
 from freightlens.llm.line_dedup import LineRuns, dedup_lines
 from freightlens.llm.simhash_dedup import Likeness, bits_of, components, first_of_each, forest, links, near_duplicates, shingle_hashes
@@ -277,15 +279,13 @@ def test_fingerprint_of_little():
 
 
 def test_shared_tables_can_be_cleared(spark):
-    from freightlens.llm import common
-
     there = lambda p: (q := spark._jvm.org.apache.hadoop.fs.Path(p)).getFileSystem(spark._jsc.hadoopConfiguration()).exists(q)
     outer = common.written(spark.range(2))
-    path = common._SCOPES[-1][-1]
+    path = common._SCOPES.all[-1][-1]
     with common.scoped(spark):
         assert common.written(spark.range(3)).count() == 3
         dedup_lines(documents(spark)).count()
-        inner = list(common._SCOPES[-1])
+        inner = list(common._SCOPES.all[-1])
         tables = [t.name for t in spark.catalog.listTables() if t.name.startswith("fl_run_")]
         assert tables and len(inner) > 3
     left = {t.name for t in spark.catalog.listTables()}
@@ -293,3 +293,64 @@ def test_shared_tables_can_be_cleared(spark):
     assert there(path) and outer.count() == 2
     common.clear_shared(spark)
     assert not there(path)
+
+
+def test_a_threads_tables_are_its_own(spark):
+    """Two queries at a time: one that has read its results deletes nothing of the other."""
+    made, read = threading.Barrier(2, timeout=60), threading.Event()
+
+    def first():
+        with common.scoped(spark):
+            common.written(spark.range(3))
+            made.wait()
+        read.set()
+
+    def second():
+        table = common.written(spark.range(5))
+        made.wait()
+        read.wait(60)
+        found = table.count()
+        common.clear_shared(spark)
+        return found
+
+    with ThreadPoolExecutor(2) as pool:
+        one, two = pool.submit(first), pool.submit(second)
+        one.result()
+        assert two.result() == 5
+
+
+def test_operators_leave_the_sessions_batches(spark):
+    name = common._BATCH
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "64m")
+        quality_rules.measured(documents(spark, n=12)).count()
+        assert spark.conf.get(name) == "64m"
+        spark.conf.set(name, "7m")
+        common.small_batches(spark)
+        assert spark.conf.get(name) == "7m"
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_few_buckets_give_the_same_lines(spark, monkeypatch):
+    docs = documents(spark)
+    found = lambda: sorted(map(str, line_dedup.dedup_lines(docs).select("doc_id", "text", "__n_lines", "__n_dropped", "__kept").collect()))
+    many = found()
+    monkeypatch.setattr(line_dedup, "MOST_BUCKETS", 1)
+    assert found() == many
+
+
+def test_a_line_is_hot_by_its_lines(spark):
+    """Six documents repeat a line 4,000 times each: by its documents it would be one of many."""
+    hot, rows = "This very common line has more than forty characters.", []
+    rows += [(k, "\n".join([hot] * 4000)) for k in range(6)]
+    rows += [(10 + k, f"Another line of more than forty characters, number {k}.") for k in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    runs = line_dedup.LineRuns(spark, buckets=4)
+    runs.add(docs)
+    totals = runs._totals(runs.runs())
+    common_keys = totals.where((F.col("n") >= 5) & (F.col("lines") * line_dedup.HOT_PART >= 24_050)).collect()
+    assert [(r.n, r["lines"]) for r in common_keys] == [(6, 24_000)]
+    kept = {r.doc_id: r["__n_dropped"] for r in runs.cut(docs).collect()}
+    assert [kept[k] for k in range(6)] == [4000] * 5 + [0] and not any(kept[10 + k] for k in range(50))

@@ -24,9 +24,14 @@ SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="no driver tables")
 
 
+def before(place):
+    """The environment with a folder before all others that Python looks in."""
+    return os.environ | {"PYTHONPATH": os.pathsep.join(filter(None, (str(place), os.environ.get("PYTHONPATH", ""))))}
+
+
 def test_names():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries())
-    assert numbers == list(range(1, 11)) and set(oracle_sql()) <= set(queries())
+    assert numbers == list(range(1, 14)) and set(oracle_sql()) <= set(queries())
     import __spark_entry__ as entry
 
     assert set(queries()) | {"pipeline"} <= set(entry.queries())
@@ -39,17 +44,17 @@ def test_the_rest_works_without_this_package(tmp_path):
         (shutil.copytree if source.is_dir() else shutil.copy)(source, tmp_path / name)
     shutil.rmtree(tmp_path / "freightlens/llm")
     code = "import __spark_entry__ as e, sys; q = e.queries(); assert 'spine' in q and not any(n.startswith('op') or n == 'pipeline' for n in q); assert set(e.oracle_sql()) <= set(q); assert not any('llm' in m for m in sys.modules)"
-    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=os.environ | {"PYTHONPATH": str(tmp_path)}, check=True, timeout=120)
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=before(tmp_path), check=True, timeout=120)
 
 
-def test_the_other_tests_pass_without_this_package(tmp_path):
+def test_a_choice_of_the_other_tests_passes_without_this_package(tmp_path):
     for name in ("freightlens", "tests", "__spark_entry__.py"):
         source = ROOT / name
         (shutil.copytree if source.is_dir() else shutil.copy)(source, tmp_path / name)
     shutil.rmtree(tmp_path / "freightlens/llm")
     shutil.rmtree(tmp_path / "tests/llm")
     chosen = "config or csv or object_store or source_types or catalog or star_except or entry or uniqueness"
-    found = subprocess.run([sys.executable, "-m", "pytest", "tests", "-q", "-x", "-k", chosen, "-p", "no:cacheprovider"], cwd=tmp_path, env=os.environ | {"PYTHONPATH": str(tmp_path)}, timeout=400, capture_output=True, text=True)
+    found = subprocess.run([sys.executable, "-m", "pytest", "tests", "-q", "-x", "-k", chosen, "-p", "no:cacheprovider"], cwd=tmp_path, env=before(tmp_path), timeout=400, capture_output=True, text=True)
     assert found.returncode == 0 and " passed" in found.stdout, found.stdout[-2000:]
 
 
