@@ -1,8 +1,9 @@
 """python -m freightlens {window,extract,spine,links,rules,mart,publish} --config FILE [--run PATH]: the steps of a run.
 
 The configuration names the source (`parquet: folder` or `jdbc: url, user, password`), `root` of the runs, `window`,
-`run_id`, and optionally `limit`, `tables`, `exclude` (columns by table), `target`, where publish puts its tables, and
-`order` (their physical sort keys). `window` prints a run's dates and folder. An S3 store is set up from S3_ENDPOINT,
+`run_id`, and optionally `limit`, `tables`, `exclude` (columns by table), `workers` (tables extracted at a time), `texts`
+(a JSON file of rules' texts by code), `carrier` (the company's name in them), `target`, where publish puts its tables,
+and `order` (their physical sort keys). `window` prints a run's dates and folder. An S3 store is set up from S3_ENDPOINT,
 S3_ACCESS_KEY, S3_SECRET_KEY and S3_REGION.
 """
 
@@ -28,7 +29,7 @@ from freightlens.sources.config import load_config, truth, use_object_store
 from freightlens.sources.extraction import extract
 from freightlens.sources.publishing import publish
 from freightlens.sources.readers import JdbcTable, TableCatalog, demo_tables, read_parquet
-from freightlens.sources.runs import Run, write_results
+from freightlens.sources.runs import Run, Store, write_results
 
 
 def source(spark: SparkSession, config: dict) -> TableCatalog:
@@ -87,8 +88,9 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> No
     elif a.step == "links":
         run.add("DOCUMENT_CNOTE_LINKS", build_links(tables, tables.available), derived=True)
     elif a.step == "rules":
+        texts = json.loads(Store(spark).read(config["texts"])) if config.get("texts") else None
         edges = tables("DOCUMENT_CNOTE_LINKS") if tables.available("DOCUMENT_CNOTE_LINKS") else None
-        found = run_rules(spark, rule_tables(tables), load(), tables.available, edges, work=f"{run.path}/_work", **how)
+        found = run_rules(spark, rule_tables(tables), load(texts, config.get("carrier", "Carrier")), tables.available, edges, work=f"{run.path}/_work", **how)
         for name, df in (("governance_results", found.results), ("governance_result_cnotes", found.links), ("governance_rule_summary", found.summary)):
             if df is not None:
                 write_results(df, f"{run.path}/{name}")

@@ -1058,11 +1058,12 @@ def _column_rules() -> Iterable[RuleSpec]:
                 yield _spec(f"{kind}{own.letters}{number}", family, own.table, {"cnote_column": own.document} | params)
 
 
-def load(texts: Mapping[str, Mapping[str, str]] | None = None) -> list[RuleSpec]:
-    """All rules. texts: other fields of rules by code, such as their issue or impact."""
+def load(texts: Mapping[str, Mapping[str, str]] | None = None, carrier: str = "Carrier") -> list[RuleSpec]:
+    """All rules. texts: other fields of rules by code, such as their issue or impact. carrier: the company's name in the texts."""
     texts = texts or {}
+    named = lambda r: replace(r, issue=r.issue.format(carrier=carrier), impact_details=r.impact_details.format(carrier=carrier))
     rules = (*_column_rules(), *(_spec(*r) for r in RULES))
-    return [replace(r, **texts.get(r.code, {})) for r in rules]
+    return [replace(named(r), **texts.get(r.code, {})) for r in rules]
 
 
 def by_code(rules: Iterable[RuleSpec], *codes: str) -> list[RuleSpec]:

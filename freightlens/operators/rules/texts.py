@@ -1,4 +1,4 @@
-"""Texts of rules: indicators by rule of the column, issues and impacts by code."""
+"""Texts of rules: indicators by rule of the column, issues and impacts by code. {carrier} stands for the company whose shipments are looked at."""
 
 from __future__ import annotations
 
@@ -53,7 +53,7 @@ def indicator_of(code: str, params: Mapping[str, Any]) -> str:
 _ISSUES = {
     "Invalid Service Code Format": ("VALD1B6",),
     "Weight Difference (CMS Cnote Weight vs Apicust Weight)": ("CONS1B15",),
-    "Origin Difference (Marketplace Seller vs JNE)": ("CONS1B12",),
+    "Origin Difference (Marketplace Seller vs {carrier})": ("CONS1B12",),
     "Timestamp Sequence Issue": ("TIME1B2", "TIME1C9"),
     "Prefix Destination Code Difference (CMS Cnote vs DCorrect Destination)": ("ACCU3B13B",),
     "Mandatory Field - Blank": ("COMP2V19", "COMP2V9", "COMP2Z10", "COMP2H4", "COMP2H6", "COMP2H9", "COMP2L11", "COMP1A24", "COMP1A25", "COMP1A6", "COMP1A7", "COMP1B14", "COMP1B15", "COMP1B18", "COMP1R5", "COMP2R3", "COMP1AE10", "COMP1AE4", "COMP1AE5", "COMP1AE6", "COMP1AE8", "COMP1AE9", "COMP1AC4", "COMP1S11", "COMP1S17", "COMP1S19", "COMP1S4", "COMP1S8", "COMP1K1", "COMP1D3", "COMP1P5", "COMP1P7", "COMP1H8", "COMP1J3", "COMP1J4", "COMP1I4", "COMP1AB10", "COMP1E11", "COMP1E2", "COMP1E7", "COMP1V10", "COMP1L10", "COMP2L12", "COMP1Q5", "COMP1Q8", "COMP1N12", "COMP1N15", "COMP1N16", "COMP1N17", "COMP1N18", "COMP1N19", "COMP2P6"),
@@ -76,7 +76,7 @@ _ISSUES = {
     "Duplicate Identifier": ("UNIQ1B74", "UNIQ2R1", "UNIQ2AC1", "UNIQ2W1", "UNIQ2S1", "UNIQ1S2", "UNIQ1K1", "UNIQ2P1", "UNIQ1O1", "UNIQ1O2", "UNIQ1M4", "UNIQ1G1", "UNIQ1G2", "UNIQ2I1", "UNIQ1N1", "UNIQ1AD1", "UNIQ1AD3", "UNIQ1AD6"),
     "Destination Difference (Marketplace vs CMS Cnote)": ("CONS1B13",),
     "Quantity Difference (Marketplace Quantity vs CMS Cnote Quantity)": ("CONS1B14",),
-    "Branch Difference (Marketplace Seller vs JNE)": ("CONS1B3",),
+    "Branch Difference (Marketplace Seller vs {carrier})": ("CONS1B3",),
     "Timestamp Difference (POD Date vs Runsheet Date)": ("CONS2R2",),
     "Status Difference (POD Status vs Runsheet Status)": ("CONS2R4",),
     "Quantity Difference (DTS Agent Quantity vs CMS Cnote Quantity)": ("CONS2Y5",),
@@ -119,7 +119,7 @@ ISSUES = {code: issue for issue, codes in _ISSUES.items() for code in codes}
 
 #: Rules by their main impact and its details.
 _IMPACTS = {
-    ("Billing", "Seller & JNE Dispute"): ("CONS1B15",),
+    ("Billing", "Seller & {carrier} Dispute"): ("CONS1B15",),
     ("Operation", "Internal Dispute"): ("CONS1B12", "COMP2H6", "COMP2H9", "COMP1AE6", "VALD1A3", "VALD1K3", "VALD1K4", "VALD1M6", "VALD1M7", "VALD1H5", "VALD1H6", "VALD1H9", "VALD1L3", "VALD1L4", "VALD1Z11", "VALD1Z12", "VALD1N3", "VALD1N4", "CONS2AE6", "CONS2M6", "CONS2M7", "CONS2L3", "CONS2L4", "CONS2N3", "CONS2N4", "CONS2K3", "CONS2K4", "CONS2X4"),
     ("Billing", "Over-billing/Under-billing"): ("ACCU3B13B", "COMP1A7", "VALD2A25", "VALD2B15", "VALD2AE5", "VALD2K5", "VALD2I4", "CONS1B13"),
     ("Reporting", "Internal Dispute"): ("CONS2I4", "CONS2Y6", "CONS2AE5", "CONS2M5", "CONS2L7", "CONS3K5", "CONS2X5", "CONS2X6", "CONS3J3", "CONS3J4", "CONS3N10"),
