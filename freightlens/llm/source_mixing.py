@@ -11,7 +11,7 @@ the tokens still due. So a document is taken `copies` times, and runs with the s
 
 Shares among siblings are a water level: each child gets the lesser of its supply and level times weight. The level of
 every family is found at once by sums over slots of supply by weight, which close in on the place where the budget ends
-(`SLOTS` slots a round); so a family of any number of children is only summed, and neither the tree nor its leaves are
+(`SLOTS` slots a round, or, of few children, a slot for each ratio in one round); so a family of any number of children is only summed, and neither the tree nor its leaves are
 gathered anywhere.
 
 A leaf can hold a third of all rows, so no leaf is sorted as a whole: the hash is cut in slices, tokens are summed by
@@ -34,6 +34,8 @@ from .common import written
 
 #: Slots of a round, and rounds at most: the level is known to a part in SLOTS ** ROUNDS of its range.
 SLOTS, ROUNDS = 256, 6
+#: Up to so many children each ratio is a slot of its own, and one round is enough.
+FEW = 10_000
 
 
 def water_levels(children: DataFrame, family: list[str]) -> DataFrame:
@@ -44,9 +46,11 @@ def water_levels(children: DataFrame, family: list[str]) -> DataFrame:
     rows = children.select(*family, "s", "w", "b", (F.col("s") / F.col("w")).alias("r"))
     ends = rows.groupBy(*family).agg(F.first("b").alias("b"), F.min("r").alias("low"), F.max("r").alias("high"))
     by = Window.partitionBy(*family).orderBy("slot")
-    for _ in range(ROUNDS):
+    few = children.count() <= FEW
+    for _ in range(1 if few else ROUNDS):
         part = (F.log2("r") - F.log2("low")) / F.greatest(F.log2("high") - F.log2("low"), F.lit(1e-300))
         slot = F.when(F.col("r") < F.col("low"), -1).when(F.col("r") > F.col("high"), SLOTS).otherwise(F.least(F.floor(part * SLOTS), F.lit(SLOTS - 1)))
+        slot = F.col("r") if few else slot
         sums = rows.drop("b").join(ends, family).groupBy(*family, slot.alias("slot")).agg(F.first("b").alias("b"), F.sum("s").alias("s"), F.sum("w").alias("w"), F.min("r").alias("low"), F.max("r").alias("high"))
         # What is given out at the level of a slot's first child: smaller children are full, it and larger ones get by weight.
         full = F.coalesce(F.sum("s").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
@@ -55,7 +59,7 @@ def water_levels(children: DataFrame, family: list[str]) -> DataFrame:
         last = F.max_by(F.struct("low", "high", "given", "w", "larger"), F.when(F.col("given") <= F.col("b"), F.col("slot"))).alias("at")
         first = F.min_by(F.struct("low", (F.col("w") + F.col("larger")).alias("all")), "slot").alias("first")
         found = written(sums.groupBy(*family).agg(F.first("b").alias("b"), last, first), few=True)
-        if found.where("at.low < at.high").isEmpty():
+        if few or found.where("at.low < at.high").isEmpty():
             break
         ends = found.select(*family, "b", F.coalesce("at.low", "first.low").alias("low"), F.coalesce("at.high", "first.low").alias("high"))
     # Children of the last slot have the same ratio and are full; were there rounds too few, they count as not full.

@@ -544,9 +544,11 @@ def test_shortages_go_to_siblings_first(spark):
     assert quotas({}, {}, 5, 1) == {}
 
 
-def test_quotas_against_brute_force(spark, monkeypatch):
+@pytest.mark.parametrize("few", [0, 10_000])
+def test_quotas_against_brute_force(spark, monkeypatch, few):
     rng = random.Random(11)
     monkeypatch.setattr(source_mixing, "SLOTS", 8)  # several rounds
+    monkeypatch.setattr(source_mixing, "FEW", few)
     for _ in range(3):
         leaves = {(f"d{rng.randint(0, 2)}", f"l{rng.randint(0, 3)}", f"s{k}"): rng.choice([0, 1, 7, 7, 100, rng.randint(1, 10**7)]) for k in range(60)}
         weights = {p[:k]: rng.choice([0.0, 0.5, 1.0, 2.0, rng.random()]) for p in list(leaves)[::3] for k in (1, 2, 3)} | {("d0",): 1.0}
