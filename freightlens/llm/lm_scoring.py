@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Words, ceil_div, fold_of, mix, text_bytes, texts_of, trim, written
-from .packs import PACK_BYTES, answer, ask, deal, expand, keys_of, meet, pack, shrunk, squeeze, unpack
+from .packs import LOT, PACK_BYTES, Sums, added, answer, ask, deal, expand, keys_of, lots_of, meet, pack, shrunk, squeeze, unpack
 
 BLOCK_KEYS = 500_000
 _END, _START, _STEP = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F), np.uint64(0x9E3779B97F4A7C15)
@@ -121,8 +121,8 @@ class Counts:
         self.table, self.keep = table, keep
 
     @staticmethod
-    def gather(docs: DataFrame, train: Column, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), pack_bytes: int = PACK_BYTES) -> Counts:
-        """pack_bytes: text that a worker has in hand at a time; larger packs send fewer and longer rows."""
+    def gather(docs: DataFrame, train: Column, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), pack_bytes: int = PACK_BYTES, lot: int = LOT) -> Counts:
+        """pack_bytes: text that a worker has in hand at a time; larger packs send fewer and longer rows. lot: packs whose rows are added up on the way to their blocks, where there are more."""
         total = text_bytes(docs, text_col)
         words, pairs = ceil_div(total // 40 + 1, BLOCK_KEYS), ceil_div(total // 6 + 1, BLOCK_KEYS)
         packs = pack(docs.select(*keep, text_col, F.coalesce(train, F.lit(False)).alias("train")), text_col, [*keep, "train"], pack_bytes)
@@ -134,14 +134,25 @@ class Counts:
                 keys, _, n = t.asked(which)
                 yield deal(number, keys, keys, n, blocks, first)
 
-        def merge(keys: list[bytes], extra: list[bytes]) -> list[bytes]:
-            at = [keys_of(k, np.uint64) for k in keys]
-            _, first, inverse = np.unique(np.concatenate(at), return_index=True, return_inverse=True)
-            sums = np.bincount(inverse, np.concatenate([expand(x, np.uint32) for x in extra])).astype(np.uint64)
+        def owned(at: list[np.ndarray], sums: np.ndarray, first: np.ndarray, inverse: np.ndarray, whose: np.ndarray) -> list[bytes]:
+            """The sums of each row's keys; of keys that count here the first row is told that it owns them."""
             total = sums[inverse]
-            total[first[sums > 0]] |= _OWN
+            total[first[whose]] |= _OWN
             return [squeeze(x) for x in np.split(total, np.cumsum([len(a) for a in at])[:-1])]
 
+        def merge(keys: list[bytes], extra: list[bytes], kind: type) -> list[bytes]:
+            at = [keys_of(k, np.uint64) for k in keys]
+            _, first, inverse = np.unique(np.concatenate(at), return_index=True, return_inverse=True)
+            sums = np.bincount(inverse, np.concatenate([expand(x, kind) for x in extra])).astype(np.uint64)
+            return owned(at, sums, first, inverse, sums > 0)
+
+        def hand(whole: bytes, answered: bytes, keys: list[bytes]) -> list[bytes]:
+            at, back = [keys_of(k, np.uint64) for k in keys], expand(answered, np.uint64)
+            every, first, inverse = np.unique(np.concatenate(at), return_index=True, return_inverse=True)
+            if len(every) != len(back):
+                raise RuntimeError("a lot's answer doesn't fit its keys")
+            return owned(at, back & ~_OWN, first, inverse, back >= _OWN)
+
         def told(number: int, table: pa.Table, answers: dict[int, bytes]) -> pa.Table:
             t = _Tokens(table)
             got, types = [], []
@@ -162,7 +173,7 @@ class Counts:
             row = {"docs": shrunk(own), "word": squeeze(word, 5), "pair": squeeze(pair, 5), "trained": int(t.train.sum()), "types": types[0], "cell": cell.astype(np.int64).tobytes(), "seen": seen.astype(np.int64).tobytes()}
             return pa.Table.from_pylist([row])
 
-        table = meet(packs, answer(ask(packs, requests), merge), told, "docs binary, word binary, pair binary, trained long, types long, cell binary, seen binary")
+        table = meet(packs, answer(ask(packs, requests), Sums(merge, added(np.uint64), hand), lots_of(total, pack_bytes, lot)), told, "docs binary, word binary, pair binary, trained long, types long, cell binary, seen binary")
         return Counts(written(table, "none"), {c: docs.schema[c].dataType.simpleString() for c in keep})
 
     @staticmethod

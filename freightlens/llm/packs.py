@@ -3,12 +3,15 @@
 Texts are packed, some MB a row. Each pack sends its keys, dealt by hash into
 blocks, as one binary row per (pack, block); a block adds up what all packs sent and answers each of them with one
 row. Keys are spread by hash, so a frequent word or a large group of copies is one key with a sum, never a group
-of rows. The number of blocks grows with the corpus, so that a block's keys fit in a task.
+of rows. The number of blocks grows with the corpus, so that a block's keys fit in a task. So does the number of packs,
+and a key that all packs have would bring as many rows to its block; beyond LOT packs their rows are added up by lots
+first, a lot's sums go to the block as one row, and the block's answer comes back through the lot.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -17,9 +20,11 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import is_scan, texts_of, trim, written
+from .common import is_scan, power_of_two, texts_of, trim, written
 
 PACK_BYTES = 6 << 20
+#: Packs of a lot, about.
+LOT = 2048
 
 
 def pack(df: DataFrame, text_col: str, keep: list[str], pack_bytes: int = PACK_BYTES) -> DataFrame:
@@ -125,18 +130,67 @@ def ask(packs: DataFrame, requests: Callable[[int, pa.Table], Iterator[pa.Record
     return packs.mapInArrow(run, REQUEST)
 
 
-def answer(requests: DataFrame, merge: Callable[[list[bytes], list[bytes]], list[bytes]]) -> DataFrame:
-    """(pack, block, answer): merge gets all (keys, extra) that reached one block, and gives one answer for each."""
+@dataclass(frozen=True)
+class Sums:
+    """How rows (keys, extra) of a block add up. kind: of the extra's integers, 32 bits of a pack's, 64 of a lot's.
 
+    merge: an answer for each row. gather: all rows as one. hand: an answer for each row from their lot's keys and answer.
+    """
+
+    merge: Callable[[list[bytes], list[bytes], type], list[bytes]]
+    gather: Callable[[list[bytes], list[bytes]], tuple[bytes, bytes]]
+    hand: Callable[[bytes, bytes, list[bytes]], list[bytes]]
+
+
+def lots_of(total: int, pack_bytes: int, lot: int = LOT) -> int:
+    """How many lots the packs of so many bytes of text go in."""
+    return power_of_two(total / pack_bytes / lot)
+
+
+def added(dtype: type) -> Callable[[list[bytes], list[bytes]], tuple[bytes, bytes]]:
+    """Rows of rising keys and counts as one row."""
+
+    def gather(keys: list[bytes], extra: list[bytes]) -> tuple[bytes, bytes]:
+        every, inverse = np.unique(np.concatenate([keys_of(k, dtype) for k in keys]), return_inverse=True)
+        sums = np.bincount(inverse, np.concatenate([expand(x, np.uint32) for x in extra]))
+        return pack_keys(every), squeeze(sums.astype(np.uint64))
+
+    return gather
+
+
+def _in_order(table: pa.Table) -> pa.Table:
+    return table.take(pa.array(np.argsort(table.column("pack").to_numpy(), kind="stable")))
+
+
+def _answered(requests: DataFrame, merge: Callable[[list[bytes], list[bytes], type], list[bytes]], kind: type) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
-        order = np.argsort(table.column("pack").to_numpy(), kind="stable")
-        table = table.take(pa.array(order))
-        got = merge(table.column("keys").to_pylist(), table.column("extra").to_pylist())
+        table = _in_order(table)
+        got = merge(table.column("keys").to_pylist(), table.column("extra").to_pylist(), kind)
         return pa.table({"pack": table.column("pack"), "block": table.column("block"), "answer": pa.array(got, pa.binary())})
 
     return requests.groupBy("block").applyInArrow(run, "pack long, block int, answer binary")
 
 
+def answer(requests: DataFrame, sums: Sums, lots: int = 1) -> DataFrame:
+    """(pack, block, answer) of each request, by the sums of all that reached its block. lots: by how many lots on the way."""
+    if lots <= 1:
+        return _answered(requests, sums.merge, np.uint32)
+    rows = written(requests, "none").withColumn("lot", F.pmod(F.xxhash64("pack"), F.lit(lots)))
+
+    def gathered(table: pa.Table) -> pa.Table:
+        keys, extra = sums.gather(table.column("keys").to_pylist(), table.column("extra").to_pylist())
+        return pa.table({"block": table.column("block")[:1], "pack": table.column("lot")[:1], "keys": pa.array([keys], pa.binary()), "extra": pa.array([extra], pa.binary())})
+
+    def handed(left: pa.Table, right: pa.Table) -> pa.Table:
+        left = _in_order(left)
+        got = sums.hand(right.column("keys")[0].as_py(), right.column("answer")[0].as_py(), left.column("keys").to_pylist())
+        return pa.table({"pack": left.column("pack"), "block": left.column("block"), "answer": pa.array(got, pa.binary())})
+
+    whole = written(rows.groupBy("block", "lot").applyInArrow(gathered, REQUEST), "none")
+    told = _answered(whole, sums.merge, np.uint64).join(whole.select("block", "pack", "keys"), ["block", "pack"]).withColumnRenamed("pack", "lot")
+    return rows.groupBy("block", "lot").cogroup(told.groupBy("block", "lot")).applyInArrow(handed, "pack long, block int, answer binary")
+
+
 def meet(packs: DataFrame, answers: DataFrame, use: Callable[[int, pa.Table, dict[int, bytes]], pa.Table], schema: str) -> DataFrame:
     """Each pack with its answers by block."""
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Words, ceil_div, mix, power_of_two, text_bytes, texts_of
-from .packs import _REQUEST, PACK_BYTES, REQUEST, answer, ask, deal, expand, keys_of, meet, pack, squeeze
+from .packs import _REQUEST, LOT, PACK_BYTES, REQUEST, Sums, added, answer, ask, deal, expand, keys_of, lots_of, meet, pack, squeeze
 
 #: Keys that a task has in hand at a time.
 BLOCK_KEYS = 500_000
@@ -74,12 +74,14 @@ class _Windows:
         return rolled(self.words.hashes(k + 1), self.size, _BASES[k])[self.ok]
 
 
-def repeated_windows(texts: DataFrame, text_col: str = "text", keep: tuple[str, ...] = (), size: int = 35, counters_per_word: float = 8.0, pack_bytes: int = PACK_BYTES) -> DataFrame:
+def repeated_windows(texts: DataFrame, text_col: str = "text", keep: tuple[str, ...] = (), size: int = 35, counters_per_word: float = 8.0, pack_bytes: int = PACK_BYTES, lot: int = LOT) -> DataFrame:
     """Each text with the words that repeated windows cover: (keep..., n_words long, n_removed long, kept_text string).
 
-    pack_bytes: text that a worker has in hand at a time; larger packs send fewer and longer rows.
+    pack_bytes: text that a worker has in hand at a time; larger packs send fewer and longer rows. lot: packs
+    whose rows are added up on the way to their blocks, where there are more.
     """
     total = text_bytes(texts, text_col)
+    lots = lots_of(total, pack_bytes, lot)
     words = total // 6 + 1
     bits = min(60, max(16, power_of_two(counters_per_word * words).bit_length() - 1))
     blocks = ceil_div(words, BLOCK_KEYS)
@@ -97,12 +99,17 @@ def repeated_windows(texts: DataFrame, text_col: str = "text", keep: tuple[str,
             if len(at):
                 yield deal(number, at << np.uint64(64 - bits), at.astype(kind), n.astype(np.uint32), blocks, row * blocks)
 
-    def merge_sketches(keys: list[bytes], extra: list[bytes]) -> list[bytes]:
+    def merge_sketches(keys: list[bytes], extra: list[bytes], of: type) -> list[bytes]:
         at = [keys_of(k, kind) for k in keys]
         _, inverse = np.unique(np.concatenate(at), return_inverse=True)
-        often = np.bincount(inverse, np.concatenate([expand(x, np.uint32) for x in extra])) >= 2
+        often = np.bincount(inverse, np.concatenate([expand(x, of) for x in extra])) >= 2
         return [np.packbits(x).tobytes() for x in np.split(often[inverse], np.cumsum([len(a) for a in at])[:-1])]
 
+    def hand_sketches(whole: bytes, told: bytes, keys: list[bytes]) -> list[bytes]:
+        every = keys_of(whole, kind)
+        often = np.unpackbits(np.frombuffer(told, np.uint8), count=len(every))
+        return [np.packbits(often[np.searchsorted(every, keys_of(k, kind))]).tobytes() for k in keys]
+
     def candidates(number: int, table: pa.Table, answers: dict[int, bytes]) -> pa.Table:
         w = _Windows(table, size)
         one = w.lane(0)
@@ -127,9 +134,20 @@ def repeated_windows(texts: DataFrame, text_col: str = "text", keep: tuple[str,
         n = np.ones(len(keys), np.int64) if n is None else n[order]
         return keys[first], np.add.reduceat(n, first, dtype=np.int64) if len(first) else n
 
-    def merge_windows(keys: list[bytes], extra: list[bytes]) -> list[bytes]:
-        sent = [np.frombuffer(k, np.uint64).reshape(-1, 2) for k in keys]
-        every, n = different(np.concatenate(sent), np.concatenate([expand(x, np.uint32) for x in extra]))
+    def sent_of(keys: list[bytes]) -> list[np.ndarray]:
+        return [np.frombuffer(k, np.uint64).reshape(-1, 2) for k in keys]
+
+    def gather_windows(keys: list[bytes], extra: list[bytes]) -> tuple[bytes, bytes]:
+        every, n = different(np.concatenate(sent_of(keys)), np.concatenate([expand(x, np.uint32) for x in extra]).astype(np.int64))
+        return np.ascontiguousarray(every).tobytes(), squeeze(n.astype(np.uint64))
+
+    def hand_windows(whole: bytes, told: bytes, keys: list[bytes]) -> list[bytes]:
+        often = np.frombuffer(told, np.uint64).reshape(-1, 2)
+        return [np.ascontiguousarray(s[among(s, often)]).tobytes() for s in sent_of(keys)]
+
+    def merge_windows(keys: list[bytes], extra: list[bytes], of: type) -> list[bytes]:
+        sent = sent_of(keys)
+        every, n = different(np.concatenate(sent), np.concatenate([expand(x, of) for x in extra]))
         often = np.ascontiguousarray(every[n >= 2])
         return [np.ascontiguousarray(s[among(s, often)]).tobytes() for s in sent]
 
@@ -163,8 +181,8 @@ def repeated_windows(texts: DataFrame, text_col: str = "text", keep: tuple[str,
         return pa.table({**{c: table.column(c) for c in keep}, "n_words": pa.array(np.diff(first), pa.int64()), "n_removed": pa.array(removed, pa.int64()), "kept_text": pa.array(kept, pa.binary()).cast(pa.string())})
 
     kept = ", ".join(f"`{c}` {texts.schema[c].dataType.simpleString()}" for c in keep)
-    first = answer(ask(packs, sketches), merge_sketches)
-    second = answer(meet(packs, first, candidates, REQUEST), merge_windows)
+    first = answer(ask(packs, sketches), Sums(merge_sketches, added(kind), hand_sketches), lots)
+    second = answer(meet(packs, first, candidates, REQUEST), Sums(merge_windows, gather_windows, hand_windows), lots)
     return meet(packs, second, cut, f"{kept}{', ' * bool(keep)}n_words long, n_removed long, kept_text string")
 
 

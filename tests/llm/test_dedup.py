@@ -24,10 +24,10 @@ def words(t):
     return [w for w in re.split("[\x20\x09-\x0d]+", t or "") if w]
 
 
-@pytest.mark.parametrize("size", [3, 16, 35])
-def test_repeated_windows(spark, size):
+@pytest.mark.parametrize("size, lot", [(3, 2048), (16, 2048), (35, 2048), (16, 2)])
+def test_repeated_windows(spark, size, lot):
     docs = documents(spark)
-    found = repeated_windows(clashing(docs, "data", "pack", "n_words"), keep=("doc_id",), size=size, pack_bytes=2000 if size == 16 else 6 << 20)
+    found = repeated_windows(clashing(docs, "data", "pack", "n_words"), keep=("doc_id",), size=size, pack_bytes=2000 if size == 16 else 6 << 20, lot=lot)
     got = Counter((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in found.collect())
     rows = [(r.doc_id, words(r.text)) for r in docs.collect()]
     seen = Counter(tuple(w[i : i + size]) for _, w in rows for i in range(len(w) - size + 1))

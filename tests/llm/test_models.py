@@ -238,9 +238,10 @@ def test_verdicts_against_brute_force(spark):
 # Language model.
 
 
-def test_scores_against_brute_force(spark):
+@pytest.mark.parametrize("how", [{}, {"pack_bytes": 1500, "lot": 2}])
+def test_scores_against_brute_force(spark, how):
     docs = documents(spark)
-    counts = lm_scoring.Counts.gather(clashing(docs, "train", "n", "pack"), fold_of("doc_id") != 1)
+    counts = lm_scoring.Counts.gather(clashing(docs, "train", "n", "pack"), fold_of("doc_id") != 1, **how)
     m = counts.learn()
     got = sorted(((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in counts.score(m).collect()), key=str)
     rows = [(r.doc_id, [*words((r.text or "").translate(LOWER)), "</>"]) for r in docs.collect()]
