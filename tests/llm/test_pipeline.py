@@ -137,12 +137,44 @@ def test_stages_on_odd_tables(spark, tmp_path, nothing):
     assert n == 0 if nothing else 0 < n < docs.count()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+OVER_DOCUMENTS = sorted(n for n in queries() if not n.startswith(("op12_", "op13_")))
+
+
+@pytest.mark.parametrize("name", OVER_DOCUMENTS)
 def test_queries_on_odd_tables(spark, tmp_path, name):
     for which, docs in (("some", documents(spark)), ("none", empty(spark))):
         docs.write.parquet(str(tmp_path / which / "documents.parquet"))
         labels_of(spark, docs).write.parquet(str(tmp_path / which / "labels.parquet"))
-        assert queries()[name](spark, str(tmp_path / which)).count() == docs.count()
+        found = queries()[name](spark, str(tmp_path / which))
+        rows = found.where("piece = 0") if name.startswith("op11_") else found
+        assert rows.count() == docs.count()
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no driver tables")
+def test_near_copies_of_the_drivers_documents(spark):
+    """The stage keeps the documents that the similarities of all pairs of whole texts keep."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    sets = [(r.doc_id, five_word_sets(r.text)) for r in docs.collect()]
+
+    def close(a, b):
+        return 10 * min(len(a[1]), len(b[1])) >= 8 * max(len(a[1]), len(b[1])) and alike(a, b)
+
+    stays = set(brute_components(sets, close))
+    found = [r.doc_id for r in corpus_pipeline.STAGES[2][1](spark, docs, "/root/testdata/sf0.01").collect()]
+    assert sorted(found) == sorted(stays) and len(stays) < len(sets)
+
+
+def test_a_very_long_text_goes_through_all_stages(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    words = np.array(["w" + str(k) for k in range(5000)])
+    rows = [(k, " ".join(rng.choice(words, 60)), "en", f"src{k % 3}", 0) for k in range(40)] + [(100, " ".join(rng.choice(words, 300_000)), "en", "src1", 0), (101, "x" * 1_000_000, "en", "src1", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    docs.selectExpr("doc_id", "1 AS quality", "0 AS toxic").write.parquet(str(tmp_path / "labels.parquet"))
+    table = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        ids = {r.doc_id for r in stage(spark, table, str(tmp_path)).select("doc_id").collect()}
+        assert k == 3 or {100, 101} <= ids
 
 
 @needs_tables
@@ -151,7 +183,7 @@ def test_against_sql(spark, name):
     import duckdb
 
     c = duckdb.connect()
-    for t in ("documents", "labels"):
+    for t in ("documents", "labels", "embeddings"):
         c.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     df, want = queries()[name](spark, SF), c.sql(oracle_sql()[name])
     order = [want.columns.index(x) for x in df.columns]
