@@ -336,3 +336,27 @@ def repaired(rows: DataFrame, **blocks: int) -> DataFrame:
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     return repair(damaged(conversations), conversations)
+
+
+_SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+#: The same in DuckDB's SQL: states 0 to 3 are nothing, s, u and a; a recursion over the rows keeps the least (cost, labels, text) of each state.
+OP13_SQL = f"""
+WITH RECURSIVE crc AS (SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+o AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+k AS (SELECT o.*, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(k, ''), lambda x: CAST(unicode(x) AS BIGINT))), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS kind FROM o, crc),
+d AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(CASE kind WHEN 3 THEN 2 ELSE 1 END)) AS twin FROM k WHERE kind <> 0),
+r AS (SELECT *, row_number() OVER w AS pos, lag(left(role, 1)) OVER w || left(role, 1) AS pair, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, twin) > 1 AS again, rtrim(text, {_SPACES}) AS bare FROM d WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, twin)),
+f AS (SELECT *, bare = '' AS blank, bare <> '' AND again AS dup, bare <> '' AND NOT again AND right(bare, 1) NOT IN ('.', '!', '?') AS cut FROM r),
+facts AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (dup) AS dup, count(*) FILTER (cut) AS cut, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id),
+ins(state, cost, letters, lines, mid) AS (VALUES (0, 0, '', '', 0), (0, 2, 'I', 'user:' || chr(10), 2), (0, 4, 'II', 'user:' || chr(10) || 'assistant:' || chr(10), 3), (1, 0, '', '', 1), (1, 2, 'I', 'user:' || chr(10), 2), (1, 4, 'II', 'user:' || chr(10) || 'assistant:' || chr(10), 3),
+  (2, 0, '', '', 2), (2, 2, 'I', 'assistant:' || chr(10), 3), (2, 4, 'II', 'assistant:' || chr(10) || 'user:' || chr(10), 2), (3, 0, '', '', 3), (3, 2, 'I', 'user:' || chr(10), 2), (3, 4, 'II', 'user:' || chr(10) || 'assistant:' || chr(10), 3)),
+act(mid, letter, cost, role, next) AS (VALUES (0, 'K', 0, 's', 1), (0, 'K', 0, 'u', 2), (1, 'K', 0, 'u', 2), (2, 'K', 0, 'a', 3), (3, 'K', 0, 'u', 2), (0, 'R', 2, 'user', 2), (1, 'R', 2, 'user', 2), (2, 'R', 2, 'assistant', 3), (3, 'R', 2, 'user', 2), (0, 'D', 3, '', 0), (1, 'D', 3, '', 1), (2, 'D', 3, '', 2), (3, 'D', 3, '', 3)),
+p AS (SELECT conv_id, CAST(0 AS BIGINT) AS pos, 0 AS state, {{c: CAST(0 AS BIGINT), a: '', x: ''}} AS best FROM facts
+  UNION ALL SELECT conv_id, pos, next, min(best) FROM (
+    SELECT f.conv_id, f.pos, act.next, {{c: CAST(p.best.c + ins.cost + act.cost + CASE WHEN f.cut AND letter <> 'D' THEN 1 ELSE 0 END AS BIGINT), a: p.best.a || ins.letters || letter, x: p.best.x || ins.lines || CASE letter WHEN 'D' THEN '' WHEN 'K' THEN f.role || ':' || f.text || chr(10) ELSE act.role || ':' || f.text || chr(10) END}} AS best
+    FROM p JOIN f ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.pos = p.pos + 1 JOIN ins ON ins.state = p.state JOIN act ON act.mid = ins.mid AND (letter = 'D' OR (NOT f.blank AND NOT f.dup AND (letter = 'R' OR act.role = left(f.role, 1))))) GROUP BY conv_id, pos, next),
+ends(state, cost, letters, lines) AS (VALUES (0, 0, '', ''), (1, 4, 'II', 'user:' || chr(10) || 'assistant:' || chr(10)), (2, 2, 'I', 'assistant:' || chr(10)), (3, 0, '', '')),
+e AS (SELECT p.conv_id, min({{c: p.best.c + ends.cost, a: p.best.a || ends.letters, x: p.best.x || ends.lines}}) AS best FROM p JOIN facts ON facts.conv_id IS NOT DISTINCT FROM p.conv_id AND p.pos = facts.n JOIN ends ON ends.state = p.state GROUP BY p.conv_id)
+SELECT i.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(dup, 0) AS duplicate, coalesce(cut, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.c, 0) AS cost, coalesce(best.a, '') AS audit, sha256(coalesce(left(best.x, length(best.x) - 1), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS i LEFT JOIN facts ON facts.conv_id IS NOT DISTINCT FROM i.conv_id LEFT JOIN e ON e.conv_id IS NOT DISTINCT FROM i.conv_id
+"""

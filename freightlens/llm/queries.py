@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .best_fit_packing import op11_best_fit_packing
 from .common import small_batches
-from .conversation_repair import op13_conversation_repair
+from .conversation_repair import OP13_SQL, op13_conversation_repair
 from .license_scan import op9_license_scan
 from .line_dedup import OP8_SQL, op8_line_dedup
 from .lm_scoring import op6_lm_scoring
@@ -52,4 +52,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_substring_dedup": OP5_SQL, "op8_line_dedup": OP8_SQL, "op12_vector_codes": OP12_SQL}
+    return {"op5_substring_dedup": OP5_SQL, "op8_line_dedup": OP8_SQL, "op12_vector_codes": OP12_SQL, "op13_conversation_repair": OP13_SQL}

@@ -183,7 +183,7 @@ def test_against_sql(spark, name):
     import duckdb
 
     c = duckdb.connect()
-    for t in ("documents", "labels", "embeddings"):
+    for t in ("documents", "labels", "embeddings", "conversations"):
         c.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     df, want = queries()[name](spark, SF), c.sql(oracle_sql()[name])
     order = [want.columns.index(x) for x in df.columns]
