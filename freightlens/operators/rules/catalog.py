@@ -14,7 +14,7 @@ from dataclasses import dataclass, replace
 from typing import Any
 
 from .families import RuleSpec
-from .texts import IMPACTS, ISSUES, NONE, indicator_of
+from .texts import NONE, TEXTS, indicator_of
 
 
 @dataclass(frozen=True)
@@ -1045,8 +1045,8 @@ def _describe(family: str, table: str, params: Mapping[str, Any]) -> str:
 
 
 def _spec(code: str, family: str, table: str, params: dict[str, Any]) -> RuleSpec:
-    impact, details = IMPACTS.get(code, (NONE, NONE))
-    return RuleSpec(code, family, table, params, ELEMENTS[code[:4]], indicator_of(code, params), _describe(family, table, params), ISSUES.get(code, NONE), impact, details)
+    issue, impact, details = TEXTS.get(code, (NONE, NONE, NONE))
+    return RuleSpec(code, family, table, params, ELEMENTS[code[:4]], indicator_of(code, params), _describe(family, table, params), issue, impact, details)
 
 
 def _column_rules() -> Iterable[RuleSpec]:

@@ -49,82 +49,158 @@ def indicator_of(code: str, params: Mapping[str, Any]) -> str:
     return next((text for pattern, text in _BY_COLUMN if re.search(pattern, column)), "Unique Identifier")
 
 
-#: Rules by their issue.
-_ISSUES = {
-    "Invalid Service Code Format": ("VALD1B6",),
-    "Weight Difference (CMS Cnote Weight vs Apicust Weight)": ("CONS1B15",),
-    "Origin Difference (Marketplace Seller vs {carrier})": ("CONS1B12",),
-    "Timestamp Sequence Issue": ("TIME1B2", "TIME1C9"),
-    "Prefix Destination Code Difference (CMS Cnote vs DCorrect Destination)": ("ACCU3B13B",),
-    "Mandatory Field - Blank": ("COMP2V19", "COMP2V9", "COMP2Z10", "COMP2H4", "COMP2H6", "COMP2H9", "COMP2L11", "COMP1A24", "COMP1A25", "COMP1A6", "COMP1A7", "COMP1B14", "COMP1B15", "COMP1B18", "COMP1R5", "COMP2R3", "COMP1AE10", "COMP1AE4", "COMP1AE5", "COMP1AE6", "COMP1AE8", "COMP1AE9", "COMP1AC4", "COMP1S11", "COMP1S17", "COMP1S19", "COMP1S4", "COMP1S8", "COMP1K1", "COMP1D3", "COMP1P5", "COMP1P7", "COMP1H8", "COMP1J3", "COMP1J4", "COMP1I4", "COMP1AB10", "COMP1E11", "COMP1E2", "COMP1E7", "COMP1V10", "COMP1L10", "COMP2L12", "COMP1Q5", "COMP1Q8", "COMP1N12", "COMP1N15", "COMP1N16", "COMP1N17", "COMP1N18", "COMP1N19", "COMP2P6"),
-    "Weight Difference (MFCnote Weight vs CMS Cnote Weight)": ("CONS2I4",),
-    "Manifest Timestamp Sequence Issue": ("TIME1H15 (OM)", "TIME1I9 (OM)", "TIME1I9 (TM)", "TIME1I9 (IM)"),
-    "Transit Manifest Required When Origin Differs": ("COMP4J1",),
-    "Origin Code Does Not Exist in Route Reference": ("VALD1A3", "VALD1K3", "VALD1M6", "VALD1H5", "VALD1H9", "VALD1L3"),
-    "Service Code Does Not Exist in CMS DROURATE Service Reference": ("VALD1A6", "VALD1AE8"),
-    "Weight Rounding": ("VALD2A25", "VALD2B15", "VALD2AE5", "VALD2K5", "VALD2I4"),
-    "Invalid Zip Code Format": ("VALD9A11", "VALD9A19"),
-    "Invalid Status Format": ("VALD11R4", "VALD11S19", "VALD11P4"),
-    "Invalid Delivered/Flag Format": ("VALD8R5", "VALD8P6"),
-    "Invalid Flag Value": ("VALD10S5",),
-    "Destination Code Does Not Exist in Route Reference": ("VALD1K4", "VALD1M7", "VALD1H6", "VALD1L4"),
-    "User/Zone Code Does Not Exist in ORA_ZONE": ("VALD13P7",),
-    "Destination Zone Code Does Not Exist in ORA_ZONE": ("VALD1Z11",),
-    "Origin Zone Code Does Not Exist in ORA_ZONE": ("VALD1Z12",),
-    "Origin Branch Code Does Not Exist in ORA_BRANCH": ("VALD1N3",),
-    "Destination Branch Code Does Not Exist in ORA_BRANCH": ("VALD1N4",),
-    "Duplicate Identifier": ("UNIQ1B74", "UNIQ2R1", "UNIQ2AC1", "UNIQ2W1", "UNIQ2S1", "UNIQ1S2", "UNIQ1K1", "UNIQ2P1", "UNIQ1O1", "UNIQ1O2", "UNIQ1M4", "UNIQ1G1", "UNIQ1G2", "UNIQ2I1", "UNIQ1N1", "UNIQ1AD1", "UNIQ1AD3", "UNIQ1AD6"),
-    "Destination Difference (Marketplace vs CMS Cnote)": ("CONS1B13",),
-    "Quantity Difference (Marketplace Quantity vs CMS Cnote Quantity)": ("CONS1B14",),
-    "Branch Difference (Marketplace Seller vs {carrier})": ("CONS1B3",),
-    "Timestamp Difference (POD Date vs Runsheet Date)": ("CONS2R2",),
-    "Status Difference (POD Status vs Runsheet Status)": ("CONS2R4",),
-    "Quantity Difference (DTS Agent Quantity vs CMS Cnote Quantity)": ("CONS2Y5",),
-    "Weight Difference (DTS Agent Weight vs CMS Cnote Weight)": ("CONS2Y6",),
-    "Service Code Difference (DTS Agent Service Code vs CMS Cnote Service Code)": ("CONS2Y8",),
-    "Quantity Difference (Handover Bag Quantity vs CMS Cnote Quantity)": ("CONS2AE4",),
-    "Weight Difference (Handover Bag in Cabang Weight vs Cnote Weight)": ("CONS2AE5",),
-    "Destination Difference (Handover Bag vs CMS Cnote)": ("CONS2AE6",),
-    "Quantity Difference (Inbound Handover Cnote Quantity vs CMS Cnote Quantity)": ("CONS2AC4",),
-    "Quantity Difference (Inbound Handover Quantity vs CMS Cnote Quantity)": ("CONS2F6",),
-    "Quantity Difference (Outbound Handover Quantity vs CMS Cnote Quantity)": ("CONS2W4",),
-    "Quantity Difference (Handover Runsheet Quantity vs CMS Cnote Quantity)": ("CONS2S8",),
-    "Quantity Difference (DRCNOTE Quantity vs CMS Cnote Quantity)": ("CONS2D3",),
-    "Flight Number Difference (SMU Detail Flight No vs SMU Master Flight No)": ("CONS2M2",),
-    "Weight Difference (SMU Detail Weight vs Detail Bag Weight)": ("CONS2M5",),
-    "Origin Difference (SMU Bag Origin vs Detail Bag Origin)": ("CONS2M6",),
-    "Destination Difference (SMU Bag Destination vs Detail Bag Destination)": ("CONS2M7",),
-    "Origin Difference (Master Bag Origin vs Detail Bag Origin)": ("CONS2L3",),
-    "Destination Difference (Master Bag Destination vs Detail Bag Destination)": ("CONS2L4",),
-    "Weight Difference (Master Bag Weight vs Detail Bag Weight Sum)": ("CONS2L7",),
-    "Origin Difference (SMU Master Origin vs SMU Detail Bag Origin)": ("CONS2N3",),
-    "Destination Difference (SMU Master Destination vs SMU Detail Bag Destination)": ("CONS2N4",),
-    "Quantity Difference (SMU Quantity vs DSMU Bag Count)": ("CONS4N9",),
-    "Service Code Does Not Exist (APICUST Service Code vs CMS DROURATE Service)": ("ACCU5A6",),
-    "Package is weighted again due to volumetric weight issues": ("ACCU4B15",),
-    "Service Code Does Not Exist (CMS Cnote Service Code vs CMS DROURATE Service)": ("ACCU6B6",),
-    "Branch Difference (MRCNOTE Branch vs CMS Cnote Branch)": ("CONS2C3",),
-    "Origin Difference (Detail Bag Origin vs Manifest From)": ("CONS2K3",),
-    "Destination Difference (Detail Bag Destination vs Manifest Thru)": ("CONS2K4",),
-    "Weight Difference (Detail Bag Weight vs Manifest Bag Weight)": ("CONS3K5",),
-    "Destination Difference (MTS Agent Destination vs CMS Cnote Destination)": ("CONS2X4",),
-    "Weight Difference (MTS Agent CTC Weight vs MFCnote Weight)": ("CONS2X5",),
-    "Weight Difference (MTS Agent Actual Weight vs CMS Cnote Weight)": ("CONS2X6",),
-    "Weight Difference (Manifest Bag Actual Weight vs MFCnote Weight Sum)": ("CONS3J3",),
-    "Weight Difference (Manifest Bag CTC Weight vs MFCnote Weight Sum)": ("CONS3J4",),
-    "Weight Difference (SMU Master Weight vs MFCnote Weight Sum)": ("CONS3N10",),
-    "Quantity Difference (Master Bag Quantity vs MFCnote Count)": ("CONS4L6",),
+#: Issue, main impact and its details of the rules that have them, in the catalog's order.
+TEXTS = {
+    "COMP1A6": ("Mandatory Field - Blank", NONE, NONE),
+    "COMP1A7": ("Mandatory Field - Blank", "Billing", "Over-billing/Under-billing"),
+    "COMP1A24": ("Mandatory Field - Blank", NONE, NONE),
+    "COMP1A25": ("Mandatory Field - Blank", "Billing", "Under-billing"),
+    "VALD1A3": ("Origin Code Does Not Exist in Route Reference", "Operation", "Internal Dispute"),
+    "VALD1A6": ("Service Code Does Not Exist in CMS DROURATE Service Reference", NONE, NONE),
+    "VALD2A25": ("Weight Rounding", "Billing", "Over-billing/Under-billing"),
+    "VALD9A11": ("Invalid Zip Code Format", NONE, NONE),
+    "VALD9A19": ("Invalid Zip Code Format", NONE, NONE),
+    "COMP1B14": ("Mandatory Field - Blank", NONE, NONE),
+    "COMP1B15": ("Mandatory Field - Blank", "Billing", "Under-billing"),
+    "COMP1B18": ("Mandatory Field - Blank", NONE, NONE),
+    "VALD1B6": ("Invalid Service Code Format", NONE, NONE),
+    "VALD2B15": ("Weight Rounding", "Billing", "Over-billing/Under-billing"),
+    "UNIQ1B74": ("Duplicate Identifier", NONE, NONE),
+    "COMP1R5": ("Mandatory Field - Blank", NONE, NONE),
+    "VALD8R5": ("Invalid Delivered/Flag Format", NONE, NONE),
+    "VALD11R4": ("Invalid Status Format", NONE, NONE),
+    "UNIQ2R1": ("Duplicate Identifier", NONE, NONE),
+    "COMP1AE4": ("Mandatory Field - Blank", NONE, NONE),
+    "COMP1AE5": ("Mandatory Field - Blank", "Reporting", "Understated weight"),
+    "COMP1AE6": ("Mandatory Field - Blank", "Operation", "Internal Dispute"),
+    "COMP1AE8": ("Mandatory Field - Blank", NONE, NONE),
+    "COMP1AE9": ("Mandatory Field - Blank", NONE, NONE),
+    "COMP1AE10": ("Mandatory Field - Blank", NONE, NONE),
+    "VALD1AE8": ("Service Code Does Not Exist in CMS DROURATE Service Reference", NONE, NONE),
+    "VALD2AE5": ("Weight Rounding", "Billing", "Over-billing/Under-billing"),
+    "COMP1AC4": ("Mandatory Field - Blank", NONE, NONE),
+    "UNIQ2AC1": ("Duplicate Identifier", NONE, NONE),
+    "UNIQ2W1": ("Duplicate Identifier", NONE, NONE),
+    "COMP1S4": ("Mandatory Field - Blank", NONE, NONE),
+    "COMP1S8": ("Mandatory Field - Blank", NONE, NONE),
+    "COMP1S11": ("Mandatory Field - Blank", NONE, NONE),
+    "COMP1S17": ("Mandatory Field - Blank", NONE, NONE),
+    "COMP1S19": ("Mandatory Field - Blank", NONE, NONE),
+    "VALD11S19": ("Invalid Status Format", NONE, NONE),
+    "UNIQ1S2": ("Duplicate Identifier", NONE, NONE),
+    "UNIQ2S1": ("Duplicate Identifier", NONE, NONE),
+    "COMP1K1": ("Mandatory Field - Blank", NONE, NONE),
+    "VALD1K3": ("Origin Code Does Not Exist in Route Reference", "Operation", "Internal Dispute"),
+    "VALD1K4": ("Destination Code Does Not Exist in Route Reference", "Operation", "Internal Dispute"),
+    "VALD2K5": ("Weight Rounding", "Billing", "Over-billing/Under-billing"),
+    "UNIQ1K1": ("Duplicate Identifier", NONE, NONE),
+    "COMP1D3": ("Mandatory Field - Blank", NONE, NONE),
+    "COMP1P5": ("Mandatory Field - Blank", NONE, NONE),
+    "COMP1P7": ("Mandatory Field - Blank", NONE, NONE),
+    "VALD8P6": ("Invalid Delivered/Flag Format", NONE, NONE),
+    "VALD11P4": ("Invalid Status Format", NONE, NONE),
+    "VALD13P7": ("User/Zone Code Does Not Exist in ORA_ZONE", NONE, NONE),
+    "UNIQ2P1": ("Duplicate Identifier", NONE, NONE),
+    "UNIQ1O1": ("Duplicate Identifier", NONE, NONE),
+    "UNIQ1O2": ("Duplicate Identifier", NONE, NONE),
+    "VALD1M6": ("Origin Code Does Not Exist in Route Reference", "Operation", "Internal Dispute"),
+    "VALD1M7": ("Destination Code Does Not Exist in Route Reference", "Operation", "Internal Dispute"),
+    "UNIQ1M4": ("Duplicate Identifier", NONE, NONE),
+    "UNIQ1G1": ("Duplicate Identifier", NONE, NONE),
+    "UNIQ1G2": ("Duplicate Identifier", NONE, NONE),
+    "COMP1H8": ("Mandatory Field - Blank", NONE, NONE),
+    "VALD1H5": ("Origin Code Does Not Exist in Route Reference", "Operation", "Internal Dispute"),
+    "VALD1H6": ("Destination Code Does Not Exist in Route Reference", "Operation", "Internal Dispute"),
+    "VALD1H9": ("Origin Code Does Not Exist in Route Reference", "Operation", "Internal Dispute"),
+    "COMP1J3": ("Mandatory Field - Blank", "Reporting", "Understated weight"),
+    "COMP1J4": ("Mandatory Field - Blank", "Reporting", "Understated weight"),
+    "COMP1I4": ("Mandatory Field - Blank", "Reporting", "Understated weight"),
+    "VALD2I4": ("Weight Rounding", "Billing", "Over-billing/Under-billing"),
+    "UNIQ2I1": ("Duplicate Identifier", NONE, NONE),
+    "COMP1AB10": ("Mandatory Field - Blank", NONE, NONE),
+    "COMP1E2": ("Mandatory Field - Blank", NONE, NONE),
+    "COMP1E7": ("Mandatory Field - Blank", NONE, NONE),
+    "COMP1E11": ("Mandatory Field - Blank", NONE, NONE),
+    "COMP1V10": ("Mandatory Field - Blank", NONE, NONE),
+    "COMP1L10": ("Mandatory Field - Blank", NONE, NONE),
+    "COMP2L11": ("Mandatory Field - Blank", NONE, NONE),
+    "VALD1L3": ("Origin Code Does Not Exist in Route Reference", "Operation", "Internal Dispute"),
+    "VALD1L4": ("Destination Code Does Not Exist in Route Reference", "Operation", "Internal Dispute"),
+    "COMP1Q5": ("Mandatory Field - Blank", NONE, NONE),
+    "COMP1Q8": ("Mandatory Field - Blank", NONE, NONE),
+    "VALD1Z11": ("Destination Zone Code Does Not Exist in ORA_ZONE", "Operation", "Internal Dispute"),
+    "VALD1Z12": ("Origin Zone Code Does Not Exist in ORA_ZONE", "Operation", "Internal Dispute"),
+    "COMP1N12": ("Mandatory Field - Blank", NONE, NONE),
+    "COMP1N15": ("Mandatory Field - Blank", NONE, NONE),
+    "COMP1N16": ("Mandatory Field - Blank", NONE, NONE),
+    "COMP1N17": ("Mandatory Field - Blank", NONE, NONE),
+    "COMP1N18": ("Mandatory Field - Blank", NONE, NONE),
+    "COMP1N19": ("Mandatory Field - Blank", NONE, NONE),
+    "VALD1N3": ("Origin Branch Code Does Not Exist in ORA_BRANCH", "Operation", "Internal Dispute"),
+    "VALD1N4": ("Destination Branch Code Does Not Exist in ORA_BRANCH", "Operation", "Internal Dispute"),
+    "UNIQ1N1": ("Duplicate Identifier", NONE, NONE),
+    "UNIQ1AD1": ("Duplicate Identifier", NONE, NONE),
+    "UNIQ1AD3": ("Duplicate Identifier", NONE, NONE),
+    "UNIQ1AD6": ("Duplicate Identifier", NONE, NONE),
+    "CONS1B15": ("Weight Difference (CMS Cnote Weight vs Apicust Weight)", "Billing", "Seller & {carrier} Dispute"),
+    "CONS1B12": ("Origin Difference (Marketplace Seller vs {carrier})", "Operation", "Internal Dispute"),
+    "CONS1B13": ("Destination Difference (Marketplace vs CMS Cnote)", "Billing", "Over-billing/Under-billing"),
+    "CONS1B14": ("Quantity Difference (Marketplace Quantity vs CMS Cnote Quantity)", NONE, NONE),
+    "CONS1B3": ("Branch Difference (Marketplace Seller vs {carrier})", NONE, NONE),
+    "CONS2R2": ("Timestamp Difference (POD Date vs Runsheet Date)", NONE, NONE),
+    "CONS2R4": ("Status Difference (POD Status vs Runsheet Status)", NONE, NONE),
+    "CONS2Y5": ("Quantity Difference (DTS Agent Quantity vs CMS Cnote Quantity)", NONE, NONE),
+    "CONS2Y8": ("Service Code Difference (DTS Agent Service Code vs CMS Cnote Service Code)", NONE, NONE),
+    "CONS2AE4": ("Quantity Difference (Handover Bag Quantity vs CMS Cnote Quantity)", NONE, NONE),
+    "CONS2AE6": ("Destination Difference (Handover Bag vs CMS Cnote)", "Operation", "Internal Dispute"),
+    "CONS2AC4": ("Quantity Difference (Inbound Handover Cnote Quantity vs CMS Cnote Quantity)", NONE, NONE),
+    "CONS2F6": ("Quantity Difference (Inbound Handover Quantity vs CMS Cnote Quantity)", NONE, NONE),
+    "CONS2W4": ("Quantity Difference (Outbound Handover Quantity vs CMS Cnote Quantity)", NONE, NONE),
+    "CONS2S8": ("Quantity Difference (Handover Runsheet Quantity vs CMS Cnote Quantity)", NONE, NONE),
+    "CONS2D3": ("Quantity Difference (DRCNOTE Quantity vs CMS Cnote Quantity)", NONE, NONE),
+    "CONS2M2": ("Flight Number Difference (SMU Detail Flight No vs SMU Master Flight No)", NONE, NONE),
+    "CONS2M6": ("Origin Difference (SMU Bag Origin vs Detail Bag Origin)", "Operation", "Internal Dispute"),
+    "CONS2M7": ("Destination Difference (SMU Bag Destination vs Detail Bag Destination)", "Operation", "Internal Dispute"),
+    "CONS2L3": ("Origin Difference (Master Bag Origin vs Detail Bag Origin)", "Operation", "Internal Dispute"),
+    "CONS2L4": ("Destination Difference (Master Bag Destination vs Detail Bag Destination)", "Operation", "Internal Dispute"),
+    "TIME1B2": ("Timestamp Sequence Issue", NONE, NONE),
+    "TIME1C9": ("Timestamp Sequence Issue", NONE, NONE),
+    "CONS2N3": ("Origin Difference (SMU Master Origin vs SMU Detail Bag Origin)", "Operation", "Internal Dispute"),
+    "CONS2N4": ("Destination Difference (SMU Master Destination vs SMU Detail Bag Destination)", "Operation", "Internal Dispute"),
+    "ACCU3B13B": ("Prefix Destination Code Difference (CMS Cnote vs DCorrect Destination)", "Billing", "Over-billing/Under-billing"),
+    "COMP2V19": ("Mandatory Field - Blank", NONE, NONE),
+    "COMP2V9": ("Mandatory Field - Blank", NONE, NONE),
+    "COMP2Z10": ("Mandatory Field - Blank", NONE, NONE),
+    "COMP2H4": ("Mandatory Field - Blank", NONE, NONE),
+    "COMP2H6": ("Mandatory Field - Blank", "Operation", "Internal Dispute"),
+    "COMP2H9": ("Mandatory Field - Blank", "Operation", "Internal Dispute"),
+    "COMP2R3": ("Mandatory Field - Blank", NONE, NONE),
+    "COMP2L12": ("Mandatory Field - Blank", NONE, NONE),
+    "CONS2I4": ("Weight Difference (MFCnote Weight vs CMS Cnote Weight)", "Reporting", "Internal Dispute"),
+    "CONS2Y6": ("Weight Difference (DTS Agent Weight vs CMS Cnote Weight)", "Reporting", "Internal Dispute"),
+    "CONS2AE5": ("Weight Difference (Handover Bag in Cabang Weight vs Cnote Weight)", "Reporting", "Internal Dispute"),
+    "CONS2M5": ("Weight Difference (SMU Detail Weight vs Detail Bag Weight)", "Reporting", "Internal Dispute"),
+    "TIME1H15 (OM)": ("Manifest Timestamp Sequence Issue", NONE, NONE),
+    "COMP4J1": ("Transit Manifest Required When Origin Differs", NONE, NONE),
+    "VALD10S5": ("Invalid Flag Value", NONE, NONE),
+    "CONS2L7": ("Weight Difference (Master Bag Weight vs Detail Bag Weight Sum)", "Reporting", "Internal Dispute"),
+    "CONS3J3": ("Weight Difference (Manifest Bag Actual Weight vs MFCnote Weight Sum)", "Reporting", "Internal Dispute"),
+    "CONS3J4": ("Weight Difference (Manifest Bag CTC Weight vs MFCnote Weight Sum)", "Reporting", "Internal Dispute"),
+    "CONS3N10": ("Weight Difference (SMU Master Weight vs MFCnote Weight Sum)", "Reporting", "Internal Dispute"),
+    "CONS4N9": ("Quantity Difference (SMU Quantity vs DSMU Bag Count)", NONE, NONE),
+    "ACCU5A6": ("Service Code Does Not Exist (APICUST Service Code vs CMS DROURATE Service)", NONE, NONE),
+    "ACCU6B6": ("Service Code Does Not Exist (CMS Cnote Service Code vs CMS DROURATE Service)", NONE, NONE),
+    "ACCU4B15": ("Package is weighted again due to volumetric weight issues", "Billing", "Potential Revenue Loss"),
+    "COMP2P6": ("Mandatory Field - Blank", NONE, NONE),
+    "TIME1I9 (OM)": ("Manifest Timestamp Sequence Issue", NONE, NONE),
+    "TIME1I9 (TM)": ("Manifest Timestamp Sequence Issue", NONE, NONE),
+    "TIME1I9 (IM)": ("Manifest Timestamp Sequence Issue", NONE, NONE),
+    "CONS2C3": ("Branch Difference (MRCNOTE Branch vs CMS Cnote Branch)", NONE, NONE),
+    "CONS2K3": ("Origin Difference (Detail Bag Origin vs Manifest From)", "Operation", "Internal Dispute"),
+    "CONS2K4": ("Destination Difference (Detail Bag Destination vs Manifest Thru)", "Operation", "Internal Dispute"),
+    "CONS2X4": ("Destination Difference (MTS Agent Destination vs CMS Cnote Destination)", "Operation", "Internal Dispute"),
+    "CONS2X5": ("Weight Difference (MTS Agent CTC Weight vs MFCnote Weight)", "Reporting", "Internal Dispute"),
+    "CONS2X6": ("Weight Difference (MTS Agent Actual Weight vs CMS Cnote Weight)", "Reporting", "Internal Dispute"),
+    "CONS3K5": ("Weight Difference (Detail Bag Weight vs Manifest Bag Weight)", "Reporting", "Internal Dispute"),
+    "CONS4L6": ("Quantity Difference (Master Bag Quantity vs MFCnote Count)", NONE, NONE),
 }
-ISSUES = {code: issue for issue, codes in _ISSUES.items() for code in codes}
-
-#: Rules by their main impact and its details.
-_IMPACTS = {
-    ("Billing", "Seller & {carrier} Dispute"): ("CONS1B15",),
-    ("Operation", "Internal Dispute"): ("CONS1B12", "COMP2H6", "COMP2H9", "COMP1AE6", "VALD1A3", "VALD1K3", "VALD1K4", "VALD1M6", "VALD1M7", "VALD1H5", "VALD1H6", "VALD1H9", "VALD1L3", "VALD1L4", "VALD1Z11", "VALD1Z12", "VALD1N3", "VALD1N4", "CONS2AE6", "CONS2M6", "CONS2M7", "CONS2L3", "CONS2L4", "CONS2N3", "CONS2N4", "CONS2K3", "CONS2K4", "CONS2X4"),
-    ("Billing", "Over-billing/Under-billing"): ("ACCU3B13B", "COMP1A7", "VALD2A25", "VALD2B15", "VALD2AE5", "VALD2K5", "VALD2I4", "CONS1B13"),
-    ("Reporting", "Internal Dispute"): ("CONS2I4", "CONS2Y6", "CONS2AE5", "CONS2M5", "CONS2L7", "CONS3K5", "CONS2X5", "CONS2X6", "CONS3J3", "CONS3J4", "CONS3N10"),
-    ("Billing", "Under-billing"): ("COMP1A25", "COMP1B15"),
-    ("Reporting", "Understated weight"): ("COMP1AE5", "COMP1J3", "COMP1J4", "COMP1I4"),
-    ("Billing", "Potential Revenue Loss"): ("ACCU4B15",),
-}
-IMPACTS = {code: impact for impact, codes in _IMPACTS.items() for code in codes}
