@@ -43,7 +43,9 @@ CAPACITY, END_ID = 1024, 2
 SLOTS = 8192
 #: Sequences of a level with copies are held back for the next level when less than this part of them is full, at most HELD slots.
 WELL_FILLED, HELD = 0.998, 512
-ISLANDS, POPULATION, EPOCHS, OFFSPRING = 4, 6, 3, 24
+#: One in so many pieces waits for a later level: what copies leave over has all lengths alike, and packs badly by itself.
+LATER = 8
+ISLANDS, POPULATION, EPOCHS, OFFSPRING = 4, 6, 3, 64
 
 
 class Encoder:
@@ -226,9 +228,13 @@ class Groups:
         self.by_room[room].append(g)
         self.mask |= 1 << room
 
-    def best_fit(self, slots: list[int]) -> None:
-        """Each slot, largest first, goes where the least room is left; a bit for each room that some sequence has finds it."""
-        for s in sorted(slots, key=self.sizes.__getitem__, reverse=True):
+    def best_fit(self, slots: list[int], rng: random.Random | None = None) -> None:
+        """Each slot, largest first, goes where the least room is left; a bit for each room that some sequence has finds it. rng: sizes count as a little larger at random, which puts slots in another order."""
+        order = self.sizes
+        if rng:
+            spread = rng.choice((0.02, 0.1, 0.3))
+            order = {s: self.sizes[s] * (1 + spread * rng.random()) for s in slots}
+        for s in sorted(slots, key=order.__getitem__, reverse=True):
             size = self.sizes[s]
             wide = self.mask >> size
             if not wide:
@@ -266,7 +272,7 @@ def groups_of(chromosome: np.ndarray) -> list[list[int]]:
 
 
 def crossed(one: Groups, two: Groups, rng: random.Random) -> Groups:
-    """A child of `one` with well-filled groups of `two`, without a few of the emptiest groups."""
+    """A child of `one` with well-filled groups of `two`; up to a quarter of its groups, the emptiest, are dissolved."""
     ranked = sorted(range(len(two.groups)), key=two.room.__getitem__)
     best = ranked[: max(1, len(ranked) // 2)]
     chosen = rng.sample(best, max(1, len(best) // rng.choice((4, 16, 64))))
@@ -282,12 +288,12 @@ def crossed(one: Groups, two: Groups, rng: random.Random) -> Groups:
         else:
             left.append(g)
     left.sort(key=one.room.__getitem__, reverse=True)
-    dissolved = min(len(left), rng.randint(1, 8))
+    dissolved = min(len(left), rng.randint(1, max(8, len(left) // 4)))
     for g in left[:dissolved]:
         displaced += one.groups[g]
     for g in left[dissolved:]:
         child.add(list(one.groups[g]), one.room[g])
-    child.best_fit(displaced)
+    child.best_fit(displaced, rng)
     return child
 
 
@@ -370,7 +376,8 @@ def levels_of(spark: SparkSession, counts: dict[int, int], capacity: int = CAPAC
     level = 1
     while left:
         copies = max(1, min(sum(left.values()) // slots, max(left.values())))
-        sizes = [s for s in sorted(left, reverse=True) for _ in range(left[s] // copies)]
+        mine = {s: (n if copies == 1 else n - n // LATER) // copies for s, n in left.items()}
+        sizes = [s for s in sorted(mine, reverse=True) for _ in range(mine[s])] or [max(left, key=left.__getitem__)]
         fill = lambda group: sum(sizes[x] for x in group)
         groups = sorted(groups_of(solved(spark, sizes, capacity, **how)), key=fill)
         held = 0
