@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from contextlib import closing
 from datetime import date
+from glob import glob
+from pathlib import Path
+from zipfile import ZipFile
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -216,25 +221,47 @@ def _(t):
 _DERBY = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
 
 
-def _database(t: Standins) -> str:
-    """The address of a new database in files; it opens in one Java process, so these queries are for a local master."""
-    t.spark._jvm.System.setProperty("derby.stream.error.file", "/dev/null")  # else it leaves a log where it runs
-    return f"jdbc:derby:{work_folder(t.spark).split('://')[-1].removeprefix('file:')}/db;create=true"
+def _database(t: Standins, **tables: tuple[DataFrame, str]) -> str:
+    """The address of a database with these tables (rows, columns' types), which any number of Java processes may read.
+
+    Derby's files are open to one process at a time, those in an archive to all that only read. So Spark writes the rows as
+    files, Derby imports them and is shut down, and its folder becomes an archive (stored, so that pages are found by their
+    place). The work folder must be one that driver and executors mount.
+    """
+    jvm, place = t.spark._jvm, work_folder(t.spark)
+    local = place.removeprefix("file:").replace("///", "/")
+    jvm.System.setProperty("derby.stream.error.file", "/dev/null")  # else it leaves a log where it runs
+    connect = lambda how: jvm.org.apache.derby.iapi.jdbc.AutoloadedDriver().connect(f"jdbc:derby:{local}/db;{how}", jvm.java.util.Properties())
+    for name, (rows, _) in tables.items():
+        text = rows.select(*(F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(c) if kind.startswith("timestamp") else F.col(c) for c, kind in rows.dtypes))
+        text.write.option("quoteAll", True).option("nullValue", None).option("escape", '"').csv(f"{place}/{name}")
+    with closing(connect("create=true")) as db, closing(db.createStatement()) as statement:
+        for name, (_, types) in tables.items():
+            statement.execute(f"CREATE TABLE {name} ({types})")
+            for part in sorted(glob(f"{local}/{name}/part-*")):
+                statement.execute(f"CALL SYSCS_UTIL.SYSCS_IMPORT_TABLE(NULL, '{name}', '{part}', NULL, NULL, 'UTF-8', 0)")
+    try:
+        connect("shutdown=true")
+    except Py4JJavaError as e:  # Derby tells by an error that it is shut down
+        if "08006" not in str(e.java_exception.getSQLState()):
+            raise
+    with ZipFile(f"{local}/db.jar", "w") as archive:
+        for path in sorted(Path(f"{local}/db").rglob("*")):
+            archive.write(path, path.relative_to(local))
+    return f"jdbc:derby:jar:({local}/db.jar)db"
 
 
 @query("jdbc_scan", "SELECT ZONE_CODE AS \"ZONE_CODE\" FROM ORA_ZONE WHERE ZONE_CODE > 'Z1'")
 def _(t):
     """A database's table, whose columns and rows are chosen there."""
-    url = _database(t)
-    t("ORA_ZONE").withColumn("OTHER", F.lit("x")).coalesce(1).write.option("createTableColumnTypes", "ZONE_CODE VARCHAR(40), OTHER VARCHAR(40)").jdbc(url, "ZONES", properties=_DERBY)
+    url = _database(t, ZONES=(t("ORA_ZONE").withColumn("OTHER", F.lit("x")), "ZONE_CODE VARCHAR(40), OTHER VARCHAR(40)"))
     return read_jdbc(t.spark, url, "ZONES", columns=["ZONE_CODE"], where="ZONE_CODE > 'Z1'", **_DERBY)
 
 
 @query("jdbc_scope", f"WITH c AS ({_SCOPE}) SELECT DHOCNOTE_NO, DHOCNOTE_CNOTE_NO, DHOCNOTE_TDATE FROM CMS_DHOCNOTE SEMI JOIN c ON DHOCNOTE_CNOTE_NO = k WHERE {_guard('DHOCNOTE_TDATE')}")
 def _(t):
     """A restricted table of a database, to which the scope's keys and the date guard go."""
-    url = _database(t)
-    t("CMS_DHOCNOTE").coalesce(1).write.option("createTableColumnTypes", "DHOCNOTE_NO VARCHAR(40), DHOCNOTE_CNOTE_NO VARCHAR(40)").jdbc(url, "CMS_DHOCNOTE", properties=_DERBY)
+    url = _database(t, CMS_DHOCNOTE=(t("CMS_DHOCNOTE"), "DHOCNOTE_NO VARCHAR(40), DHOCNOTE_CNOTE_NO VARCHAR(40), DHOCNOTE_TDATE TIMESTAMP"))
     tables = TableCatalog({"CMS_CNOTE": lambda: t("CMS_CNOTE"), "CMS_DHOCNOTE": JdbcTable(t.spark, url, "CMS_DHOCNOTE", **_DERBY)})
     return ScopeGraph(tables, _WINDOW).restricted("CMS_DHOCNOTE")
 
