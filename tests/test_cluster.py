@@ -35,3 +35,7 @@ def on_cluster(name, place):
 
 def test_jdbc_scan(tmp_path):
     on_cluster("jdbc_scan", tmp_path)
+
+
+def test_jdbc_scope(tmp_path):
+    on_cluster("jdbc_scope", tmp_path)
