@@ -37,3 +37,15 @@ def test_only_links_of_the_rules_tables_are_followed(spark, capsys):
     both = build_links(t, t.available, paths=PATHS).where("source_table = 'CMS_MFBAG'")
     assert sorted(own.collect()) == sorted(both.collect())
     assert len(exchanged(own, capsys)) < 5
+
+
+def test_published_results_read_links_of_their_rules_alone(spark, monkeypatch):
+    from freightlens.plans import run_queries
+    from freightlens.plans.queries import QUERIES
+
+    found = []
+    build = run_queries.links.build_links
+    monkeypatch.setattr(run_queries.links, "build_links", lambda *a, **how: found.append(how) or build(*a, **how))
+    for name in ("results_published", "result_enrichment"):
+        QUERIES[name](spark, SF)
+    assert [set(how.get("sources") or ()) for how in found] == [{"CMS_MFBAG", "CMS_CNOTE"}] * 2
