@@ -49,3 +49,32 @@ def test_published_results_read_links_of_their_rules_alone(spark, monkeypatch):
     for name in ("results_published", "result_enrichment"):
         QUERIES[name](spark, SF)
     assert [set(how.get("sources") or ()) for how in found] == [{"CMS_MFBAG", "CMS_CNOTE"}] * 2
+
+
+def test_a_summary_alone_writes_no_checks(spark, tmp_path):
+    """Totals of a few rules of each kind, as a run with results counts them, and what is left in the work folder."""
+    from freightlens.operators.rules import run_rules
+    from freightlens.plans.queries import CATALOG, by_code
+
+    t = Standins(spark, SF)
+    rules = by_code(CATALOG, "COMP1B12", "VALD1B6", "UNIQ1B74", "UNIQ2I1", "ACCU6B6", "COMP2P6", "TIME1I9 (OM)", "CONS3J3", "CONS3K5", "COMP1B18")
+    sizes, found = [], []
+    for only in (False, True):
+        work = tmp_path / str(only)
+        result = run_rules(spark, t, rules, t.available, work=f"file://{work}", summary_only=only)
+        found.append(sorted(result.summary.collect()))
+        sizes.append(sum(f.stat().st_size for f in work.rglob("*.parquet")))
+        assert (result.checks is None) == only == (result.results is None)
+    assert found[0] == found[1] and len({r.status for r in found[0]}) > 2
+    assert sizes[1] < sizes[0] / 2
+
+
+def test_the_catalog_s_totals_are_counted_without_results(spark, monkeypatch):
+    from freightlens.operators.rules import runner
+    from freightlens.plans import run_queries
+    from freightlens.plans.queries import QUERIES
+
+    asked = []
+    monkeypatch.setattr(run_queries, "run_rules", lambda *a, **how: asked.append(how) or runner.RunResult(None, None, None, spark.range(0).selectExpr(*(f"'' AS {c}" for c in runner.SUMMARY_COLUMNS))))
+    QUERIES["rules_of_catalog"](spark, SF)
+    assert asked == [{"summary_only": True}]
