@@ -51,6 +51,27 @@ def test_published_results_read_links_of_their_rules_alone(spark, monkeypatch):
     assert [set(how.get("sources") or ()) for how in found] == [{"CMS_MFBAG", "CMS_CNOTE"}] * 2
 
 
+def test_shipments_without_a_number_or_an_order_are_spread(spark, capsys):
+    """No exchange of the orders' stage, nor of the mart, is by a key that is null for many rows."""
+    from freightlens.operators import mart
+
+    t = Standins(spark, SF)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = mart.orders_stage(t, mart.zones(t))
+        capsys.readouterr()
+        rows.explain("formatted")
+        plan = capsys.readouterr().out
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    keys = re.findall(r"Left keys \[\d+\]: \[(\w+)#\d+\]", plan)
+    assert keys.count("_spread") == 1 and "CNOTE_NO" not in keys
+    assert "CNOTE_DATE" not in "".join(re.findall(r"Input \[\d+\]: \[([^\]]*)\]\nArguments: hashpartitioning\(APICUST_CNOTE_NO", plan))
+    alone = rows.where("CNOTE_NO IS NULL")
+    assert alone.select("_spread").distinct().count() == alone.count() > 1
+    assert rows.drop("_spread").count() == t("CMS_CNOTE").count()
+
+
 def test_a_summary_alone_writes_no_checks(spark, tmp_path):
     """Totals of a few rules of each kind, as a run with results counts them, and what is left in the work folder."""
     from freightlens.operators.rules import run_rules
