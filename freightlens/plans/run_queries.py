@@ -46,9 +46,11 @@ def _(t):
     """Rows in the order of a physical key; inversions: rows of a part that stand before a smaller one."""
     path = work_folder(t.spark)
     write_table(t("CMS_MFCNOTE").select("MFCNOTE_NO", "MFCNOTE_MAN_NO"), path, order=["MFCNOTE_MAN_NO", "MFCNOTE_NO"])
-    rows = t.spark.read.parquet(path).select("*", "_metadata.file_path", F.monotonically_increasing_id().alias("at"))
-    before = F.lag(F.struct("MFCNOTE_MAN_NO", "MFCNOTE_NO")).over(Window.partitionBy("file_path").orderBy("at"))
-    odd = rows.select((before > F.struct("MFCNOTE_MAN_NO", "MFCNOTE_NO")).alias("odd")).agg(F.count_if("odd").alias("n"))
+    rows = t.spark.read.parquet(path).select("*", F.xxhash64("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"))
+    # As many tasks as files, so that a task's memory is that of some files however many there are.
+    dealt = rows.repartition(max(1, len(t.spark.read.parquet(path).inputFiles())), "file")
+    before = F.lag(F.struct("MFCNOTE_MAN_NO", "MFCNOTE_NO")).over(Window.partitionBy("file").orderBy("at"))
+    odd = dealt.select((before > F.struct("MFCNOTE_MAN_NO", "MFCNOTE_NO")).alias("odd")).agg(F.count_if("odd").alias("n"))
     return rows.select("MFCNOTE_NO", "MFCNOTE_MAN_NO", odd.scalar().alias("inversions"))
 
 

@@ -114,11 +114,12 @@ def write_table(df: DataFrame, path: str, rows_per_file: int = 250_000, compress
     """Writes parts of at most rows_per_file rows, counts the rows in the same job, and leaves the count in _rows.
 
     order: the physical sort key; rows go to parts by ranges of it and are sorted in each, so readers skip parts by its
-    least and greatest values. observed: further aggregates of the same job; their values replace them in the dict.
+    least and greatest values. Without partitions there are as many ranges as files, so that what a task sorts doesn't grow
+    with the table; the rows are counted for that. observed: further aggregates of the same job; their values replace them in the dict.
     """
     out, counted = df, Observation()
     if order := [c for c in order if c in df.columns]:
-        out = (out.repartitionByRange(partitions, *order) if partitions else out.repartitionByRange(*order)).sortWithinPartitions(*order)
+        out = out.repartitionByRange(partitions or max(1, -(-df.count() // rows_per_file)), *order).sortWithinPartitions(*order)
     elif partitions:
         out = out.repartition(partitions)
     # Last, as ranges are found by reading the rows once before.

@@ -99,3 +99,12 @@ def test_the_catalog_s_totals_are_counted_without_results(spark, monkeypatch):
     monkeypatch.setattr(run_queries, "run_rules", lambda *a, **how: asked.append(how) or runner.RunResult(None, None, None, spark.range(0).selectExpr(*(f"'' AS {c}" for c in runner.SUMMARY_COLUMNS))))
     QUERIES["rules_of_catalog"](spark, SF)
     assert asked == [{"summary_only": True}]
+
+
+def test_sorted_parts_have_as_many_ranges_as_files(spark, tmp_path):
+    from freightlens.sources.runs import write_table
+
+    rows = spark.range(1000).selectExpr("id % 97 AS a", "id AS b")
+    assert write_table(rows, str(tmp_path / "t"), rows_per_file=100, order=["a", "b"]) == 1000
+    ranges = {p.name.split("-")[1] for p in (tmp_path / "t").glob("part-*")}
+    assert len(ranges) >= 8
