@@ -108,3 +108,17 @@ def test_sorted_parts_have_as_many_ranges_as_files(spark, tmp_path):
     assert write_table(rows, str(tmp_path / "t"), rows_per_file=100, order=["a", "b"]) == 1000
     ranges = {p.name.split("-")[1] for p in (tmp_path / "t").glob("part-*")}
     assert len(ranges) >= 8
+
+
+def test_no_stage_moves_for_its_users_zones(spark, capsys):
+    from freightlens.operators import mart
+
+    t = Standins(spark, SF)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        capsys.readouterr()
+        mart.build_mart(t).explain("formatted")
+        plan = capsys.readouterr().out
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert not re.findall(r"hashpartitioning\([^)]*(?:USER|UID)", plan)
