@@ -228,6 +228,20 @@ def test_many_keys_go_to_the_database_as_ranges(spark, tmp_path):
     assert sorted(r.K for r in some.collect()) == sorted(r.k for r in keys.collect())
 
 
+def test_text_keys_are_no_columns_on_the_driver(spark, tmp_path, monkeypatch):
+    """A column object a key takes minutes for 50,000 keys; and the union of their lists is made by halves."""
+    from freightlens.sources import readers
+
+    raw = JdbcTable(spark, database(spark, tmp_path, 300), "T", **DERBY).read()
+    keys = spark.createDataFrame([(f"K{k:05d}",) for k in range(0, 300, 3)] + [("it's",), ("a\\b",)], "k string")
+    made, depth = [], lambda plan: 1 + max([0, *(depth(plan.children().apply(k)) for k in range(plan.children().size()))])
+    lit = readers.F.lit
+    monkeypatch.setattr(readers.F, "lit", lambda v: made.append(v) or lit(v))
+    found = with_keys(raw, "K", keys, chunk=6)
+    assert sorted(r.K for r in found.collect()) == [f"K{k:05d}" for k in range(0, 300, 3)]
+    assert not made and depth(found._jdf.queryExecution().analyzed()) < 12
+
+
 def test_scopes_push_their_keys(spark, tmp_path):
     spark._jvm.System.setProperty("derby.stream.error.file", "/dev/null")
     url = f"jdbc:derby:{tmp_path}/db;create=true"
