@@ -28,6 +28,24 @@ def test_no_row_carries_its_rules_texts_through_a_shuffle(spark, capsys):
     assert carried and not [c for c in carried if "issue_description" in c or "logic_description" in c]
 
 
+def test_no_row_carries_its_document_twice(spark, capsys):
+    """A direct row has one number on its way to its shipment, and distinct links lie where their join has put them."""
+    t = Standins(spark, SF)
+    checks = spark.createDataFrame([("COMP1J3", "B1", "PASS", "1.5", ""), ("COMP1B12", "C7", "FAIL", "", "")], "code string, document_id string, status string, variable_1 string, variable_2 string")
+    linked = spark.createDataFrame([("CMS_MFBAG", "B1", "C5"), ("cms_mfbag ", "B1", "C5"), ("CMS_MFBAG", "B1", "C9")], "source_table string, document_id string, cnote_no string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        alone = [[c.split("#")[0] for c in x.split(", ")] for x in exchanged(enriched(checks, _BAGS, None, t("CMS_CNOTE")), capsys)]
+        found = enriched(checks, _BAGS, linked, t("CMS_CNOTE"))
+        edges = [x for x in exchanged(found, capsys) if "_linked" in x and "_table" in x]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert [c for c in alone if "status" in c] == [["code", "_shipment", "status", "variable_1", "variable_2"]]
+    assert len(edges) == 2  # by shipment, then by document
+    rows = sorted((r.index_code, r.document_id, r.cnote_no, r.document_no) for r in found.collect())
+    assert rows == [("COMP1B12", "C7", "C7", ""), ("COMP1J3", "B1", "C5", "B1"), ("COMP1J3", "B1", "C9", "B1")]
+
+
 def test_only_links_of_the_rules_tables_are_followed(spark, capsys):
     t = Standins(spark, SF)
     asked = []
