@@ -216,8 +216,14 @@ def _(t):
 @query("result_ids", f"SELECT CAST(sum(total_checked) AS BIGINT) AS n, CAST(sum(total_checked) AS BIGINT) AS ids, 'R000000000001' AS first, printf('R%012d', CAST(sum(total_checked) AS BIGINT)) AS last FROM ({_SUMMED})")
 def _(t):
     """Running numbers of the results, none left out."""
-    ids = run_rules(t.spark, t, _some(), t.available).results
-    return ids.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("result_id").alias("ids"), F.min("result_id").alias("first"), F.max("result_id").alias("last"))
+    ids = run_rules(t.spark, t, _some(), t.available).results.select("result_id")
+    # Different ids are counted as bits of their numbers, so that no id moves; those of another form than theirs as texts.
+    number = F.when(F.col("result_id").rlike("^R[0-9]{12}$"), F.substring("result_id", 2, 12).cast("long"))
+    other = ids.where(number.isNull()).agg(F.countDistinct("result_id")).scalar()
+    rows = ids.withColumn("number", number).groupBy(F.bitmap_bucket_number("number").alias("bucket"))
+    blocks = rows.agg(F.count(F.lit(1)).alias("n"), F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position("number"))).alias("ids"), F.min("result_id").alias("first"), F.max("result_id").alias("last"))
+    sums = blocks.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "ids")), F.min("first").alias("first"), F.max("last").alias("last"))
+    return sums.select("n", (F.col("ids") + other).alias("ids"), "first", "last")
 
 
 _DERBY = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}

@@ -46,6 +46,25 @@ def test_no_row_carries_its_document_twice(spark, capsys):
     assert rows == [("COMP1B12", "C7", "C7", ""), ("COMP1J3", "B1", "C5", "B1"), ("COMP1J3", "B1", "C9", "B1")]
 
 
+def test_ids_do_not_move_to_be_counted(spark, monkeypatch, capsys):
+    """Different ids are counted by bits, in any order, with repeated ones and other forms."""
+    from freightlens.operators.rules import runner
+    from freightlens.plans import run_queries
+    from freightlens.plans.queries import QUERIES
+
+    numbers = [*range(1, 70_001), 5, 70_000]
+    given = spark.createDataFrame([(f"R{n:012d}",) for n in numbers] + [("x",), ("x",), ("R1",)], "result_id string").repartition(3)
+    monkeypatch.setattr(run_queries, "run_rules", lambda *a, **how: runner.RunResult(None, given, None, given))
+    found = QUERIES["result_ids"](spark, SF)
+    assert [tuple(r) for r in found.collect()] == [(70_005, 70_002, "R000000000001", "x")]
+    monkeypatch.setattr(run_queries, "run_rules", lambda *a, **how: runner.RunResult(None, given.where("result_id = 'none'"), None, given))
+    assert [tuple(r) for r in QUERIES["result_ids"](spark, SF).collect()] == [(0, 0, None, None)]
+    capsys.readouterr()
+    found.explain("formatted")
+    plan = capsys.readouterr().out
+    assert re.findall(r"hashpartitioning\((\w+)", plan.split("Subqueries")[0])[0].startswith(("_groupingexpression", "bucket"))
+
+
 def test_only_links_of_the_rules_tables_are_followed(spark, capsys):
     t = Standins(spark, SF)
     asked = []
