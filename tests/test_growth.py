@@ -46,6 +46,40 @@ def test_no_row_carries_its_document_twice(spark, capsys):
     assert rows == [("COMP1B12", "C7", "C7", ""), ("COMP1J3", "B1", "C5", "B1"), ("COMP1J3", "B1", "C9", "B1")]
 
 
+def test_links_move_once_and_places_are_not_sorted_before_they_move(spark, capsys):
+    """Of the line items one shuffle, by shipment; of the shipments' places one that carries neither their type nor a first row of each task."""
+    from freightlens.plans.queries import QUERIES
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        carried = [[c.split("#")[0] for c in x.split(", ")] for x in exchanged(QUERIES["result_enrichment"](spark, SF), capsys)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert {tuple(c) for c in carried if {"MFCNOTE_NO", "_linked", "document_id"} & set(c)} == {("_of_document", "_linked")}
+    assert {tuple(c) for c in carried if "cnote_no" in c} == {("cnote_no", "cnote_origin", "cnote_destination", "cnote_service_code")}
+
+
+def test_few_checks_and_many_meet_the_same_links(spark, monkeypatch):
+    """Checks that are broadcast to links and those that are shuffled: repeated links, numbers of no shipment, blank ones, documents without links, repeated shipments."""
+    from freightlens.operators.rules import runner
+
+    checks = spark.createDataFrame([("COMP1J3", d, "PASS", "1", "") for d in ("B1", "B1", " B2 ", "B3", "B4", "", None)] + [("COMP1B12", d, "FAIL", "", "") for d in ("C1", "C9", "", None)], "code string, document_id string, status string, variable_1 string, variable_2 string")
+    links = spark.createDataFrame([("CMS_MFBAG", "B1", "C1"), ("cms_mfbag ", "B1", " C1"), ("CMS_MFBAG", "B1", "C2"), ("CMS_MFBAG", "B2", "C2"), ("CMS_MFBAG", "B3", "C7"), ("CMS_MFBAG", "B3", ""), ("CMS_MANIFEST", "B4", "C1")], "source_table string, document_id string, cnote_no string")
+    shipments = spark.createDataFrame([("C1", "SUB10000", "CGK10000", "YES"), (" C1", "BDO10000", "CGK10000", "YES"), ("C2", None, "CGK10000", "x"), (None, "CGK1", "CGK1", "REG"), ("", "CGK1", "CGK1", "REG")], "CNOTE_NO string, CNOTE_ORIGIN string, CNOTE_DESTINATION string, CNOTE_SERVICES_CODE string")
+    found = {}
+    for most in (0, 100_000):
+        monkeypatch.setattr(runner, "MOST_CHECKS", most)
+        rows = enriched(checks, _BAGS, links, shipments).collect()
+        found[most] = sorted((r.index_code, r.document_id, r.cnote_no, r.document_no, r.cnote_origin, r.origin_region, r.cnote_service_code, r.shipment_type) for r in rows)
+    assert found[0] == found[100_000]
+    one, two = ("BDO10000", "Jawa Barat", "YES", "Domestic"), ("", "Other", "Other", "Unknown")
+    none = ("", "", "", "")
+    assert found[0] == sorted(
+        [("COMP1B12", "C1", "C1", "", *one), ("COMP1B12", "C9", "", "C9", *none)] + [("COMP1B12", "", "", "", *none)] * 2 + [("COMP1J3", "B1", "C1", "B1", *one), ("COMP1J3", "B1", "C2", "B1", *two)] * 2
+        + [("COMP1J3", "B2", "C2", "B2", *two), ("COMP1J3", "B3", "", "B3", *none), ("COMP1J3", "B4", "", "B4", *none)] + [("COMP1J3", "", "", "", *none)] * 2
+    )
+
+
 def test_ids_do_not_move_to_be_counted(spark, monkeypatch, capsys):
     """Different ids are counted by bits, in any order, with repeated ones and other forms."""
     from freightlens.operators.rules import runner
