@@ -143,6 +143,20 @@ def test_shipments_without_a_number_or_an_order_are_spread(spark, capsys):
     assert rows.drop("_spread").count() == t("CMS_CNOTE").count()
 
 
+def test_results_are_written_without_what_follows_from_them(spark, tmp_path):
+    """Neither a rule's texts nor a shipment's regions nor its number a second time are in files; results have them when read."""
+    from freightlens.operators.rules import run_rules
+
+    t = Standins(spark, SF)
+    result = run_rules(spark, t, _BAGS, t.available, links=build_links(t, t.available, sources={"CMS_MFBAG"}), work=f"file://{tmp_path}")
+    placed = [c for c in (set(spark.read.parquet(str(f)).columns) for f in {p.parent for p in tmp_path.rglob("*.parquet")}) if "_place" in c]
+    assert placed == [{"code", "_document", "status", "variable_1", "variable_2", "cnote_no", "cnote_origin", "cnote_destination", "cnote_service_code", "shipment_type", "_place"}]
+    row = result.results.where("index_code = 'COMP1J3' AND cnote_no <> ''").first()
+    assert row.issue_description == "Mandatory Field - Blank" and row.origin_region and row.document_no.startswith("B") and row.level == "bag"
+    row = result.results.where("index_code = 'COMP1B12' AND cnote_no <> ''").first()
+    assert row.document_no == "" and row.stage == "" and row.table_name == "CMS_CNOTE"
+
+
 def test_a_summary_alone_writes_no_checks(spark, tmp_path):
     """Totals of a few rules of each kind, as a run with results counts them, and what is left in the work folder."""
     from freightlens.operators.rules import run_rules
