@@ -207,3 +207,26 @@ def test_no_stage_moves_for_its_users_zones(spark, capsys):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert not re.findall(r"hashpartitioning\([^)]*(?:USER|UID)", plan)
+
+
+def test_counted_groups_leave_no_shuffle_files(spark, tmp_path):
+    """A summary's groups run one after another, and their shuffle files are gone when it is there; a run of its own session's setting is as before."""
+    import time
+
+    from freightlens.operators.rules import run_rules
+    from freightlens.plans.queries import CATALOG, by_code
+
+    t = Standins(spark, SF)
+    rules = by_code(CATALOG, "UNIQ1B74", "UNIQ2I1", "COMP2P6", "CONS1B12", "TIME1I9 (OM)")
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {str(f) for f in disk.getAllFiles().mkString("\n").split("\n") if "shuffle_" in f}
+    spark.range(1000).groupBy("id").count().count()  # a query of another's, whose files stay
+    before = files()
+    summary = run_rules(spark, t, rules, t.available, work=f"file://{tmp_path}", summary_only=True).summary
+    for _ in range(40):
+        if not (left := files() - before):
+            break
+        time.sleep(0.25)
+    assert before and not left and {r.status for r in summary.collect()} <= {"PASS", "FAIL"}
+    spark.range(1000).groupBy("id").count().count()
+    assert files() - before  # the setting holds for the summary alone
